@@ -105,8 +105,8 @@ def is_weekend(day: Column | str) -> Column:
     return F.dayofweek(as_col(day)).isin(1, 7)
 
 
-def hours_between(start: Column | str, end: Column | str) -> Column:
-    return (F.unix_timestamp(as_col(end)) - F.unix_timestamp(as_col(start))) / F.lit(3600)
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    return F.unix_timestamp(as_col(end)) - F.unix_timestamp(as_col(start))
 
 
 def owner_of(repo: Column | str) -> Column:

@@ -41,6 +41,9 @@ def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), buckets: in
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count("*").alias("rows"))
+        # Always true, but keeps the counts in every branch below, so that all of
+        # them reuse one shuffle of the input.
+        .filter("rows > 0")
     )
     scaled = _monotone(F.col(value).cast("double"))
     span = hist.groupBy(*keys).agg(
@@ -86,11 +89,9 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Adds the rank of ``value`` among all rows, ties sharing their mean rank."""
-    ranks = value_ranks(df, value).select(
-        F.col(value).alias("_v"), (F.col("before") + (F.col("rows") + 1) / F.lit(2.0)).alias(name)
-    )
-    return df.join(ranks, df[value] == F.col("_v"), "left").drop("_v")
+    """Rank of each distinct value, ties sharing their mean rank."""
+    mean = F.col("before") + (F.col("rows") + 1) / F.lit(2.0)
+    return value_ranks(df, value).select(value, mean.alias(name))
 
 
 def descending_rank(df: DataFrame, value: str, name: str) -> DataFrame:

@@ -112,9 +112,12 @@ def health_score(
 
 
 def rank_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Spearman (mean ranks for ties) and Pearson correlation over complete rows."""
+    """Spearman (mean ranks for ties) and Pearson correlation over complete rows.
+
+    Reads ``df`` several times: pass a stored or checkpointed table.
+    """
     complete = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    ranked = average_rank(average_rank(complete, x, "_rx"), y, "_ry")
+    ranked = complete.join(average_rank(complete, x, "_rx"), x).join(average_rank(complete, y, "_ry"), y)
     return ranked.agg(F.corr("_rx", "_ry").alias("spearman"), F.corr(x, y).alias("pearson"))
 
 

@@ -61,16 +61,23 @@ def pr_merge_time(
     within_era: bool = True,
     accuracy: int = DEFAULT_ACCURACY,
 ) -> DataFrame:
-    """Hours from opening to merge, per era and repository."""
-    hours = merged_requests(events, targets, within_era).withColumn(
-        "merge_hours", C.hours_between("opened_ts", "merged_ts")
+    """Hours from opening to merge, per era and repository.
+
+    The mean divides a sum of whole seconds, so it does not depend on the order
+    in which partial sums meet.
+    """
+    seconds = C.seconds_between("opened_ts", "merged_ts")
+    hours = (
+        merged_requests(events, targets, within_era)
+        .withColumn("seconds", seconds)
+        .withColumn("merge_hours", F.col("seconds") / 3600)
     )
     return (
         hours.filter(F.col("merge_hours").between(0, max_hours))
         .groupBy(*REPO)
         .agg(
             F.count("pr_number").alias("merged_pr_count"),
-            F.avg("merge_hours").alias("avg_merge_hours"),
+            (F.avg("seconds") / 3600).alias("avg_merge_hours"),
             percentile("merge_hours", 0.5, accuracy).alias("median_merge_hours"),
             percentile("merge_hours", 0.75, accuracy).alias("p75_merge_hours"),
             percentile("merge_hours", 0.9, accuracy).alias("p90_merge_hours"),

@@ -121,7 +121,7 @@ def profile_events(df: DataFrame) -> dict[str, DataFrame]:
 def models_summary(df: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Size, distinct labels and download and like statistics, as metric rows."""
     author = C.first_existing(df, ("author", "owner"))
-    two_digits = lambda c: F.round(F.avg(c), 2)
+    two_digits = lambda c: F.format_string("%.2f", F.avg(c))
     row = df.agg(
         F.count("*").alias("total_rows"),
         F.lit(len(df.columns)).alias("total_columns"),

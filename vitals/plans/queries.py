@@ -25,6 +25,7 @@ from vitals.operators import (
 )
 from vitals.plans import testdata as data
 from vitals.schemas import CORE_EVENT_TYPES
+from vitals.session import cut_lineage
 from vitals.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ PACKAGES = ["economy", "large", "medium", "promo", "small", "standard"]
 
 
 class Inputs:
-    """Input frames of one query, built on demand."""
+    """Input frames of one query, built on demand; ``*_once`` for those read several times."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -67,6 +68,12 @@ class Inputs:
             return adoption.hub_repo_join(stats, self.seed, activity.repo_yearly(self.daily))
         if name == "scored":
             return adoption.health_score(self.joined, adoption.package_yearly(self.pkg))
+        if name == "joined_once":
+            return cut_lineage(self.joined)
+        if name == "scored_once":
+            return cut_lineage(self.scored)
+        if name == "top_once":
+            return cut_lineage(self.top)
         if name == "hype":
             return activity.star_growth_hype(self.ev, self.top, self.seed)
         if name == "health":
@@ -132,7 +139,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "package_yearly": lambda i: adoption.package_yearly(i.pkg),
     "health_score": lambda i: i.scored,
     "health_score_minmax": lambda i: adoption.health_score(
-        i.joined, adoption.package_yearly(i.pkg), norm="minmax"
+        i.joined_once, adoption.package_yearly(i.pkg), norm="minmax"
     ),
     # eras
     "era_summary": lambda i: eras.era_summary(i.ev, exact=True, accuracy=ACCURACY),
@@ -242,12 +249,12 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
         activity.star_growth_hype(i.ev, i.top, i.seed, grain="week")
     ),
     "owner_hype": lambda i: risk.owner_hype(i.hype),
-    "rank_correlation": lambda i: adoption.rank_correlation(i.scored, "gh_stars_2025", "health_score"),
-    "topk_overlap": lambda i: adoption.topk_overlap(i.scored, "gh_stars_2025", "health_score"),
-    "adoption_per_star": lambda i: adoption.adoption_per_star(i.scored),
+    "rank_correlation": lambda i: adoption.rank_correlation(i.scored_once, "gh_stars_2025", "health_score"),
+    "topk_overlap": lambda i: adoption.topk_overlap(i.scored_once, "gh_stars_2025", "health_score"),
+    "adoption_per_star": lambda i: comparable(adoption.adoption_per_star(i.scored), 3),
     "adoption_archetype": lambda i: adoption.adoption_archetype(i.scored, 20, 10_000_000),
     "bubble_frame": lambda i: adoption.bubble_frame(i.scored),
-    "star_rank_of_healthiest": lambda i: adoption.star_rank_of_healthiest(i.top, i.scored),
+    "star_rank_of_healthiest": lambda i: adoption.star_rank_of_healthiest(i.top_once, i.scored),
     # building blocks
     "exclude_dates": lambda i: quality.daily_counts(
         readers.exclude_dates(i.ev, ["2024-01-06", "2024-01-13"])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session needs for results to be repeatable and for skewed keys
 # to be split at run time. A cluster may override any of them.
@@ -45,13 +47,20 @@ def require_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The cluster's shared scratch folder, named by ``spark.checkpoint.dir``.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint a frame that several branches read, in the cluster's shared folder.
 
-    ``fallback`` is for single-machine tests only; without one an unset folder is
-    an error, since a machine-local path would not survive an executor.
+    The folder is the session's ``spark.checkpoint.dir``. A temporary folder is
+    used only where that is unset and the session runs on one machine; on a
+    cluster such a folder would be lost with its executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if not folder:
-        raise ValueError("spark.checkpoint.dir is not set")
-    return folder.rstrip("/")
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is not set")
+            folder = tempfile.mkdtemp(prefix="vitals-checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
