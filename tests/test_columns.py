@@ -1,0 +1,120 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from vitals.functions import aggregates as A
+from vitals.functions import columns as C
+
+
+def one(spark, sql, c):
+    return spark.sql(f"SELECT {sql}").select(c.alias("v")).first().v
+
+
+def test_malformed_timestamp_is_null(spark):
+    assert one(spark, "'2025-01-16T10:11:12Z' AS t", C.parsed_timestamp("t")) is not None
+    assert one(spark, "'not a time' AS t", C.parsed_timestamp("t")) is None
+    assert one(spark, "CAST(NULL AS STRING) AS t", C.parsed_timestamp("t")) is None
+
+
+def test_array_lengths(spark):
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        assert one(spark, "CAST(NULL AS ARRAY<INT>) AS a", C.array_length("a")) is None
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert one(spark, "ARRAY() AS a", C.array_length("a")) == 0
+    assert one(spark, "CAST(NULL AS ARRAY<INT>) AS a", C.array_length_or_zero("a")) == 0
+
+
+def test_path_parts(spark):
+    assert one(spark, "'o/n' AS p", C.path_part("p", 2)) == "n"
+    assert one(spark, "'plain' AS p", C.path_part("p", 2)) is None
+    assert one(spark, "'plain' AS p", C.owner_of("p")) == "plain"
+
+
+@pytest.mark.parametrize(
+    "action, merged, kind, expected",
+    [
+        ("closed", True, "PullRequestEvent", True),
+        ("closed", False, "PullRequestEvent", False),
+        ("closed", None, "PullRequestEvent", False),
+        ("merged", None, "PullRequestEvent", True),
+        ("opened", True, "PullRequestEvent", False),
+        ("closed", True, "IssuesEvent", False),
+        (None, None, "PullRequestEvent", False),
+    ],
+)
+def test_merged_in_both_layouts(spark, action, merged, kind, expected):
+    df = spark.createDataFrame(
+        [(kind, action, merged)], "event_type string, payload_action string, pr_merged boolean"
+    )
+    assert (df.filter(C.is_merged_pr()).count() == 1) == expected
+
+
+def test_flags_pass_null(spark):
+    df = spark.createDataFrame([(1, None), (2, False), (3, True)], "k int, f boolean")
+    assert [r.k for r in df.filter(C.not_flagged("f")).orderBy("k").collect()] == [1, 2]
+
+
+def test_labels_have_an_arm_for_null(spark):
+    bounds = [(0, "none"), (100, "few")]
+    df = spark.createDataFrame([(None,), (0,), (1,), (100,), (101,)], "v bigint")
+    got = [r.l for r in df.select(C.ranged_label("v", bounds, "many", "unknown").alias("l")).collect()]
+    assert got == ["unknown", "none", "few", "few", "many"]
+    got = [r.l for r in df.select(C.below_label("v", bounds, "many", "unknown").alias("l")).collect()]
+    assert got == ["unknown", "few", "few", "many", "many"]
+
+
+def test_gated(spark):
+    df = spark.createDataFrame([(None,), ("False",), ("auto",), ("True",)], "gated string")
+    assert [r[0] for r in df.select(C.gated_label()).collect()] == ["non-gated", "non-gated", "gated", "gated"]
+
+
+def test_calendar(spark):
+    assert one(spark, "DATE '2025-01-05' AS d", C.is_weekend("d")) is True  # Sunday
+    assert one(spark, "DATE '2025-01-04' AS d", C.is_weekend("d")) is True  # Saturday
+    assert one(spark, "DATE '2025-01-06' AS d", C.is_weekend("d")) is False
+    assert one(spark, "DATE '2025-01-08' AS d", C.period("d", "week")) == "2025-01-06"
+    assert one(spark, "DATE '2025-01-08' AS d", C.period("d", "month")) == "2025-01"
+    assert one(spark, "DATE '2025-01-08' AS d", C.quarter_era("d")) == "2025-Q1"
+    ts = "TIMESTAMP '2025-01-01 00:00:00' AS a, TIMESTAMP '2025-01-01 01:30:00' AS b"
+    assert one(spark, ts, C.seconds_between("a", "b")) == 5400
+
+
+def test_pick_works_on_both_layouts(spark):
+    raw = spark.sql("SELECT named_struct('name', 'o/n') AS repo")
+    flat = spark.sql("SELECT 'o/n' AS repo_name")
+    for df in (raw, flat):
+        assert df.select(C.pick(df, ["repo.name", "repo_name"], "r")).first().r == "o/n"
+    with pytest.raises(ValueError):
+        C.pick(flat, ["missing", "repo_name.deep"], "r")
+
+
+def test_conform_fills_missing_columns(spark):
+    df = C.conform(spark.sql("SELECT 1 AS a"), [("a", "int"), ("b", "bigint")])
+    assert df.dtypes == [("a", "int"), ("b", "bigint")]
+    assert df.first().b is None
+
+
+def test_percentiles_agree_on_few_values(spark):
+    df = spark.range(1, 101).withColumn("g", F.lit(1))
+    row = df.groupBy("g").agg(A.percentile("id", 0.9).alias("a"), A.percentile_exact("id", 0.9).alias("e")).first()
+    assert row.a == row.e == 90
+
+
+def test_null_counts_of_missing_field_is_null(spark):
+    df = spark.sql("SELECT CAST(NULL AS INT) AS a, 1 AS b")
+    got = rows(A.metric_rows(A.null_counts(df, {"a": ["a"], "b": ["x", "b"], "c": ["x"]})), "metric")
+    assert got == [
+        {"metric": "a", "value": "1"},
+        {"metric": "b", "value": "0"},
+        {"metric": "c", "value": None},
+    ]
+
+
+def test_distinct_with_null_counts_null_once(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,)], "v string")
+    assert df.agg(A.distinct_with_null("v").alias("n")).first().n == 2
+
+
+def test_ratio_by_zero_is_null(spark):
+    assert one(spark, "1 AS a, 0 AS b", A.ratio("a", "b")) is None

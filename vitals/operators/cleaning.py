@@ -12,6 +12,7 @@ from vitals import schemas
 from vitals.functions import columns as C
 from vitals.operators.joins import keep_repos
 from vitals.sources import dimensions
+from vitals.sources.readers import parse_lines
 
 # Cleaned column -> path in the raw event, for plain copies.
 _EVENT_PATHS = {
@@ -136,7 +137,7 @@ def normalize_license(df: DataFrame, license_map: DataFrame | None = None) -> Da
 
 def parse_hub_records(lines: DataFrame, column: str = "value") -> DataFrame:
     """Hub API records, one JSON object per line, as typed columns."""
-    return lines.select(F.from_json(column, schemas.HUB_RECORD).alias("r")).select("r.*")
+    return parse_lines(lines, schemas.HUB_RECORD, column)
 
 
 def _variant_kind(v: Column) -> Column:

@@ -141,5 +141,9 @@ def union_optional(events: DataFrame, path: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """JSON text in a column (text files, message payloads) as typed columns."""
-    return lines.select(F.from_json(column, schema).alias("r")).select("r.*")
+    """JSON text in a column (text files, message payloads) as typed columns.
+
+    The generator keeps later filters above it. With a plain projection they
+    would be pushed below and parse the text once more for every predicate.
+    """
+    return lines.select(F.inline(F.array(F.from_json(column, schema))))
