@@ -1,0 +1,125 @@
+import math
+
+import pytest
+from brute import average_ranks, pearson
+from conftest import rows
+
+from vitals.operators import adoption
+
+# Published rows: hub downloads, package downloads, stars, pushes, pull requests,
+# active days and the resulting score. Fixed values.
+PUBLISHED = [
+    (1421767931, 937622390, 13095, 8483, 5866, 332, 14.681745693647615),
+    (17516769, 80799556, 10865, 9180, 2530, 332 - 2, 12.771688802064721),
+    (10957117, 39882114, 22697, 6698, 15794, 332, 12.736658627238072),
+    (519299026, 149791649, 1588, 122, 237, 285, 12.725631234577673),
+]
+
+JOINED = (
+    "repo_name string, category string, library_name string, hf_model_count long, hf_total_downloads long, "
+    "hf_total_likes long, gh_stars_2025 long, gh_forks_2025 long, gh_pushes_2025 long, gh_prs_2025 long, "
+    "gh_issues_2025 long, gh_active_days long"
+)
+
+
+@pytest.fixture(scope="module")
+def published(spark):
+    joined = [
+        (f"r{i}", "c", f"lib{i}", 1, hub, 1, stars, 1, pushes, prs, 1, days)
+        for i, (hub, _, stars, pushes, prs, days, _) in enumerate(PUBLISHED)
+    ]
+    packages = [(f"lib{i}", row[1], 12) for i, row in enumerate(PUBLISHED)]
+    return (
+        spark.createDataFrame(joined, JOINED),
+        spark.createDataFrame(packages, "project string, pypi_downloads_2025 long, pypi_months_tracked long"),
+    )
+
+
+def test_published_scores(published):
+    got = {r["repo_name"]: r["health_score"] for r in rows(adoption.health_score(*published))}
+    for i, row in enumerate(PUBLISHED):
+        assert math.isclose(got[f"r{i}"], row[-1], rel_tol=1e-12)
+
+
+def test_missing_measures_count_as_zero(spark, published):
+    joined, packages = published
+    got = rows(adoption.health_score(joined, packages.filter("false")))
+    assert all(r["pypi_downloads_2025"] is None and r["health_score"] > 0 for r in got)
+
+
+def test_minmax_scores_lie_between_zero_and_one(published):
+    got = {r["repo_name"]: r["health_score_minmax"] for r in rows(adoption.health_score(*published, norm="minmax"))}
+    assert all(0 <= v <= 1 for v in got.values())
+    i = 2  # second hub measure against the set, by hand
+    parts = list(zip(*[row[:6] for row in PUBLISHED]))
+    weights = list(adoption.HEALTH_WEIGHTS.values())
+    expected = sum(w * (p[i] - min(p)) / (max(p) - min(p)) for w, p in zip(weights, parts))
+    assert math.isclose(got["r2"], expected, rel_tol=1e-12)
+
+
+def test_minmax_of_a_constant_measure_is_zero(published):
+    joined, packages = published
+    one = joined.filter("repo_name = 'r0'")
+    assert rows(adoption.health_score(one, packages, norm="minmax"))[0]["health_score_minmax"] == 0
+
+
+def test_unknown_norm(published):
+    with pytest.raises(ValueError):
+        adoption.health_score(*published, norm="other")
+
+
+def test_library_with_two_repositories_fans_out(spark):
+    models = spark.createDataFrame(
+        [("mlx", 5, 1), ("mlx", 7, 1), ("unknown", 9, 9), (None, 9, 9)],
+        "library_name string, downloads long, likes long",
+    )
+    stats = adoption.library_stats_for_join(models)
+    assert rows(stats) == [
+        {"library_name": "mlx", "hf_model_count": 2, "hf_total_downloads": 12, "hf_total_likes": 2, "hf_avg_downloads": 6.0}
+    ]
+    seed = spark.createDataFrame(
+        [("A/x", "k", "mlx"), ("a/Y", "k", "mlx"), ("a/z", "k", None)],
+        "repo string, category string, hf_library string",
+    )
+    yearly = spark.createDataFrame(
+        [("a/x", 1, 2, 3, 4, 5, 6, 7)],
+        "repo_name string, gh_stars_2025 long, gh_forks_2025 long, gh_pushes_2025 long, gh_prs_2025 long, "
+        "gh_issues_2025 long, gh_actors_2025 long, gh_active_days long",
+    )
+    got = {r["repo_name"]: r["gh_stars_2025"] for r in rows(adoption.hub_repo_join(stats, seed, yearly))}
+    assert got == {"a/x": 1, "a/y": None}
+
+
+def test_package_yearly(spark):
+    df = spark.createDataFrame(
+        [("p", "2025-01-01", 3), ("p", "2025-02-01", 4), ("p", "2025-02-01", 1)],
+        "project string, month string, downloads long",
+    )
+    assert rows(adoption.package_yearly(df)) == [
+        {"project": "p", "pypi_downloads_2025": 8, "pypi_months_tracked": 2}
+    ]
+
+
+def test_rank_correlation_against_brute_force(spark):
+    x = [3, 1, 3, 2, 9, None, 4]
+    y = [1.5, 0.5, 2.5, 2.5, 0.1, 7.0, None]
+    df = spark.createDataFrame(list(zip(x, y)), "x long, y double")
+    pairs = [(a, b) for a, b in zip(x, y) if a is not None and b is not None]
+    xs, ys = zip(*pairs)
+    got = adoption.rank_correlation(df, "x", "y").first()
+    assert math.isclose(got.pearson, pearson(xs, ys), rel_tol=1e-9)
+    assert math.isclose(got.spearman, pearson(average_ranks(xs), average_ranks(ys)), rel_tol=1e-9)
+
+
+def test_reports_on_scores(spark, published):
+    scored = adoption.health_score(*published)
+    assert adoption.topk_overlap(scored, "gh_stars_2025", "health_score", k=2).first().overlap == 1
+    assert adoption.topk_overlap(scored, "gh_stars_2025", "health_score", k=3).first().overlap == 3
+    per_star = {r["repo_name"]: r["downloads_per_star"] for r in rows(adoption.adoption_per_star(scored))}
+    assert math.isclose(per_star["r3"], 519299026 / 1588)
+    kinds = {r["repo_name"]: r["archetype"] for r in rows(adoption.adoption_archetype(scored, 10_000, 100_000_000))}
+    assert kinds == {"r0": "true leader", "r1": "ecosystem outsider", "r2": "ecosystem outsider", "r3": "quiet power"}
+    assert all(r["size"] == 20.0 for r in rows(adoption.bubble_frame(scored)))
+    top = scored.selectExpr("repo_name", "gh_stars_2025 AS stars")
+    ranks = {r["repo_name"]: r["star_rank"] for r in rows(adoption.star_rank_of_healthiest(top, scored, 2))}
+    assert ranks == {"r0": 2, "r1": 3}

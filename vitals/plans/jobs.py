@@ -139,8 +139,7 @@ def era_job(events: DataFrame, folder: str) -> dict[str, DataFrame]:
     }
     merged = {}
     for name, table in tables.items():
-        writers.write_era(table, f"{folder}/{name}")
-        merged[name] = events.sparkSession.read.parquet(f"{folder}/{name}")
+        merged[name] = writers.write_era(table, f"{folder}/{name}")
         keys = [c for c in ("era", "month", "is_weekend", "event_type") if c in merged[name].columns]
         writers.export_csv(merged[name], f"{folder}/{name}_csv", keys)
     return merged

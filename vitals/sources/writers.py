@@ -107,14 +107,19 @@ def sample_rows(df: DataFrame, columns: Sequence[str], n: int, order: Sequence =
     return rows.select(*columns).limit(n) if not order else rows.limit(n).select(*columns)
 
 
-def write_era(df: DataFrame, path: str) -> None:
-    """Per-era results as Parquet by era; re-running one era replaces only that era."""
+def write_era(df: DataFrame, path: str) -> DataFrame:
+    """Per-era results as Parquet by era; re-running one era replaces only that era.
+
+    Returns the stored table with all eras. It is read with the schema of
+    ``df``, as an era without result rows leaves no file to take it from.
+    """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("era")
         .parquet(path)
     )
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stored(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
@@ -123,7 +128,7 @@ def stored(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
         write_events(df, path, by=by)
     else:
         write_table(df, path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
