@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,62 +45,98 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def __getattr__(self, name: str) -> DataFrame:
-        if name == "ev":
-            return data.activity(self.spark, self.sf_dir)
-        if name == "raw":
-            return data.raw_events(self.spark, self.sf_dir)
-        if name == "raw_md":
-            return data.raw_models(self.spark, self.sf_dir)
-        if name == "md":
-            return cleaning.clean_models(self.raw_md)
-        if name == "hub":
-            return data.hub_lines(self.spark, self.sf_dir)
-        if name == "seed":
-            return data.seed(self.spark, self.sf_dir)
-        if name == "pkg":
-            return data.package_downloads(self.spark, self.sf_dir)
-        if name == "top":
-            return activity.top_repos(self.ev, TOP)
-        if name == "daily":
-            return activity.repo_daily_metrics(self.ev, self.seed)
-        if name == "joined":
-            stats = adoption.library_stats_for_join(self.md)
-            return adoption.hub_repo_join(stats, self.seed, activity.repo_yearly(self.daily))
-        if name == "scored":
-            return adoption.health_score(self.joined, adoption.package_yearly(self.pkg))
-        if name == "joined_once":
-            return cut_lineage(self.joined)
-        if name == "scored_once":
-            return cut_lineage(self.scored)
-        if name == "top_once":
-            return cut_lineage(self.top)
-        if name == "hype":
-            return activity.star_growth_hype(self.ev, self.top, self.seed)
-        if name == "health":
-            return activity.contributor_health(self.ev, self.top, self.seed)
-        if name == "targets":
-            return deepdive.target_repos(self.top, self.seed)
-        if name == "new":
-            return self.ev.filter(F.col("event_date") > F.lit("2024-01-01").cast("date"))
-        if name == "old":
-            return self.ev.filter(F.col("event_type") != "ForkEvent")
-        raise AttributeError(name)
+    @cached_property
+    def ev(self) -> DataFrame:
+        return data.activity(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        return data.raw_events(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw_md(self) -> DataFrame:
+        return data.raw_models(self.spark, self.sf_dir)
+
+    @cached_property
+    def md(self) -> DataFrame:
+        return cleaning.clean_models(self.raw_md)
+
+    @cached_property
+    def hub(self) -> DataFrame:
+        return data.hub_lines(self.spark, self.sf_dir)
+
+    @cached_property
+    def seed(self) -> DataFrame:
+        return data.seed(self.spark, self.sf_dir)
+
+    @cached_property
+    def pkg(self) -> DataFrame:
+        return data.package_downloads(self.spark, self.sf_dir)
+
+    @cached_property
+    def top(self) -> DataFrame:
+        return activity.top_repos(self.ev, TOP)
+
+    @cached_property
+    def top_once(self) -> DataFrame:
+        return cut_lineage(self.top)
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return activity.repo_daily_metrics(self.ev, self.seed)
+
+    @cached_property
+    def joined(self) -> DataFrame:
+        stats = adoption.library_stats_for_join(self.md)
+        return adoption.hub_repo_join(stats, self.seed, activity.repo_yearly(self.daily))
+
+    @cached_property
+    def joined_once(self) -> DataFrame:
+        return cut_lineage(self.joined)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return adoption.health_score(self.joined, adoption.package_yearly(self.pkg))
+
+    @cached_property
+    def scored_once(self) -> DataFrame:
+        return cut_lineage(self.scored)
+
+    @cached_property
+    def hype(self) -> DataFrame:
+        return activity.star_growth_hype(self.ev, self.top, self.seed)
+
+    @cached_property
+    def health(self) -> DataFrame:
+        return activity.contributor_health(self.ev, self.top, self.seed)
+
+    @cached_property
+    def targets(self) -> DataFrame:
+        return deepdive.target_repos(self.top, self.seed)
+
+    @cached_property
+    def new(self) -> DataFrame:
+        """The newer of two versions of the data: its first day was lost."""
+        return self.ev.filter(F.col("event_date") > F.lit("2024-01-01").cast("date"))
+
+    @cached_property
+    def old(self) -> DataFrame:
+        """The older version: it had no forks."""
+        return self.ev.filter(F.col("event_type") != "ForkEvent")
 
 
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded and arrays as text, so two engines give equal values."""
-    out = []
+    changed = {}
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits)
+            changed[field.name] = F.round(c, digits)
         elif isinstance(field.dataType, T.ArrayType):
-            c = F.array_join(c, ",")
+            changed[field.name] = F.array_join(c, ",")
         elif isinstance(field.dataType, T.TimestampType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            changed[field.name] = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    return df.withColumns(changed) if changed else df
 
 
 def _flat_record(df: DataFrame) -> DataFrame:

@@ -8,81 +8,83 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitals import schemas
 from vitals.session import require_utc
 from vitals.sources.readers import parse_lines
-from vitals import schemas
-
-# Event type in the test table -> analysed event type.
-TYPE_OF = {
-    "purchase": "PushEvent",
-    "click": "PullRequestEvent",
-    "view": "WatchEvent",
-    "signup": "ForkEvent",
-    "error": "IssuesEvent",
-}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return require_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _case(key: Column, arms: dict, default: Column | None = None) -> Column:
-    expr = None
-    for value, result in arms.items():
-        expr = F.when(key == value, result) if expr is None else expr.when(key == value, result)
-    return expr.otherwise(default) if default is not None else expr
-
-
 def week_era(day: Column) -> Column:
     """Era of the one-month event table: W1 to W5 by day of month."""
     return F.concat(F.lit("W"), (F.floor((F.dayofmonth(day) - 1) / 7) + 1).cast("string"))
 
 
-def _event_columns(events: DataFrame) -> dict[str, Column]:
-    repo = F.get_json_object("props", "$.k")
-    kind = _case(F.col("event_type"), TYPE_OF)
-    push, pr, issue = (kind == t for t in ("PushEvent", "PullRequestEvent", "IssuesEvent"))
-    phase = F.col("event_id") % 4
-    pr_action = _case(phase, {0: "opened", 1: "closed", 2: "closed", 3: "merged"})
-    issue_action = F.when(F.col("event_id") % 2 == 0, "opened").otherwise("closed")
-    state = lambda action: F.when(action == "opened", "open").otherwise("closed")
-    size = F.floor(F.col("value") / 10).cast("bigint")
-    number = F.col("user_id") % 10
-    return {
-        "event_id": F.col("event_id").cast("string"),
-        "event_type": kind,
-        "event_ts": F.col("ts").cast("timestamp"),
-        "event_date": F.to_date("ts"),
-        "is_public": F.lit(True),
-        "actor_id": F.col("user_id"),
-        "actor_login": F.concat(F.lit("u"), F.col("user_id").cast("string")),
-        "repo_id": repo.cast("bigint"),
-        "repo_name": F.concat(F.lit("r"), repo),
-        "org_id": F.lit(None).cast("bigint"),
-        "org_login": F.lit(None).cast("string"),
-        "payload_action": F.when(pr, pr_action)
-        .when(issue, issue_action)
-        .when(kind == "WatchEvent", "started"),
-        "payload_number": F.when(pr, number),
-        "issue_number": F.when(issue, F.col("user_id")),
-        "issue_state": F.when(issue, state(issue_action)),
-        "pr_number": F.when(pr, number),
-        "pr_state": F.when(pr, state(pr_action)),
-        "pr_merged": F.when(pr & (phase == 1), F.lit(True)),
-        "push_id": F.when(push, F.col("event_id")),
-        "push_size": F.when(push, size),
-        "push_distinct_size": F.when(push, size),
-        "commit_count": F.when(push, F.least(size, F.lit(20)).cast("int")),
-    }
+# The property text holds one number; a pattern reads it faster than a JSON parser.
+_KEY = """nullif(regexp_extract(props, '"k": *([0-9]+)', 1), '')"""
+_SIZE = "CASE WHEN event_type = 'purchase' THEN CAST(floor(value / 10) AS BIGINT) END"
+_NUMBER = "CASE WHEN event_type = 'click' THEN user_id % 10 END"
+
+# Cleaned column -> expression over the event table.
+EVENT_SQL = {
+    "event_id": "CAST(event_id AS STRING)",
+    "event_type": """CASE event_type WHEN 'purchase' THEN 'PushEvent' WHEN 'click' THEN 'PullRequestEvent'
+                     WHEN 'view' THEN 'WatchEvent' WHEN 'signup' THEN 'ForkEvent'
+                     WHEN 'error' THEN 'IssuesEvent' END""",
+    "event_ts": "CAST(ts AS TIMESTAMP)",
+    "event_date": "to_date(ts)",
+    "is_public": "true",
+    "actor_id": "user_id",
+    "actor_login": "concat('u', user_id)",
+    "repo_id": f"CAST({_KEY} AS BIGINT)",
+    "repo_name": f"concat('r', {_KEY})",
+    "org_id": "CAST(NULL AS BIGINT)",
+    "org_login": "CAST(NULL AS STRING)",
+    "payload_action": """CASE event_type
+                         WHEN 'click' THEN CASE event_id % 4 WHEN 0 THEN 'opened' WHEN 3 THEN 'merged'
+                                           ELSE 'closed' END
+                         WHEN 'error' THEN if(event_id % 2 = 0, 'opened', 'closed')
+                         WHEN 'view' THEN 'started' END""",
+    "payload_number": _NUMBER,
+    "issue_number": "CASE WHEN event_type = 'error' THEN user_id END",
+    "issue_state": "CASE WHEN event_type = 'error' THEN if(event_id % 2 = 0, 'open', 'closed') END",
+    "pr_number": _NUMBER,
+    "pr_state": "CASE WHEN event_type = 'click' THEN if(event_id % 4 = 0, 'open', 'closed') END",
+    "pr_merged": "CASE WHEN event_type = 'click' AND event_id % 4 = 1 THEN true END",
+    "push_id": "CASE WHEN event_type = 'purchase' THEN event_id END",
+    "push_size": _SIZE,
+    "push_distinct_size": _SIZE,
+    "commit_count": f"CASE WHEN event_type = 'purchase' THEN CAST(least({_SIZE}, 20) AS INT) END",
+}
 
 
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned events with their era."""
-    events = table(spark, sf_dir, "events")
-    columns = _event_columns(events)
-    return events.select(
-        *[c.alias(name) for name, c in columns.items()], week_era(F.col("ts")).alias("era")
-    )
+    columns = [f"{sql} AS {name}" for name, sql in EVENT_SQL.items()]
+    era = "concat('W', CAST(floor((day(ts) - 1) / 7) + 1 AS STRING)) AS era"
+    return table(spark, sf_dir, "events").selectExpr(*columns, era)
+
+
+# One event as the feed delivers it, by variant of the delivery.
+_RECORD = """
+    CASE variant WHEN 'bad_time' THEN concat('t', event_id) WHEN 'no_repo' THEN concat('n', event_id)
+                 ELSE event_id END AS id,
+    if(variant = 'other_type', 'CreateEvent', event_type) AS type,
+    struct(actor_id AS id, upper(actor_login) AS login) AS actor,
+    CASE WHEN variant <> 'no_repo' THEN struct(repo_id AS id, upper(repo_name) AS name) END AS repo,
+    struct(payload_action AS action, payload_number AS number, push_size AS size,
+           push_distinct_size AS distinct_size, push_id,
+           CASE WHEN commit_count IS NOT NULL THEN array_repeat(struct('0' AS sha), commit_count) END
+               AS commits,
+           CASE WHEN issue_number IS NOT NULL THEN struct(issue_number AS number, issue_state AS state) END
+               AS issue,
+           CASE WHEN pr_number IS NOT NULL
+                THEN struct(pr_number AS number, pr_state AS state, pr_merged AS merged) END
+               AS pull_request) AS payload,
+    is_public AS public,
+    if(variant = 'bad_time', 'yesterday', date_format(event_ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")) AS created_at
+"""
 
 
 def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,49 +94,9 @@ def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     analysed, one with a malformed time and one without a repository; names are
     in upper case.
     """
-    events = table(spark, sf_dir, "events")
-    c = _event_columns(events)
-    variant = F.col("variant")
-    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    record = F.struct(
-        F.when(variant == "bad_time", F.concat(F.lit("t"), c["event_id"]))
-        .when(variant == "no_repo", F.concat(F.lit("n"), c["event_id"]))
-        .otherwise(c["event_id"])
-        .alias("id"),
-        F.when(variant == "other_type", "CreateEvent").otherwise(c["event_type"]).alias("type"),
-        F.struct(c["actor_id"].alias("id"), F.upper(c["actor_login"]).alias("login")).alias("actor"),
-        F.when(
-            variant != "no_repo",
-            F.struct(c["repo_id"].alias("id"), F.upper(c["repo_name"]).alias("name")),
-        ).alias("repo"),
-        F.struct(
-            c["payload_action"].alias("action"),
-            c["payload_number"].alias("number"),
-            c["push_size"].alias("size"),
-            c["push_distinct_size"].alias("distinct_size"),
-            c["push_id"].alias("push_id"),
-            F.when(
-                c["commit_count"].isNotNull(),
-                F.array_repeat(F.struct(F.lit("0").alias("sha")), c["commit_count"]),
-            ).alias("commits"),
-            F.when(
-                c["issue_number"].isNotNull(),
-                F.struct(c["issue_number"].alias("number"), c["issue_state"].alias("state")),
-            ).alias("issue"),
-            F.when(
-                c["pr_number"].isNotNull(),
-                F.struct(
-                    c["pr_number"].alias("number"),
-                    c["pr_state"].alias("state"),
-                    c["pr_merged"].alias("merged"),
-                ),
-            ).alias("pull_request"),
-        ).alias("payload"),
-        c["is_public"].alias("public"),
-        F.when(variant == "bad_time", "yesterday").otherwise(time).alias("created_at"),
-    )
-    variants = F.array(*[F.lit(v) for v in ("ok", "copy", "other_type", "bad_time", "no_repo")])
-    return events.withColumn("variant", F.explode(variants)).select(F.to_json(record).alias("value"))
+    variants = "explode(array('ok', 'copy', 'other_type', 'bad_time', 'no_repo')) AS variant"
+    delivered = activity(spark, sf_dir).selectExpr("*", variants)
+    return delivered.selectExpr(f"to_json(struct({_RECORD})) AS value")
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,122 +114,68 @@ def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _model_parts(part: DataFrame) -> dict[str, Column]:
-    key, size = F.col("p_partkey"), F.col("p_size")
-    word = lambda i: F.element_at(F.split("p_name", " "), i)
-    day = lambda start, n: F.date_add(F.lit(start).cast("date"), n.cast("int"))
-    downloads = _case(
-        size % 6,
-        {0: F.lit(0).cast("bigint"), 1: size.cast("bigint"), 2: key + 101, 3: key * 1000, 4: key * 1000000},
-    )
-    license_ = _case(
-        word(1),
-        {
-            "red": "Apache 2.0",
-            "large": "MIT License",
-            "blue": "GPL3",
-            "new": "apache-2.0",
-            "cold": "Custom",
-            "hot": "bsd-3",
-            "old": "cc-by-4",
-        },
-    )
-    slash = F.when(size == 48, "-").otherwise("/")
-    return {
-        "id": F.concat("p_brand", slash, F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-"), key.cast("string")),
-        "author": F.when(size != 47, F.col("p_brand")),
-        "modified": day("2023-01-01", key % 730),
-        "created": F.when(size != 45, day("2022-03-02", key * 7 % 400)),
-        "private": F.when(size == 50, True).when(size >= 10, False),
-        "disabled": F.when(size == 49, True),
-        "gated": F.when(size <= 4, "auto").when(size <= 8, "False"),
-        "pipeline_tag": F.when(size % 5 != 0, F.upper(word(2))),
-        "tags": F.when(size != 44, F.split("p_name", " ")),
-        "library_name": F.when(F.col("p_type") != "STANDARD", F.col("p_type")),
-        "likes": size.cast("bigint"),
-        "downloads": downloads,
-        "trending_score": (size % 7).cast("bigint"),
-        "license": license_,
-        "dataset": word(2),
-        "base_model": F.when(size % 3 == 0, F.col("p_brand")),
-        "total": F.when(size % 4 != 0, key % 97 * 1000000000),
-        "model_type": F.upper(word(1)),
-    }
+# Raw model fields over the part table; ``age`` is the age of the record's version in days.
+_DOWNLOADS = """CASE p_size % 6 WHEN 0 THEN 0L WHEN 1 THEN CAST(p_size AS BIGINT) WHEN 2 THEN p_partkey + 101
+                WHEN 3 THEN p_partkey * 1000 WHEN 4 THEN p_partkey * 1000000 END"""
+_ISO = "concat(date_format({}, 'yyyy-MM-dd'), 'T00:00:00+00:00')"
+_MODIFIED = _ISO.format("date_sub(date_add(DATE '2023-01-01', CAST(p_partkey % 730 AS INT)), age)")
+_CREATED = _ISO.format("date_add(DATE '2022-03-02', CAST(p_partkey * 7 % 400 AS INT))")
+_LICENSE = """CASE split(p_name, ' ')[0] WHEN 'red' THEN 'Apache 2.0' WHEN 'large' THEN 'MIT License'
+              WHEN 'blue' THEN 'GPL3' WHEN 'new' THEN 'apache-2.0' WHEN 'cold' THEN 'Custom'
+              WHEN 'hot' THEN 'bsd-3' WHEN 'old' THEN 'cc-by-4' END"""
+MODEL_SQL = {
+    "modelId": "concat(p_brand, if(p_size = 48, '-', '/'), replace(p_name, ' ', '-'), '-', p_partkey)",
+    "author": "CASE WHEN p_size <> 47 THEN p_brand END",
+    "sha": "CAST(NULL AS STRING)",
+    "lastModified": f"if(p_size = 46, 'yesterday', {_MODIFIED})",
+    "private": "CASE WHEN p_size = 50 THEN true WHEN p_size >= 10 THEN false END",
+    "disabled": "CASE WHEN p_size = 49 THEN true END",
+    "gated": "CASE WHEN p_size <= 4 THEN 'auto' WHEN p_size <= 8 THEN 'False' END",
+    "pipeline_tag": "CASE WHEN p_size % 5 <> 0 THEN upper(split(p_name, ' ')[1]) END",
+    "tags": "CASE WHEN p_size <> 44 THEN split(p_name, ' ') END",
+    "library_name": "CASE WHEN p_type <> 'STANDARD' THEN p_type END",
+    "likes": "CAST(p_size - age AS BIGINT)",
+    "downloads": _DOWNLOADS,
+    "downloads_all_time": f"2 * {_DOWNLOADS}",
+    "trending_score": "CAST(p_size % 7 AS BIGINT)",
+    "card_data": f"""struct({_LICENSE} AS license, array(split(p_name, ' ')[1]) AS datasets,
+                     array('en') AS language, CASE WHEN p_size % 3 = 0 THEN p_brand END AS base_model)""",
+    "safetensors": """CASE WHEN p_size % 4 <> 0
+                      THEN struct(struct(p_partkey % 97 * 1000000000 AS total) AS parameters) END""",
+    "config": "struct(upper(split(p_name, ' ')[0]) AS model_type, array(p_type) AS architectures)",
+    "created_at": f"CASE WHEN p_size <> 45 THEN {_CREATED} END",
+}
 
 
 def raw_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part as a raw model record, plus an older version of each record."""
-    part = table(spark, sf_dir, "part")
-    m = _model_parts(part)
-    age = F.col("age")
-    iso = lambda d: F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
-    modified = iso(F.date_sub(m["modified"], age))
-    return part.withColumn("age", F.explode(F.array(F.lit(0), F.lit(1)))).select(
-        m["id"].alias("modelId"),
-        m["author"].alias("author"),
-        F.lit(None).cast("string").alias("sha"),
-        F.when(F.col("p_size") == 46, "yesterday").otherwise(modified).alias("lastModified"),
-        m["private"].alias("private"),
-        m["disabled"].alias("disabled"),
-        m["gated"].alias("gated"),
-        m["pipeline_tag"].alias("pipeline_tag"),
-        m["tags"].alias("tags"),
-        m["library_name"].alias("library_name"),
-        (m["likes"] - age).alias("likes"),
-        m["downloads"].alias("downloads"),
-        (m["downloads"] * 2).alias("downloads_all_time"),
-        m["trending_score"].alias("trending_score"),
-        F.struct(
-            m["license"].alias("license"),
-            F.array(m["dataset"]).alias("datasets"),
-            F.array(F.lit("en")).alias("language"),
-            m["base_model"].alias("base_model"),
-        ).alias("card_data"),
-        F.when(
-            m["total"].isNotNull(), F.struct(F.struct(m["total"].alias("total")).alias("parameters"))
-        ).alias("safetensors"),
-        F.struct(m["model_type"].alias("model_type"), F.array("p_type").alias("architectures")).alias("config"),
-        iso(m["created"]).alias("created_at"),
-    )
+    versions = table(spark, sf_dir, "part").selectExpr("*", "explode(array(0, 1)) AS age")
+    return versions.selectExpr(*[f"{sql} AS {name}" for name, sql in MODEL_SQL.items()])
+
+
+# One hub API record as JSON text: flags, lists and names mixed as in the feed.
+_EVAL_RESULTS = """concat(
+    '[{"task_type":"t","dataset_name":"', p_type, '","metric_type":"acc","metric_value":"',
+    CAST(p_retailprice AS INT), '","verified":true},',
+    '{"task_type":"t","dataset_name":"all","metric_type":"f1","metric_value":"', p_size, '"}]')"""
+_CARD = f"""concat(
+    '{{"license":"mit","base_model":',
+    CASE p_size % 3 WHEN 0 THEN concat('"', p_brand, '"') WHEN 1 THEN concat('["', p_brand, '"]')
+                    ELSE 'null' END,
+    ',"eval_results":', if(p_size % 2 = 0, {_EVAL_RESULTS}, 'null'), '}}')"""
+_HUB_LINE = f"""concat(
+    '{{"id":"', p_brand, '/', p_partkey, '","author":"', p_brand, '","gated":',
+    CASE WHEN p_size <= 4 THEN '"auto"' WHEN p_size <= 8 THEN 'false' WHEN p_size <= 12 THEN 'true'
+         ELSE 'null' END,
+    ',"downloads":', p_partkey, ',"downloadsAllTime":', p_partkey * 2, ',"likes":', p_size,
+    ',"cardData":', if(p_size % 7 = 0, 'null', {_CARD}),
+    ',"safetensors":', if(p_size % 4 = 0, 'null', concat('{{"total":', p_partkey * 1000, '}}')),
+    ',"createdAt":"2022-03-02T00:00:00+00:00"}}')"""
 
 
 def hub_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part as a hub API record in JSON: flags, lists and names mixed as in the feed."""
-    part = table(spark, sf_dir, "part")
-    size = F.col("p_size")
-    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    gated = (
-        F.when(size <= 4, F.lit('"auto"')).when(size <= 8, F.lit("false")).when(size <= 12, F.lit("true"))
-    ).otherwise(F.lit("null"))
-    base = (
-        F.when(size % 3 == 0, q(F.col("p_brand")))
-        .when(size % 3 == 1, F.concat(F.lit("["), q(F.col("p_brand")), F.lit("]")))
-        .otherwise(F.lit("null"))
-    )
-    results = F.concat(
-        F.lit('[{"task_type":"t","dataset_name":'), q(F.col("p_type")),
-        F.lit(',"metric_type":"acc","metric_value":"'), F.col("p_retailprice").cast("int").cast("string"),
-        F.lit('","verified":true},{"task_type":"t","dataset_name":"all","metric_type":"f1","metric_value":"'),
-        size.cast("string"), F.lit('"}]'),
-    )
-    card = F.when(size % 7 == 0, F.lit("null")).otherwise(
-        F.concat(
-            F.lit('{"license":"mit","base_model":'), base, F.lit(',"eval_results":'),
-            F.when(size % 2 == 0, results).otherwise(F.lit("null")), F.lit("}"),
-        )
-    )
-    line = F.concat(
-        F.lit('{"id":"'), F.col("p_brand"), F.lit("/"), F.col("p_partkey").cast("string"),
-        F.lit('","author":'), q(F.col("p_brand")), F.lit(',"gated":'), gated,
-        F.lit(',"downloads":'), F.col("p_partkey").cast("string"), F.lit(',"downloadsAllTime":'),
-        (F.col("p_partkey") * 2).cast("string"), F.lit(',"likes":'), size.cast("string"),
-        F.lit(',"cardData":'), card, F.lit(',"safetensors":'),
-        F.when(size % 4 == 0, F.lit("null")).otherwise(
-            F.concat(F.lit('{"total":'), (F.col("p_partkey") * 1000).cast("string"), F.lit("}"))
-        ),
-        F.lit(',"createdAt":"2022-03-02T00:00:00+00:00"}'),
-    )
-    return part.select(line.alias("value"))
+    """Every part as a hub API record, one JSON object per line."""
+    return table(spark, sf_dir, "part").selectExpr(f"{_HUB_LINE} AS value")
 
 
 def package_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
