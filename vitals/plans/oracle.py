@@ -796,7 +796,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
             },
         ),
     ),
-    "pipeline_tag_distribution": (
+    "task_tag_distribution": (
         ("rawmd",),
         """SELECT coalesce(raw_tag, '(null)') AS pipeline_tag, count(*) AS "count" FROM rawmd GROUP BY 1""",
     ),
@@ -862,7 +862,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         ("md",),
         "SELECT 'downloads_likes_correlation' AS metric, round(corr(downloads, likes), 4) AS value FROM md",
     ),
-    "pipeline_tag_stats": (("md",), _stats("pipeline_tag")),
+    "task_tag_stats": (("md",), _stats("pipeline_tag")),
     "library_stats": (("md",), _stats("library_name")),
     "license_stats": (("md",), _stats("license", likes=False)),
     "monthly_creation_trend": (
@@ -1095,6 +1095,35 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN (SELECT repo_name, rank() OVER (ORDER BY stars DESC) AS star_rank FROM top) r
                ON r.repo_name = b.repo_name""",
     ),
+    # sources and sinks
+    "cleaned_from_files": (("ev",), f"SELECT {CLEAN_COLUMNS} FROM ev"),
+    "stored_events": (
+        ("ev",),
+        """
+        SELECT event_date, event_type, count(*) AS events FROM ev
+        WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-19' AND event_date <> DATE '2024-01-15'
+        GROUP BY 1, 2""",
+    ),
+    "stored_eras": (
+        ("weekend",),
+        """
+        SELECT era, is_weekend, count(*) AS events, count(DISTINCT actor_login) AS actors,
+               count(DISTINCT repo_name) AS repos
+        FROM weekend WHERE era >= 'W3' OR event_type <> 'ForkEvent' GROUP BY 1, 2""",
+    ),
+    "exported_metrics": (
+        ("ev",),
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS metric, count(*) FILTER ({c} IS NULL) AS value FROM ev"
+            for c in ("pr_number", "pr_merged", "push_distinct_size", "payload_action")
+        ),
+    ),
+    "exported_report": (
+        ("ev",),
+        """
+        SELECT event_id, event_type, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_ts, repo_name
+        FROM ev ORDER BY ev.event_ts, event_id LIMIT 10""",
+    ),
     # building blocks
     "exclude_dates": (
         ("ev",),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitals.functions import columns as C
+from vitals.functions.aggregates import null_counts
 from vitals.functions.ordering import exact_percentiles
 from vitals.operators import (
     activity,
@@ -26,14 +27,14 @@ from vitals.operators import (
 )
 from vitals.plans import testdata as data
 from vitals.schemas import CORE_EVENT_TYPES
-from vitals.session import cut_lineage
+from vitals.session import cut_lineage, shared_path
 from vitals.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rank error of the percentile sketches is rows / accuracy: exact below half a
-# million rows per group, and still a sketch of bounded size above.
-ACCURACY = 1_000_000
+# Rank error of the percentile sketches is rows / accuracy: exact below fifty
+# thousand rows per group, and still a sketch of a few megabytes above.
+ACCURACY = 100_000
 AS_OF = "2024-07-01"
 TOP = 60
 PACKAGES = ["economy", "large", "medium", "promo", "small", "standard"]
@@ -149,6 +150,50 @@ def _flat_record(df: DataFrame) -> DataFrame:
     )
 
 
+# -- sources and sinks: written to the shared folder and read back --------------
+
+
+def cleaned_from_files(i: Inputs) -> DataFrame:
+    """Events delivered as gzip JSON-lines files, read and cleaned."""
+    path = shared_path(i.spark, "feed")
+    data.raw_event_lines(i.spark, i.sf_dir).write.option("compression", "gzip").text(path)
+    return cleaning.clean_events(readers.read_events(i.spark, path, name_glob="*.gz"))
+
+
+def stored_events(i: Inputs) -> DataFrame:
+    """Events stored by day, one day re-written, a range copied and read without one day."""
+    path = shared_path(i.spark, "events")
+    writers.write_events(i.ev, path)
+    writers.write_events(i.ev.filter(C.in_range("2024-01-12", "2024-01-12")), path)
+    stored, copied = i.spark.read.parquet(path), f"{path}-copy"
+    writers.copy_range(stored, copied, "2024-01-10", "2024-01-20")
+    kept = readers.read_clean_events(i.spark, copied, hi="2024-01-19", exclude=["2024-01-15"], all_columns=True)
+    return kept.groupBy("event_date", "event_type").agg(F.count("*").alias("events"))
+
+
+def stored_eras(i: Inputs) -> DataFrame:
+    """Per-era results stored in two runs; the second replaces the eras it holds."""
+    path = shared_path(i.spark, "eras")
+    writers.write_era(rhythm.weekday_weekend(i.old), path)
+    return writers.write_era(rhythm.weekday_weekend(i.ev.filter(F.col("era") >= "W3")), path)
+
+
+def exported_metrics(i: Inputs) -> DataFrame:
+    """NULL counts exported as a metric,value CSV and read back with a schema."""
+    path = shared_path(i.spark, "metrics")
+    columns = ["pr_number", "pr_merged", "push_distinct_size", "payload_action"]
+    writers.export_metrics(null_counts(i.ev, {c: [c] for c in columns}), path)
+    return readers.read_csv(i.spark, path, "metric STRING, value BIGINT")
+
+
+def exported_report(i: Inputs) -> DataFrame:
+    """First events exported with readable timestamps and read back."""
+    path = shared_path(i.spark, "report")
+    columns = ["event_id", "event_type", "event_ts", "repo_name"]
+    writers.export_report(writers.sample_rows(i.ev, columns, 10, ["event_ts", "event_id"]), path)
+    return readers.read_csv(i.spark, path, "event_id STRING, event_type STRING, event_ts STRING, repo_name STRING")
+
+
 # Query name -> product over its inputs.
 PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # cleaning
@@ -240,7 +285,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "distinct_repos_actors": lambda i: profiling.distinct_repos_actors(i.raw),
     # model profiles and exploration
     "models_summary": lambda i: profiling.models_summary(i.raw_md, accuracy=ACCURACY),
-    "pipeline_tag_distribution": lambda i: profiling.pipeline_tag_distribution(i.raw_md),
+    "task_tag_distribution": lambda i: profiling.pipeline_tag_distribution(i.raw_md),
     "library_distribution": lambda i: profiling.library_distribution(i.raw_md),
     "models_null_counts": lambda i: profiling.models_null_counts(i.raw_md),
     "top_authors": lambda i: profiling.top_authors(i.raw_md),
@@ -249,7 +294,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "downloads_distribution": lambda i: models.downloads_distribution(i.md),
     "downloads_percentiles": lambda i: models.downloads_percentiles(i.md, ACCURACY),
     "downloads_likes_correlation": lambda i: models.downloads_likes_correlation(i.md),
-    "pipeline_tag_stats": lambda i: models.pipeline_tag_stats(i.md),
+    "task_tag_stats": lambda i: models.pipeline_tag_stats(i.md),
     "library_stats": lambda i: models.library_stats(i.md),
     "monthly_creation_trend": lambda i: models.monthly_creation_trend(i.md),
     "license_stats": lambda i: models.license_stats(i.md),
@@ -292,6 +337,12 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "adoption_archetype": lambda i: adoption.adoption_archetype(i.scored, 20, 10_000_000),
     "bubble_frame": lambda i: adoption.bubble_frame(i.scored),
     "star_rank_of_healthiest": lambda i: adoption.star_rank_of_healthiest(i.top_once, i.scored),
+    # sources and sinks
+    "cleaned_from_files": cleaned_from_files,
+    "stored_events": stored_events,
+    "stored_eras": stored_eras,
+    "exported_metrics": exported_metrics,
+    "exported_report": exported_report,
     # building blocks
     "exclude_dates": lambda i: quality.daily_counts(
         readers.exclude_dates(i.ev, ["2024-01-06", "2024-01-13"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,14 +48,12 @@ def require_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame that several branches read, in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder, named by the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. A temporary folder is
-    used only where that is unset and the session runs on one machine; on a
-    cluster such a folder would be lost with its executor.
+    A temporary folder is used only where that is unset and the session runs on
+    one machine; on a cluster such a folder would be lost with its executor.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,4 +62,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir is not set")
             folder = tempfile.mkdtemp(prefix="vitals-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint, in the shared folder, a frame that several branches read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals import schemas
-from vitals.functions.columns import in_range, not_on
+from vitals.functions.columns import conform, in_range, not_on
 
 
 def read_json_lines(
@@ -106,9 +106,15 @@ def read_clean_events(
     lo: date | str | None = None,
     hi: date | str | None = None,
     exclude: Iterable[date | str] = (),
+    all_columns: bool = False,
 ) -> DataFrame:
-    """Cleaned events, with partitions pruned by date range and excluded days."""
+    """Cleaned events, with partitions pruned by date range and excluded days.
+
+    ``all_columns`` adds the cleaned columns an older dataset lacks, as NULLs.
+    """
     events = spark.read.parquet(path)
+    if all_columns:
+        events = conform(events, [tuple(c.split()) for c in schemas.CLEAN_EVENT.split(",")])
     if lo is not None or hi is not None:
         events = events.filter(in_range(lo or "0001-01-01", hi or "9999-12-31"))
     return exclude_dates(events, exclude)
