@@ -54,6 +54,10 @@ class Inputs:
     def raw(self) -> DataFrame:
         return data.raw_events(self.spark, self.sf_dir)
 
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return data.parsed_events(self.spark, self.sf_dir)
+
     @cached_property
     def raw_md(self) -> DataFrame:
         return data.raw_models(self.spark, self.sf_dir)
@@ -197,9 +201,9 @@ def exported_report(i: Inputs) -> DataFrame:
 # Query name -> product over its inputs.
 PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # cleaning
-    "clean_events": lambda i: cleaning.clean_events(i.raw),
+    "clean_events": lambda i: cleaning.clean_events(i.parsed),
     "clean_events_curated": lambda i: cleaning.clean_events(
-        i.raw, i.seed.select(F.col("repo").alias("repo_name"))
+        i.parsed, i.seed.select(F.col("repo").alias("repo_name"))
     ),
     "clean_models": lambda i: cleaning.clean_models(i.raw_md),
     "normalize_model_record": lambda i: _flat_record(cleaning.normalize_model_record(i.hub)),

@@ -83,34 +83,43 @@ _RECORD = """
                 THEN struct(pr_number AS number, pr_state AS state, pr_merged AS merged) END
                AS pull_request) AS payload,
     is_public AS public,
+    CAST(NULL AS STRUCT<id: BIGINT, login: STRING>) AS org,
     if(variant = 'bad_time', 'yesterday', date_format(event_ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")) AS created_at
 """
 
 
-def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as JSON lines the way a feed delivers them.
+def _delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    variants = "explode(array('ok', 'copy', 'other_type', 'bad_time', 'no_repo')) AS variant"
+    return activity(spark, sf_dir).selectExpr("*", variants)
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in the raw layout, the way a feed delivers them.
 
     Each event comes with a repeated delivery, a record of a type that is not
     analysed, one with a malformed time and one without a repository; names are
     in upper case.
     """
-    variants = "explode(array('ok', 'copy', 'other_type', 'bad_time', 'no_repo')) AS variant"
-    delivered = activity(spark, sf_dir).selectExpr("*", variants)
-    return delivered.selectExpr(f"to_json(struct({_RECORD})) AS value")
+    return _delivered(spark, sf_dir).selectExpr(f"struct({_RECORD}) AS r").select("r.*")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as JSON lines."""
+    return _delivered(spark, sf_dir).selectExpr(f"to_json(struct({_RECORD})) AS value")
+
+
+def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON lines parsed with the schema cleaning reads."""
     return parse_lines(raw_event_lines(spark, sf_dir), schemas.CLEANING_EVENT)
 
 
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One curated repository per part size; its library is the latest part's type."""
-    library = F.lower(F.max_by("p_type", "p_partkey"))
     return (
         table(spark, sf_dir, "part")
         .groupBy("p_size")
-        .agg(F.min("p_brand").alias("category"), F.nullif(library, F.lit("standard")).alias("hf_library"))
-        .select(F.concat(F.lit("R"), F.col("p_size").cast("string")).alias("repo"), "category", "hf_library")
+        .agg(F.min("p_brand").alias("category"), F.lower(F.max_by("p_type", "p_partkey")).alias("library"))
+        .selectExpr("concat('R', p_size) AS repo", "category", "nullif(library, 'standard') AS hf_library")
     )
 
 
