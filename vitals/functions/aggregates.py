@@ -37,6 +37,15 @@ def measured_sum(measurable: Column, condition: Column) -> Column:
     return F.sum(F.when(measurable, condition.cast("int")))
 
 
+# Sketch size 2^14: a relative standard error below 0.01.
+SKETCH_LOG2_SIZE = 14
+
+
+def approx_distinct(c: Column | str) -> Column:
+    """Distinct values from a mergeable sketch of fixed size; no shuffle of the values."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(as_col(c), SKETCH_LOG2_SIZE))
+
+
 def percentile(c: Column | str, p: float, accuracy: int = DEFAULT_ACCURACY) -> Column:
     """Percentile from a mergeable sketch: partial per task, one small state per group."""
     return F.percentile_approx(as_col(c), p, accuracy)

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from vitals.functions import columns as C
 from vitals.functions.aggregates import (
     DEFAULT_ACCURACY,
+    approx_distinct,
     count_of,
     measured_sum,
     percentile,
@@ -58,22 +59,27 @@ def era_summary(
 ) -> DataFrame:
     """Totals per era.
 
-    Two scans with different columns instead of one scan whose rows are copied
-    for every distinct count: sketches and counters need no row copies, and
-    pull requests are a pushed-down fraction of the events.
+    Sketches and counters share one pass. Pull requests, and exact distinct
+    counts when asked for, are aggregates of their own: next to a percentile in
+    one aggregate, a distinct count would carry a percentile buffer with every
+    distinct value through the shuffle. Both read few columns, pull requests
+    also few rows.
     """
     size = F.when(C.is_type("PushEvent"), F.col("push_distinct_size"))
-    distinct = F.count_distinct if exact else (lambda c: F.approx_count_distinct(c, 0.01))
+    names = {"distinct_repos": "repo_name", "distinct_actors": "actor_login"}
+    sketches = [] if exact else [approx_distinct(c).alias(name) for name, c in names.items()]
     totals = events.groupBy("era").agg(
         F.count("*").alias("total_events"),
-        distinct("repo_name").alias("distinct_repos"),
-        distinct("actor_login").alias("distinct_actors"),
         count_of("PushEvent").alias("total_pushes"),
         count_of("PullRequestEvent").alias("total_pr_events"),
         count_of("WatchEvent").alias("total_stars"),
         F.avg(size).alias("avg_commit_size"),
         percentile(size, 0.5, accuracy).alias("median_commit_size"),
+        *sketches,
     )
+    if exact:
+        counted = [F.count_distinct(c).alias(name) for name, c in names.items()]
+        totals = totals.join(events.groupBy("era").agg(*counted), "era")
     requests = (
         pull_requests(events, scope)
         .groupBy("era")
