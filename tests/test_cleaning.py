@@ -194,3 +194,10 @@ def test_parsing_happens_once(spark):
     df = readers.parse_lines(lines, schemas.CLEANING_EVENT).filter("type = 'x' AND created_at IS NOT NULL")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_type_filter_reaches_the_json_scan(spark, raw_path):
+    cleaned = cleaning.clean_events(readers.read_events(spark, raw_path))
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan json" in line)
+    assert "In(type, [" in scan and "url" not in scan.split("ReadSchema")[1]

@@ -57,6 +57,20 @@ def test_scoring_chain(spark, cleaned, tmp_path):
     assert values == sorted(values, reverse=True)
 
 
+def test_batches_of_one_day_add_up(spark, tmp_path):
+    def event(i, hour):
+        return json.dumps({"id": str(i), "type": "PushEvent", "created_at": f"2025-01-01T{hour:02}:00:00Z",
+                           "repo": {"name": "a/b"}, "actor": {"login": "x"}})
+
+    for name, lines in {"b0": [event(1, 0), event(2, 0)], "b1": [event(2, 0), event(3, 1)]}.items():
+        (tmp_path / name).write_text("\n".join(lines))
+    target = str(tmp_path / "events")
+    assert jobs.add_events_job(spark, str(tmp_path / "b0"), target).count() == 2
+    for _ in range(2):
+        ids = [r.event_id for r in jobs.add_events_job(spark, str(tmp_path / "b1"), target).collect()]
+        assert sorted(ids) == ["1", "2", "3"]
+
+
 def _stored_models(spark, tmp_path):
     path = str(tmp_path / "raw_models")
     data.raw_models(spark, SF).write.parquet(path)

@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals.functions.ordering import top_k
 from vitals.operators import activity, adoption, cleaning, deepdive, eras, models, profiling, quality, rhythm
 from vitals.operators.joins import label_ai
+from vitals.session import shared_path
 from vitals.sources import readers, writers
 
 
@@ -38,6 +40,30 @@ def clean_events_job(
     return stored
 
 
+def add_events_job(
+    spark: SparkSession, source: str | list[str], target: str, fmt: str = "json"
+) -> DataFrame:
+    """Add newly arrived raw files to cleaned events, also when they hold part of a day.
+
+    The cleaned batch is stored first. Only the days it touches are read from
+    the target, de-duplicated together with it and replaced, so a record
+    delivered in two batches is kept once and a repeated run changes nothing.
+    """
+    cleaned = cleaning.clean_events(readers.read_events(spark, source, fmt))
+    batch = writers.stored(cleaned, shared_path(spark, "batch"), by="event_date")
+    try:
+        present = spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        writers.write_events(batch, target)
+    else:
+        touched = present.join(batch.select("event_date").distinct(), "event_date", "left_semi")
+        both = batch.unionByName(touched, allowMissingColumns=True)
+        writers.write_events(cleaning.dedupe(both, "event_id", [F.col("event_ts")]), target)
+    return spark.read.parquet(target)
+
+
 def clean_models_job(
     spark: SparkSession, source: str, target: str, fmt: str = "json", sample_path: str | None = None
 ) -> DataFrame:
