@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from vitals.functions import columns as C
-from vitals.functions.aggregates import ratio, rounded_avg, type_counts
+from vitals.functions.aggregates import rounded_avg, type_counts
 from vitals.functions.ordering import top_k
 from vitals.operators.joins import keep_repos, label_ai
 from vitals.sources.dimensions import seed_repos

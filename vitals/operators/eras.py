@@ -19,7 +19,6 @@ from vitals.functions.aggregates import (
     count_of,
     measured_sum,
     percentile,
-    ratio,
     share_pct,
 )
 from vitals.functions.ordering import exact_percentiles

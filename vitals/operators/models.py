@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitals.functions import columns as C
-from vitals.functions.aggregates import DEFAULT_ACCURACY, percentile, rounded_avg, value_counts
+from vitals.functions.aggregates import DEFAULT_ACCURACY, rounded_avg, value_counts
 from vitals.functions.ordering import top_k
 
 # Inclusive upper bounds and labels of the buckets.

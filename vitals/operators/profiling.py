@@ -75,14 +75,19 @@ def events_summary(df: DataFrame) -> DataFrame:
     The time column is counted as part of the layout, as raw data gains it.
     """
     width = len(df.columns) + (0 if "event_ts" in df.columns else 1)
-    at = _event_time(df)
-    row = df.agg(
+    # The time is parsed before the rows are copied for the two distinct counts.
+    view = df.select(
+        C.pick(df, EVENT_PATHS["repo_name"], "repo_name"),
+        C.pick(df, EVENT_PATHS["actor_login"], "actor_login"),
+        _event_time(df).alias("at"),
+    )
+    row = view.agg(
         F.count("*").alias("total_rows"),
         F.lit(width).alias("total_columns"),
-        distinct_with_null(C.first_existing(df, EVENT_PATHS["repo_name"])).alias("distinct_repositories"),
-        distinct_with_null(C.first_existing(df, EVENT_PATHS["actor_login"])).alias("distinct_actors"),
-        F.date_format(F.min(at), _TEXT_TIME).alias("min_event_timestamp"),
-        F.date_format(F.max(at), _TEXT_TIME).alias("max_event_timestamp"),
+        distinct_with_null("repo_name").alias("distinct_repositories"),
+        distinct_with_null("actor_login").alias("distinct_actors"),
+        F.date_format(F.min("at"), _TEXT_TIME).alias("min_event_timestamp"),
+        F.date_format(F.max("at"), _TEXT_TIME).alias("max_event_timestamp"),
     )
     return metric_rows(row)
 

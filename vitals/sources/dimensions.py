@@ -1,4 +1,4 @@
-"""Small reference tables.
+"""Small lookup tables.
 
 None of them carries a broadcast hint. Spark broadcasts a join side whose own
 size estimate (file bytes, limit rows) is below
@@ -9,7 +9,7 @@ works, only by a shuffled join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals import schemas
@@ -20,7 +20,7 @@ def license_map(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(schemas.LICENSE_SYNONYMS.items()), schemas.LICENSE_MAP)
 
 
-def license_lookup() -> "F.Column":
+def license_lookup() -> Column:
     """The same mapping as one constant map expression, so no join is planned."""
     pairs = [F.lit(x) for pair in schemas.LICENSE_SYNONYMS.items() for x in pair]
     return F.create_map(*pairs)
