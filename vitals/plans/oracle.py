@@ -549,6 +549,22 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
                count(DISTINCT actor_login) AS active_actors, count(*) AS total_events
         FROM ev GROUP BY 1, 2""",
     ),
+    "active_in_first_quarters": (
+        (),
+        """
+        SELECT strftime(o_orderdate, '%Y-%m') AS month, year(o_orderdate) || '-Q1' AS era,
+               count(DISTINCT o_custkey) AS active_repos, count(DISTINCT o_orderpriority) AS active_actors,
+               count(*) AS total_events
+        FROM orders WHERE quarter(o_orderdate) = 1 AND year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY 1, 2""",
+    ),
+    "active_by_quarter": (
+        (),
+        """
+        SELECT strftime(o_orderdate, '%Y') AS month, year(o_orderdate) || '-Q' || quarter(o_orderdate) AS era,
+               count(DISTINCT o_custkey) AS active_repos, count(DISTINCT o_orderpriority) AS active_actors,
+               count(*) AS total_events
+        FROM orders GROUP BY 1, 2""",
+    ),
     "era_type_counts": (
         ("ev",),
         """

@@ -37,6 +37,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ACCURACY = 100_000
 AS_OF = "2024-07-01"
 TOP = 60
+# First quarters of several years, as (label, first day, last day).
+FIRST_QUARTERS = [(f"{y}-Q1", f"{y}-01-01", f"{y}-03-31") for y in range(1995, 2002)]
 PACKAGES = ["economy", "large", "medium", "promo", "small", "standard"]
 
 
@@ -74,6 +76,15 @@ class Inputs:
     def seed(self) -> DataFrame:
         return data.seed(self.spark, self.sf_dir)
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        """Orders as activity over several years: customers as repositories, priorities as actors."""
+        return data.table(self.spark, self.sf_dir, "orders").selectExpr(
+            "concat('c', o_custkey) AS repo_name",
+            "o_orderpriority AS actor_login",
+            "to_date(o_orderdate) AS event_date",
+        )
+
     @cached_property
     def pkg(self) -> DataFrame:
         return data.package_downloads(self.spark, self.sf_dir)
@@ -237,6 +248,12 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "pr_push_ratio": lambda i: eras.pr_push_ratio(i.ev, accuracy=ACCURACY),
     "pr_push_quartiles": lambda i: eras.pr_push_quartiles(i.ev),
     "active_repos_monthly": lambda i: eras.active_repos_monthly(i.ev),
+    "active_in_first_quarters": lambda i: eras.active_repos_monthly(
+        eras.with_era(i.orders, eras.era_of_ranges(FIRST_QUARTERS))
+    ),
+    "active_by_quarter": lambda i: eras.active_repos_monthly(
+        eras.with_era(i.orders, C.quarter_era("event_date")), grain="year"
+    ),
     "era_type_counts": lambda i: eras.era_type_counts(i.ev, CORE_EVENT_TYPES),
     "merge_eras": lambda i: eras.merge_eras(
         [eras.push_size_distribution(i.new), eras.one_commit_share(eras.push_size_distribution(i.old))]
