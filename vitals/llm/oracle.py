@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitals.llm.chat import CONTROL_TEXT
+from vitals.llm.pii import AFTER, BEFORE, BYTE, CONTEXT_BONUS, KINDS, LEAST_SCORE, Kind
 from vitals.llm.repetition import BASE_LENGTH, BASE_PERCENT, LEAST_WORDS, LIMITS, LINE_LIMIT
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -71,4 +72,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE_SQL = {"op6_repetition": REPETITION, "op10_chat": CHAT}
+
+_VALID = {
+    "email": "true",
+    "ip": "len(list_filter(string_split(m, '.'), lambda x: NOT regexp_matches(x, '{byte}'))) = 0",
+    "card": "length({d}) BETWEEN 14 AND 19 AND list_sum(list_transform(range(1, length({d}) + 1), "
+    "lambda k: CASE WHEN k % 2 = 1 THEN substr({d}, length({d}) - k + 1, 1)::INT "
+    "ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][substr({d}, length({d}) - k + 1, 1)::INT + 1] END)) % 10 = 0",
+    "phone": "length({d}) BETWEEN 10 AND 15",
+    "iban": "NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]') AND "
+    "list_reduce(list_transform(regexp_extract_all(substr({a}, 5) || substr({a}, 1, 4), '.'), "
+    "lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c::INT ELSE ascii(c) - 55 END), "
+    "lambda a, v: (CASE WHEN v < 10 THEN a * 10 + v ELSE a * 100 + v END) % 97) = 1",
+    "ssn": "NOT regexp_matches(before, '[0-9]$') AND NOT regexp_matches(after, '^[0-9]')",
+}
+# The patterns in their plain form.
+_PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _found(kind: Kind) -> str:
+    pattern = _PLAIN.get(kind.name, kind.pattern)
+    valid = _VALID[kind.name].format(
+        byte=BYTE, d="regexp_replace(m, '[^0-9]', '', 'g')", a="replace(m, ' ', '')"
+    )
+    enough = "true" if kind.base else f"{kind.score} + CASE WHEN context THEN {CONTEXT_BONUS} ELSE 0 END >= {LEAST_SCORE}"
+    return f"""
+SELECT doc_id, '{kind.name}' AS kind, {KINDS.index(kind)} AS rank, s, s + length(m) AS e FROM (
+    SELECT doc_id, m, before, after, s,
+        regexp_matches(lower(right(before, {BEFORE}) || ' ' || left(after, {AFTER})), '{kind.context}') AS context
+    FROM (
+        SELECT doc_id, ms[i] AS m, ps[i] AS before, ps[i + 1] AS after,
+            (list_sum(list_transform(ps[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+        FROM (
+            SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps
+            FROM texts WHERE regexp_matches(t, '{pattern}')
+        ), unnest(range(1, len(ms) + 1)) AS r(i)
+    )
+) WHERE {enough} AND {valid}"""
+
+
+_BASE = "', '".join(k.name for k in KINDS if k.base)
+PII = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(map(_found, KINDS))}),
+listed AS (
+    SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k.name}') AS n_{k.name}" for k in KINDS if k.base)},
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (kind IN ('{_BASE}')) AS base,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k.name}, 0) AS n_{k.name}" for k in KINDS if k.base)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (doc_id)
+"""
+
+ORACLE_SQL = {"op2_pii": PII, "op6_repetition": REPETITION, "op10_chat": CHAT}

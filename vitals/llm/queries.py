@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitals.llm import bpe, chat, repetition, simhash
+from vitals.llm import bpe, chat, pii, repetition, simhash
 from vitals.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ BPE_VOCABULARY = "byte_bpe_50k.json"
 REPETITION_COLUMNS = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_VOCABULARY))
 
@@ -39,7 +43,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, table(spark, sf_dir, "conversations"))
 
 
-QUERIES: list[Query] = [op4_bpe_round_trip, op6_repetition, op7_simhash, op10_chat]
+QUERIES: list[Query] = [op2_pii, op4_bpe_round_trip, op6_repetition, op7_simhash, op10_chat]
 
 
 def queries() -> dict[str, Query]:
