@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitals.llm.chat import CONTROL_TEXT
+from vitals.llm.mixing import PART, SEED, TERMS
 from vitals.llm.pii import AFTER, BEFORE, BYTE, CONTEXT_BONUS, KINDS, LEAST_SCORE, Kind
 from vitals.llm.repetition import BASE_LENGTH, BASE_PERCENT, LEAST_WORDS, LIMITS, LINE_LIMIT
 
@@ -132,4 +133,33 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k.name}, 0) AS n_{k.name}" for k in KIND
 FROM texts LEFT JOIN listed USING (doc_id)
 """
 
-ORACLE_SQL = {"op2_pii": PII, "op6_repetition": REPETITION, "op10_chat": CHAT}
+
+MIXING = f"""
+WITH RECURSIVE sizes AS (
+    SELECT source, size, floor(sqrt(size))::BIGINT AS weight
+    FROM (SELECT source, sum(length(coalesce(text, '')) + 1)::BIGINT AS size FROM documents GROUP BY source)
+), means AS (
+    SELECT source, (SELECT sum(size) FROM sizes)::DOUBLE * weight::DOUBLE
+        / ((SELECT sum(weight) FROM sizes)::DOUBLE * size::DOUBLE) AS mean FROM sizes
+), parts AS (
+    SELECT source, greatest(ceil(mean / {PART}), 1)::INT AS parts, mean / greatest(ceil(mean / {PART}), 1) AS mean
+    FROM means
+), terms AS (
+    SELECT source, parts, mean, 0 AS k, exp(-mean) AS p, exp(-mean) AS c FROM parts
+    UNION ALL
+    SELECT source, parts, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM terms WHERE k < {TERMS - 1}
+), draws AS (
+    SELECT doc_id, d.source, j,
+        ('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || j), 1, 13))::BIGINT::DOUBLE
+            / {float(1 << 52)} AS u
+    FROM documents d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, parts + 1)) AS t(j)
+), counts AS (
+    SELECT doc_id, count(*) AS n
+    FROM draws d JOIN terms t ON d.source IS NOT DISTINCT FROM t.source AND t.c <= d.u GROUP BY doc_id
+)
+SELECT documents.*, copy::INT AS copy,
+    ('0x' || substr(sha256('{SEED}#:' || coalesce(doc_id::VARCHAR, 'null') || ':' || copy), 1, 15))::BIGINT AS shuffle_key
+FROM documents JOIN counts USING (doc_id), unnest(range(1, n + 1)) AS r(copy)
+"""
+
+ORACLE_SQL = {"op5_poisson_mix": MIXING, "op2_pii": PII, "op6_repetition": REPETITION, "op10_chat": CHAT}

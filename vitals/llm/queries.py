@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitals.llm import bpe, chat, pii, repetition, simhash
+from vitals.llm import bpe, chat, mixing, pii, repetition, simhash
 from vitals.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_VOCABULARY))
 
 
+def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicate(table(spark, sf_dir, "documents"))
+
+
 def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition.repetition(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = f"n_repeat_words_{repetition.BASE_LENGTH}"
@@ -43,7 +47,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, table(spark, sf_dir, "conversations"))
 
 
-QUERIES: list[Query] = [op2_pii, op4_bpe_round_trip, op6_repetition, op7_simhash, op10_chat]
+QUERIES: list[Query] = [op2_pii, op4_bpe_round_trip, op5_poisson_mix, op6_repetition, op7_simhash, op10_chat]
 
 
 def queries() -> dict[str, Query]:
