@@ -150,6 +150,12 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    flat = np.concatenate([np.empty(0, np.int32), *found])
+    return pa.ListArray.from_arrays(ends, pa.array(flat)).cast(pa.list_(pa.field("element", pa.int32(), False)))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds ``ids``, the token ids (array of int) of every whole text; null counts as empty.
 
@@ -163,11 +169,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         bpe = load(path)
         for batch in slices(batches):
             found = [bpe.encode(t) for t in texts(batch, text)]
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, np.int32)
-            kind = pa.list_(pa.field("element", pa.int32(), False))
-            column = pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32())).cast(kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, ids])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists(found)], [*batch.schema.names, ids])
 
     return kept.mapInArrow(run, schema)
 
@@ -187,9 +189,26 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     return kept.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass: adds ``ids`` and the ``decoded`` text, drops the input text."""
+    kept = docs.drop("ids", "decoded", text)
+    names = kept.columns
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path)
+        for batch in slices(batches, 4 << 20):
+            found = [bpe.encode(t) for t in texts(batch, text)]
+            decoded = pa.array([bpe.decode(ids.tolist()) for ids in found], pa.string())
+            columns = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*columns, lists(found), decoded], [*names, "ids", "decoded"])
+
+    return docs.select(*names, text).mapInArrow(run, T.StructType([*kept.schema.fields, *added]))
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: number of ids, and SHA-256 of the ids and of the text decoded from them."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = round_trip(docs.select("doc_id", "text"), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

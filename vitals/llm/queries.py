@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitals.llm import bpe, chat, mixing, pii, repetition, simhash
+from vitals.llm import bpe, chat, mixing, pii, quality, repetition, simhash, toxicity
 from vitals.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,11 +43,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, table(spark, sf_dir, "conversations"))
 
 
-QUERIES: list[Query] = [op2_pii, op4_bpe_round_trip, op5_poisson_mix, op6_repetition, op7_simhash, op10_chat]
+QUERIES: list[Query] = [op2_pii, op4_bpe_round_trip, op5_poisson_mix, op6_repetition, op7_simhash, op8_toxicity, op9_quality, op10_chat]
 
 
 def queries() -> dict[str, Query]:
