@@ -29,9 +29,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from vitals.llm.components import components
-from vitals.llm.tables import dropped, slices, stored, texts
+from vitals.llm.tables import dropped, slices, stored, text_of, texts
 
 BITS = 64
 SEED = 42
@@ -245,9 +246,20 @@ def links(blocks: DataFrame, threshold: int) -> DataFrame:
     return ordered.mapInArrow(run, "u bigint, v bigint")
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3
-) -> DataFrame:
+def _linked(docs: DataFrame, width: int, threshold: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of all rows, and for each distinct one its ``root``, the same within a component."""
+    rows = docs.select("doc_id", text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    prints = stored(with_fingerprints(rows, width).drop("text"), "prints")
+    distinct = stored(prints.select("fp").distinct(), "distinct")
+    members = stored(anchored(distinct, threshold, parts), "members")
+    found = stored(links(cells(members), threshold), "links")
+    dropped(docs.sparkSession, members)
+    joined = components(found)
+    roots = distinct.join(joined, distinct.fp == joined.u, "left").select("fp", F.coalesce("v", "fp").alias("root"))
+    return prints, roots
+
+
+def near_duplicates(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3) -> DataFrame:
     """One row per document: ``doc_id``, its fingerprint ``fp``, and ``component_id``.
 
     Documents whose fingerprints differ in at most ``threshold`` bits are linked;
@@ -255,19 +267,27 @@ def near_duplicates(
     component has an id. Null and empty texts and such without words have fingerprint zero and link
     like any other. Repeated rows are kept, each with the same result.
     """
-    spark = docs.sparkSession
-    prints = stored(with_fingerprints(docs.select("doc_id", "text"), width).select("doc_id", "fp"), "prints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("doc")), "distinct")
-    members = stored(anchored(distinct, threshold, parts), "members")
-    found = stored(links(cells(members), threshold), "links")
-    dropped(spark, members)
-    joined = components(found)
-    roots = distinct.join(joined, distinct.fp == joined.u, "left").select("fp", "doc", F.coalesce("v", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("doc").alias("component_id"))
-    classes = roots.join(least, "root").select("fp", "component_id")
+    prints, roots = _linked(docs, width, threshold, parts)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("doc"))
+    of_root = roots.join(least, "fp").groupBy("root").agg(F.min("doc").alias("component_id"))
+    classes = roots.join(of_root, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the one of the smallest id
+    (rows without an id last), by text hash where an id repeats; of equal rows one."""
+    prints, roots = _linked(docs, width, threshold, parts)
+    this = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    least = prints.groupBy("fp").agg(F.min(this).alias("row"))
+    kept = roots.join(least, "fp").groupBy("root").agg(F.min("row").alias("row")).select("row.doc_id", "row.text_hash")
+    hashed = docs.withColumn("_hash", F.xxhash64(text_of()))
+    same = hashed["doc_id"].eqNullSafe(kept["doc_id"]) & (hashed["_hash"] == kept["text_hash"])
+    rows = hashed.join(kept, same).select(hashed["*"])
+    once = W.partitionBy("doc_id", "_hash").orderBy("doc_id")
+    return rows.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n", "_hash")
+
+
 def hexadecimal(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
