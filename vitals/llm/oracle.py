@@ -162,4 +162,19 @@ SELECT documents.*, copy::INT AS copy,
 FROM documents JOIN counts USING (doc_id), unnest(range(1, n + 1)) AS r(copy)
 """
 
-ORACLE_SQL = {"op5_poisson_mix": MIXING, "op2_pii": PII, "op6_repetition": REPETITION, "op10_chat": CHAT}
+
+NEAREST = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS score
+    FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs
+) WHERE rank <= 5
+"""
+
+ORACLE_SQL = {"op3_vantage_points": NEAREST, "op5_poisson_mix": MIXING, "op2_pii": PII, "op6_repetition": REPETITION, "op10_chat": CHAT}

@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitals.llm import bpe, chat, mixing, pii, quality, repetition, simhash, toxicity
+from vitals.llm import bpe, chat, mixing, pii, quality, repair, repetition, simhash, toxicity, vptree
 from vitals.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,20 @@ BPE_VOCABULARY = "byte_bpe_50k.json"
 REPETITION_COLUMNS = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
 
 
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = repair.write_shards(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_VOCABULARY))
+    return repair.read_documents(blocks)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_VOCABULARY))
 
@@ -55,7 +65,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, table(spark, sf_dir, "conversations"))
 
 
-QUERIES: list[Query] = [op2_pii, op4_bpe_round_trip, op5_poisson_mix, op6_repetition, op7_simhash, op8_toxicity, op9_quality, op10_chat]
+QUERIES: list[Query] = [
+    op1_token_shards,
+    op2_pii,
+    op3_vantage_points,
+    op4_bpe_round_trip,
+    op5_poisson_mix,
+    op6_repetition,
+    op7_simhash,
+    op8_toxicity,
+    op9_quality,
+    op10_chat,
+]
 
 
 def queries() -> dict[str, Query]:
