@@ -46,6 +46,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def neighbours(
+    start: np.ndarray, key: np.ndarray | None, ids: np.ndarray, doc: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Pairs of equal windows that are next to each other in the order of ``start``, and whether
+    some next to each other have equal keys only."""
+    same = key[1:] == key[:-1] if key is not None else np.ones(max(len(start) - 1, 0), bool)
+    left, right = start[:-1][same], start[1:][same]
+    equal = doc[left] == doc[right]
+    for k in range(n):
+        equal &= ids[left + k] == ids[right + k]
+    return left[equal], right[equal], not equal.all()
+
+
 def repeated_windows(ids: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """Whether each word lies in an ``n``-word window found twice or more in its text."""
     inside = np.zeros(len(ids), bool)
@@ -58,16 +71,12 @@ def repeated_windows(ids: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
         rolled = rolled * MULTIPLIER + word[k : k + windows]
     start = np.flatnonzero(doc[:windows] == doc[n - 1 :])
     key = mixed(rolled[start]) ^ mixed(doc[start] + np.int64(1 << 32))
-    order = np.argsort(key, kind="stable")
-    key, start = key[order], start[order]
-    same = key[1:] == key[:-1]
-    left, right = start[:-1][same], start[1:][same]
-    for k in range(n):  # equal hashes are confirmed word by word
-        equal = ids[left + k] == ids[right + k]
-        left, right = left[equal], right[equal]
-    equal = doc[left] == doc[right]
+    left, right, collided = neighbours(start[np.argsort(key, kind="stable")], np.sort(key), ids, doc, n)
+    if collided:  # windows of one hash that differ are told apart by their words
+        whole = [ids[start + k] for k in range(n)]
+        left, right, _ = neighbours(start[np.lexsort([*whole, doc[start]])], None, ids, doc, n)
     marks = np.zeros(len(ids) + 1, np.int64)
-    found = np.unique(np.concatenate([left[equal], right[equal]]))
+    found = np.unique(np.concatenate([left, right]))
     marks[found] += 1
     marks[found + n] -= 1
     return np.cumsum(marks[:-1]) > 0
