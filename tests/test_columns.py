@@ -95,10 +95,9 @@ def test_conform_fills_missing_columns(spark):
     assert df.first().b is None
 
 
-def test_percentiles_agree_on_few_values(spark):
+def test_percentile_of_few_values(spark):
     df = spark.range(1, 101).withColumn("g", F.lit(1))
-    row = df.groupBy("g").agg(A.percentile("id", 0.9).alias("a"), A.percentile_exact("id", 0.9).alias("e")).first()
-    assert row.a == row.e == 90
+    assert df.groupBy("g").agg(A.percentile("id", 0.9).alias("a")).first().a == 90
 
 
 def test_null_counts_of_missing_field_is_null(spark):

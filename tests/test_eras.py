@@ -131,7 +131,6 @@ def test_rhythm(spark, events_of):
     assert len(rows(rhythm.weekday_weekend(ev, by_type=True))) == 3
     both = rows(rhythm.weekend_share_with_baseline(ev))[0]
     assert math.isclose(both["weekend_pct"], 100 / 3) and both["baseline_pct"] == 50.0
-    assert rows(rhythm.weekend_baseline(ev))[0]["baseline_pct"] == 50.0
 
 
 def test_push_cohorts(spark, events_of):

@@ -1,9 +1,11 @@
+from bisect import bisect_left
 import random
 from math import ceil
 
 from pyspark.sql import functions as F
 from brute import average_ranks
 
+from vitals.functions import ordering
 from vitals.functions.ordering import average_rank, descending_rank, exact_percentiles, top_k, value_ranks
 
 
@@ -21,7 +23,7 @@ def test_value_ranks_against_brute_force(spark):
         assert row.rows == values.count(row.v)
         assert row.before == sum(x < row.v for x in values)
         assert row.total == len(values)
-    for row in value_ranks(df, "v", ["k"], buckets=8).collect():
+    for row in value_ranks(df, "v", ["k"]).collect():
         mine = [v for k, v in data if k == row.k]
         assert row.before == sum(x < row.v for x in mine)
         assert row.total == len(mine)
@@ -69,6 +71,40 @@ def test_no_task_holds_the_whole_column(spark):
     assert len(windows) == 2
 
 
+def test_percentiles_of_many_values_are_exact(spark):
+    ps = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+    df = spark.range(300_000).select((F.pmod(F.col("id") * 7919, F.lit(250_007)) * 3).alias("v"))
+    found = exact_percentiles(df, "v", ps).first()
+    sql = ", ".join(f"percentile_disc({p}) WITHIN GROUP (ORDER BY v) AS {n}" for n, p in ps.items())
+    assert found == df.selectExpr("*").agg(*[F.expr(x.split(" AS ")[0]).alias(x.split(" AS ")[1]) for x in sql.split(", ")]).first()
+
+
+def test_outliers_and_infinities_do_not_fill_one_bucket(spark, monkeypatch):
+    rows_in = spark.range(20_000).select(
+        F.when(F.col("id") == 0, 0.0)
+        .when(F.col("id") == 1, float("inf"))
+        .when(F.col("id") == 2, float("-inf"))
+        .otherwise(1.7e9 + F.col("id"))
+        .alias("v")
+    )
+    hist = rows_in.groupBy("v").agg(F.count("*").alias("rows"))
+    bounds = ordering._bounds(hist, "v", []).first()._bounds
+    assert len(bounds) == ordering.BUCKETS
+    values = sorted(r.v for r in rows_in.collect())
+    sizes = [0] * (len(bounds) + 1)
+    for v in values:
+        sizes[bisect_left(bounds, v)] += 1
+    assert max(sizes) < 6 * len(values) / len(bounds)
+    assert exact_percentiles(rows_in, "v", {"p": 0.5}).first().p == values[9_999]
+
+
+def test_percentiles_join_totals_of_null_groups(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 5.0), ("a", None)], "k string, v double")
+    totals = df.groupBy("k").agg(F.count("*").alias("n"))
+    got = {r.k: (r.n, r.p) for r in ordering.with_percentiles(totals, df, {"p": ("v", 0.5)}, ["k"]).collect()}
+    assert got == {None: (2, 1.0), "a": (1, None)}
+
+
 def test_top_k_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 2)], "k string, v int")
     assert [r.k for r in top_k(df, 2, "v", "k").collect()] == ["c", "a"]

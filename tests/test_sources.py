@@ -8,7 +8,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from vitals import schemas
-from vitals.session import cut_lineage
 from vitals.sources import dimensions, readers, writers
 
 
@@ -170,13 +169,51 @@ def test_one_era_is_replaced(spark, tmp_path):
     assert [(r["era"], r["n"]) for r in got] == [("2025-Q1", 1), ("2026-Q1", 3)]
 
 
-def test_stored_persisted_and_checkpointed(spark, events_of, tmp_path):
+def test_a_shrinking_second_run_leaves_nothing_of_the_first(spark, events_of, tmp_path):
+    ev = events_of([star("a", ts=f"2025-01-0{d} 10:00:00") for d in range(1, 8)])
+    few = ev.filter("event_date <= DATE '2025-01-02'")
+    for by in (None, "event_date"):
+        path = str(tmp_path / f"stored-{by}")
+        assert writers.stored(ev, path, by=by).count() == 7
+        assert writers.stored(few, path, by=by).count() == 2
+    path = str(tmp_path / "copy")
+    writers.copy_range(ev, path, "2025-01-01", "2025-01-07")
+    writers.copy_range(ev, path, "2025-01-03", "2025-01-04")
+    assert spark.read.parquet(path).count() == 2
+    # An extended dataset keeps its other days.
+    writers.write_events(ev, path)
+    writers.write_events(few, path)
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_parquet_months_and_options(spark, events_of, tmp_path):
     ev = events_of([star("a")])
-    assert writers.stored(ev, str(tmp_path / "s")).count() == 1
-    assert writers.stored(ev, str(tmp_path / "p"), by="event_date").count() == 1
-    with writers.persisted(ev) as kept:
-        assert kept.is_cached and kept.count() == 1
-    assert not kept.is_cached
-    cut = cut_lineage(ev)
-    assert spark.sparkContext.getCheckpointDir().startswith("file:" + spark.conf.get("spark.checkpoint.dir"))
-    assert rows(cut) == rows(ev)
+    for name in ("2025-01-03-10", "2025-02-01-00"):
+        ev.coalesce(1).write.parquet(str(tmp_path / "out" / name))
+        (part,) = (tmp_path / "out" / name).glob("part-*.parquet")
+        (tmp_path / "months").mkdir(exist_ok=True)
+        (tmp_path / "months" / f"{name}.parquet").write_bytes(part.read_bytes())
+    folder = str(tmp_path / "months")
+    assert readers.read_events(spark, folder, "parquet").count() == 2
+    assert readers.read_event_month(spark, folder, "2025-01", fmt="parquet").count() == 1
+
+
+def test_the_shared_folder_must_be_named(spark):
+    from vitals.session import require_utc, shared_folder
+
+    class Bare:
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Bare)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        with pytest.raises(ValueError, match="UTC"):
+            require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -51,15 +51,6 @@ def percentile(c: Column | str, p: float, accuracy: int = DEFAULT_ACCURACY) -> C
     return F.percentile_approx(as_col(c), p, accuracy)
 
 
-def percentile_exact(sql: str, p: float) -> Column:
-    """Exact discrete percentile of a SQL expression; its state grows with *distinct* values.
-
-    For groups whose distinct values are known to be few (bucket sizes, small
-    counts). Use ``ordering.exact_percentiles`` when they are not.
-    """
-    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {sql})")
-
-
 def null_count(c: Column | str) -> Column:
     return F.count_if(as_col(c).isNull())
 

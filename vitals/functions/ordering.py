@@ -1,21 +1,22 @@
 """Ranks, percentiles and top-k that stay distributed.
 
 A window without PARTITION BY sends every row to one task. The functions here
-first collapse rows to their distinct values, cut the value range into buckets
-by a monotone function of the value, and add two prefix sums: one over the (few)
-buckets and one inside each bucket. No task ever holds the whole column.
+first collapse rows to their distinct values, cut these into buckets of similar
+size at bounds taken from the values themselves, and add two prefix sums: one over
+the (few) buckets and one inside each bucket. No task ever holds the whole column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-BUCKETS = 4096
+BUCKETS = 256
 
 
 def top_k(df: DataFrame, k: int, by: str, key: str | Sequence[str]) -> DataFrame:
@@ -24,12 +25,24 @@ def top_k(df: DataFrame, k: int, by: str, key: str | Sequence[str]) -> DataFrame
     return df.orderBy(F.desc(by), *[F.asc(c) for c in keys]).limit(k)
 
 
-def _monotone(c: Column) -> Column:
-    """Order-preserving compression of heavy-tailed values to a log scale."""
-    return F.signum(c) * F.log1p(F.abs(c))
+def _bounds(hist: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Bucket bounds of each group, as an array: every fourth value of a sample in order.
+
+    The sample are the values of least hash, so it depends on the data only and is the same
+    wherever the plan computes it. Copies of a value are one, so no value weighs more than
+    another, and neither outliers nor infinities widen a bucket.
+    """
+    by_hash = (F.xxhash64(value), F.col(value))
+    if keys:
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*by_hash))
+        sample = hist.withColumn("_r", rank).filter(F.col("_r") <= 4 * BUCKETS).groupBy(*keys)
+    else:
+        sample = hist.orderBy(*by_hash).limit(4 * BUCKETS).groupBy()
+    every = F.filter(F.sort_array(F.collect_list(value)), lambda _, i: i % 4 == 3)
+    return sample.agg(every.alias("_bounds"))
 
 
-def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """One row per distinct non-NULL value: ``rows`` with it, ``before`` rows below it, ``total``.
 
     From this follow, exactly: rank = before + 1, average rank =
@@ -45,22 +58,15 @@ def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), buckets: in
         # them reuse one shuffle of the input.
         .filter("rows > 0")
     )
-    scaled = _monotone(F.col(value).cast("double"))
-    span = hist.groupBy(*keys).agg(
-        F.min(scaled).alias("_lo"), F.max(scaled).alias("_hi"), F.sum("rows").alias("total")
-    )
+    totals = hist.groupBy(*keys).agg(F.sum("rows").alias("total"))
+    bounds = _bounds(hist, value, keys)
     if not keys:
-        # The span is one row: a scalar subquery, not a join.
-        bounds = span.select(F.struct("_lo", "_hi", "total").alias("s")).scalar()
-        spanned = hist.withColumn("_s", bounds).select(
-            value, "rows", F.col("_s._lo").alias("_lo"), F.col("_s._hi").alias("_hi"), F.col("_s.total").alias("total")
-        )
+        # Both are one row: scalar subqueries, not joins.
+        bounded = hist.withColumn("_bounds", bounds.scalar()).withColumn("total", totals.scalar())
     else:
-        spanned = _null_safe_join(hist, span, keys)
-    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
-    bucketed = spanned.withColumn(
-        "_bucket", F.floor((scaled - F.col("_lo")) / width * F.lit(buckets)).cast("int")
-    ).drop("_lo", "_hi")
+        bounded = _null_safe_join(hist, _null_safe_join(bounds, totals, keys), keys)
+    bucket = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
+    bucketed = bounded.withColumn("_bucket", bucket).drop("_bounds")
 
     ahead = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -115,3 +121,26 @@ def exact_percentiles(
         for name, p in percentiles.items()
     ]
     return ranks.groupBy(*keys).agg(*aggs) if keys else ranks.agg(*aggs)
+
+
+def with_percentiles(
+    totals: DataFrame, df: DataFrame, wanted: dict[str, tuple[str, float]], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Adds exact percentiles of ``df`` to one row per group: name -> (column, share).
+
+    A group whose values are all NULL has NULL percentiles.
+    """
+    for value in dict.fromkeys(column for column, _ in wanted.values()):
+        own = {name: p for name, (column, p) in wanted.items() if column == value}
+        found = exact_percentiles(df, value, own, keys)
+        if not keys:
+            totals = totals.withColumns(
+                {name: found.select(name).scalar() for name in own}
+            )
+        else:
+            l, r = totals.alias("l"), found.alias("r")
+            condition = reduce(
+                lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+            )
+            totals = l.join(r, condition, "left").select("l.*", *[F.col(f"r.{name}") for name in own])
+    return totals

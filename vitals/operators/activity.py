@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import rounded_avg, type_counts
-from vitals.functions.ordering import top_k
+from vitals.functions.ordering import top_k, with_percentiles
 from vitals.operators.joins import keep_repos, label_ai
 from vitals.sources.dimensions import seed_repos
 from vitals.sources.readers import exclude_dates
@@ -75,7 +75,7 @@ def top_repos(
 
 
 def group_summary(top: DataFrame, medians: bool = False) -> DataFrame:
-    """Curated repositories against the others: mean activity per repository."""
+    """Curated repositories against the others: mean, and exact median, activity per repository."""
     measures = {
         "stars": "stars",
         "forks": "forks",
@@ -85,9 +85,11 @@ def group_summary(top: DataFrame, medians: bool = False) -> DataFrame:
         "active_days": "active_days",
     }
     aggs = [rounded_avg(c, 1).alias(f"avg_{name}") for name, c in measures.items()]
+    table = top.groupBy("is_ai").agg(F.count("*").alias("repo_count"), *aggs)
     if medians:
-        aggs += [F.percentile_approx(c, 0.5).alias(f"median_{name}") for name, c in measures.items()]
-    return top.groupBy("is_ai").agg(F.count("*").alias("repo_count"), *aggs)
+        wanted = {f"median_{name}": (c, 0.5) for name, c in measures.items()}
+        table = with_percentiles(table, top, wanted, ["is_ai"])
+    return table
 
 
 def star_growth_hype(

@@ -114,7 +114,7 @@ def health_score(
 def rank_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """Spearman (mean ranks for ties) and Pearson correlation over complete rows.
 
-    Reads ``df`` several times: pass a stored or checkpointed table.
+    Reads ``df`` several times; a long computation is better stored first.
     """
     complete = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
     ranked = complete.join(average_rank(complete, x, "_rx"), x).join(average_rank(complete, y, "_ry"), y)
@@ -152,13 +152,17 @@ def adoption_archetype(scored: DataFrame, many_stars: int, many_downloads: int)
     )
 
 
-def bubble_frame(scored: DataFrame) -> DataFrame:
-    """Rows complete in stars and package downloads, with a clipped bubble size."""
+def bubble_frame(
+    scored: DataFrame, per_point: float = 500, smallest: float = 20, largest: float = 800
+) -> DataFrame:
+    """Rows complete in stars and package downloads; a point stands for ``per_point`` models,
+    within the given sizes."""
+    points = F.col("hf_model_count") / F.lit(float(per_point))
     return scored.dropna(subset=["gh_stars_2025", "pypi_downloads_2025"]).select(
         "repo_name",
         "pypi_downloads_2025",
         "gh_stars_2025",
-        F.greatest(F.lit(20.0), F.least(F.lit(800.0), F.col("hf_model_count") / F.lit(500.0))).alias("size"),
+        F.greatest(F.lit(float(smallest)), F.least(F.lit(float(largest)), points)).alias("size"),
         "health_score",
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from vitals import schemas
 from vitals.functions import columns as C
 from vitals.operators.joins import keep_repos
+from vitals.session import require_utc
 from vitals.sources import dimensions
 from vitals.sources.readers import parse_lines
 
@@ -52,6 +53,7 @@ def dedupe(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
 
 def flatten_events(raw: DataFrame) -> DataFrame:
     """Nested raw events to the 22 flat columns; names lower-cased, timestamps parsed."""
+    require_utc(raw.sparkSession)
     at = C.parsed_timestamp("created_at")
     made = {name: F.col(path) for name, path in _EVENT_PATHS.items()}
     made |= {name: F.lower(F.col(path)) for name, path in _EVENT_NAMES.items()}

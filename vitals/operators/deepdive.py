@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import DEFAULT_ACCURACY, percentile
-from vitals.functions.ordering import top_k
+from vitals.functions.ordering import top_k, with_percentiles
 from vitals.operators.joins import exclude_repos
 from vitals.sources.dimensions import seed_repos
 
 REPO = ["era", "repo_name", "is_ai"]
+# Reported percentiles.
+MERGE_PERCENTILES = {"median_merge_hours": 0.5, "p75_merge_hours": 0.75, "p90_merge_hours": 0.9}
 
 
 def target_repos(top: DataFrame, seed: DataFrame, k: int = 200) -> DataFrame:
@@ -33,24 +36,22 @@ def merged_requests(events: DataFrame, targets: DataFrame, within_era: bool = Tr
     multiply. ``within_era=False`` also pairs across an era boundary and counts
     the request in the era it was opened in.
     """
-    rows = target_events(events, targets)
     key = ["repo_name", "pr_number"] + (["era"] if within_era else [])
-    opening = rows.filter(C.is_opened_pr() & F.col("pr_number").isNotNull())
-    opened = opening.groupBy(*key).agg(
-        F.min(F.struct("event_ts", "era", "is_ai")).alias("o")
-    ).select(*key, F.col("o.event_ts").alias("opened_ts"), F.col("o.era").alias("opened_era"), "o.is_ai")
-    # Distinct instants first: repeated merge records collapse before the join.
-    merges = (
-        rows.filter(C.is_merged_pr() & F.col("pr_number").isNotNull())
-        .groupBy(*key, "event_ts")
-        .agg(F.count("*").alias("_n"))
-        .select(*key, F.col("event_ts").alias("merged_ts"))
+    moment = F.struct("event_ts", "era", "is_ai")
+    # Openings and merges in one pass; repeated records of an instant collapse before the shuffle.
+    moments = (
+        target_events(events, targets)
+        .withColumns({"is_merge": C.is_merged_pr(), "is_opening": C.is_opened_pr()})
+        .filter((F.col("is_opening") | F.col("is_merge")) & F.col("pr_number").isNotNull())
+        .groupBy(*dict.fromkeys([*key, "event_ts", "era", "is_ai"]))
+        .agg(F.max("is_opening").alias("opened"), F.max("is_merge").alias("merged"))
     )
-    paired = opened.join(merges, key).filter(F.col("merged_ts") >= F.col("opened_ts"))
+    first = F.min(F.when(F.col("opened"), moment)).over(W.partitionBy(*key))
     return (
-        paired.groupBy("repo_name", "pr_number", "opened_era", "is_ai", "opened_ts")
-        .agg(F.min("merged_ts").alias("merged_ts"))
-        .withColumnRenamed("opened_era", "era")
+        moments.withColumn("o", first)
+        .filter(F.col("merged") & (F.col("event_ts") >= F.col("o.event_ts")))
+        .groupBy("repo_name", "pr_number", F.col("o.era").alias("era"), F.col("o.is_ai").alias("is_ai"), F.col("o.event_ts").alias("opened_ts"))
+        .agg(F.min("event_ts").alias("merged_ts"))
     )
 
 
@@ -60,6 +61,7 @@ def pr_merge_time(
     max_hours: int = 8760,
     within_era: bool = True,
     accuracy: int = DEFAULT_ACCURACY,
+    exact: bool = False,
 ) -> DataFrame:
     """Hours from opening to merge, per era and repository.
 
@@ -71,18 +73,18 @@ def pr_merge_time(
         merged_requests(events, targets, within_era)
         .withColumn("seconds", seconds)
         .withColumn("merge_hours", F.col("seconds") / 3600)
+        .filter(F.col("merge_hours").between(0, max_hours))
     )
-    return (
-        hours.filter(F.col("merge_hours").between(0, max_hours))
-        .groupBy(*REPO)
-        .agg(
-            F.count("pr_number").alias("merged_pr_count"),
-            (F.avg("seconds") / 3600).alias("avg_merge_hours"),
-            percentile("merge_hours", 0.5, accuracy).alias("median_merge_hours"),
-            percentile("merge_hours", 0.75, accuracy).alias("p75_merge_hours"),
-            percentile("merge_hours", 0.9, accuracy).alias("p90_merge_hours"),
-        )
+    sketches = [percentile("merge_hours", p, accuracy).alias(n) for n, p in MERGE_PERCENTILES.items()]
+    table = hours.groupBy(*REPO).agg(
+        F.count("pr_number").alias("merged_pr_count"),
+        (F.avg("seconds") / 3600).alias("avg_merge_hours"),
+        *([] if exact else sketches),
     )
+    if exact:
+        wanted = {n: ("merge_hours", p) for n, p in MERGE_PERCENTILES.items()}
+        table = with_percentiles(table, hours, wanted, REPO)
+    return table
 
 
 def daily_pr_timeseries(events: DataFrame, targets: DataFrame) -> DataFrame:

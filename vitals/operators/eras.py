@@ -21,10 +21,14 @@ from vitals.functions.aggregates import (
     percentile,
     share_pct,
 )
-from vitals.functions.ordering import exact_percentiles
+from vitals.functions.ordering import exact_percentiles, with_percentiles
 from vitals.operators.joins import union_all
 
 
+# Reported quartiles.
+RATIO_QUARTILES = {"p25_pr_push_ratio": 0.25, "median_pr_push_ratio": 0.5, "p75_pr_push_ratio": 0.75}
+
+
 def with_era(events: DataFrame, era: Column) -> DataFrame:
     """Adds the era of each row; rows outside every era are dropped."""
     return events.withColumn("era", era).filter(F.col("era").isNotNull())
@@ -62,9 +66,11 @@ def era_summary(
     counts when asked for, are aggregates of their own: next to a percentile in
     one aggregate, a distinct count would carry a percentile buffer with every
     distinct value through the shuffle. Both read few columns, pull requests
-    also few rows.
+    also few rows. ``exact`` also makes the median exact at any size, from counts of
+    each push size.
     """
     size = F.when(C.is_type("PushEvent"), F.col("push_distinct_size"))
+    median = [] if exact else [percentile(size, 0.5, accuracy).alias("median_commit_size")]
     names = {"distinct_repos": "repo_name", "distinct_actors": "actor_login"}
     sketches = [] if exact else [approx_distinct(c).alias(name) for name, c in names.items()]
     totals = events.groupBy("era").agg(
@@ -73,12 +79,14 @@ def era_summary(
         count_of("PullRequestEvent").alias("total_pr_events"),
         count_of("WatchEvent").alias("total_stars"),
         F.avg(size).alias("avg_commit_size"),
-        percentile(size, 0.5, accuracy).alias("median_commit_size"),
+        *median,
         *sketches,
     )
     if exact:
         counted = [F.count_distinct(c).alias(name) for name, c in names.items()]
         totals = totals.join(events.groupBy("era").agg(*counted), "era")
+        pushes = events.select("era", size.alias("size"))
+        totals = with_percentiles(totals, pushes, {"median_commit_size": ("size", 0.5)}, ["era"])
     requests = (
         pull_requests(events, scope)
         .groupBy("era")
@@ -144,28 +152,26 @@ def repo_pr_push(events: DataFrame, min_pushes: int = 10) -> DataFrame:
 
 
 def pr_push_ratio(
-    events: DataFrame, min_pushes: int = 10, accuracy: int = DEFAULT_ACCURACY
+    events: DataFrame, min_pushes: int = 10, accuracy: int = DEFAULT_ACCURACY, exact: bool = False
 ) -> DataFrame:
     """Distribution over repositories of pull requests per push, by era."""
     value = "pr_push_ratio"
-    return (
-        repo_pr_push(events, min_pushes)
-        .groupBy("era")
-        .agg(
-            F.count("repo_name").alias("repo_count"),
-            F.avg(value).alias("avg_pr_push_ratio"),
-            percentile(value, 0.25, accuracy).alias("p25_pr_push_ratio"),
-            percentile(value, 0.5, accuracy).alias("median_pr_push_ratio"),
-            percentile(value, 0.75, accuracy).alias("p75_pr_push_ratio"),
-            F.avg("contributors").alias("avg_contributors_per_repo"),
-        )
+    repos = repo_pr_push(events, min_pushes)
+    sketches = [] if exact else [percentile(value, p, accuracy).alias(n) for n, p in RATIO_QUARTILES.items()]
+    table = repos.groupBy("era").agg(
+        F.count("repo_name").alias("repo_count"),
+        F.avg(value).alias("avg_pr_push_ratio"),
+        *sketches,
+        F.avg("contributors").alias("avg_contributors_per_repo"),
     )
+    if exact:
+        table = with_percentiles(table, repos, {n: (value, p) for n, p in RATIO_QUARTILES.items()}, ["era"])
+    return table
 
 
 def pr_push_quartiles(events: DataFrame, min_pushes: int = 10) -> DataFrame:
     """Exact quartiles of the same ratio, still without a group in one task."""
-    wanted = {"p25_pr_push_ratio": 0.25, "median_pr_push_ratio": 0.5, "p75_pr_push_ratio": 0.75}
-    return exact_percentiles(repo_pr_push(events, min_pushes), "pr_push_ratio", wanted, ["era"])
+    return exact_percentiles(repo_pr_push(events, min_pushes), "pr_push_ratio", RATIO_QUARTILES, ["era"])
 
 
 def active_repos_monthly(events: DataFrame, grain: str = "month") -> DataFrame:

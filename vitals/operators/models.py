@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import DEFAULT_ACCURACY, rounded_avg, value_counts
-from vitals.functions.ordering import top_k
+from vitals.functions.ordering import exact_percentiles, top_k
 
 # Inclusive upper bounds and labels of the buckets.
 DOWNLOAD_BUCKETS = [(0, "0"), (100, "1-100"), (10_000, "101-10K"), (1_000_000, "10K-1M")]
@@ -36,8 +36,14 @@ def downloads_distribution(models: DataFrame) -> DataFrame:
     return _bucket_counts(models, label, "bucket")
 
 
-def downloads_percentiles(models: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Download percentiles as metric rows; one sketch serves all of them."""
+def downloads_percentiles(
+    models: DataFrame, accuracy: int = DEFAULT_ACCURACY, exact: bool = False
+) -> DataFrame:
+    """Download percentiles as metric rows; one sketch, or one exact pass, serves all of them."""
+    if exact:
+        wanted = {f"downloads_{name}": p for name, p in DOWNLOAD_PERCENTILES.items()}
+        row = exact_percentiles(models, "downloads", wanted)
+        return row.unpivot([], row.columns, "metric", "value")
     ps = list(DOWNLOAD_PERCENTILES.values())
     row = models.agg(F.percentile_approx("downloads", ps, accuracy).alias("v")).select(
         *[F.col("v")[i].alias(f"downloads_{name}") for i, name in enumerate(DOWNLOAD_PERCENTILES)]

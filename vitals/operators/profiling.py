@@ -15,7 +15,7 @@ from vitals.functions.aggregates import (
     ratio,
     value_counts,
 )
-from vitals.functions.ordering import top_k
+from vitals.functions.ordering import top_k, with_percentiles
 from vitals.schemas import CORE_EVENT_TYPES
 
 # Logical field -> its path in the raw layout, then in the cleaned one. Fixed values.
@@ -123,24 +123,34 @@ def profile_events(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def models_summary(df: DataFrame, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Size, distinct labels and download and like statistics, as metric rows."""
+def models_summary(df: DataFrame, accuracy: int = DEFAULT_ACCURACY, exact: bool = False) -> DataFrame:
+    """Size, distinct labels and download and like statistics, as metric rows.
+
+    Distinct counts are an aggregate of their own: next to a sketch in one aggregate,
+    every distinct value would carry a sketch through the shuffle.
+    """
     author = C.first_existing(df, ("author", "owner"))
     two_digits = lambda c: F.format_string("%.2f", F.avg(c))
-    row = df.agg(
-        F.count("*").alias("total_rows"),
-        F.lit(len(df.columns)).alias("total_columns"),
+    distinct = df.agg(
         distinct_with_null(author).alias("distinct_authors"),
         F.count_distinct("pipeline_tag").alias("distinct_pipeline_tags"),
         F.count_distinct("library_name").alias("distinct_library_names"),
+    )
+    median = [] if exact else [percentile("downloads", 0.5, accuracy).alias("median_downloads")]
+    row = df.agg(
+        F.count("*").alias("total_rows"),
+        F.lit(len(df.columns)).alias("total_columns"),
         F.min("downloads").alias("min_downloads"),
         F.max("downloads").alias("max_downloads"),
         two_digits("downloads").alias("avg_downloads"),
-        percentile("downloads", 0.5, accuracy).alias("median_downloads"),
+        *median,
         F.min("likes").alias("min_likes"),
         F.max("likes").alias("max_likes"),
         two_digits("likes").alias("avg_likes"),
     )
+    row = row.withColumns({c: distinct.select(c).scalar() for c in distinct.columns})
+    if exact:
+        row = with_percentiles(row, df, {"median_downloads": ("downloads", 0.5)})
     return metric_rows(row)
 
 

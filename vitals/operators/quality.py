@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import count_of, null_count, ratio, value_counts
+from vitals.session import require_utc
 
 # Reported counter -> event type.
 TYPE_COLUMNS = {
@@ -131,13 +132,29 @@ def compare_totals_nulls(new: DataFrame, old: DataFrame) -> DataFrame:
     )
 
 
+def _hours(events: DataFrame, lo: date | str, hi: date | str) -> DataFrame:
+    """Hours with an event within a range of days, in the cleaned or the raw layout.
+
+    The range reaches the scan: as a partition filter where the day is stored, else on the time.
+    A malformed raw time is no event of any hour.
+    """
+    require_utc(events.sparkSession)
+    column = C.first_existing(events, ("event_ts", "created_at"))
+    if column is None:
+        raise ValueError("hour coverage needs a time column: event_ts or created_at")
+    if "event_date" in events.columns:
+        events = events.filter(C.in_range(lo, hi))
+    at = C.parsed_timestamp(column) if dict(events.dtypes).get(column) == "string" else F.col(column)
+    hours = events.select(F.date_trunc("hour", at).alias("hour"))
+    return hours.filter(F.to_date("hour").between(F.lit(str(lo)).cast("date"), F.lit(str(hi)).cast("date")))
+
+
 def hour_coverage(events: DataFrame, lo: date | str, hi: date | str) -> DataFrame:
     """Hours with data on each day of a range; days without any appear with 0."""
-    at = F.col(C.first_existing(events, ("event_ts", "created_at")))
     hours = (
-        events.select(F.to_date(at).alias("event_date"), F.hour(at).alias("h"))
-        .groupBy("event_date")
-        .agg(F.count_distinct("h").alias("n"))
+        _hours(events, lo, hi)
+        .groupBy(F.to_date("hour").alias("event_date"))
+        .agg(F.count_distinct("hour").alias("n"))
     )
     first, last = (F.lit(str(d)).cast("date") for d in (lo, hi))
     days = events.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("event_date"))
@@ -149,12 +166,9 @@ def hour_coverage(events: DataFrame, lo: date | str, hi: date | str) -> DataFram
 
 def missing_hours(events: DataFrame, lo: date | str, hi: date | str) -> DataFrame:
     """Expected hours of a date range that have no event."""
-    at = F.col(C.first_existing(events, ("event_ts", "created_at")))
-    seen = events.select(F.date_trunc("hour", at).alias("hour")).distinct()
     start = F.lit(f"{lo} 00:00:00").cast("timestamp")
     end = F.lit(f"{hi} 23:00:00").cast("timestamp")
     expected = events.sparkSession.range(1).select(
         F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("hour")
     )
-    return expected.join(seen, "hour", "left_anti")
-
+    return expected.join(_hours(events, lo, hi).distinct(), "hour", "left_anti")

@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import DEFAULT_ACCURACY, percentile, share_pct
+from vitals.functions.ordering import with_percentiles
+
+# Reported percentiles, as (column, share).
+PUSH_PERCENTILES = {
+    "median_pushes": ("push_count", 0.5),
+    "p75_pushes": ("push_count", 0.75),
+    "p90_pushes": ("push_count", 0.9),
+    "p99_pushes": ("push_count", 0.99),
+    "median_pushes_per_day": ("pushes_per_day", 0.5),
+    "p90_pushes_per_day": ("pushes_per_day", 0.9),
+}
 
 
 def weekday_weekend(events: DataFrame, by_type: bool = False) -> DataFrame:
@@ -42,30 +53,32 @@ def push_per_actor(
     cohorts: Sequence[int] = (100, 1000),
     per_day: int = 50,
     accuracy: int = DEFAULT_ACCURACY,
+    exact: bool = False,
 ) -> DataFrame:
     """Distribution of push frequency over actors, by era.
 
     The daily rate is pushes per *active* day, averaged over the era.
     """
-    return (
-        actor_pushes(events)
-        .groupBy("era")
-        .agg(
-            F.count("*").alias("total_push_actors"),
-            F.avg("push_count").alias("avg_pushes"),
-            percentile("push_count", 0.5, accuracy).alias("median_pushes"),
-            percentile("push_count", 0.75, accuracy).alias("p75_pushes"),
-            percentile("push_count", 0.9, accuracy).alias("p90_pushes"),
-            percentile("push_count", 0.99, accuracy).alias("p99_pushes"),
-            F.avg("pushes_per_day").alias("avg_pushes_per_day"),
-            percentile("pushes_per_day", 0.5, accuracy).alias("median_pushes_per_day"),
-            percentile("pushes_per_day", 0.9, accuracy).alias("p90_pushes_per_day"),
-            F.avg("active_days").alias("avg_active_days"),
-            F.avg("repo_count").alias("avg_repos_per_actor"),
-            *[F.count_if(F.col("push_count") > n).alias(f"actors_gt_{n}_pushes") for n in cohorts],
-            F.count_if(F.col("pushes_per_day") > per_day).alias(f"actors_gt_{per_day}_per_day"),
-        )
+    actors = actor_pushes(events)
+    sketches = [percentile(c, p, accuracy).alias(n) for n, (c, p) in PUSH_PERCENTILES.items()]
+    table = actors.groupBy("era").agg(
+        F.count("*").alias("total_push_actors"),
+        F.avg("push_count").alias("avg_pushes"),
+        F.avg("pushes_per_day").alias("avg_pushes_per_day"),
+        F.avg("active_days").alias("avg_active_days"),
+        F.avg("repo_count").alias("avg_repos_per_actor"),
+        *([] if exact else sketches),
+        *[F.count_if(F.col("push_count") > n).alias(f"actors_gt_{n}_pushes") for n in cohorts],
+        F.count_if(F.col("pushes_per_day") > per_day).alias(f"actors_gt_{per_day}_per_day"),
     )
+    if exact:
+        table = with_percentiles(table, actors, PUSH_PERCENTILES, ["era"])
+    averages = ["avg_pushes_per_day", "median_pushes_per_day", "p90_pushes_per_day", "avg_active_days"]
+    return table.select(
+        "era", "total_push_actors", "avg_pushes", "median_pushes", "p75_pushes", "p90_pushes", "p99_pushes",
+        *averages, "avg_repos_per_actor",
+        *[f"actors_gt_{n}_pushes" for n in cohorts], f"actors_gt_{per_day}_per_day",
+    )
 
 
 def weekend_share(counts: DataFrame, by: Sequence[str] = ("era",)) -> DataFrame:
@@ -76,14 +89,6 @@ def weekend_share(counts: DataFrame, by: Sequence[str] = ("era",)) -> DataFrame:
     )
 
 
-def weekend_baseline(events: DataFrame) -> DataFrame:
-    """Weekend days in percent of an era's days: the share without any weekly rhythm."""
-    days = events.groupBy("era", "event_date").agg(F.count("*").alias("_n"))
-    return days.groupBy("era").agg(
-        share_pct(F.count_if(C.is_weekend("event_date")), F.count("*")).alias("baseline_pct")
-    )
-
-
 def weekend_share_with_baseline(events: DataFrame) -> DataFrame:
     """Weekend share next to its calendar baseline, from one daily count."""
     daily = events.groupBy("era", "event_date").agg(F.count("*").alias("n"))

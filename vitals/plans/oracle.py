@@ -39,7 +39,7 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN t = 'PushEvent' THEN id END AS push_id,
                CASE WHEN t = 'PushEvent' THEN CAST(floor(value / 10) AS BIGINT) END AS push_size,
                CASE WHEN t = 'PushEvent' THEN CAST(floor(value / 10) AS BIGINT) END AS push_distinct_size,
-               CASE WHEN t = 'PushEvent' THEN CAST(least(floor(value / 10), 20) AS INTEGER) END
+               CASE WHEN t = 'PushEvent' THEN CAST(floor(value / 10) AS INTEGER) END
                     AS commit_count,
                'W' || CAST(floor((day(ts) - 1) / 7) + 1 AS INTEGER) AS era
         FROM e0""",
@@ -466,6 +466,24 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
                round(avg(active_days) + 1e-9, 1) AS avg_active_days
         FROM topai GROUP BY 1""",
     ),
+    "group_summary_medians": (
+        ("topai",),
+        """
+        SELECT is_ai, count(*) AS repo_count, round(avg(stars) + 1e-9, 1) AS avg_stars,
+               round(avg(forks) + 1e-9, 1) AS avg_forks, round(avg(pushes) + 1e-9, 1) AS avg_pushes,
+               round(avg(prs) + 1e-9, 1) AS avg_prs,
+               round(avg(distinct_actors) + 1e-9, 1) AS avg_contributors,
+               round(avg(active_days) + 1e-9, 1) AS avg_active_days,
+               quantile_disc(stars, 0.5) AS median_stars, quantile_disc(forks, 0.5) AS median_forks,
+               quantile_disc(pushes, 0.5) AS median_pushes, quantile_disc(prs, 0.5) AS median_prs,
+               quantile_disc(distinct_actors, 0.5) AS median_contributors,
+               quantile_disc(active_days, 0.5) AS median_active_days
+        FROM topai GROUP BY 1""",
+    ),
+    "era_summary_approx": (
+        ("ev",),
+        "SELECT DISTINCT era, true AS distinct_repos_close, true AS distinct_actors_close FROM ev",
+    ),
     "star_growth_hype": (("watch", "seed"), _hype("month")),
     "star_growth_hype_weekly": (("watch", "seed"), _hype("week")),
     "contributor_health": (("health",), "SELECT * FROM health"),
@@ -702,9 +720,9 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
                round(quantile_disc(pd, 0.5), 6) AS median_pushes_per_day,
                round(quantile_disc(pd, 0.9), 6) AS p90_pushes_per_day,
                round(avg(d), 6) AS avg_active_days, round(avg(r), 6) AS avg_repos_per_actor,
-               count(*) FILTER (n > 100) AS actors_gt_100_pushes,
-               count(*) FILTER (n > 1000) AS actors_gt_1000_pushes,
-               count(*) FILTER (pd > 50) AS actors_gt_50_per_day
+               count(*) FILTER (n > 3) AS actors_gt_3_pushes,
+               count(*) FILTER (n > 5) AS actors_gt_5_pushes,
+               count(*) FILTER (pd > 1) AS actors_gt_1_per_day
         FROM pusher GROUP BY 1""",
     ),
     "weekend_share": (
@@ -812,7 +830,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
             },
         ),
     ),
-    "task_tag_distribution": (
+    "pipeline_tag_distribution": (
         ("rawmd",),
         """SELECT coalesce(raw_tag, '(null)') AS pipeline_tag, count(*) AS "count" FROM rawmd GROUP BY 1""",
     ),
@@ -878,7 +896,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         ("md",),
         "SELECT 'downloads_likes_correlation' AS metric, round(corr(downloads, likes), 4) AS value FROM md",
     ),
-    "task_tag_stats": (("md",), _stats("pipeline_tag")),
+    "pipeline_tag_stats": (("md",), _stats("pipeline_tag")),
     "library_stats": (("md",), _stats("library_name")),
     "license_stats": (("md",), _stats("license", likes=False)),
     "monthly_creation_trend": (
@@ -1009,6 +1027,22 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN (SELECT event_date, count(DISTINCT hour(event_ts)) AS n FROM ev GROUP BY 1) h
                ON h.event_date = CAST(d AS DATE)""",
     ),
+    "hour_coverage_raw": (
+        ("ev",),
+        """
+        SELECT CAST(d AS DATE) AS event_date, coalesce(n, 0) AS hours_present, coalesce(n, 0) = 24 AS complete
+        FROM (SELECT unnest(generate_series(DATE '2024-01-03', DATE '2024-01-20', INTERVAL 1 DAY)) AS d)
+        LEFT JOIN (SELECT event_date, count(DISTINCT hour(event_ts)) AS n FROM ev GROUP BY 1) h
+               ON h.event_date = CAST(d AS DATE)""",
+    ),
+    "missing_hours_raw": (
+        ("ev",),
+        """
+        SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS hour
+        FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-03 00:00:00',
+                                            TIMESTAMP '2024-01-20 23:00:00', INTERVAL 1 HOUR)) AS h)
+        WHERE h NOT IN (SELECT date_trunc('hour', event_ts) FROM ev)""",
+    ),
     "missing_hours": (
         ("ev",),
         """
@@ -1083,7 +1117,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         ("scored",),
         """
         SELECT repo_name, hf_total_downloads, gh_stars_2025,
-               round(hf_total_downloads / nullif(gh_stars_2025, 0), 3) AS downloads_per_star
+               round(hf_total_downloads / nullif(gh_stars_2025, 0), 6) AS downloads_per_star
         FROM scored""",
     ),
     "adoption_archetype": (

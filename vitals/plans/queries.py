@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Callable
 from functools import cached_property
 
@@ -26,24 +28,24 @@ from vitals.operators import (
     risk,
 )
 from vitals.plans import testdata as data
+from vitals.plans.jobs import package_pivot
 from vitals.schemas import CORE_EVENT_TYPES
-from vitals.session import cut_lineage, shared_path
+from vitals.session import shared_path
 from vitals.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rank error of the percentile sketches is rows / accuracy: exact below fifty
-# thousand rows per group, and still a sketch of a few megabytes above.
-ACCURACY = 100_000
 AS_OF = "2024-07-01"
 TOP = 60
+# Cohorts that have actors at the scale of the test tables.
+COHORTS = (3, 5)
+PER_DAY = 1
 # First quarters of several years, as (label, first day, last day).
 FIRST_QUARTERS = [(f"{y}-Q1", f"{y}-01-01", f"{y}-03-31") for y in range(1995, 2002)]
-PACKAGES = ["economy", "large", "medium", "promo", "small", "standard"]
 
 
 class Inputs:
-    """Input frames of one query, built on demand; ``*_once`` for those read several times."""
+    """Input frames of one query, built on demand."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -93,10 +95,6 @@ class Inputs:
     def top(self) -> DataFrame:
         return activity.top_repos(self.ev, TOP)
 
-    @cached_property
-    def top_once(self) -> DataFrame:
-        return cut_lineage(self.top)
-
     @cached_property
     def daily(self) -> DataFrame:
         return activity.repo_daily_metrics(self.ev, self.seed)
@@ -106,18 +104,10 @@ class Inputs:
         stats = adoption.library_stats_for_join(self.md)
         return adoption.hub_repo_join(stats, self.seed, activity.repo_yearly(self.daily))
 
-    @cached_property
-    def joined_once(self) -> DataFrame:
-        return cut_lineage(self.joined)
-
     @cached_property
     def scored(self) -> DataFrame:
         return adoption.health_score(self.joined, adoption.package_yearly(self.pkg))
 
-    @cached_property
-    def scored_once(self) -> DataFrame:
-        return cut_lineage(self.scored)
-
     @cached_property
     def hype(self) -> DataFrame:
         return activity.star_growth_hype(self.ev, self.top, self.seed)
@@ -209,6 +199,16 @@ def exported_report(i: Inputs) -> DataFrame:
     return readers.read_csv(i.spark, path, "event_id STRING, event_type STRING, event_ts STRING, repo_name STRING")
 
 
+def approximate_summary(i: Inputs) -> DataFrame:
+    """Whether the estimated distinct counts are within three standard errors of the exact ones."""
+    exact = eras.era_summary(i.ev, exact=True).alias("e")
+    names = ("distinct_repos", "distinct_actors")
+    near = [
+        (F.abs(F.col(f"a.{c}") - F.col(f"e.{c}")) <= 0.03 * F.col(f"e.{c}")).alias(f"{c}_close") for c in names
+    ]
+    return eras.era_summary(i.ev).alias("a").join(exact, "era").select("era", *near)
+
+
 # Query name -> product over its inputs.
 PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # cleaning
@@ -225,6 +225,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_repos": lambda i: i.top,
     "label_ai": lambda i: joins.label_ai(i.top, i.seed),
     "group_summary": lambda i: activity.group_summary(joins.label_ai(i.top, i.seed)),
+    "group_summary_medians": lambda i: activity.group_summary(joins.label_ai(i.top, i.seed), medians=True),
     "star_growth_hype": lambda i: i.hype,
     "star_growth_hype_weekly": lambda i: activity.star_growth_hype(i.ev, i.top, i.seed, grain="week"),
     "contributor_health": lambda i: i.health,
@@ -236,16 +237,14 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "package_yearly": lambda i: adoption.package_yearly(i.pkg),
     "health_score": lambda i: i.scored,
     "health_score_minmax": lambda i: adoption.health_score(
-        i.joined_once, adoption.package_yearly(i.pkg), norm="minmax"
+        i.joined, adoption.package_yearly(i.pkg), norm="minmax"
     ),
     # eras
-    "era_summary": lambda i: eras.era_summary(i.ev, exact=True, accuracy=ACCURACY),
-    "era_summary_by_number": lambda i: eras.era_summary(
-        i.ev, exact=True, scope="number", accuracy=ACCURACY
-    ),
-    "era_summary_approx": lambda i: eras.era_summary(i.ev),
+    "era_summary": lambda i: eras.era_summary(i.ev, exact=True),
+    "era_summary_by_number": lambda i: eras.era_summary(i.ev, exact=True, scope="number"),
+    "era_summary_approx": approximate_summary,
     "push_size_distribution": lambda i: eras.push_size_distribution(i.ev),
-    "pr_push_ratio": lambda i: eras.pr_push_ratio(i.ev, accuracy=ACCURACY),
+    "pr_push_ratio": lambda i: eras.pr_push_ratio(i.ev, exact=True),
     "pr_push_quartiles": lambda i: eras.pr_push_quartiles(i.ev),
     "active_repos_monthly": lambda i: eras.active_repos_monthly(i.ev),
     "active_in_first_quarters": lambda i: eras.active_repos_monthly(
@@ -265,9 +264,9 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     # deep dive
     "target_repos": lambda i: i.targets,
-    "pr_merge_time": lambda i: deepdive.pr_merge_time(i.ev, i.targets, accuracy=ACCURACY),
+    "pr_merge_time": lambda i: deepdive.pr_merge_time(i.ev, i.targets, exact=True),
     "pr_merge_time_across_eras": lambda i: deepdive.pr_merge_time(
-        i.ev, i.targets, within_era=False, accuracy=ACCURACY
+        i.ev, i.targets, within_era=False, exact=True
     ),
     "daily_pr_timeseries": lambda i: deepdive.daily_pr_timeseries(i.ev, i.targets),
     "daily_pr_count": lambda i: deepdive.daily_pr_count(deepdive.daily_pr_timeseries(i.ev, i.targets)),
@@ -276,7 +275,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "contributor_flow": lambda i: deepdive.contributor_flow(i.ev, i.targets, grain="day"),
     "contributor_flow_monthly": lambda i: deepdive.contributor_flow(i.ev, i.targets),
     "group_pr_merge_time": lambda i: deepdive.group_pr_merge_time(
-        deepdive.pr_merge_time(i.ev, i.targets, accuracy=ACCURACY)
+        deepdive.pr_merge_time(i.ev, i.targets, exact=True)
     ),
     "group_daily_commits": lambda i: deepdive.group_daily_commits(
         deepdive.daily_commits(deepdive.daily_commits_timeseries(i.ev, i.targets))
@@ -287,7 +286,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     # rhythm
     "weekday_weekend": lambda i: rhythm.weekday_weekend(i.ev),
     "weekday_weekend_by_type": lambda i: rhythm.weekday_weekend(i.ev, by_type=True),
-    "push_per_actor": lambda i: rhythm.push_per_actor(i.ev, accuracy=ACCURACY),
+    "push_per_actor": lambda i: rhythm.push_per_actor(i.ev, cohorts=COHORTS, per_day=PER_DAY, exact=True),
     "weekend_share": lambda i: rhythm.weekend_share_with_baseline(i.ev),
     "weekend_share_by_type": lambda i: rhythm.weekend_share(
         rhythm.weekday_weekend(i.ev, by_type=True), ["era", "event_type"]
@@ -305,17 +304,17 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "events_per_hour": lambda i: profiling.events_per_hour(i.raw),
     "distinct_repos_actors": lambda i: profiling.distinct_repos_actors(i.raw),
     # model profiles and exploration
-    "models_summary": lambda i: profiling.models_summary(i.raw_md, accuracy=ACCURACY),
-    "task_tag_distribution": lambda i: profiling.pipeline_tag_distribution(i.raw_md),
+    "models_summary": lambda i: profiling.models_summary(i.raw_md, exact=True),
+    "pipeline_tag_distribution": lambda i: profiling.pipeline_tag_distribution(i.raw_md),
     "library_distribution": lambda i: profiling.library_distribution(i.raw_md),
     "models_null_counts": lambda i: profiling.models_null_counts(i.raw_md),
     "top_authors": lambda i: profiling.top_authors(i.raw_md),
     "top_downloads": lambda i: profiling.top_downloads(i.md),
     "models_sample": lambda i: profiling.models_sample(i.md.orderBy(F.desc("downloads"), "model_id")),
     "downloads_distribution": lambda i: models.downloads_distribution(i.md),
-    "downloads_percentiles": lambda i: models.downloads_percentiles(i.md, ACCURACY),
+    "downloads_percentiles": lambda i: models.downloads_percentiles(i.md, exact=True),
     "downloads_likes_correlation": lambda i: models.downloads_likes_correlation(i.md),
-    "task_tag_stats": lambda i: models.pipeline_tag_stats(i.md),
+    "pipeline_tag_stats": lambda i: models.pipeline_tag_stats(i.md),
     "library_stats": lambda i: models.library_stats(i.md),
     "monthly_creation_trend": lambda i: models.monthly_creation_trend(i.md),
     "license_stats": lambda i: models.license_stats(i.md),
@@ -326,7 +325,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "gated_stats": lambda i: models.gated_stats(i.md),
     # package downloads
     "package_totals": lambda i: profiling.package_totals(i.pkg),
-    "package_monthly_pivot": lambda i: profiling.package_monthly_pivot(i.pkg, PACKAGES),
+    "package_monthly_pivot": lambda i: package_pivot(i.pkg),
     "package_monthly_top": lambda i: profiling.package_monthly_top(i.pkg, 3),
     "package_growth_pct": lambda i: profiling.package_growth_pct(i.pkg),
     # quality
@@ -338,6 +337,8 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "compare_by_day": lambda i: quality.compare_by_day(i.new, i.old),
     "compare_totals_nulls": lambda i: quality.compare_totals_nulls(i.new, i.old),
     "hour_coverage": lambda i: quality.hour_coverage(i.ev, "2023-12-31", "2024-02-01"),
+    "hour_coverage_raw": lambda i: quality.hour_coverage(i.parsed, "2024-01-03", "2024-01-20"),
+    "missing_hours_raw": lambda i: quality.missing_hours(i.parsed, "2024-01-03", "2024-01-20"),
     "missing_hours": lambda i: quality.missing_hours(i.ev, "2023-12-31", "2024-02-01"),
     # derived reports
     "risk_band": lambda i: risk.risk_band(i.health),
@@ -352,12 +353,12 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
         activity.star_growth_hype(i.ev, i.top, i.seed, grain="week")
     ),
     "owner_hype": lambda i: risk.owner_hype(i.hype),
-    "rank_correlation": lambda i: adoption.rank_correlation(i.scored_once, "gh_stars_2025", "health_score"),
-    "topk_overlap": lambda i: adoption.topk_overlap(i.scored_once, "gh_stars_2025", "health_score"),
-    "adoption_per_star": lambda i: comparable(adoption.adoption_per_star(i.scored), 3),
+    "rank_correlation": lambda i: adoption.rank_correlation(i.scored, "gh_stars_2025", "health_score"),
+    "topk_overlap": lambda i: adoption.topk_overlap(i.scored, "gh_stars_2025", "health_score"),
+    "adoption_per_star": lambda i: adoption.adoption_per_star(i.scored),
     "adoption_archetype": lambda i: adoption.adoption_archetype(i.scored, 20, 10_000_000),
     "bubble_frame": lambda i: adoption.bubble_frame(i.scored),
-    "star_rank_of_healthiest": lambda i: adoption.star_rank_of_healthiest(i.top_once, i.scored),
+    "star_rank_of_healthiest": lambda i: adoption.star_rank_of_healthiest(i.top, i.scored),
     # sources and sinks
     "cleaned_from_files": cleaned_from_files,
     "stored_events": stored_events,
@@ -381,8 +382,19 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
 }
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """What the library asks of a session, supplied for a session that only runs these queries:
+    UTC, and a shared folder where everything runs in one process."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    context = spark.sparkContext
+    if not context.getCheckpointDir() and re.fullmatch(r"local(\[[^]]*\])?", context.master):
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vitals-"))
+    return spark
+
+
 def queries() -> dict[str, Query]:
     def query(product: Callable[[Inputs], DataFrame]) -> Query:
-        return lambda spark, sf_dir: comparable(product(Inputs(spark, sf_dir)))
+        return lambda spark, sf_dir: comparable(product(Inputs(prepared(spark), sf_dir)))
 
     return {name: query(product) for name, product in PRODUCTS.items()}

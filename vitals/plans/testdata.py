@@ -55,7 +55,7 @@ EVENT_SQL = {
     "push_id": "CASE WHEN event_type = 'purchase' THEN event_id END",
     "push_size": _SIZE,
     "push_distinct_size": _SIZE,
-    "commit_count": f"CASE WHEN event_type = 'purchase' THEN CAST(least({_SIZE}, 20) AS INT) END",
+    "commit_count": f"CASE WHEN event_type = 'purchase' THEN CAST({_SIZE} AS INT) END",
 }
 
 

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every session needs for results to be repeatable and for skewed keys
 # to be split at run time. A cluster may override any of them.
@@ -42,35 +41,21 @@ def build_session(
 
 
 def require_utc(spark: SparkSession) -> SparkSession:
-    """Dates, hours and weekdays are defined in UTC; set it on a borrowed session."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Dates, hours and weekdays are defined in UTC; a session in another zone is an error."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"days and hours are in UTC, but spark.sql.session.timeZone is {zone}")
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, named by the session's ``spark.checkpoint.dir``.
-
-    A temporary folder is used only where that is unset and the session runs on
-    one machine; on a cluster such a folder would be lost with its executor.
-    """
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir is not set")
-            folder = tempfile.mkdtemp(prefix="vitals-checkpoint-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    """The cluster's shared folder, named by the session's ``spark.checkpoint.dir``."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return folder
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint, in the shared folder, a frame that several branches read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()

@@ -33,12 +33,24 @@ def read_json_lines(
     return reader.json(path)
 
 
-def read_input(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
-    """The same data as JSON lines or as Parquet."""
+def read_input(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str,
+    schema: str,
+    name_glob: str | None = None,
+    skip_corrupt_files: bool = False,
+) -> DataFrame:
+    """The same data as JSON lines or as Parquet, with the same options."""
     if fmt == "json":
-        return read_json_lines(spark, path, schema)
+        return read_json_lines(spark, path, schema, name_glob, skip_corrupt_files)
     if fmt == "parquet":
-        return spark.read.parquet(path)
+        reader = spark.read
+        if name_glob:
+            reader = reader.option("pathGlobFilter", name_glob)
+        if skip_corrupt_files:
+            reader = reader.option("ignoreCorruptFiles", "true")
+        return reader.parquet(*([path] if isinstance(path, str) else path))
     raise ValueError(f"unknown format: {fmt}")
 
 
@@ -51,15 +63,14 @@ def read_events(
     skip_corrupt_files: bool = False,
 ) -> DataFrame:
     """Raw events. By default only the fields cleaning needs are decoded."""
-    if fmt != "json":
-        return read_input(spark, path, fmt, schemas.RAW_EVENT)
     schema = schemas.RAW_EVENT if full else schemas.CLEANING_EVENT
-    return read_json_lines(spark, path, schema, name_glob, skip_corrupt_files)
+    return read_input(spark, path, fmt, schema, name_glob, skip_corrupt_files)
 
 
-def read_event_month(spark: SparkSession, folder: str, month: str, **options) -> DataFrame:
+def read_event_month(spark: SparkSession, folder: str, month: str, fmt: str = "json", **options) -> DataFrame:
     """One month (``YYYY-MM``) of hourly archives in a flat folder."""
-    return read_events(spark, folder, name_glob=f"{month}-*.json.gz", **options)
+    suffix = {"json": "json.gz", "parquet": "parquet"}.get(fmt, fmt)
+    return read_events(spark, folder, fmt, name_glob=f"{month}-*.{suffix}", **options)
 
 
 def read_models(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

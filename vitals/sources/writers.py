@@ -6,11 +6,9 @@ job that lost executors, or was run twice, leaves the same data.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +26,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.hint("rebalance").write.mode(mode).parquet(path)
 
 
-def write_events(df: DataFrame, path: str, mode: str = "overwrite", by: str = "event_date") -> None:
-    """Parquet partitioned by day, replacing only the days present in ``df``.
+def write_events(
+    df: DataFrame, path: str, mode: str = "overwrite", by: str = "event_date", replace: str = "days"
+) -> None:
+    """Parquet partitioned by day, replacing the days present in ``df`` or, with
+    ``replace="all"``, whatever the path held.
 
     After the de-duplicating shuffle every task holds rows of every day, and a
     plain partitioned write would leave tasks x days small files. The rebalance
@@ -39,7 +40,7 @@ def write_events(df: DataFrame, path: str, mode: str = "overwrite", by: str = "e
     (
         df.hint("rebalance", by)
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", {"days": "dynamic", "all": "static"}[replace])
         .partitionBy(by)
         .parquet(path)
     )
@@ -62,8 +63,8 @@ def write_bucketed(df: DataFrame, table: str, buckets: int = 256, key: str = "re
 
 
 def copy_range(src: DataFrame, path: str, lo: date | str, hi: date | str) -> None:
-    """Copy a date range to its own dataset; only its partitions are read."""
-    write_events(src.filter(in_range(lo, hi)), path)
+    """Copy a date range to its own dataset, replacing all of it; only its partitions are read."""
+    write_events(src.filter(in_range(lo, hi)), path, replace="all")
 
 
 def _report_ready(df: DataFrame, timestamp_format: str) -> DataFrame:
@@ -123,19 +124,9 @@ def write_era(df: DataFrame, path: str) -> DataFrame:
 
 
 def stored(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
-    """Write once and read back: the durable way to feed several later jobs."""
+    """Write once and read back: the durable way to feed several later jobs. Replaces the path."""
     if by:
-        write_events(df, path, by=by)
+        write_events(df, path, by=by, replace="all")
     else:
         write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def persisted(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a frame that feeds two or more actions; lost blocks are recomputed."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
