@@ -23,12 +23,15 @@ one level of rules at a time.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,27 +42,21 @@ from vitals.llm.tables import slices, stored, text_of, texts
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
-ROUNDS = 5
+ROUNDS = 4
 LEAST = 8
-RECENT = 300_000
+RECENT = 800_000
+PLACES = 64
 BUCKET_BITS = 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def cut(text: str) -> list[str]:
-    """Chunks of a text in which no two white spaces meet: no word of the pattern crosses a cut."""
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-
-def bare(chunk: str) -> str:
-    """The chunk without a full stop or comma after an ASCII letter, which is a word of its own."""
-    return chunk[:-1] if chunk[-1:] in (".", ",") and chunk[-2:-1].isascii() and chunk[-2:-1].isalpha() else chunk
-
-
 class Encoder:
-    """The vocabulary's own library, asked once for each recent space-delimited chunk.
+    """The vocabulary's own library, asked once for each recent chunk of text.
 
-    Texts in which white space meets white space are encoded as a whole.
+    Texts are cut, as bytes and all at once in numpy, before each space, around line ends, and before a full
+    stop or comma between an ASCII letter and white space. Where no two white spaces meet, no word
+    of the vocabulary's pattern crosses such a cut; texts in which they do meet are encoded as a whole.
+    Chunks are known by a 64-bit hash: the sum of random numbers drawn for each byte at each place.
     """
 
     def __init__(self, path: str):
@@ -69,31 +66,89 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.sign = dict(zip(".,", self.ask([".", ","])))
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def ask(self, asked: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(asked, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, rows: Sequence[str]) -> list[bytes]:
-        """Ids of each text as 32-bit integers."""
-        chunks = [None if "\0" in t or WHITE_SPACE_RUN.search(t) else cut(t) for t in rows]
-        wanted = set().union(*(own for own in chunks if own is not None))
-        if len(self.young) > RECENT:
-            self.old, self.young = self.young, {}
-        missing = wanted - self.young.keys()
-        for c in missing & self.old.keys():
-            self.young[c] = self.old[c]
-        new = missing - self.old.keys()
-        asked = list({bare(c) for c in new} - self.young.keys())
-        self.young.update(zip(asked, self.ask(asked)))
-        for c in new - self.young.keys():
-            self.young[c] = self.young[c[:-1]] + self.sign[c[-1]]
-        whole = iter(self.ask([t for t, own in zip(rows, chunks) if own is None]))
-        get = self.young.__getitem__
-        return [next(whole) if own is None else b"".join(map(get, own)) for own in chunks]
+        self.random = np.random.default_rng(1).integers(0, 1 << 64, (PLACES, 256), np.uint64).ravel()
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[int, int] = {}
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each slot's ids
+        self.ids = np.zeros(0, np.uint32)
+
+    def ask(self, asked: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(asked, add_special_tokens=False)]
+
+    def encode(self, rows: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        cut = [i for i, t in enumerate(rows) if t and not WHITE_SPACE_RUN.search(t)]
+        out = [np.zeros(0, np.uint32)] * len(rows)
+        rest = sorted({i for i, t in enumerate(rows) if t} - set(cut))
+        for i, ids in zip(rest, self.ask([rows[i] for i in rest])):
+            out[i] = np.array(ids, np.uint32)
+        for i, ids in zip(cut, self.encode_cut([rows[i].encode() for i in cut])):
+            out[i] = ids
+        return out
+
+    def encode_cut(self, raws: list[bytes]) -> list[np.ndarray]:
+        if not raws:
+            return []
+        buffer = b"".join(raws)
+        data = np.frombuffer(buffer, np.uint8)
+        begins = np.cumsum([0, *map(len, raws)])
+        starts = chunk_starts(data, begins)
+        sizes = np.diff(np.append(starts, len(data)))
+        codes, kinds = pd.factorize(self.keys(data, starts, sizes))
+        slots = self.slots(kinds, codes, starts, sizes, buffer)[codes]
+        n = self.size[slots]
+        ends = np.cumsum(n)
+        ids = self.ids[np.repeat(self.first[slots] - ends + n, n) + np.arange(ends[-1])]
+        chunk = np.searchsorted(starts, begins[1:-1])
+        return np.split(ids, (ends - n)[chunk])
+
+    def keys(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+        # Beyond the last place the numbers repeat; long chunks are told apart by their whole bytes below.
+        place %= PLACES
+        place <<= 8
+        place |= data
+        found = np.add.reduceat(self.random[place], starts)
+        for i in np.flatnonzero(sizes > PLACES):
+            digest = hashlib.blake2b(data[starts[i] : starts[i] + sizes[i]].tobytes(), digest_size=8).digest()
+            found[i] = int.from_bytes(digest, "little")
+        return found
+
+    def slots(self, kinds: np.ndarray, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, buffer: bytes) -> np.ndarray:
+        """Slots of the distinct chunks; unknown ones are encoded and remembered."""
+        if len(self.slot) > RECENT:
+            self.forget()
+        keys = kinds.tolist()
+        known = np.array([self.slot.get(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            sample = np.empty(len(kinds), np.int64)
+            sample[codes] = np.arange(len(codes))
+            at = sample[new]
+            asked = [buffer[a:b].decode() for a, b in zip(starts[at].tolist(), (starts[at] + sizes[at]).tolist())]
+            answers = self.ask(asked)
+            n = np.array([len(x) for x in answers], np.int64)
+            known[new] = len(self.size) + np.arange(len(new))
+            self.slot.update(zip([keys[i] for i in new.tolist()], known[new].tolist()))
+            self.first = np.append(self.first, len(self.ids) + np.cumsum(n) - n)
+            self.size = np.append(self.size, n)
+            self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(answers), np.uint32, int(n.sum())))
+        return known
+
+
+def chunk_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where chunks begin, in texts one after another that begin at ``begins``."""
+    white = (data == 32) | (data == 10)
+    line_end = data == 10
+    start = white.copy()
+    start[1:] |= line_end[:-1]
+    letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+    sign = (data == 44) | (data == 46)
+    start[1:-1] |= sign[1:-1] & letter[:-2] & white[2:]
+    start[begins[:-1]] = True
+    return np.flatnonzero(start)
 
 
 @lru_cache(maxsize=2)
@@ -198,11 +253,11 @@ def write_shards(docs: DataFrame, path: str, end_id: int = END_ID, block_ids: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library, part = encoder(path), TaskContext.get().partitionId()
         base = max(library.library.get_vocab_size(), end_id + 1)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
         held, ids, number, start = [], 0, 0, 0
 
         def close() -> pa.RecordBatch:
-            data = np.frombuffer(b"".join([d for _, d in held]), "<u4")
+            data = np.concatenate([d for _, own in held for d in (own, end)])
             rules, lengths, symbols = compress(data, base)
             block = {
                 "part": part,
@@ -211,20 +266,20 @@ def write_shards(docs: DataFrame, path: str, end_id: int = END_ID, block_ids: in
                 "n_ids": len(data),
                 "base": base,
                 "doc_ids": [i for i, _ in held],
-                "sizes": [len(d) // 4 for _, d in held],
+                "sizes": [len(d) + 1 for _, d in held],
                 "rules": rules.astype("<u4").tobytes(),
                 "lengths": lengths.astype("<u4").tobytes(),
                 "symbols": symbols.astype("<u4").tobytes(),
             }
             return pa.RecordBatch.from_pylist([block], BLOCK)
 
-        for batch in slices(batches):
+        for batch in slices(batches, 4 << 20):
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), library.encode(texts(batch))):
-                if held and ids + len(data) // 4 + 1 > block_ids:
+                if held and ids + len(data) + 1 > block_ids:
                     yield close()
                     number, start, held, ids = number + 1, start + ids, [], 0
-                held.append((doc_id, data + end))
-                ids += len(data) // 4 + 1
+                held.append((doc_id, data))
+                ids += len(data) + 1
         if held:
             yield close()
 
