@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions.ordering import top_k
 from vitals.operators import activity, adoption, cleaning, deepdive, eras, models, profiling, quality, rhythm
-from vitals.operators.joins import label_ai
+from vitals.operators.joins import label_ai, schema_difference
 from vitals.session import shared_path
 from vitals.sources import readers, writers
 
@@ -45,8 +45,8 @@ def add_events_job(
 ) -> DataFrame:
     """Add newly arrived raw files to cleaned events, also when they hold part of a day.
 
-    The cleaned batch is stored first. Only the days it touches are read from
-    the target, de-duplicated together with it and replaced, so a record
+    The cleaned batch is stored first. Only the days it touches, which the calendar
+    bounds, are read from the target, de-duplicated together with it and replaced, so a record
     delivered in two batches is kept once and a repeated run changes nothing.
     """
     cleaned = cleaning.clean_events(readers.read_events(spark, source, fmt))
@@ -58,7 +58,8 @@ def add_events_job(
             raise
         writers.write_events(batch, target)
     else:
-        touched = present.join(batch.select("event_date").distinct(), "event_date", "left_semi")
+        days = [row.event_date for row in batch.select("event_date").distinct().collect()]
+        touched = present.filter(F.col("event_date").isin(days))
         both = batch.unionByName(touched, allowMissingColumns=True)
         writers.write_events(cleaning.dedupe(both, "event_id", [F.col("event_ts")]), target)
     return spark.read.parquet(target)
@@ -210,6 +211,7 @@ def compare_job(new: DataFrame, old: DataFrame, folder: str) -> None:
     writers.export_csv(quality.compare_by_type(new, old), f"{folder}/by_type", ["event_type"])
     writers.export_csv(quality.compare_by_day(new, old), f"{folder}/by_day", ["event_date"])
     writers.export_csv(quality.compare_totals_nulls(new, old), f"{folder}/totals", ["metric"])
+    writers.export_csv(schema_difference(new, old), f"{folder}/schema", ["column"])
 
 
 def package_pivot(downloads: DataFrame, k: int = 8) -> DataFrame:

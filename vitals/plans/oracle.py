@@ -1207,6 +1207,21 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+EXPECTED |= {
+    "models_from_lines": EXPECTED["clean_models"],
+    "models_from_parquet": EXPECTED["clean_models"],
+    "packages_from_lines": EXPECTED["package_totals"],
+    "events_with_supplement": EXPECTED["daily_counts"],
+    "seed_from_array": (("seed",), "SELECT upper(repo_name) AS repo, category, library_name AS hf_library FROM seed"),
+    "schema_difference": (
+        (),
+        """
+        SELECT * FROM (VALUES ('pr_number', 'string', 'bigint'), ('era', 'string', NULL),
+            ('event_id', NULL, 'string')) AS t("column", new_type, old_type)""",
+    ),
+}
+
+
 def _needed(names: tuple[str, ...]) -> list[str]:
     """The named inputs and what they build on, in an order that defines before use."""
     order: list[str] = []

@@ -199,6 +199,52 @@ def exported_report(i: Inputs) -> DataFrame:
     return readers.read_csv(i.spark, path, "event_id STRING, event_type STRING, event_ts STRING, repo_name STRING")
 
 
+def models_from_lines(i: Inputs) -> DataFrame:
+    """Models delivered as JSON lines, read and cleaned."""
+    path = shared_path(i.spark, "models")
+    i.raw_md.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+    return cleaning.clean_models(readers.read_models(i.spark, path))
+
+
+def models_from_parquet(i: Inputs) -> DataFrame:
+    """The same models stored as Parquet in four files."""
+    path = shared_path(i.spark, "models")
+    writers.write_raw(i.raw_md, path, files=4)
+    return cleaning.clean_models(readers.read_models(i.spark, path, fmt="parquet"))
+
+
+def seed_from_array(i: Inputs) -> DataFrame:
+    """The curated list delivered as one JSON array."""
+    path = shared_path(i.spark, "seed")
+    i.seed.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).write.text(path)
+    return readers.read_seed(i.spark, path).select("repo", "category", "hf_library")
+
+
+def packages_from_lines(i: Inputs) -> DataFrame:
+    """Downloads delivered as JSON lines with quoted numbers."""
+    path = shared_path(i.spark, "packages")
+    quoted = F.struct("project", "month", F.col("downloads").cast("string").alias("downloads"))
+    i.pkg.select(F.to_json(quoted).alias("value")).write.text(path)
+    return profiling.package_totals(readers.read_package_downloads(i.spark, path))
+
+
+def events_with_supplement(i: Inputs) -> DataFrame:
+    """Events in two stored parts, the second optional, and a third that does not exist."""
+    first, second = (shared_path(i.spark, name) for name in ("events", "supplement"))
+    early = F.col("event_date") < F.lit("2024-01-16").cast("date")
+    writers.write_events(i.ev.filter(early), first)
+    writers.write_table(i.ev.filter(~early).drop("payload_action"), second)
+    both = readers.union_optional(readers.read_table_or_path(i.spark, "no_such_table", first), second)
+    return quality.daily_counts(readers.union_optional(both, f"{second}-missing"))
+
+
+def schema_changes(i: Inputs) -> DataFrame:
+    """Columns lost, added or changed between two versions."""
+    old = i.ev.select("event_id", "event_type", "pr_number")
+    new = i.ev.select("event_type", F.col("pr_number").cast("string").alias("pr_number"), "era")
+    return joins.schema_difference(new, old)
+
+
 def approximate_summary(i: Inputs) -> DataFrame:
     """Whether the estimated distinct counts are within three standard errors of the exact ones."""
     exact = eras.era_summary(i.ev, exact=True).alias("e")
@@ -363,6 +409,12 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "cleaned_from_files": cleaned_from_files,
     "stored_events": stored_events,
     "stored_eras": stored_eras,
+    "models_from_lines": models_from_lines,
+    "models_from_parquet": models_from_parquet,
+    "seed_from_array": seed_from_array,
+    "packages_from_lines": packages_from_lines,
+    "events_with_supplement": events_with_supplement,
+    "schema_difference": schema_changes,
     "exported_metrics": exported_metrics,
     "exported_report": exported_report,
     # building blocks
