@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -51,3 +52,21 @@ def test_empty_table_and_null_ids(spark, documents):
     assert repair.read_documents(repair.write_shards(documents([]), PATH)).collect() == []
     found = repair.read_documents(repair.write_shards(documents([(None, "a"), (0, "b")]), PATH)).collect()
     assert sorted((r.start, r.doc_id is None) for r in found) == [(0, True), (2, False)]
+
+
+def test_ids_of_odd_texts_equal_the_library():
+    rng = random.Random(5)
+    letters = list("abcdeth  \n\t.,'!<|>0129éß 你\U0001f600 _-")
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(2000)]
+    texts += ["", " ", "a <|endoftext|> b", "\n", "a.\nb, c. d", ".", ",", "x." * 200 + " y", "a" * 500 + " " + "a" * 500, "\0a\0 b"]
+    mine = repair.Encoder(PATH)
+    for _ in range(2):  # the second time from memory
+        for text, ids in zip(texts, mine.encode(texts), strict=True):
+            assert ids.tolist() == mine.library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_memory_that_overflows_changes_nothing(monkeypatch):
+    monkeypatch.setattr(repair, "RECENT", 2)
+    mine = repair.Encoder(PATH)
+    for text in ["one two three", "four five. six", "one two three"]:
+        assert mine.encode([text])[0].tolist() == mine.library.encode(text, add_special_tokens=False).ids
