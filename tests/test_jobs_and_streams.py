@@ -115,7 +115,7 @@ def test_profile_compare_and_pivot_jobs(spark, cleaned, raw_folder, tmp_path):
     jobs.profile_job(data.raw_models(spark, SF), str(tmp_path / "models"), "models")
     assert len(os.listdir(tmp_path / "models")) == 7
     jobs.compare_job(cleaned, cleaned.filter("event_type <> 'ForkEvent'"), str(tmp_path / "cmp"))
-    assert sorted(os.listdir(tmp_path / "cmp")) == ["by_day", "by_type", "totals"]
+    assert sorted(os.listdir(tmp_path / "cmp")) == ["by_day", "by_type", "schema", "totals"]
     pivot = jobs.package_pivot(data.package_downloads(spark, SF), 3)
     assert len(pivot.columns) == 4
 
