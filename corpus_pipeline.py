@@ -1,7 +1,8 @@
 """From documents to token ids: five stages over the whole corpus, each written and read again.
 
 1. ``quality``: the byte-level network drops documents that it rejects.
-2. ``near_duplicates``: one document of each SimHash group stays, that of the smallest id.
+2. ``near_duplicates``: of each group of documents linked by sharing 0.8 of their five-word shingles one
+   stays, that of the smallest id; SimHash proposes the groups.
 3. ``personal_data``: spans of personal data are replaced by their kind.
 4. ``mix``: documents are replicated or left out so that sources meet their target weights, and
    shuffled.
@@ -23,8 +24,8 @@ from vitals.llm import bpe, mixing, pii, quality, simhash
 from vitals.llm.tables import ship, stored, table
 
 COLUMNS = "doc_id text lang source n_chars".split()
-# Fingerprints of two-word shingles within seven bits: of the pairs that share 0.8 or more of their
-# five-word shingles these link most, and hardly any that share less than half (README).
+# Candidates are fingerprints of two-word shingles within seven bits, which find most of the pairs that
+# share 0.8 or more of their five-word shingles (README); the exact check is in ``one_of_each``.
 NEAR = {"width": 2, "threshold": 7, "parts": 4}
 # A trained classifier and 64-bit fingerprints have no SQL form; tests hold the result against a
 # brute-force version.

@@ -116,3 +116,30 @@ def test_one_hot_group_of_copies(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "the hot text again").otherwise(F.concat(F.lit("text number "), F.col("id") * 7919)).alias("text"))
     hot = [r.component_id for r in simhash.near_duplicates(docs).filter("doc_id % 3 = 0").collect()]
     assert len(hot) == 1000 and set(hot) == {0}
+
+
+def test_only_texts_that_share_enough_shingles_are_removed(spark, documents):
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(300)]
+
+    def edited(n):
+        words = list(base)
+        for k in rng.sample(range(0, 300, 6), n):
+            words[k] = f"e{rng.randint(0, 9999)}"
+        return " ".join(words)
+
+    rows = [(i, edited(i % 30)) for i in range(120)] + [(500, ""), (501, "\n"), (502, "one two"), (503, "One two"), (504, "one three")]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in rows for w in [t.lower().split()]}
+    prints = {i: simhash.fingerprint(t, 2) for i, t in rows}
+    bits = [(a, b) for a in sets for b in sets if a < b and (prints[a] ^ prints[b]).bit_count() <= 7]
+    candidate = classes(bits, sets)
+    near = [(a, b) for a in sets for b in sets if a < b and candidate[a] == candidate[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    expected = {a for a, b in classes(near, sets).items() if a == b}
+    assert len(expected) > len({b for b in candidate.values()})
+    docs = documents(rows)
+    assert {r.doc_id for r in simhash.one_of_each(docs, 2, 7, 4).collect()} == expected
+    cut = spark.createDataFrame([(1, i, t, 4000) for i, t in rows], "root long, text_hash long, text string, bytes long")
+    links = [(a, b) for a in sets for b in sets if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    for side in (1000, 4000):
+        found = simhash.text_links(cut, side=side).collect()
+        assert classes([(r.u, r.v) for r in found], sets) == classes(links, sets)

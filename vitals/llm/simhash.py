@@ -16,12 +16,17 @@ are reduced to one link per member to the smallest of its local component, so a
 of near copies yields as many links as members, not all its pairs. Anchors with more than ``CELL``
 members are cut into square blocks of bounded size that cover all pairs. Equal
 fingerprints are reduced to one before all this. Components are then joined across anchors.
+
+*Exact check.* Where rows are to be removed (``one_of_each``), components of fingerprints are only candidates:
+in each, texts are linked if the Jaccard similarity of their shingles is high enough, and components
+of these links count. Large candidates are cut into blocks that cover all pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,20 +44,33 @@ SEED = 42
 CELL = 4096
 # Comparisons made in one numpy step.
 AT_ONCE = 1 << 20
+# Texts are near-duplicates if they share at least this much, as a fraction, of their shingles of so many words.
+SHINGLE = 5
+SIMILAR = 4, 5
+# Texts of one side of a block in which shingles are compared.
+SIDE_BYTES = 32 << 20
 MEMBER = np.dtype([("key", np.int64), ("home", bool), ("fp", np.uint64)])
 
 
-def fingerprint(text: str, width: int) -> int:
+def shingles(text: str, width: int) -> np.ndarray:
+    """Hash of each shingle, repeats included; fewer words than ``width`` are one, none are none."""
     words = text.encode().lower().split()  # bytes: only A-Z is lowered, only \x09-\x0D and space split
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     n = max(1, len(words) - width + 1)
     starts = np.concatenate([[0], ends[: n - 1] + 1]).tolist()
     stops = ends[len(words) - n :].tolist()
     h = xxhash.xxh64_intdigest
-    hashes = np.array([h(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
+    return np.array([h(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
+
+
+def fingerprint(text: str, width: int) -> int:
+    hashes = shingles(text, width)
+    n = len(hashes)
+    if not n:
+        return 0
     votes = np.zeros(BITS, np.int64)
     for k in range(0, n, 1 << 16):
         part = hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -249,6 +267,7 @@ def links(blocks: DataFrame, threshold: int) -> DataFrame:
 def _linked(docs: DataFrame, width: int, threshold: int, parts: int) -> tuple[DataFrame, DataFrame]:
     """Fingerprints of all rows, and for each distinct one its ``root``, the same within a component."""
     rows = docs.select("doc_id", text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
     prints = stored(with_fingerprints(rows, width).drop("text"), "prints")
     distinct = stored(prints.select("fp").distinct(), "distinct")
     members = stored(anchored(distinct, threshold, parts), "members")
@@ -274,18 +293,133 @@ def near_duplicates(docs: DataFrame, width: int = 4, threshold: int = 4, parts:
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def similar_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """One link per member to the first of its component: from, to. Sets of distinct hashes are linked
+    if their Jaccard similarity is at least ``SIMILAR``.
+
+    Such sets share one of their rarest members, of which as many count as the other may lack, and
+    one more. A component grows by comparing its newest member with the sets outside it that do.
+    """
+    over, under = SIMILAR
+    sizes = np.array([len(s) for s in sets], np.int64)
+    label = np.full(len(sets), -1)
+    empty = np.flatnonzero(sizes == 0)
+    label[empty] = empty[:1]
+    starts = np.cumsum(sizes) - sizes
+    _, member, often = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
+    rank = np.empty(len(often), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(often))
+    member = rank.astype(np.int32)[member]
+    for a, n in zip(starts.tolist(), sizes.tolist()):
+        member[a : a + n].sort()
+    few = np.where(sizes > 0, sizes + (-over * sizes // under) + 1, 0)
+    at = spread(starts, few)
+    rare, holder = member[at], np.repeat(np.arange(len(sets)), few)
+    by = np.argsort(rare, kind="stable")
+    holder, edge = holder[by], np.searchsorted(rare[by], np.arange(len(often) + 1))
+    own = np.zeros(len(often), bool)
+    outside = np.flatnonzero(label < 0)
+    for first in range(len(sets)):
+        if label[first] >= 0:
+            continue
+        label[first] = first
+        todo = [first]
+        while todo:
+            i = todo.pop()
+            outside = outside[label[outside] < 0]
+            if not len(outside):
+                break
+            mine = member[starts[i] : starts[i] + sizes[i]]
+            begin, stop = edge[mine[: few[i]]], edge[mine[: few[i]] + 1]
+            near = outside
+            if (stop - begin).sum() < sizes[outside].sum():
+                near = np.unique(holder[spread(begin, stop - begin)])
+                near = near[label[near] < 0]
+            near = near[(under * np.minimum(sizes[near], sizes[i]) >= over * np.maximum(sizes[near], sizes[i])) & (sizes[near] > 0)]
+            own[mine] = True
+            for part in np.array_split(near, max(1, sizes[near].sum() // AT_ONCE)):
+                if len(part):
+                    hits = own[member[spread(starts[part], sizes[part])]]
+                    shared = np.add.reduceat(hits, np.cumsum(sizes[part]) - sizes[part], dtype=np.int64)
+                    part = part[under * shared >= over * (sizes[part] + sizes[i] - shared)]
+                    label[part] = first
+                    todo += part.tolist()
+            own[mine] = False
+    linked = np.flatnonzero(label != np.arange(len(sets)))
+    return list(zip(linked.tolist(), label[linked].tolist()))
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of ranges, one range after another."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def text_links(members: DataFrame, width: int = SHINGLE, side: int = SIDE_BYTES) -> DataFrame:
+    """Links ``u``, ``v`` of text hashes that connect exactly what links of similar texts of one ``root`` connect.
+
+    ``members`` has ``root``, ``text_hash``, ``text``, and ``bytes``, the size of all texts of the
+    root. A root of more than ``side`` bytes is cut into blocks, one for each pair of its parts.
+    """
+    n = F.ceil(F.col("bytes") / side).cast("int")
+    mine = F.pmod(F.xxhash64("text_hash"), n).cast("int")
+    every = F.transform(F.sequence(F.lit(0), n - 1), lambda c: F.struct(F.least(mine, c).alias("row"), F.greatest(mine, c).alias("col")))
+    keys = ["root", "row", "col"]
+    blocks = members.select("root", "text_hash", "text", F.inline(every))
+    ordered = blocks.repartition(*keys).sortWithinPartitions(*keys, "text_hash")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in slices(batches):
+            for *key, text_hash, text in zip(*(batch.column(c).to_pylist() for c in (*keys, "text_hash", "text"))):
+                yield tuple(key), text_hash, np.unique(shingles(text, width))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u, v = [], []
+        for _, block in groupby(rows(batches), itemgetter(0)):
+            _, hashes, sets = zip(*block)
+            for a, b in similar_links(list(sets)):
+                u.append(hashes[a])
+                v.append(hashes[b])
+            if len(u) > CELL:
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+                u, v = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return ordered.mapInArrow(run, "u bigint, v bigint")
+
+
+def _rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with an id and text hash of ``wanted``, equal ones once; the columns of
+    ``wanted`` are added with an underscore before their names."""
+    wanted = wanted.select(*(F.col(c).alias(f"_{c}") for c in wanted.columns))
+    hashed = docs.withColumn("_hash", F.xxhash64(text_of()))
+    same = hashed["doc_id"].eqNullSafe(wanted["_doc_id"]) & (hashed["_hash"] == wanted["_text_hash"])
+    once = W.partitionBy("doc_id", "_hash").orderBy("doc_id")
+    return hashed.join(wanted, same).withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n", "_hash")
+
+
 def one_of_each(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the one of the smallest id
-    (rows without an id last), by text hash where an id repeats; of equal rows one."""
+    (rows without an id last), by text hash where an id repeats; of equal rows one.
+
+    Fingerprints only propose: rows are linked if links of fingerprints connect them and
+    the Jaccard similarity of their shingles of ``SHINGLE`` words is at least ``SIMILAR``.
+    """
     prints, roots = _linked(docs, width, threshold, parts)
     this = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    least = prints.groupBy("fp").agg(F.min(this).alias("row"))
-    kept = roots.join(least, "fp").groupBy("root").agg(F.min("row").alias("row")).select("row.doc_id", "row.text_hash")
-    hashed = docs.withColumn("_hash", F.xxhash64(text_of()))
-    same = hashed["doc_id"].eqNullSafe(kept["doc_id"]) & (hashed["_hash"] == kept["text_hash"])
-    rows = hashed.join(kept, same).select(hashed["*"])
-    once = W.partitionBy("doc_id", "_hash").orderBy("doc_id")
-    return rows.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n", "_hash")
+    nodes = stored(
+        prints.groupBy("text_hash", "fp").agg(F.min(this).alias("row"), F.max("n_bytes").alias("n_bytes")).join(roots, "fp"), "nodes"
+    )
+    several = nodes.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("sum")).filter("n > 1")
+    # Texts without bytes make a block, too.
+    asked = nodes.join(several, "root").select("root", "row.doc_id", "text_hash", F.greatest("sum", F.lit(1)).alias("bytes"))
+    rows = _rows_of(docs.select("doc_id", "text"), asked).select("_root", "_text_hash", text_of().alias("text"), "_bytes")
+    found = stored(text_links(rows.toDF("root", "text_hash", "text", "bytes")), "similar")
+    joined = components(found).withColumnRenamed("u", "text_hash")
+    kept = (
+        nodes.join(joined, "text_hash", "left").groupBy(F.coalesce("v", "text_hash").alias("class")).agg(F.min("row").alias("row"))
+        .select("row.doc_id", "row.text_hash")
+    )
+    return _rows_of(docs, kept).select(*docs.columns)
 
 
 def hexadecimal(fp: Column) -> Column:
