@@ -81,3 +81,14 @@ def test_scores_are_cosines_of_extreme_vectors(spark):
 def test_empty_tables(spark):
     df = frame(spark, clustered(10))
     assert vptree.nearest(df.limit(0), df).collect() == [] == vptree.nearest(df, df.filter(F.lit(False))).collect()
+
+
+def test_more_ties_than_a_search_keeps_are_ranked_by_id(spark):
+    rng = np.random.default_rng(3)
+    query = np.eye(8)[0]
+    across = np.zeros((300, 8))
+    across[:, 1:] = rng.normal(size=(300, 7))  # cosine 0 to the query
+    scaled = np.outer(2.0 ** rng.permutation(np.arange(-60, 60)), [0, 0, 0, 1, 2, 2, 4, 0])
+    df = frame(spark, [query, *across, *scaled])
+    out = found(vptree.nearest(df, df.filter("vec_id in (0, 400)")))
+    assert out == {0: [1, 2, 3, 4, 5], 400: [301, 302, 303, 304, 305]}

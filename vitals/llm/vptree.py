@@ -11,7 +11,8 @@ Equal vectors are indexed as one, with their ``k + 1`` smallest ids: no query ca
 of them. Queries with equal vectors are searched once. Shards and blocks of queries have bounded
 sizes; every block meets every shard, and each pair returns its best, of which the best of all are
 merged. A block's queries go through a tree together, first each to the leaf it belongs to, for a
-first bound, then through all that the bound leaves.
+first bound, then through all that the bound leaves. Distances are rounded, so all vectors that
+rounding could bring among the best are kept, however many, and ranked by their exact scores and ids.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ FACTOR = 1.0
 SHARD = 4096
 BLOCK = 1024
 LEAF = 64
-# Kept by each search beyond what the rank needs, for ties.
+# Kept by each search beyond what the rank needs, for ids that occur with several vectors.
 SPARE = 10
 SLACK = 1e-7
 
@@ -91,12 +92,28 @@ class Search:
         self.distance = np.full((len(queries), k), np.inf)
         self.bound = np.full(len(queries), np.inf)
         self.visited = 0
+        # Squared distances of unit vectors are off by less than this.
+        self.rounding = 16 * (unit.shape[1] + 4) * np.finfo(float).eps
+        self.hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if len(nodes):
             self.descend(0, np.arange(len(queries)))
             self.distance[:] = np.inf
             self.found[:] = -1
+            self.hits.clear()
             self.visit(0, np.arange(len(queries)))
 
+    def limit(self, who: np.ndarray) -> np.ndarray:
+        """Distances up to which a vector may be among the best."""
+        return np.sqrt(self.bound[who] ** 2 + self.rounding)
+
+    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and rows of all pairs within the limit: the ``k`` best and what may tie with them."""
+        if not self.hits:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        who, rows, d = (np.concatenate(side) for side in zip(*self.hits))
+        near = d <= self.limit(who)
+        return who[near], rows[near]
+
     def leaf(self, node: np.void, who: np.ndarray) -> None:
         rows = self.order[node["start"] : node["stop"]]
         self.visited += len(who) * len(rows)
@@ -106,6 +123,8 @@ class Search:
         self.distance[who] = np.take_along_axis(d, best, 1)
         self.found[who] = np.take_along_axis(ids, best, 1)
         self.bound[who] = np.minimum(self.bound[who], self.distance[who].max(1))
+        query, place = np.nonzero(d[:, self.k :] <= self.limit(who)[:, None])
+        self.hits.append((who[query], rows[place], d[query, self.k + place]))
 
     def descend(self, number: int, who: np.ndarray) -> None:
         node = self.nodes[number]
@@ -127,7 +146,7 @@ class Search:
         d = distances(self.queries[who], self.unit[node["vantage"]][None])[:, 0]
         for child in ("near", "far"):
             least = np.maximum(node[f"{child}_lo"] - d, d - node[f"{child}_hi"])
-            some = who[self.factor * (least - SLACK) <= self.bound[who]]
+            some = who[self.factor * (least - SLACK) <= self.limit(who)]
             if len(some):
                 self.visit(node[child], some)
 
@@ -219,13 +238,21 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, factor: fl
                 original = asked.field("vector").flatten().to_numpy().reshape(len(asked), -1)
                 unit = normalized(data)
                 own = Search(unit, nodes, order, normalized(original), min(most, len(unit)), factor)
-                who, place = np.nonzero(own.found >= 0)
-                found = own.found[who, place]
+                who, found = own.candidates()
+                score = np.empty(len(who))
+                for at in range(0, len(who), step := max(1, (1 << 22) // data.shape[1])):
+                    score[at : at + step] = cosine(original[who[at : at + step]], data[found[at : at + step]])
+                least = row["ids"].values
+                smallest = least.flatten().to_numpy()[least.offsets.to_numpy()[:-1] - least.offsets[0].as_py()]
+                by = np.lexsort((smallest[found], -score, who))
+                edge = np.searchsorted(who[by], np.arange(len(asked)))
+                by = by[np.arange(len(by)) - edge[who[by]] < most]
+                who, found, score = who[by], found[by], score[by]
                 yield pa.RecordBatch.from_arrays(
                     [
                         asked.field("key").take(pa.array(who)),
                         row["ids"].values.take(pa.array(found)),
-                        pa.array(cosine(original[who], data[found])),
+                        pa.array(score),
                     ],
                     ["key", "vec_ids", "score"],
                 )
