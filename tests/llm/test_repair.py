@@ -70,3 +70,18 @@ def test_a_memory_that_overflows_changes_nothing(monkeypatch):
     mine = repair.Encoder(PATH)
     for text in ["one two three", "four five. six", "one two three"]:
         assert mine.encode([text])[0].tolist() == mine.library.encode(text, add_special_tokens=False).ids
+
+
+def test_rounds_go_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(4)
+    copies = np.tile(rng.integers(0, 50_000, 1000).astype(np.uint32), 1000)
+    rules, _, symbols = repair.compress(copies, 50_257)
+    assert len(symbols) < 1200 and (repair.expand(rules, 50_257, symbols) == copies).all()
+    for ids in (rng.zipf(1.3, 100_000) % 40_000, rng.integers(0, 3, 5000)):
+        rules, _, symbols = repair.compress(ids.astype(np.uint32), 50_257)
+        counts, last = {}, {}
+        for i, pair in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist())):
+            if last.get(pair, -2) < i - 1:
+                counts[pair], last[pair] = counts.get(pair, 0) + 1, i
+        assert max(counts.values(), default=0) < repair.LEAST
+        assert (repair.expand(rules, 50_257, symbols) == ids).all()

@@ -13,7 +13,7 @@ symbols         the compressed sequence, 32-bit
 ==============  =====================================================================
 
 *Compression.* Rounds replace frequent adjacent pairs by new symbols until no pair is frequent
-enough to pay for its rule, or ``ROUNDS`` are done. A round counts all pairs of a block, takes those above
+enough to pay for its rule. A round counts all pairs of a block, takes those above
 a limit that falls from round to round, and replaces their occurrences where they do not overlap. A pair's symbols may be symbols of
 earlier rounds, so rules nest.
 
@@ -42,11 +42,10 @@ from vitals.llm.tables import slices, stored, text_of, texts
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
-ROUNDS = 4
 LEAST = 8
 RECENT = 800_000
 PLACES = 64
-BUCKET_BITS = 16
+BUCKET_BITS = 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -156,44 +155,56 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules, their expansion lengths, and the remaining symbols; ``base`` exceeds every id.
 
-    Pairs are counted in hash buckets. A bucket stands for the pair that was last seen in it; the
-    others wait for a later round, in which their neighbours have changed.
+    Without ``rounds`` it ends when no pair occurs ``least`` times without overlap. Counts are exact; hash
+    buckets only leave out pairs that cannot reach the limit.
     """
     symbols = ids.astype(np.uint32)
-    rules, sizes, limit = [np.empty((0, 2), np.uint32)], np.ones(0, np.int64), 0
-    for turn in range(rounds):
-        if len(symbols) < 2:
-            break
+    rules, sizes, limit, turn = [np.empty((0, 2), np.uint32)], np.ones(0, np.int64), 0, 0
+    while len(symbols) >= 2 and (rounds is None or turn < rounds):
         keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        # In a run of one symbol every second pair counts: only these can all be replaced.
+        use = np.ones(len(keys), bool)
+        same = np.flatnonzero(keys[1:] == keys[:-1]) + 1
+        first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+        place = np.arange(len(same)) - np.repeat(first, np.diff(np.append(first, len(same))))
+        use[same[place % 2 == 0]] = False
         bucket = ((keys * MULTIPLIER) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-        pair = np.zeros(1 << BUCKET_BITS, np.uint64)
-        pair[bucket] = keys
-        own = pair[bucket] == keys
-        counts = np.bincount(bucket[own], minlength=len(pair))
+        most = np.bincount(bucket[use], minlength=1 << BUCKET_BITS)
         # The limit falls by rounds from a share of the highest count to the least that pays.
-        limit = max(least, int(counts.max()) // 16 if turn == 0 else limit // 16)
-        at = np.flatnonzero((counts >= limit)[bucket] & own)
-        # Of a run of adjacent occurrences every second one is taken, so none overlap.
-        first = np.flatnonzero(np.diff(at, prepend=-2) != 1)
-        place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-        at = at[place % 2 == 0]
-        taken = np.bincount(bucket[at], minlength=len(pair)) >= least
-        at = at[taken[bucket[at]]]
-        if len(at):
-            chosen = np.flatnonzero(taken)
-            rule = np.stack([pair[chosen] >> np.uint64(32), pair[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
-            number = np.zeros(len(pair), np.uint32)
-            number[chosen] = base + len(sizes) + np.arange(len(chosen))
-            symbols[at] = number[bucket[at]]
-            symbols = np.delete(symbols, at + 1)
-            side = np.append(sizes, 1)[np.where(rule >= base, rule.astype(np.int64) - base, -1)]
-            rules.append(rule)
-            sizes = np.append(sizes, side.sum(1))
-        elif limit == least:
-            break
+        limit = max(least, int(most.max()) // 16 if turn == 0 else limit // 16)
+        turn += 1
+        at = np.flatnonzero(use & (most >= limit)[bucket])
+        codes, kinds = pd.factorize(keys[at])
+        counts = np.bincount(codes, minlength=len(kinds))
+        frequent = (counts >= limit)[codes]
+        at, codes = at[frequent], codes[frequent]
+        if not len(at):
+            if limit == least:
+                break
+            continue
+        # Where two occurrences overlap the more frequent pair is taken, so the first of all keeps every one.
+        order = np.empty(len(kinds), np.int64)
+        # Equal counts are ordered by hash, as an order along the text would let only one of a chain through.
+        order[np.lexsort((kinds * MULTIPLIER, counts))] = np.arange(len(kinds))
+        prior = order[codes]
+        beside = np.diff(at) == 1
+        free = np.ones(len(at), bool)
+        free[1:] &= ~(beside & (prior[:-1] > prior[1:]))
+        free[:-1] &= ~(beside & (prior[1:] > prior[:-1]))
+        taken = np.bincount(codes[free], minlength=len(kinds)) >= least
+        free &= taken[codes]
+        at, codes, chosen = at[free], codes[free], np.flatnonzero(taken)
+        rule = np.stack([kinds[chosen] >> np.uint64(32), kinds[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
+        number = np.zeros(len(kinds), np.uint32)
+        number[chosen] = base + len(sizes) + np.arange(len(chosen))
+        symbols[at] = number[codes]
+        symbols = np.delete(symbols, at + 1)
+        side = np.append(sizes, 1)[np.where(rule >= base, rule.astype(np.int64) - base, -1)]
+        rules.append(rule)
+        sizes = np.append(sizes, side.sum(1))
     return np.concatenate(rules), sizes, symbols
 
 
