@@ -1,6 +1,6 @@
 import random
 
-from conftest import pr, push, rows, star
+from frames import pr, push, rows, star
 
 from vitals.operators import activity, joins, risk
 from vitals.operators.activity import bus_factor

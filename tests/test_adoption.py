@@ -2,7 +2,7 @@ import math
 
 import pytest
 from brute import average_ranks, pearson
-from conftest import rows
+from frames import rows
 
 from vitals.operators import adoption
 

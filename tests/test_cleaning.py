@@ -2,7 +2,7 @@ import gzip
 import json
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from vitals import schemas

@@ -1,6 +1,6 @@
 import math
 
-from conftest import pr, push, rows, star
+from frames import pr, push, rows, star
 
 from vitals.functions import columns as C
 from vitals.operators import eras, rhythm

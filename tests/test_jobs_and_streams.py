@@ -2,7 +2,7 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from vitals.operators.cleaning import clean_events

@@ -1,5 +1,5 @@
 from brute import pearson
-from conftest import push, rows, star
+from frames import push, rows, star
 
 from vitals.operators import joins, models, profiling, quality
 

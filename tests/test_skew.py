@@ -4,7 +4,7 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from vitals.operators import activity, cleaning, eras, rhythm

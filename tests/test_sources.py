@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import push, rows, star
+from frames import push, rows, star
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
