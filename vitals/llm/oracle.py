@@ -177,4 +177,132 @@ SELECT query_id, rank, vec_id, score FROM (
 ) WHERE rank <= 5
 """
 
-ORACLE_SQL = {"op3_vantage_points": NEAREST, "op5_poisson_mix": MIXING, "op2_pii": PII, "op6_repetition": REPETITION, "op10_chat": CHAT}
+# The remainders of all bytes, for ``crc32`` below.
+CRC_OF = """codes AS (
+    SELECT list_transform(range(256), lambda x: list_reduce([x] || [0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc_of
+)"""
+
+
+def crc32(text: str) -> str:
+    """The unsigned crc32 of a text of code points below 2048, in UTF-8."""
+    points = f"list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END)"
+    return f"xor(4294967295, list_reduce([4294967295] || flatten({points}), lambda c, b: xor(c >> 8, crc_of[xor(c & 255, b) + 1])))"
+
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_OF}, runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+    ) GROUP BY ALL
+), hashed AS (
+    SELECT run, n, {crc32("doc_id || ':' || run")} AS h
+    FROM runs, codes WHERE length(run) >= 7
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed
+    ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (
+    SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM words, unnest(range(1, length(word) + 1)) AS t(i)
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, min((-n, other)) AS best FROM near GROUP BY word
+), formed AS (
+    SELECT w.word, CASE WHEN -best[1] >= 10 * n THEN best[2] END AS form, n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN -best[1] >= 10 * n THEN -best[1] END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), followed AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL
+    SELECT f.word, t.form FROM followed f JOIN formed t ON f.root = t.word WHERE t.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM formed JOIN (SELECT f.word, f.root FROM followed f JOIN formed t ON f.root = t.word WHERE t.form IS NULL) USING (word)
+"""
+
+WHITE = r"\x20\x09-\x0D"
+CONVERSATIONS = rf"""
+WITH RECURSIVE {CRC_OF}, hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h
+    FROM conversations, codes
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hashed, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copies(copy)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+        count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS c
+    FROM damaged
+), turns AS (
+    SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair,
+        CASE WHEN NOT regexp_matches(text, '[^{WHITE}]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?][{WHITE}]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM placed
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id
+), back AS (  -- cost left before turn i: nothing yet, after s, after u, after a
+    SELECT DISTINCT conv_id, n + 1 AS i, 0 AS w0, 10 AS w1, 5 AS w2, 0 AS w3 FROM turns
+    UNION ALL
+    SELECT conv_id, i, least(e0, 5 + e2, 10 + e3), least(e1, 5 + e2, 10 + e3), least(e2, 5 + e3), least(e3, 5 + e2) FROM (
+        SELECT t.conv_id, t.i,
+            least(w0 + 2, x + least(w2 + 1, CASE c WHEN 's' THEN w1 WHEN 'u' THEN w2 ELSE 99999 END)) AS e0,
+            least(w1 + 2, x + least(w2 + 1, CASE c WHEN 'u' THEN w2 ELSE 99999 END)) AS e1,
+            least(w2 + 2, x + least(w3 + 1, CASE c WHEN 'a' THEN w3 ELSE 99999 END)) AS e2,
+            least(w3 + 2, x + least(w2 + 1, CASE c WHEN 'u' THEN w2 ELSE 99999 END)) AS e3
+        FROM back b JOIN (
+            SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 99999 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS x FROM turns
+        ) t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.i = b.i - 1
+    )
+), places AS (
+    SELECT b.*, c, fault, role, text, n.w0 AS v0, n.w1 AS v1, n.w2 AS v2, n.w3 AS v3,
+        CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS x
+    FROM back b LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.i = b.i
+    LEFT JOIN back n ON n.conv_id IS NOT DISTINCT FROM b.conv_id AND n.i = b.i + 1
+), traced AS (
+    SELECT conv_id, 1::BIGINT AS i, 0 AS q, '' AS audit, []::VARCHAR[] AS fixed FROM (SELECT DISTINCT conv_id FROM turns)
+    UNION ALL
+    SELECT conv_id, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+        CASE WHEN edit = 'D' THEN q WHEN edit = 'K' AND c = 's' THEN 1 ELSE onward END, audit || edit,
+        fixed || CASE edit WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+            ELSE [CASE onward WHEN 2 THEN 'user:' ELSE 'assistant:' END || CASE edit WHEN 'R' THEN text ELSE '' END] END
+    FROM (
+        SELECT t.*, c, role, text, CASE q WHEN 2 THEN 3 ELSE 2 END AS onward, CASE
+            WHEN [v0, v1, v2, v3][q + 1] + 2 = [w0, w1, w2, w3][q + 1] THEN 'D'
+            WHEN 5 + CASE q WHEN 2 THEN w3 ELSE w2 END = [w0, w1, w2, w3][q + 1] AND (p.fault IS NOT NULL OR q IN (1, 2)) THEN 'I'
+            WHEN p.fault IS NULL THEN NULL
+            WHEN x + CASE WHEN q = 0 AND c = 's' THEN v1 WHEN q <> 2 AND c = 'u' THEN v2 WHEN q = 2 AND c = 'a' THEN v3 ELSE 99999 END
+                = [w0, w1, w2, w3][q + 1] THEN 'K'
+            ELSE 'R' END AS edit
+        FROM traced t JOIN places p ON p.conv_id IS NOT DISTINCT FROM t.conv_id AND p.i = t.i
+    ) WHERE edit IS NOT NULL
+), ended AS (
+    SELECT t.conv_id, audit, array_to_string(fixed, chr(10)) AS fixed, b.w0 AS cost
+    FROM traced t JOIN counted USING (conv_id) JOIN back b ON b.conv_id = t.conv_id AND b.i = 1
+    WHERE q IN (0, 3) AND t.i = (SELECT max(n) + 1 FROM turns n WHERE n.conv_id = t.conv_id)
+    QUALIFY row_number() OVER (PARTITION BY t.conv_id ORDER BY length(audit) DESC) = 1
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(fixed, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (conv_id) LEFT JOIN ended USING (conv_id)
+"""
+
+ORACLE_SQL = {
+    "op2_pii": PII,
+    "op3_vantage_points": NEAREST,
+    "op5_poisson_mix": MIXING,
+    "op6_repetition": REPETITION,
+    "op10_chat": CHAT,
+    "op11_spelling_variants": SPELLING,
+    "op12_conversation_repair": CONVERSATIONS,
+}

@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitals.llm import bpe, chat, mixing, pii, quality, repair, repetition, simhash, toxicity, vptree
+from vitals.llm import bpe, chat, mixing, pii, quality, repair, repetition, simhash, spelling, toxicity, viterbi, vptree
 from vitals.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,14 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, table(spark, sf_dir, "conversations"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: list[Query] = [
     op1_token_shards,
     op2_pii,
@@ -76,6 +84,8 @@ QUERIES: list[Query] = [
     op8_toxicity,
     op9_quality,
     op10_chat,
+    op11_spelling_variants,
+    op12_conversation_repair,
 ]
 
 
