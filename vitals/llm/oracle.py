@@ -5,6 +5,7 @@ from __future__ import annotations
 from vitals.llm.chat import CONTROL_TEXT
 from vitals.llm.mixing import PART, SEED, TERMS
 from vitals.llm.pii import AFTER, BEFORE, BYTE, CONTEXT_BONUS, KINDS, LEAST_SCORE, Kind
+from vitals.llm.postings import WINDOW
 from vitals.llm.repetition import BASE_LENGTH, BASE_PERCENT, LEAST_WORDS, LIMITS, LINE_LIMIT
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -297,6 +298,36 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted USING (conv_id) LEFT JOIN ended USING (conv_id)
 """
 
+
+def _words(table: str, key: str) -> str:
+    return rf"""SELECT row_number() OVER () AS n, {key}, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM {table}"""
+
+
+CONTAMINATION = rf"""
+WITH docs AS (
+    {_words("documents", "doc_id")}
+), items AS (
+    {_words("benchmark", "item_id")}
+), windows AS (
+    SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item_id, least(len(ws), {WINDOW}) AS size,
+        array_to_string(ws[i:i + least(len(ws), {WINDOW}) - 1], ' ') AS w
+    FROM items, unnest(range(1, greatest(len(ws) - {WINDOW - 1}, 1) + 1)) AS t(i) WHERE len(ws) > 0
+), found AS (
+    SELECT n, i, size, item_id FROM (
+        SELECT n, i, size, array_to_string(ws[i:i + size - 1], ' ') AS w
+        FROM docs, (SELECT DISTINCT size FROM windows), unnest(range(1, len(ws) - size + 2)) AS t(i)
+    ) JOIN windows USING (size, w)
+), hits AS (
+    SELECT n, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + size)) AS t(p) GROUP BY n
+), shared AS (
+    SELECT n, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS item_ids FROM found GROUP BY n
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(item_ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (n) LEFT JOIN shared USING (n)
+"""
+
 ORACLE_SQL = {
     "op2_pii": PII,
     "op3_vantage_points": NEAREST,
@@ -305,4 +336,5 @@ ORACLE_SQL = {
     "op10_chat": CHAT,
     "op11_spelling_variants": SPELLING,
     "op12_conversation_repair": CONVERSATIONS,
+    "op13_benchmark_index": CONTAMINATION,
 }

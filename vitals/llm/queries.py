@@ -12,7 +12,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitals.llm import bpe, chat, mixing, pii, quality, repair, repetition, simhash, spelling, toxicity, viterbi, vptree
+from vitals.llm import bpe, chat, mixing, pii, postings, quality, repair, repetition, simhash, spelling, toxicity, viterbi, vptree
 from vitals.llm.tables import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.digests(table(spark, sf_dir, "conversations"))
 
 
+def op13_benchmark_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: list[Query] = [
     op1_token_shards,
     op2_pii,
@@ -86,6 +90,7 @@ QUERIES: list[Query] = [
     op10_chat,
     op11_spelling_variants,
     op12_conversation_repair,
+    op13_benchmark_index,
 ]
 
 
