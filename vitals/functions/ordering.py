@@ -1,4 +1,4 @@
-"""Ranks, percentiles and top-k that stay distributed.
+"""Ranks and top-k that stay distributed.
 
 A window without PARTITION BY sends every row to one task. The functions here
 first collapse rows to their distinct values, cut these into buckets of similar
@@ -9,10 +9,8 @@ the (few) buckets and one inside each bucket. No task ever holds the whole colum
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -25,75 +23,53 @@ def top_k(df: DataFrame, k: int, by: str, key: str | Sequence[str]) -> DataFrame
     return df.orderBy(F.desc(by), *[F.asc(c) for c in keys]).limit(k)
 
 
-def _bounds(hist: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
-    """Bucket bounds of each group, as an array: every fourth value of a sample in order.
+def _bounds(hist: DataFrame, value: str) -> DataFrame:
+    """Bucket bounds as one array: every fourth value of a sample in order.
 
     The sample are the values of least hash, so it depends on the data only and is the same
     wherever the plan computes it. Copies of a value are one, so no value weighs more than
     another, and neither outliers nor infinities widen a bucket.
     """
-    by_hash = (F.xxhash64(value), F.col(value))
-    if keys:
-        rank = F.row_number().over(W.partitionBy(*keys).orderBy(*by_hash))
-        sample = hist.withColumn("_r", rank).filter(F.col("_r") <= 4 * BUCKETS).groupBy(*keys)
-    else:
-        sample = hist.orderBy(*by_hash).limit(4 * BUCKETS).groupBy()
+    sample = hist.orderBy(F.xxhash64(value), F.col(value)).limit(4 * BUCKETS)
     every = F.filter(F.sort_array(F.collect_list(value)), lambda _, i: i % 4 == 3)
     return sample.agg(every.alias("_bounds"))
 
 
-def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+def value_ranks(df: DataFrame, value: str) -> DataFrame:
     """One row per distinct non-NULL value: ``rows`` with it, ``before`` rows below it, ``total``.
 
     From this follow, exactly: rank = before + 1, average rank =
-    before + (rows + 1) / 2, and discrete percentiles. Copies of one value
-    collapse map-side, so a hot value costs nothing.
+    before + (rows + 1) / 2. Copies of one value collapse map-side, so a hot value costs nothing.
     """
-    keys = list(keys)
     hist = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value)
+        .groupBy(value)
         .agg(F.count("*").alias("rows"))
         # Always true, but keeps the counts in every branch below, so that all of
         # them reuse one shuffle of the input.
         .filter("rows > 0")
     )
-    totals = hist.groupBy(*keys).agg(F.sum("rows").alias("total"))
-    bounds = _bounds(hist, value, keys)
-    if not keys:
-        # Both are one row: scalar subqueries, not joins.
-        bounded = hist.withColumn("_bounds", bounds.scalar()).withColumn("total", totals.scalar())
-    else:
-        bounded = _null_safe_join(hist, _null_safe_join(bounds, totals, keys), keys)
+    # Bounds and total are one row each: scalar subqueries, not joins.
+    bounded = hist.withColumn("_bounds", _bounds(hist, value).scalar())
+    bounded = bounded.withColumn("total", hist.agg(F.sum("rows")).scalar())
     bucket = F.size(F.filter("_bounds", lambda b: b < F.col(value)))
     bucketed = bounded.withColumn("_bucket", bucket).drop("_bounds")
 
-    ahead = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    ahead = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        bucketed.groupBy(*keys, "_bucket")
+        bucketed.groupBy("_bucket")
         .agg(F.sum("rows").alias("_n"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
         .drop("_n")
     )
-    inside = W.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     return (
-        _null_safe_join(bucketed, offsets, [*keys, "_bucket"])
+        bucketed.join(offsets, "_bucket")
         .withColumn("before", F.col("_offset") + F.coalesce(F.sum("rows").over(inside), F.lit(0)))
-        .select(*keys, value, "rows", "before", "total")
+        .select(value, "rows", "before", "total")
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Equi-join in which NULL keys match, keeping the left copy of the keys."""
-    l, r = left.alias("l"), right.alias("r")
-    condition = None
-    for k in keys:
-        part = F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-        condition = part if condition is None else condition & part
-    rest = [F.col(f"r.{c}") for c in right.columns if c not in keys]
-    return l.join(r, condition).select("l.*", *rest)
-
-
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Rank of each distinct value, ties sharing their mean rank."""
     mean = F.col("before") + (F.col("rows") + 1) / F.lit(2.0)
@@ -106,41 +82,3 @@ def descending_rank(df: DataFrame, value: str, name: str) -> DataFrame:
         F.col(value).alias("_v"), (F.col("total") - F.col("before") - F.col("rows") + 1).alias(name)
     )
     return df.join(ranks, df[value] == F.col("_v"), "left").drop("_v")
-
-
-def exact_percentiles(
-    df: DataFrame, value: str, percentiles: dict[str, float], keys: Sequence[str] = ()
-) -> DataFrame:
-    """Exact discrete percentiles: the smallest value whose cumulative count reaches p * n."""
-    ranks = value_ranks(df, value, keys)
-    reached = F.col("before") + F.col("rows")
-    aggs = [
-        F.min(
-            F.when(reached >= F.ceil(F.lit(Decimal(str(p))) * F.col("total")), F.col(value))
-        ).alias(name)
-        for name, p in percentiles.items()
-    ]
-    return ranks.groupBy(*keys).agg(*aggs) if keys else ranks.agg(*aggs)
-
-
-def with_percentiles(
-    totals: DataFrame, df: DataFrame, wanted: dict[str, tuple[str, float]], keys: Sequence[str] = ()
-) -> DataFrame:
-    """Adds exact percentiles of ``df`` to one row per group: name -> (column, share).
-
-    A group whose values are all NULL has NULL percentiles.
-    """
-    for value in dict.fromkeys(column for column, _ in wanted.values()):
-        own = {name: p for name, (column, p) in wanted.items() if column == value}
-        found = exact_percentiles(df, value, own, keys)
-        if not keys:
-            totals = totals.withColumns(
-                {name: found.select(name).scalar() for name in own}
-            )
-        else:
-            l, r = totals.alias("l"), found.alias("r")
-            condition = reduce(
-                lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-            )
-            totals = l.join(r, condition, "left").select("l.*", *[F.col(f"r.{name}") for name in own])
-    return totals

@@ -12,7 +12,8 @@ from pyspark.sql import Window as W
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import rounded_avg, type_counts
-from vitals.functions.ordering import top_k, with_percentiles
+from vitals.functions.ordering import top_k
+from vitals.functions.percentiles import percentile_table
 from vitals.operators.joins import keep_repos, label_ai
 from vitals.sources.dimensions import seed_repos
 from vitals.sources.readers import exclude_dates
@@ -85,11 +86,11 @@ def group_summary(top: DataFrame, medians: bool = False) -> DataFrame:
         "active_days": "active_days",
     }
     aggs = [rounded_avg(c, 1).alias(f"avg_{name}") for name, c in measures.items()]
-    table = top.groupBy("is_ai").agg(F.count("*").alias("repo_count"), *aggs)
+    aggs = [F.count("*").alias("repo_count"), *aggs]
     if medians:
         wanted = {f"median_{name}": (c, 0.5) for name, c in measures.items()}
-        table = with_percentiles(table, top, wanted, ["is_ai"])
-    return table
+        return percentile_table(top.select("is_ai", *measures.values()), ["is_ai"], aggs, wanted, few=True)
+    return top.groupBy("is_ai").agg(*aggs)
 
 
 def star_growth_hype(

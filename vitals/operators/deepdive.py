@@ -8,7 +8,8 @@ from pyspark.sql import Window as W
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import DEFAULT_ACCURACY, percentile
-from vitals.functions.ordering import top_k, with_percentiles
+from vitals.functions.ordering import top_k
+from vitals.functions.percentiles import percentile_table
 from vitals.operators.joins import exclude_repos
 from vitals.sources.dimensions import seed_repos
 
@@ -75,16 +76,12 @@ def pr_merge_time(
         .withColumn("merge_hours", F.col("seconds") / 3600)
         .filter(F.col("merge_hours").between(0, max_hours))
     )
-    sketches = [percentile("merge_hours", p, accuracy).alias(n) for n, p in MERGE_PERCENTILES.items()]
-    table = hours.groupBy(*REPO).agg(
-        F.count("pr_number").alias("merged_pr_count"),
-        (F.avg("seconds") / 3600).alias("avg_merge_hours"),
-        *([] if exact else sketches),
-    )
+    totals = [F.count("pr_number").alias("merged_pr_count"), (F.avg("seconds") / 3600).alias("avg_merge_hours")]
     if exact:
         wanted = {n: ("merge_hours", p) for n, p in MERGE_PERCENTILES.items()}
-        table = with_percentiles(table, hours, wanted, REPO)
-    return table
+        return percentile_table(hours.select(*REPO, "pr_number", "seconds", "merge_hours"), REPO, totals, wanted)
+    sketches = [percentile("merge_hours", p, accuracy).alias(n) for n, p in MERGE_PERCENTILES.items()]
+    return hours.groupBy(*REPO).agg(*totals, *sketches)
 
 
 def daily_pr_timeseries(events: DataFrame, targets: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from vitals.functions.aggregates import (
     percentile,
     share_pct,
 )
-from vitals.functions.ordering import exact_percentiles, with_percentiles
+from vitals.functions.percentiles import exact_percentiles, percentile_table
 from vitals.operators.joins import union_all
 
 
@@ -66,27 +66,29 @@ def era_summary(
     counts when asked for, are aggregates of their own: next to a percentile in
     one aggregate, a distinct count would carry a percentile buffer with every
     distinct value through the shuffle. Both read few columns, pull requests
-    also few rows. ``exact`` also makes the median exact at any size, from counts of
-    each push size.
+    also few rows. ``exact`` also makes the median exact at any size, by selection.
     """
     size = F.when(C.is_type("PushEvent"), F.col("push_distinct_size"))
-    median = [] if exact else [percentile(size, 0.5, accuracy).alias("median_commit_size")]
     names = {"distinct_repos": "repo_name", "distinct_actors": "actor_login"}
-    sketches = [] if exact else [approx_distinct(c).alias(name) for name, c in names.items()]
-    totals = events.groupBy("era").agg(
+    counts = [
         F.count("*").alias("total_events"),
         count_of("PushEvent").alias("total_pushes"),
         count_of("PullRequestEvent").alias("total_pr_events"),
         count_of("WatchEvent").alias("total_stars"),
-        F.avg(size).alias("avg_commit_size"),
-        *median,
-        *sketches,
-    )
+    ]
     if exact:
+        sized = events.select("era", "event_type", size.alias("size"))
+        counts += [F.avg("size").alias("avg_commit_size")]
+        totals = percentile_table(sized, ["era"], counts, {"median_commit_size": ("size", 0.5)}, few=True)
         counted = [F.count_distinct(c).alias(name) for name, c in names.items()]
         totals = totals.join(events.groupBy("era").agg(*counted), "era")
-        pushes = events.select("era", size.alias("size"))
-        totals = with_percentiles(totals, pushes, {"median_commit_size": ("size", 0.5)}, ["era"])
+    else:
+        totals = events.groupBy("era").agg(
+            *counts,
+            F.avg(size).alias("avg_commit_size"),
+            percentile(size, 0.5, accuracy).alias("median_commit_size"),
+            *[approx_distinct(c).alias(name) for name, c in names.items()],
+        )
     requests = (
         pull_requests(events, scope)
         .groupBy("era")
@@ -157,21 +159,21 @@ def pr_push_ratio(
     """Distribution over repositories of pull requests per push, by era."""
     value = "pr_push_ratio"
     repos = repo_pr_push(events, min_pushes)
-    sketches = [] if exact else [percentile(value, p, accuracy).alias(n) for n, p in RATIO_QUARTILES.items()]
-    table = repos.groupBy("era").agg(
+    means = [
         F.count("repo_name").alias("repo_count"),
         F.avg(value).alias("avg_pr_push_ratio"),
-        *sketches,
         F.avg("contributors").alias("avg_contributors_per_repo"),
-    )
+    ]
     if exact:
-        table = with_percentiles(table, repos, {n: (value, p) for n, p in RATIO_QUARTILES.items()}, ["era"])
-    return table
+        repos = repos.select("era", "repo_name", "contributors", value)
+        return percentile_table(repos, ["era"], means, {n: (value, p) for n, p in RATIO_QUARTILES.items()}, few=True)
+    return repos.groupBy("era").agg(*means, *[percentile(value, p, accuracy).alias(n) for n, p in RATIO_QUARTILES.items()])
 
 
 def pr_push_quartiles(events: DataFrame, min_pushes: int = 10) -> DataFrame:
     """Exact quartiles of the same ratio, still without a group in one task."""
-    return exact_percentiles(repo_pr_push(events, min_pushes), "pr_push_ratio", RATIO_QUARTILES, ["era"])
+    ratios = repo_pr_push(events, min_pushes).select("era", "pr_push_ratio")
+    return exact_percentiles(ratios, "pr_push_ratio", RATIO_QUARTILES, ["era"], few=True)
 
 
 def active_repos_monthly(events: DataFrame, grain: str = "month") -> DataFrame:

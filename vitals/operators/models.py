@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import DEFAULT_ACCURACY, rounded_avg, value_counts
-from vitals.functions.ordering import exact_percentiles, top_k
+from vitals.functions.ordering import top_k
+from vitals.functions.percentiles import exact_percentiles
 
 # Inclusive upper bounds and labels of the buckets.
 DOWNLOAD_BUCKETS = [(0, "0"), (100, "1-100"), (10_000, "101-10K"), (1_000_000, "10K-1M")]
@@ -42,7 +43,7 @@ def downloads_percentiles(
     """Download percentiles as metric rows; one sketch, or one exact pass, serves all of them."""
     if exact:
         wanted = {f"downloads_{name}": p for name, p in DOWNLOAD_PERCENTILES.items()}
-        row = exact_percentiles(models, "downloads", wanted)
+        row = exact_percentiles(models.select("downloads"), "downloads", wanted)
         return row.unpivot([], row.columns, "metric", "value")
     ps = list(DOWNLOAD_PERCENTILES.values())
     row = models.agg(F.percentile_approx("downloads", ps, accuracy).alias("v")).select(

@@ -15,7 +15,8 @@ from vitals.functions.aggregates import (
     ratio,
     value_counts,
 )
-from vitals.functions.ordering import top_k, with_percentiles
+from vitals.functions.ordering import top_k
+from vitals.functions.percentiles import percentile_table
 from vitals.schemas import CORE_EVENT_TYPES
 
 # Logical field -> its path in the raw layout, then in the cleaned one. Fixed values.
@@ -136,22 +137,21 @@ def models_summary(df: DataFrame, accuracy: int = DEFAULT_ACCURACY, exact: bool
         F.count_distinct("pipeline_tag").alias("distinct_pipeline_tags"),
         F.count_distinct("library_name").alias("distinct_library_names"),
     )
-    median = [] if exact else [percentile("downloads", 0.5, accuracy).alias("median_downloads")]
-    row = df.agg(
+    totals = [
         F.count("*").alias("total_rows"),
         F.lit(len(df.columns)).alias("total_columns"),
         F.min("downloads").alias("min_downloads"),
         F.max("downloads").alias("max_downloads"),
         two_digits("downloads").alias("avg_downloads"),
-        *median,
         F.min("likes").alias("min_likes"),
         F.max("likes").alias("max_likes"),
         two_digits("likes").alias("avg_likes"),
-    )
-    row = row.withColumns({c: distinct.select(c).scalar() for c in distinct.columns})
+    ]
     if exact:
-        row = with_percentiles(row, df, {"median_downloads": ("downloads", 0.5)})
-    return metric_rows(row)
+        row = percentile_table(df.select("downloads", "likes"), [], totals, {"median_downloads": ("downloads", 0.5)})
+    else:
+        row = df.agg(*totals, percentile("downloads", 0.5, accuracy).alias("median_downloads"))
+    return metric_rows(row.withColumns({c: distinct.select(c).scalar() for c in distinct.columns}))
 
 
 def pipeline_tag_distribution(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import DEFAULT_ACCURACY, percentile, share_pct
-from vitals.functions.ordering import with_percentiles
+from vitals.functions.percentiles import percentile_table
 
 # Reported percentiles, as (column, share).
 PUSH_PERCENTILES = {
@@ -60,19 +60,20 @@ def push_per_actor(
     The daily rate is pushes per *active* day, averaged over the era.
     """
     actors = actor_pushes(events)
-    sketches = [percentile(c, p, accuracy).alias(n) for n, (c, p) in PUSH_PERCENTILES.items()]
-    table = actors.groupBy("era").agg(
+    totals = [
         F.count("*").alias("total_push_actors"),
         F.avg("push_count").alias("avg_pushes"),
         F.avg("pushes_per_day").alias("avg_pushes_per_day"),
         F.avg("active_days").alias("avg_active_days"),
         F.avg("repo_count").alias("avg_repos_per_actor"),
-        *([] if exact else sketches),
         *[F.count_if(F.col("push_count") > n).alias(f"actors_gt_{n}_pushes") for n in cohorts],
         F.count_if(F.col("pushes_per_day") > per_day).alias(f"actors_gt_{per_day}_per_day"),
-    )
+    ]
     if exact:
-        table = with_percentiles(table, actors, PUSH_PERCENTILES, ["era"])
+        table = percentile_table(actors.drop("actor_login"), ["era"], totals, PUSH_PERCENTILES, few=True)
+    else:
+        sketches = [percentile(c, p, accuracy).alias(n) for n, (c, p) in PUSH_PERCENTILES.items()]
+        table = actors.groupBy("era").agg(*totals, *sketches)
     averages = ["avg_pushes_per_day", "median_pushes_per_day", "p90_pushes_per_day", "avg_active_days"]
     return table.select(
         "era", "total_push_actors", "avg_pushes", "median_pushes", "p75_pushes", "p90_pushes", "p99_pushes",

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from vitals.functions import columns as C
 from vitals.functions.aggregates import null_counts
-from vitals.functions.ordering import exact_percentiles
+from vitals.functions.percentiles import exact_percentiles
 from vitals.operators import (
     activity,
     adoption,
@@ -428,7 +428,11 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
         joins.exclude_repos(i.ev, i.seed.select(F.col("repo").alias("repo_name")))
     ),
     "event_value_percentiles": lambda i: exact_percentiles(
-        data.table(i.spark, i.sf_dir, "events"), "value", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, ["event_type"]
+        data.table(i.spark, i.sf_dir, "events").select("event_type", "value"),
+        "value",
+        {"p50": 0.5, "p90": 0.9, "p99": 0.99},
+        ["event_type"],
+        few=True,
     ),
     "ordered_sample": lambda i: writers.sample_rows(
         i.ev, ["event_id", "event_type", "repo_name"], 10, ["event_ts", "event_id"]
