@@ -59,3 +59,10 @@ def test_join_without_broadcast_gives_the_same(spark, monkeypatch):
     expected = sorted(map(tuple, mixing.replicate(docs).collect()))
     monkeypatch.setattr(mixing, "MOST_BROADCAST_BYTES", 0)
     assert sorted(map(tuple, mixing.replicate(docs).collect())) == expected
+
+
+def test_columns_may_have_any_names(spark):
+    docs = spark.createDataFrame([(i, "s", i, i, i, i, i) for i in range(50)], "doc_id long, source string, _n int, n int, _source int, parts int, cumulative int").withColumn("text", F.lit("a"))
+    out = mixing.replicate(docs)
+    assert out.columns == [*docs.columns, "copy", "shuffle_key"]
+    assert all(r._n == r.n == r.parts == r.doc_id for r in out.collect())

@@ -143,3 +143,10 @@ def test_only_texts_that_share_enough_shingles_are_removed(spark, documents):
     for side in (1000, 4000):
         found = simhash.text_links(cut, side=side).collect()
         assert classes([(r.u, r.v) for r in found], sets) == classes(links, sets)
+
+
+def test_columns_may_have_any_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, text, i, i, i, i, i, i) for i in range(3)], "doc_id long, text string, _n int, _hash int, hash int, root int, text_hash int, nth int")
+    (row,) = simhash.one_of_each(docs).collect()
+    assert tuple(row) == (0, text, 0, 0, 0, 0, 0, 0)

@@ -92,3 +92,17 @@ def test_more_ties_than_a_search_keeps_are_ranked_by_id(spark):
     df = frame(spark, [query, *across, *scaled])
     out = found(vptree.nearest(df, df.filter("vec_id in (0, 400)")))
     assert out == {0: [1, 2, 3, 4, 5], 400: [301, 302, 303, 304, 305]}
+
+
+def test_an_id_of_many_vectors_takes_one_place(spark):
+    """25 vectors of one id are nearest to each other, nine other ids come after them."""
+    near = [[1.0, k / 1000, 0.0] for k in range(25)]
+    rows = [(100, v) for v in near] + [(k, [1.0, 0.0, 0.1 * k]) for k in range(1, 10)] + [(7, [1.0, 0.0, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    out = vptree.nearest(df, df.filter("vec_id in (100, 3)"))
+    unit = {i: [np.array(v) / np.linalg.norm(v) for j, v in rows if j == i] for i, _ in rows}
+    for query in (3, 100):
+        score = {i: max(a @ b for a in unit[query] for b in own) for i, own in unit.items() if i != query}
+        assert found(out)[query] == sorted(score, key=lambda i: (-score[i], i))[:5]
+    ranks = [(r.query_id, r.rank) for r in out.collect()]
+    assert sorted(ranks) == [(q, k) for q in (3, 100) for k in range(1, 6)]

@@ -84,14 +84,14 @@ def replicate(
     ``weights``: ``source`` and an integer ``weight``; ``factor``: size of the mix against the input.
     """
     docs = docs.drop("copy", "shuffle_key")
-    sources = plan(docs, weights, factor).select(
-        F.col("source").alias("_source"), F.col("parts").alias("_parts"), F.col("cumulative").alias("_cumulative")
-    )
-    names = sources.agg(F.sum(F.coalesce(F.octet_length("_source"), F.lit(0)) + 8 * TERMS + 64)).first()[0] or 0
+    sources = plan(docs, weights, factor).select("source", "parts", "cumulative")
+    names = sources.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 8 * TERMS + 64)).first()[0] or 0
     if names <= MOST_BROADCAST_BYTES:
         sources = F.broadcast(sources)
-    n = copies(F.col("_cumulative"), F.col("_parts"), F.col("doc_id"), seed)
-    counted = docs.join(sources, F.col("source").eqNullSafe(F.col("_source"))).select(docs["*"], n.alias("_n"))
-    repeated = counted.filter("_n > 0").select(docs["*"], F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
+    n = copies(F.col("cumulative"), F.col("parts"), F.col("row.doc_id"), seed)
+    # The row goes as one struct, so its columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"))
+    counted = rows.join(sources, F.col("row.source").eqNullSafe(F.col("source"))).select("row", n.alias("n"))
+    repeated = counted.filter("n > 0").select("row.*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
     keyed = repeated.withColumn("shuffle_key", hashed(seed + "#", F.col("doc_id"), F.col("copy"), digits=15))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")

@@ -97,6 +97,17 @@ _PLAIN = {
 }
 
 
+# An account number ends where its digits and letters are a multiple of four in number, or with the match.
+_TRIMMED = {
+    "iban": r"""list_transform(ms, lambda m: coalesce(list_filter(
+        list_transform(range(length(m), 0, -1), lambda n: substr(m, 1, n)),
+        lambda p: (p = m OR (length(replace(p, ' ', '')) >= 16 AND length(replace(p, ' ', '')) % 4 = 0 AND right(p, 1) <> ' '))
+            AND list_reduce(list_transform(string_split(substr(replace(p, ' ', ''), 5) || substr(p, 1, 4), ''),
+                lambda c: CASE WHEN c BETWEEN '0' AND '9' THEN c::INT ELSE ascii(c) - 55 END),
+                lambda a, v: (CASE WHEN v < 10 THEN a * 10 + v ELSE a * 100 + v END) % 97) = 1)[1], m))"""
+}
+
+
 def _found(kind: Kind) -> str:
     pattern = _PLAIN.get(kind.name, kind.pattern)
     valid = _VALID[kind.name].format(
@@ -108,11 +119,12 @@ SELECT doc_id, '{kind.name}' AS kind, {KINDS.index(kind)} AS rank, s, s + length
     SELECT doc_id, m, before, after, s,
         regexp_matches(lower(right(before, {BEFORE}) || ' ' || left(after, {AFTER})), '{kind.context}') AS context
     FROM (
-        SELECT doc_id, ms[i] AS m, ps[i] AS before, ps[i + 1] AS after,
+        SELECT doc_id, ts[i] AS m, coalesce(substr(ms[i - 1], length(ts[i - 1]) + 1), '') || ps[i] AS before,
+            substr(ms[i], length(ts[i]) + 1) || ps[i + 1] AS after,
             (list_sum(list_transform(ps[1:i], lambda x: length(x)))
                 + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
         FROM (
-            SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps
+            SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, {_TRIMMED.get(kind.name, "ms")} AS ts, string_split_regex(t, '{pattern}') AS ps
             FROM texts WHERE regexp_matches(t, '{pattern}')
         ), unnest(range(1, len(ms) + 1)) AS r(i)
     )
@@ -170,8 +182,8 @@ WITH vectors AS (
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), pairs AS (
-    SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS score
-    FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 50 = 0
+    SELECT q.vec_id AS query_id, v.vec_id, max(list_cosine_similarity(q.e, v.e)) AS score
+    FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id AND len(q.e) = len(v.e) WHERE q.vec_id % 50 = 0 GROUP BY ALL
 )
 SELECT query_id, rank, vec_id, score FROM (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs

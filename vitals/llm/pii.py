@@ -29,6 +29,8 @@ LEAST_SCORE = 0.5
 CONTEXT_BONUS = 0.3
 BEFORE, AFTER = 40, 20
 BLOCK = 64
+# An account number of fewer groups is not looked for inside a longer match.
+LEAST_GROUPS = 4
 
 LOCAL = "A-Za-z0-9._%+-"
 BYTE = "^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
@@ -91,10 +93,23 @@ def mod_97(account: Column) -> Column:
     return rest == 1
 
 
+def account(match: Column) -> Column:
+    """The longest beginning of a match that ends with a group and passes mod-97, else the match.
+
+    A pattern cannot know where a number ends whose length is a multiple of four: it takes letters or
+    digits of the next word, too.
+    """
+    groups = F.regexp_extract_all(match, F.lit(r"\x20?[A-Z0-9]{1,4}"), F.lit(0))
+    shorter = F.transform(F.sequence(F.size(groups) - 1, F.lit(LEAST_GROUPS), F.lit(-1)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), ""))
+    forms = F.concat(F.array(match), F.when(F.size(groups) > LEAST_GROUPS, shorter).otherwise(F.array().cast("array<string>")))
+    return F.coalesce(F.get(F.filter(forms, mod_97), F.lit(0)), match)
+
+
 @dataclass(frozen=True)
 class Kind:
-    """``needs`` must occur in a text for the pattern to be tried; ``valid`` judges a match and the
-    pieces before and after it; ``score`` holds for a valid match without context words."""
+    """``needs`` must occur in a text for the pattern to be tried; ``trim`` shortens a match, whose rest then belongs to
+    the piece after it; ``valid`` judges a match and the pieces before and after it; ``score`` holds for a valid
+    match without context words."""
 
     name: str
     pattern: str
@@ -103,6 +118,7 @@ class Kind:
     score: float
     context: str
     base: bool = True
+    trim: Callable[[Column], Column] | None = None
 
 
 def _length_between(text: Column, least: int, most: int) -> Column:
@@ -155,6 +171,7 @@ KINDS = (
         0.8,
         "iban|account|bank|konto|compte|cuenta",
         base=False,
+        trim=account,
     ),
     Kind(
         "ssn",
@@ -173,10 +190,20 @@ SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,score:double>"
 
 def _parts(text: Column, kind: Kind) -> Column:
     """The matches of a kind and the pieces between them, of which there is one more."""
-    return F.struct(
-        F.split(text, kind.pattern, -1).alias("pieces"),
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("matches"),
-    )
+    pieces = F.split(text, kind.pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    if kind.trim is None:
+        return F.struct(pieces.alias("pieces"), matches.alias("matches"))
+
+    def trimmed(m: Column) -> Column:
+        def with_rests(t: Column) -> Column:
+            rest = lambda i: F.substr(F.get(m, i - 1), F.char_length(F.get(t, i - 1)) + 1)
+            longer = F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(F.concat(rest(i), piece)))
+            return F.struct(longer.alias("pieces"), t.alias("matches"))
+
+        return let(F.transform(m, kind.trim), with_rests)
+
+    return let(matches, trimmed)
 
 
 def _where_found(text: Column, kind: Kind, then: Callable[[Column], Column], otherwise: Column) -> Column:

@@ -388,13 +388,12 @@ def text_links(members: DataFrame, width: int = SHINGLE, side: int = SIDE_BYTES)
 
 
 def _rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with an id and text hash of ``wanted``, equal ones once; the columns of
-    ``wanted`` are added with an underscore before their names."""
-    wanted = wanted.select(*(F.col(c).alias(f"_{c}") for c in wanted.columns))
-    hashed = docs.withColumn("_hash", F.xxhash64(text_of()))
-    same = hashed["doc_id"].eqNullSafe(wanted["_doc_id"]) & (hashed["_hash"] == wanted["_text_hash"])
-    once = W.partitionBy("doc_id", "_hash").orderBy("doc_id")
-    return hashed.join(wanted, same).withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_n", "_hash")
+    """The rows of ``docs`` with an id and text hash of ``wanted``, equal ones once, each as one struct
+    ``row``, so its columns may have any names, beside the columns of ``wanted``."""
+    hashed = docs.select(F.struct("*").alias("row"), F.xxhash64(text_of()).alias("hash"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    once = W.partitionBy("row.doc_id", "hash").orderBy("row.doc_id")
+    return hashed.join(wanted, same).withColumn("nth", F.row_number().over(once)).filter("nth = 1").drop("nth", "hash")
 
 
 def one_of_each(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3) -> DataFrame:
@@ -412,14 +411,14 @@ def one_of_each(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int
     several = nodes.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("sum")).filter("n > 1")
     # Texts without bytes make a block, too.
     asked = nodes.join(several, "root").select("root", "row.doc_id", "text_hash", F.greatest("sum", F.lit(1)).alias("bytes"))
-    rows = _rows_of(docs.select("doc_id", "text"), asked).select("_root", "_text_hash", text_of().alias("text"), "_bytes")
-    found = stored(text_links(rows.toDF("root", "text_hash", "text", "bytes")), "similar")
+    rows = _rows_of(docs.select("doc_id", "text"), asked).select("root", "text_hash", text_of("row.text").alias("text"), "bytes")
+    found = stored(text_links(rows), "similar")
     joined = components(found).withColumnRenamed("u", "text_hash")
     kept = (
         nodes.join(joined, "text_hash", "left").groupBy(F.coalesce("v", "text_hash").alias("class")).agg(F.min("row").alias("row"))
         .select("row.doc_id", "row.text_hash")
     )
-    return _rows_of(docs, kept).select(*docs.columns)
+    return _rows_of(docs, kept).select("row.*")
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -31,8 +31,6 @@ FACTOR = 1.0
 SHARD = 4096
 BLOCK = 1024
 LEAF = 64
-# Kept by each search beyond what the rank needs, for ids that occur with several vectors.
-SPARE = 10
 SLACK = 1e-7
 
 NODE = np.dtype(
@@ -85,7 +83,9 @@ def even(vectors: np.ndarray) -> np.ndarray:
 class Search:
     """One block of queries in one tree."""
 
-    def __init__(self, unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.ndarray, k: int, factor: float):
+    def __init__(self, unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.ndarray, k: int, factor: float, owner: np.ndarray | None = None):
+        # ``owner``: an id of each row. The ``k`` best rows count one for each owner.
+        self.owner = owner if owner is not None and len(np.unique(owner)) < len(owner) else None
         self.unit, self.nodes, self.order, self.queries = unit, nodes, order, queries
         self.k, self.factor = k, factor
         self.found = np.full((len(queries), k), -1)
@@ -119,13 +119,25 @@ class Search:
         self.visited += len(who) * len(rows)
         d = np.concatenate([self.distance[who], distances(self.queries[who], self.unit[rows])], 1)
         ids = np.concatenate([self.found[who], np.broadcast_to(rows, (len(who), len(rows)))], 1)
-        best = np.argpartition(d, self.k - 1, axis=1)[:, : self.k]
-        self.distance[who] = np.take_along_axis(d, best, 1)
+        one_each = d if self.owner is None else self.best_of_owner(d, ids)
+        best = np.argpartition(one_each, self.k - 1, axis=1)[:, : self.k]
+        self.distance[who] = np.take_along_axis(one_each, best, 1)
         self.found[who] = np.take_along_axis(ids, best, 1)
         self.bound[who] = np.minimum(self.bound[who], self.distance[who].max(1))
         query, place = np.nonzero(d[:, self.k :] <= self.limit(who)[:, None])
         self.hits.append((who[query], rows[place], d[query, self.k + place]))
 
+    def best_of_owner(self, d: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The distances, infinite for all but the nearest row of each owner."""
+        owner = np.where(rows < 0, -1, self.owner[rows])
+        by = np.lexsort((d, owner), axis=1)
+        ordered = np.take_along_axis(owner, by, 1)
+        again = np.zeros(d.shape, bool)
+        again[:, 1:] = (ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] >= 0)
+        out = d.copy()
+        np.put_along_axis(out, by, np.where(again, np.inf, np.take_along_axis(d, by, 1)), 1)
+        return out
+
     def descend(self, number: int, who: np.ndarray) -> None:
         node = self.nodes[number]
         if not len(who):
@@ -214,11 +226,22 @@ def build_index(vectors: DataFrame, k: int, shard: int = SHARD) -> tuple[DataFra
     return stored(grouped.mapInArrow(run, INDEX), "trees"), shards
 
 
-HITS = "key string, vec_ids array<bigint>, score double"
+HITS = "key string, vec_id bigint, score double"
+
+
+def best_ids(who: np.ndarray, ids: np.ndarray, score: np.ndarray, most: int) -> np.ndarray:
+    """Positions of the ``most`` best different ids of each query, best first; ties go to the smaller id."""
+    by = np.lexsort((-score, ids, who))
+    first = np.ones(len(by), bool)
+    first[1:] = (who[by][1:] != who[by][:-1]) | (ids[by][1:] != ids[by][:-1])
+    by = by[first]
+    by = by[np.lexsort((ids[by], -score[by], who[by]))]
+    edge = np.searchsorted(who[by], who[by])
+    return by[np.arange(len(by)) - edge < most]
 
 
 def search(index: DataFrame, shards: int, queries: DataFrame, k: int, factor: float, block: int = BLOCK) -> DataFrame:
-    """The best of each shard for each distinct query: ``key``, ids of one vector, and its cosine."""
+    """The ``k`` + 1 best ids of each shard for each distinct query: ``key``, ``vec_id``, cosine."""
     blocks = max(1, -(-queries.count() // block))
     number = F.pmod(F.hash("key"), F.lit(blocks))
     grouped = queries.groupBy(number.alias("block"), F.size("vector").alias("dim")).agg(
@@ -226,7 +249,7 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, factor: fl
     )
     every = grouped.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     pairs = every.join(index, ["shard", "dim"]).select("dim", "queries", "ids", "vectors", "nodes", "leaves")
-    most = k + 1 + SPARE
+    most = k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,24 +260,19 @@ def search(index: DataFrame, shards: int, queries: DataFrame, k: int, factor: fl
                 asked = row["queries"].values
                 original = asked.field("vector").flatten().to_numpy().reshape(len(asked), -1)
                 unit = normalized(data)
-                own = Search(unit, nodes, order, normalized(original), min(most, len(unit)), factor)
+                least = row["ids"].values
+                flat, edges = least.flatten().to_numpy(), least.offsets.to_numpy() - least.offsets[0].as_py()
+                own = Search(unit, nodes, order, normalized(original), min(most, len(unit)), factor, flat[edges[:-1]])
                 who, found = own.candidates()
                 score = np.empty(len(who))
                 for at in range(0, len(who), step := max(1, (1 << 22) // data.shape[1])):
                     score[at : at + step] = cosine(original[who[at : at + step]], data[found[at : at + step]])
-                least = row["ids"].values
-                smallest = least.flatten().to_numpy()[least.offsets.to_numpy()[:-1] - least.offsets[0].as_py()]
-                by = np.lexsort((smallest[found], -score, who))
-                edge = np.searchsorted(who[by], np.arange(len(asked)))
-                by = by[np.arange(len(by)) - edge[who[by]] < most]
-                who, found, score = who[by], found[by], score[by]
+                n = np.diff(edges)[found]
+                at = np.repeat(edges[found] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                who, ids, score = np.repeat(who, n), flat[at], np.repeat(score, n)
+                by = best_ids(who, ids, score, most)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        asked.field("key").take(pa.array(who)),
-                        row["ids"].values.take(pa.array(found)),
-                        pa.array(score),
-                    ],
-                    ["key", "vec_ids", "score"],
+                    [asked.field("key").take(pa.array(who[by])), pa.array(ids[by]), pa.array(score[by])], ["key", "vec_id", "score"]
                 )
 
     return pairs.mapInArrow(run, HITS)
@@ -271,19 +289,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float =
     distinct = stored(rows.groupBy("key").agg(F.first("vector").alias("vector")), "queries")
     index, shards = build_index(keyed(vectors), k)
     hits = search(index, shards, distinct, k, factor)
-    best = W.partitionBy("key").orderBy(F.desc("score"), F.col("vec_ids")[0])
+    best = W.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     merged = (
-        hits.withColumn("_n", F.row_number().over(best))
-        .filter(F.col("_n") <= k + 1 + SPARE)
+        hits.groupBy("key", "vec_id")
+        .agg(F.max("score").alias("score"))
+        .withColumn("_n", F.row_number().over(best))
+        .filter(F.col("_n") <= k + 1)
         .groupBy("key")
-        .agg(F.collect_list(F.struct("vec_ids", "score")).alias("hits"))
+        .agg(F.collect_list(F.struct("vec_id", "score")).alias("hits"))
     )
     asked = rows.select(F.col("vec_id").alias("query_id"), "key").distinct()
+    # A query of several vectors has one score for each id, the best.
     pairs = (
         asked.join(merged, "key")
         .select("query_id", F.inline("hits"))
-        .select("query_id", F.explode("vec_ids").alias("vec_id"), "score")
         .filter("vec_id <> query_id")
+        .groupBy("query_id", "vec_id")
+        .agg(F.max("score").alias("score"))
     )
     by_score = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k).select(
