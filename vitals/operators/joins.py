@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals.sources.dimensions import seed_repos
@@ -51,3 +51,15 @@ def schema_difference(new: DataFrame, old: DataFrame) -> DataFrame:
         if mine.get(name) != theirs.get(name)
     ]
     return new.sparkSession.createDataFrame(rows, "column STRING, new_type STRING, old_type STRING")
+
+
+def bucketed_join(spark: SparkSession, left: str, right: str, key: str = "repo_name", how: str = "inner") -> DataFrame:
+    """Two tables bucketed alike by ``key``, joined bucket by bucket: neither side is shuffled or
+    broadcast, however large. Tables of different bucket counts raise."""
+    specs = []
+    for table in (left, right):
+        rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name IN ('Num Buckets', 'Bucket Columns')").collect()
+        specs.append({r.col_name: r.data_type for r in rows})
+    if specs[0] != specs[1] or specs[0].get("Bucket Columns") != f"[`{key}`]":
+        raise ValueError(f"not bucketed alike by {key}: {specs}")
+    return spark.table(left).hint("merge").join(spark.table(right), key, how)

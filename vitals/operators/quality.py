@@ -172,3 +172,63 @@ def missing_hours(events: DataFrame, lo: date | str, hi: date | str) -> DataFram
         F.explode(F.sequence(start, end, F.expr("INTERVAL 1 HOUR"))).alias("hour")
     )
     return expected.join(_hours(events, lo, hi).distinct(), "hour", "left_anti")
+
+
+def archive_coverage(archives: DataFrame, lo: date | str, hi: date | str) -> DataFrame:
+    """Delivered hourly archives on each day of a range, from ``readers.archive_hours``: an archive
+    without events counts, a missing one does not. Days without any appear with 0."""
+    found = archives.groupBy("event_date").agg(F.count_distinct("hour").alias("n"), F.sum("length").alias("bytes"))
+    first, last = (F.lit(str(d)).cast("date") for d in (lo, hi))
+    days = archives.sparkSession.range(1).select(F.explode(F.sequence(first, last)).alias("event_date"))
+    present = F.coalesce("n", F.lit(0))
+    return days.join(found, "event_date", "left").select(
+        "event_date", present.alias("hours_present"), (present == 24).alias("complete"), F.coalesce("bytes", F.lit(0)).alias("bytes")
+    )
+
+
+DIGEST_BUCKETS = 64
+
+
+def content_digests(events: DataFrame, key: str = "event_id", day: str = "event_date", buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """Rows and an order-independent digest of their contents by day and bucket of the key.
+
+    The digest is the sum of the rows' 64-bit hashes over all columns in order of name, so it does not depend
+    on files, order or partitions, and counts repeated rows. One pass; only sums are shuffled.
+    """
+    row_hash = F.xxhash64(*sorted(events.columns)).cast("decimal(38,0)")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    return events.groupBy(F.col(day).alias("day"), bucket.alias("bucket")).agg(
+        F.count("*").alias("rows"), F.sum(row_hash).alias("digest")
+    )
+
+
+def changed_rows(new: DataFrame, old: DataFrame, key: str = "event_id", day: str = "event_date", buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """Keys whose rows differ between two versions, with the ``change``: added, removed or changed.
+
+    Counts by day or type cannot see changes that cancel; digests can. They locate days and buckets that
+    differ, and only rows of these are joined. A key counts as changed if its multiset of rows does.
+    """
+    columns = sorted(set(new.columns) & set(old.columns))
+    new, old = new.select(*columns), old.select(*columns)
+    digests = [content_digests(df, key, day, buckets) for df in (new, old)]
+    n, o = digests[0].alias("n"), digests[1].alias("o")
+    same_place = F.col("n.day").eqNullSafe(F.col("o.day")) & (F.col("n.bucket") == F.col("o.bucket"))
+    differs = ~(F.col("n.rows").eqNullSafe(F.col("o.rows")) & F.col("n.digest").eqNullSafe(F.col("o.digest")))
+    places = (
+        n.join(o, same_place, "full_outer").filter(differs)
+        .select(F.coalesce("n.day", "o.day").alias("_day"), F.coalesce("n.bucket", "o.bucket").alias("_bucket"))
+    )
+
+    def suspects(df: DataFrame, name: str) -> DataFrame:
+        placed = df.withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        own = placed.join(places, F.col(day).eqNullSafe(F.col("_day")) & (F.col("_b") == F.col("_bucket")), "left_semi")
+        digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+        return own.groupBy(F.col(day).alias("day"), F.col(key).alias("key")).agg(F.struct(F.count("*"), digest).alias(name))
+
+    a, b = suspects(new, "new").alias("a"), suspects(old, "old").alias("b")
+    same_key = F.col("a.day").eqNullSafe(F.col("b.day")) & F.col("a.key").eqNullSafe(F.col("b.key"))
+    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "removed").when(F.col("new") != F.col("old"), "changed")
+    return (
+        a.join(b, same_key, "full_outer").select(F.coalesce("a.day", "b.day").alias(day), F.coalesce("a.key", "b.key").alias(key), change.alias("change"))
+        .filter("change IS NOT NULL")
+    )

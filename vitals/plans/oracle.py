@@ -976,6 +976,37 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
                    AS flag_push_distinct_size
         FROM ev GROUP BY 1""",
     ),
+    "bucketed_stars": (
+        ("ev",),
+        """
+        SELECT repo_name, count(*) FILTER (event_type = 'WatchEvent') AS stars,
+               count(*) FILTER (event_type = 'PushEvent') AS pushes
+        FROM ev GROUP BY 1 HAVING stars > 0 AND pushes > 0""",
+    ),
+    "truncated_archives": (
+        ("e0",),
+        """
+        SELECT id % 3 AS third, id % 3 = 1 AS ended_early, CASE WHEN id % 3 <> 1 THEN count(*) END AS whole_rows,
+               id % 3 = 1 AS lost_some, true AS kept_some
+        FROM e0 GROUP BY id % 3""",
+    ),
+    "archive_coverage": (
+        ("ev",),
+        """
+        SELECT d.event_date, coalesce(hours, 0) AS hours_present, coalesce(hours, 0) = 24 AS complete, events
+        FROM (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) AS DATE) AS event_date) d
+        LEFT JOIN (
+            SELECT event_date, count(DISTINCT hour(event_ts)) AS hours, count(*) AS events FROM ev
+            WHERE NOT (day(event_ts) % 5 = 0 AND hour(event_ts) % 7 = 3) GROUP BY 1
+        ) USING (event_date)""",
+    ),
+    "swapped_rows": (
+        ("ev", "e0"),
+        """
+        SELECT CAST(ts AS DATE) AS event_date, CAST(id AS VARCHAR) AS event_id,
+               CASE id % 1000 WHEN 7 THEN 'removed' ELSE 'changed' END AS change
+        FROM e0 WHERE id % 1000 IN (7, 8) OR id % 97 = 5""",
+    ),
     "daily_counts": (("ev",), "SELECT event_date, count(*) AS events FROM ev GROUP BY 1"),
     "field_value_counts": (
         ("ev",),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -239,6 +240,78 @@ def events_with_supplement(i: Inputs) -> DataFrame:
     return quality.daily_counts(readers.union_optional(both, f"{second}-missing"))
 
 
+def bucketed_stars(i: Inputs) -> DataFrame:
+    """Stars and pushes of each repository from two bucketed tables, joined without a shuffle."""
+    tables = []
+    for kind, event_type in (("stars", "WatchEvent"), ("pushes", "PushEvent")):
+        tables.append(f"vitals_{kind}_{uuid.uuid4().hex}")
+        counted = i.ev.filter(C.is_type(event_type)).groupBy("repo_name").agg(F.count("*").alias(kind))
+        writers.write_bucketed(counted, tables[-1], buckets=16)
+    return joins.bucketed_join(i.spark, *tables)
+
+
+def _cut_one(spark: SparkSession, path: str, name: str) -> None:
+    """Replaces the archive in a folder by its first two thirds, as if its transfer had broken off."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    folder = hadoop.fs.Path(f"{path}/{name}")
+    files = folder.getFileSystem(conf)
+    for status in files.listStatus(folder):
+        if status.getPath().getName().endswith(".gz"):
+            source, target = files.open(status.getPath()), files.create(hadoop.fs.Path(folder, "cut.gz"))
+            part = spark._jvm.org.apache.commons.io.input.BoundedInputStream(source, status.getLen() * 2 // 3)
+            hadoop.io.IOUtils.copyBytes(part, target, 1 << 16, True)
+            files.delete(status.getPath(), False)
+
+
+def truncated_archives(i: Inputs) -> DataFrame:
+    """Events in three gzip archives of which one was cut: what a tolerant read keeps of each."""
+    path = shared_path(i.spark, "archives")
+    lines = i.ev.select(F.to_json(F.struct("event_id", F.col("event_type").alias("type"), "repo_name", "actor_login")).alias("value"), F.expr("CAST(event_id AS BIGINT) % 3").alias("third"))
+    lines.repartition("third").write.partitionBy("third").option("compression", "gzip").text(path)
+    _cut_one(i.spark, path, "third=1")
+    losses = readers.archive_losses(i.spark, path)
+    third = F.regexp_extract("path", "third=([0-9])", 1).cast("bigint")
+    sizes = i.ev.groupBy(F.expr("CAST(event_id AS BIGINT) % 3").alias("third")).agg(F.count("*").alias("n"))
+    return losses.withColumn("third", third).join(sizes, "third").select(
+        "third", "ended_early", F.when(~F.col("ended_early"), F.col("rows")).alias("whole_rows"), (F.col("rows") < F.col("n")).alias("lost_some"), (F.col("rows") > 0).alias("kept_some")
+    )
+
+
+def _hourly_archives(i: Inputs) -> str:
+    """Parsed events as hourly gzip archives named as the feed names them; some hours were never delivered."""
+    path = shared_path(i.spark, "hours")
+    at = F.col("event_ts")
+    hour = F.concat(F.date_format(at, "yyyy-MM-dd"), F.lit("-"), F.hour(at).cast("string"))
+    delivered = ~((F.dayofmonth(at) % 5 == 0) & (F.hour(at) % 7 == 3))
+    record = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"), F.struct(F.col("repo_name").alias("name")).alias("repo"), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at")))
+    lines = i.ev.filter(delivered).select(record.alias("value"), hour.alias("hour"))
+    lines.repartition("hour").write.partitionBy("hour").option("compression", "gzip").text(path)
+    hadoop, conf = i.spark._jvm.org.apache.hadoop, i.spark._jsc.hadoopConfiguration()
+    files = hadoop.fs.Path(path).getFileSystem(conf)
+    for status in files.globStatus(hadoop.fs.Path(f"{path}/hour=*/*.gz")):
+        name = status.getPath().getParent().getName().partition("=")[2]
+        files.rename(status.getPath(), hadoop.fs.Path(f"{path}/{name}.json.gz"))
+    return path
+
+
+def archive_coverage(i: Inputs) -> DataFrame:
+    """Delivered archives of a month by their names, beside the events read from them."""
+    path = _hourly_archives(i)
+    covered = quality.archive_coverage(readers.archive_hours(i.spark, path, "2024-01"), "2024-01-01", "2024-01-31")
+    month = readers.read_event_month(i.spark, path, "2024-01")
+    events = month.groupBy(F.to_date(C.parsed_timestamp("created_at")).alias("event_date")).agg(F.count("*").alias("events"))
+    return covered.drop("bytes").join(events, "event_date", "left")
+
+
+def swapped_rows(i: Inputs) -> DataFrame:
+    """Two versions with equal counts by type and day: repositories of some events differ, one event was
+    lost on each day and another one repeated."""
+    number = F.col("event_id").cast("bigint")
+    renamed = i.ev.withColumn("repo_name", F.when(number % 97 == 5, "elsewhere").otherwise(F.col("repo_name")))
+    new = renamed.filter(number % 1000 != 7).unionByName(renamed.filter(number % 1000 == 8))
+    return quality.changed_rows(new, i.ev)
+
+
 def schema_changes(i: Inputs) -> DataFrame:
     """Columns lost, added or changed between two versions."""
     old = i.ev.select("event_id", "event_type", "pr_number")
@@ -417,6 +490,10 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "packages_from_lines": packages_from_lines,
     "events_with_supplement": events_with_supplement,
     "schema_difference": schema_changes,
+    "bucketed_stars": bucketed_stars,
+    "truncated_archives": truncated_archives,
+    "archive_coverage": archive_coverage,
+    "swapped_rows": swapped_rows,
     "exported_metrics": exported_metrics,
     "exported_report": exported_report,
     # building blocks

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import zlib
+from collections.abc import Iterable, Iterator
 from datetime import date
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,3 +166,56 @@ def parse_lines(lines: DataFrame, schema: str, column: str = "value") -> DataFra
     would be pushed below and parse the text once more for every predicate.
     """
     return lines.select(F.inline(F.array(F.from_json(column, schema))))
+
+
+# Compressed bytes handed to the decompressor at a time.
+PIECE = 1 << 20
+
+
+def archive_losses(spark: SparkSession, path: str | list[str], name_glob: str = "*.gz") -> DataFrame:
+    """What a tolerant read of gzip archives keeps: ``path``, ``length``, ``rows`` read, and whether the
+    archive ``ended_early``.
+
+    The rows are those that ``read_json_lines(..., skip_corrupt_files=True)`` returns. An archive is whole
+    if each of its gzip members reaches its end mark with a right checksum. A task holds one compressed archive,
+    which is decompressed piece by piece.
+    """
+    lines = read_json_lines(spark, path, "type string", name_glob, skip_corrupt_files=True)
+    kept = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).option("recursiveFileLookup", True).load(path)
+
+    def ends(content: bytes) -> bool:
+        at = 0
+        while at < len(content):
+            member = zlib.decompressobj(wbits=31)
+            try:
+                while at < len(content) and not member.eof:
+                    member.decompress(content[at : at + PIECE])
+                    at += PIECE
+            except zlib.error:
+                return False
+            if not member.eof:
+                return False
+            at = min(at, len(content)) - len(member.unused_data)
+        return bool(content)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = [ends(batch.column("content")[k].as_py()) for k in range(batch.num_rows)]
+            early = pa.array([not w for w in whole], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), early], ["path", "length", "ended_early"])
+
+    checked = archives.select("path", "length", "content").mapInArrow(run, "path string, length bigint, ended_early boolean")
+    # One source writes file:/x, the other file:///x.
+    same = F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace("file", "^file:/+", "/")
+    return checked.join(kept, same, "left").select("path", "length", F.coalesce("rows", F.lit(0)).alias("rows"), "ended_early")
+
+
+def archive_hours(spark: SparkSession, folder: str, month: str) -> DataFrame:
+    """Hours of a month (``YYYY-MM``) for which an archive was delivered, with its size: ``event_date``, ``hour``, ``length``.
+
+    Names are ``YYYY-MM-DD-H.json.gz``. Only the folder is listed; no archive is opened.
+    """
+    named = spark.read.format("binaryFile").option("pathGlobFilter", f"{month}-*.json.gz").load(folder).select("path", "length")
+    day, hour = (F.regexp_extract("path", r"([0-9]{4}-[0-9]{2}-[0-9]{2})-([0-9]{1,2})\.json\.gz$", i) for i in (1, 2))
+    return named.select(day.cast("date").alias("event_date"), hour.cast("int").alias("hour"), "length")

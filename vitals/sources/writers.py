@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,16 +50,22 @@ def write_bucketed(df: DataFrame, table: str, buckets: int = 256, key: str = "re
     """Bucketed and sorted table, so aggregations and joins by key need no shuffle.
 
     Hash repartitioning to the bucket count first makes one file per bucket
-    instead of one per task and bucket. Returns the stored row count.
+    instead of one per task and bucket. Rows are counted on their way into the table; raises
+    if the table holds another number, else returns it.
     """
+    written = Observation()
     (
         df.repartition(buckets, key)
+        .observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .bucketBy(buckets, key)
         .sortBy(key)
         .saveAsTable(table)
     )
-    return df.sparkSession.table(table).count()
+    stored_rows = df.sparkSession.table(table).count()
+    if stored_rows != written.get["rows"]:
+        raise RuntimeError(f"{table} holds {stored_rows} rows of {written.get['rows']}")
+    return stored_rows
 
 
 def copy_range(src: DataFrame, path: str, lo: date | str, hi: date | str) -> None:
