@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from vitals.functions import columns as C
 from vitals.functions.aggregates import (
     DEFAULT_ACCURACY,
+    SKETCH_LOG2_SIZE,
     approx_distinct,
     count_of,
     measured_sum,
@@ -109,6 +110,28 @@ def era_summary(
     )
 
 
+def daily_sketches(events: DataFrame) -> DataFrame:
+    """Events and mergeable sketches of repositories and actors per era and day, to be stored by day.
+
+    A new day is one more row: totals of any longer period come from ``merged_sketches`` without
+    reading events again. Re-running a day replaces its rows (``writers.write_events``).
+    """
+    sketch = lambda c: F.hll_sketch_agg(c, SKETCH_LOG2_SIZE)
+    return events.groupBy("era", "event_date").agg(
+        F.count("*").alias("total_events"), sketch("repo_name").alias("repos"), sketch("actor_login").alias("actors")
+    )
+
+
+def merged_sketches(days: DataFrame) -> DataFrame:
+    """Totals and approximate distinct counts per era from stored ``daily_sketches``."""
+    merged = lambda c: F.hll_sketch_estimate(F.hll_union_agg(c))
+    return days.groupBy("era").agg(
+        F.sum("total_events").alias("total_events"),
+        merged("repos").alias("distinct_repos"),
+        merged("actors").alias("distinct_actors"),
+    )
+
+
 def push_size_distribution(events: DataFrame) -> DataFrame:
     """Pushes per commit-count bucket and era.
 

@@ -976,6 +976,21 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
                    AS flag_push_distinct_size
         FROM ev GROUP BY 1""",
     ),
+    "summary_from_sketches": (
+        ("ev",),
+        """
+        SELECT era, count(*) AS total_events, true AS distinct_repos_close, true AS distinct_actors_close
+        FROM ev GROUP BY era""",
+    ),
+    "streamed_days": (
+        ("ev",),
+        """
+        SELECT repo_name, event_date, count(*) FILTER (event_type = 'WatchEvent') AS stars,
+               count(*) FILTER (event_type = 'ForkEvent') AS forks, count(*) FILTER (event_type = 'PushEvent') AS pushes,
+               count(*) FILTER (event_type = 'PullRequestEvent') AS prs,
+               count(*) FILTER (event_type = 'IssuesEvent') AS issues, count(*) AS total_events
+        FROM ev GROUP BY repo_name, event_date""",
+    ),
     "bucketed_stars": (
         ("ev",),
         """

@@ -33,6 +33,7 @@ from vitals.plans.jobs import package_pivot
 from vitals.schemas import CORE_EVENT_TYPES
 from vitals.session import shared_path
 from vitals.sources import readers, writers
+from vitals.streaming import daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,6 +241,34 @@ def events_with_supplement(i: Inputs) -> DataFrame:
     return quality.daily_counts(readers.union_optional(both, f"{second}-missing"))
 
 
+def summary_from_sketches(i: Inputs) -> DataFrame:
+    """Era totals merged from sketches that were stored day by day in two batches; the second batch
+    stores one day of the first again. Close means within three standard errors."""
+    path = shared_path(i.spark, "sketches")
+    early = F.col("event_date") < F.lit("2024-01-16").cast("date")
+    writers.write_events(eras.daily_sketches(i.ev.filter(early)), path)
+    writers.write_events(eras.daily_sketches(i.ev.filter(F.col("event_date") >= F.lit("2024-01-15").cast("date"))), path)
+    names = ("distinct_repos", "distinct_actors")
+    exact = i.ev.groupBy("era").agg(F.count_distinct("repo_name").alias(names[0]), F.count_distinct("actor_login").alias(names[1]))
+    near = [(F.abs(F.col(f"a.{c}") - F.col(f"e.{c}")) <= 0.03 * F.col(f"e.{c}")).alias(f"{c}_close") for c in names]
+    merged = eras.merged_sketches(i.spark.read.parquet(path))
+    return merged.alias("a").join(exact.alias("e"), "era").select("era", "total_events", *near)
+
+
+def streamed_days(i: Inputs) -> DataFrame:
+    """Daily activity of each repository from a stream over files; an event long after the others, delivered
+    later, closes all their days. Distinct actors are approximate in a stream and left out."""
+    feed, days, state = (shared_path(i.spark, name) for name in ("feed", "days", "stream"))
+    data.raw_event_lines(i.spark, i.sf_dir).write.text(feed)
+    later = """'{"id":"last","type":"WatchEvent","created_at":"2030-01-01T00:00:00Z","repo":{"name":"last/last"}}' AS value"""
+    for lines in (None, i.spark.range(1).selectExpr(later)):
+        if lines is not None:
+            lines.write.mode("append").text(feed)
+        events = daily.stream_clean_events(daily.stream_raw_events(i.spark, feed, 100_000))
+        daily.write_stream(daily.stream_repo_days(events), days, state).awaitTermination()
+    return i.spark.read.parquet(days).drop("distinct_actors")
+
+
 def bucketed_stars(i: Inputs) -> DataFrame:
     """Stars and pushes of each repository from two bucketed tables, joined without a shuffle."""
     tables = []
@@ -490,6 +519,8 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "packages_from_lines": packages_from_lines,
     "events_with_supplement": events_with_supplement,
     "schema_difference": schema_changes,
+    "summary_from_sketches": summary_from_sketches,
+    "streamed_days": streamed_days,
     "bucketed_stars": bucketed_stars,
     "truncated_archives": truncated_archives,
     "archive_coverage": archive_coverage,
