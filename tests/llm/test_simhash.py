@@ -145,6 +145,48 @@ def test_only_texts_that_share_enough_shingles_are_removed(spark, documents):
         assert classes([(r.u, r.v) for r in found], sets) == classes(links, sets)
 
 
+def brute_mixed(h, family):
+    if family == 0:
+        return h
+    h = (h + 0x9E3779B97F4A7C15 * family) % 2**64
+    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    h = (h ^ h >> 27) * 0x94D049BB133111EB % 2**64
+    return h ^ h >> 31
+
+
+def test_families_of_fingerprints_equal_brute_force():
+    text = " ".join(f"word{i % 17} and{i}" for i in range(60))
+    hashes = [int(h) for h in simhash.shingles(text, 2)]
+    for k, found in enumerate(simhash.fingerprints(text, 2, 4)):
+        mixed = [brute_mixed(h, k) for h in hashes]
+        assert found == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in mixed) > len(mixed))
+    assert simhash.fingerprints("", 2, 3) == [0, 0, 0]
+
+
+def test_every_family_proposes(spark, documents):
+    rng = random.Random(5)
+    rows, sets = [], {}
+    for group in range(40):
+        base = [f"w{rng.randint(0, 9999)}" for _ in range(120)]
+        for _ in range(3):
+            words = list(base)
+            for k in rng.sample(range(5, 115, 10), rng.randint(0, 3)):
+                words[k] = f"e{rng.randint(0, 9999)}"
+            rows.append((len(rows), " ".join(words)))
+            sets[len(sets)] = {tuple(words[k : k + 5]) for k in range(116)}
+    near = [(a, b) for a in sets for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    prints = {i: simhash.fingerprints(t, 2, 3) for i, t in rows}
+
+    def expected(families):
+        proposed = [classes([(a, b) for a in sets for b in range(a) if (prints[a][k] ^ prints[b][k]).bit_count() <= 7], sets) for k in range(families)]
+        return {a for a, b in classes([(a, b) for a, b in near if any(p[a] == p[b] for p in proposed)], sets).items() if a == b}
+
+    for families in (1, 3):
+        assert {r.doc_id for r in simhash.one_of_each(documents(rows), 2, 7, 4, families).collect()} == expected(families)
+    everything = {a for a, b in classes(near, sets).items() if a == b}
+    assert len(expected(3)) < len(expected(1)) and len(expected(3) - everything) <= 2
+
+
 def test_columns_may_have_any_names(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(i, text, i, i, i, i, i, i) for i in range(3)], "doc_id long, text string, _n int, _hash int, hash int, root int, text_hash int, nth int")

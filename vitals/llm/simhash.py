@@ -19,7 +19,9 @@ fingerprints are reduced to one before all this. Components are then joined acro
 
 *Exact check.* Where rows are to be removed (``one_of_each``), components of fingerprints are only candidates:
 in each, texts are linked if the Jaccard similarity of their shingles is high enough, and components
-of these links count. Large candidates are cut into blocks that cover all pairs.
+of these links count. Large candidates are cut into blocks that cover all pairs. Several families of
+fingerprints, each from the shingles' hashes mixed in its own way, propose independently, so a pair that
+one family misses is likely found by another.
 """
 
 from __future__ import annotations
@@ -49,6 +51,12 @@ SHINGLE = 5
 SIMILAR = 4, 5
 # Texts of one side of a block in which shingles are compared.
 SIDE_BYTES = 32 << 20
+# Rows of one candidate are spread over so many keys when its totals are joined back to them.
+SALTS = 32
+# Increment and multipliers of the SplitMix64 finalizer, which mixes the hashes of a further family.
+STEP = 0x9E3779B97F4A7C15
+FIRST = 0xBF58476D1CE4E5B9
+SECOND = 0x94D049BB133111EB
 MEMBER = np.dtype([("key", np.int64), ("home", bool), ("fp", np.uint64)])
 
 
@@ -66,8 +74,27 @@ def shingles(text: str, width: int) -> np.ndarray:
     return np.array([h(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
 
 
+def mixed(hashes: np.ndarray, family: int) -> np.ndarray:
+    """Hashes of another family: one to one, the same in family zero."""
+    if not family:
+        return hashes
+    h = hashes + np.uint64(STEP * family % (1 << BITS))
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(FIRST)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(SECOND)
+    return h ^ (h >> np.uint64(31))
+
+
 def fingerprint(text: str, width: int) -> int:
+    return majority(shingles(text, width))
+
+
+def fingerprints(text: str, width: int, families: int) -> list[int]:
     hashes = shingles(text, width)
+    return [majority(mixed(hashes, k)) for k in range(families)]
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
     n = len(hashes)
     if not n:
         return 0
@@ -396,24 +423,94 @@ def _rows_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return hashed.join(wanted, same).withColumn("nth", F.row_number().over(once)).filter("nth = 1").drop("nth", "hash")
 
 
-def one_of_each(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3) -> DataFrame:
+def _families(docs: DataFrame, width: int, families: int) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n_bytes`` and the fingerprints ``fps`` of all families."""
+    rows = docs.select("doc_id", text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("fps", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = np.array([fingerprints(t, width, families) for t in texts(batch)], np.uint64).view(np.int64)
+            edges = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * families)
+            columns = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(edges, pa.array(found.ravel()))], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _proposed(nodes: DataFrame, threshold: int, parts: int, families: int) -> DataFrame:
+    """``family``, ``fp`` and ``root``, the same for all fingerprints of a component of that family.
+
+    The families share every job: their anchors have part numbers of their own, so only
+    fingerprints of one family meet.
+    """
+    spark = nodes.sparkSession
+    distinct = stored(nodes.select(F.posexplode("fps").alias("family", "fp")).distinct(), "distinct")
+    members = None
+    for k in range(families):
+        of_family = anchored(distinct.filter(F.col("family") == k), threshold, parts).withColumn("part", F.col("part") + k * parts)
+        members = of_family if members is None else members.unionByName(of_family)
+    members = stored(members, "members")
+    found = stored(links(cells(members), threshold), "links")
+    dropped(spark, members)
+    joined = components(found)
+    dropped(spark, found)
+    return distinct.join(joined, distinct.fp == joined.u, "left").select("family", "fp", F.coalesce("v", "fp").alias("root"))
+
+
+def _candidates(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_hash`` and ``groups``, the candidates of several texts that the text belongs to
+    as (``root``, ``bytes``); a candidate that several families propose counts once.
+
+    Totals of a candidate are made and joined back by (candidate, salt), so one of a third of all
+    texts is spread over ``SALTS`` keys.
+    """
+    salt = F.pmod(F.xxhash64("text_hash"), F.lit(SALTS)).cast("int")
+    each = (
+        nodes.select("row.doc_id", "text_hash", "n_bytes", F.posexplode("fps").alias("family", "fp")).join(roots, ["family", "fp"])
+        .select("doc_id", "text_hash", "n_bytes", F.xxhash64("family", "root").alias("root"), salt.alias("salt"))
+    )
+    each = stored(each, "each")
+    totals = each.groupBy("root", "salt").agg(
+        F.count("*").alias("n"),
+        F.sum("n_bytes").alias("bytes"),
+        F.min("text_hash").alias("least"),
+        F.bit_xor(F.xxhash64("text_hash")).alias("digest"),
+    )
+    groups = totals.groupBy("root").agg(
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
+        F.min("least").alias("least"),
+        F.bit_xor("digest").alias("digest"),
+        F.collect_list("salt").alias("salts"),
+    )
+    same = groups.filter("n > 1").groupBy("n", "bytes", "least", "digest")
+    # Texts without bytes make a block, too.
+    once = same.agg(F.min_by(F.struct("root", "salts"), "root").alias("group")).select(
+        "group.root", F.greatest("bytes", F.lit(1)).alias("bytes"), F.explode("group.salts").alias("salt")
+    )
+    asked = each.join(once, ["root", "salt"])
+    return asked.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("root", "bytes")).alias("groups"))
+
+
+def one_of_each(docs: DataFrame, width: int = 4, threshold: int = 4, parts: int = 3, families: int = 1) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the one of the smallest id
     (rows without an id last), by text hash where an id repeats; of equal rows one.
 
-    Fingerprints only propose: rows are linked if links of fingerprints connect them and
-    the Jaccard similarity of their shingles of ``SHINGLE`` words is at least ``SIMILAR``.
+    Fingerprints only propose: rows are linked if links of fingerprints of one of the ``families`` connect
+    them and the Jaccard similarity of their shingles of ``SHINGLE`` words is at least ``SIMILAR``.
     """
-    prints, roots = _linked(docs, width, threshold, parts)
+    spark = docs.sparkSession
     this = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    nodes = stored(
-        prints.groupBy("text_hash", "fp").agg(F.min(this).alias("row"), F.max("n_bytes").alias("n_bytes")).join(roots, "fp"), "nodes"
-    )
-    several = nodes.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("sum")).filter("n > 1")
-    # Texts without bytes make a block, too.
-    asked = nodes.join(several, "root").select("root", "row.doc_id", "text_hash", F.greatest("sum", F.lit(1)).alias("bytes"))
-    rows = _rows_of(docs.select("doc_id", "text"), asked).select("root", "text_hash", text_of("row.text").alias("text"), "bytes")
+    prints = _families(docs, width, families)
+    nodes = stored(prints.groupBy("text_hash", "fps").agg(F.min(this).alias("row"), F.max("n_bytes").alias("n_bytes")), "nodes")
+    asked = _candidates(nodes, _proposed(nodes, threshold, parts, families))
+    rows = _rows_of(docs.select("doc_id", "text"), asked).select("text_hash", text_of("row.text").alias("text"), F.inline("groups"))
     found = stored(text_links(rows), "similar")
     joined = components(found).withColumnRenamed("u", "text_hash")
+    dropped(spark, found)
     kept = (
         nodes.join(joined, "text_hash", "left").groupBy(F.coalesce("v", "text_hash").alias("class")).agg(F.min("row").alias("row"))
         .select("row.doc_id", "row.text_hash")
