@@ -24,9 +24,9 @@ from vitals.llm import bpe, mixing, pii, quality, simhash
 from vitals.llm.tables import ship, stored, table
 
 COLUMNS = "doc_id text lang source n_chars".split()
-# Candidates are fingerprints of two-word shingles within seven bits, which find most of the pairs that
-# share 0.8 or more of their five-word shingles (README); the exact check is in ``one_of_each``.
-NEAR = {"width": 2, "threshold": 7, "parts": 4}
+# Candidates are fingerprints of two-word shingles within seven bits in one of three families, which find nearly
+# all pairs that share 0.8 or more of their five-word shingles (README); the exact check is in ``one_of_each``.
+NEAR = {"width": 2, "threshold": 7, "parts": 4, "families": 3}
 # A trained classifier and 64-bit fingerprints have no SQL form; tests hold the result against a
 # brute-force version.
 ORACLE_SQL = None
