@@ -44,12 +44,16 @@ def test_the_pipeline_equals_its_brute_force(spark):
     network = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     rows = [r for r in docs.collect() if network.probabilities([r.text or ""])[0] >= quality.THRESHOLD]
     near = corpus_pipeline.NEAR
-    prints = {r.doc_id: simhash.fingerprint(r.text or "", near["width"]) for r in rows}
+    prints = {r.doc_id: simhash.fingerprints(r.text or "", near["width"], near["families"]) for r in rows}
     words = {r.doc_id: (r.text or "").encode().lower().split() for r in rows}
     sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
     pairs = [(a, b) for a in sets for b in sets if a < b]
-    proposed = components([(a, b) for a, b in pairs if (prints[a] ^ prints[b]).bit_count() <= near["threshold"]], sets)
-    similar = [(a, b) for a, b in pairs if proposed[a] == proposed[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    proposed = [
+        components([(a, b) for a, b in pairs if (prints[a][k] ^ prints[b][k]).bit_count() <= near["threshold"]], sets)
+        for k in range(near["families"])
+    ]
+    meet = [(a, b) for a, b in pairs if any(p[a] == p[b] for p in proposed)]
+    similar = [(a, b) for a, b in meet if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
     least = components(similar, sets)
     kept = {r.doc_id: r for r in rows if least[r.doc_id] == r.doc_id}
     frame = spark.createDataFrame(list(kept.values()), docs.schema)
