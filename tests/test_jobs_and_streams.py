@@ -2,13 +2,15 @@ import json
 import os
 
 import pytest
-from frames import rows
+from frames import rows, star
 from pyspark.sql import functions as F
 
+from vitals.operators import deepdive
 from vitals.operators.cleaning import clean_events
 from vitals.plans import jobs
 from vitals.plans import testdata as data
-from vitals.sources import readers
+from vitals.session import shared_folder
+from vitals.sources import readers, writers
 from vitals.streaming import daily
 
 SF = "/root/testdata/sf0.001"
@@ -107,6 +109,59 @@ def test_deepdive_job(spark, cleaned, tmp_path):
     flow = spark.read.option("header", True).csv(str(tmp_path / "d/contributor_flow_csv"))
     assert flow.count() > 0
     assert len([d for d in os.listdir(tmp_path / "d") if d.endswith("_csv")]) == 9
+    assert flow.count() == spark.read.parquet(str(tmp_path / "d/contributor_flow")).count()
+    assert shared_files(spark, "target_events") == []
+
+
+def shared_files(spark, name):
+    return [f for f in os.listdir(shared_folder(spark).removeprefix("file:")) if f.startswith(f"{name}-")]
+
+
+def test_scratch_is_deleted_also_after_an_error(spark):
+    with writers.Scratch(spark) as scratch:
+        assert scratch.stored(spark.range(5), "scratch").count() == 5
+        assert len(shared_files(spark, "scratch")) == 1
+    assert shared_files(spark, "scratch") == []
+    with pytest.raises(ZeroDivisionError), writers.Scratch(spark) as scratch:
+        scratch.stored(spark.range(5), "scratch")
+        1 / 0
+    assert shared_files(spark, "scratch") == []
+
+
+def test_contributors_of_batches_equal_one_run(spark, events_of, tmp_path):
+    targets = spark.createDataFrame([("a", True), ("b", False)], "repo_name string, is_ai boolean")
+    days = ["2025-01-06", "2025-01-20", "2025-02-03", "2025-02-20", "2025-04-01"]
+    made = [
+        star(repo, actor, f"{day} 10:00:00", era)
+        for k, day in enumerate(days)
+        for repo in "abc"
+        for j, actor in enumerate(["x", "y", "z", None])
+        if (k + j) % 3 or actor is None
+        for era in [None if repo == "b" and k == 4 else "2025-Q1" if k < 4 else "2025-Q2"]
+    ]
+    whole, path = events_of(made), str(tmp_path / "state")
+    order = ["era", "repo_name", "month", "contributor_type"]
+    expected = rows(deepdive.contributor_flow(whole, targets), *order)
+    batches = [whole.filter(F.col("event_date") == day) for day in ("2030-01-01", days[2], days[0], days[3], days[4], days[1], days[4])]
+    for batch in batches:
+        flow = jobs.add_contributors_job(batch, targets, path)
+    assert rows(flow, *order) == expected
+    assert {"new", "returning"} <= {r["contributor_type"] for r in expected}
+    # The label is not part of the state, and a repository may become a target later.
+    others = spark.createDataFrame([("a", False), ("c", True)], "repo_name string, is_ai boolean")
+    flow = jobs.add_contributors_job(batches[0], others, path)
+    assert rows(flow, *order) == rows(deepdive.contributor_flow(whole, others), *order)
+    assert shared_files(spark, "contributors") == []
+
+
+def test_a_batch_reads_only_the_eras_it_touches(spark, events_of, tmp_path):
+    path = str(tmp_path / "state")
+    targets = spark.createDataFrame([("a", True)], "repo_name string, is_ai boolean")
+    for era, day in (("2025-Q1", "2025-01-06"), ("2025-Q2", "2025-04-06")):
+        jobs.add_contributors_job(events_of([star("a", "x", f"{day} 10:00:00", era)]), targets, path)
+    first = sorted(os.listdir(tmp_path / "state/era=2025-Q1"))
+    jobs.add_contributors_job(events_of([star("a", "y", "2025-04-07 10:00:00", "2025-Q2")]), targets, path)
+    assert sorted(os.listdir(tmp_path / "state/era=2025-Q1")) == first
 
 
 def test_profile_compare_and_pivot_jobs(spark, cleaned, raw_folder, tmp_path):

@@ -138,15 +138,46 @@ def contributor_flow(events: DataFrame, targets: DataFrame, grain: str = "month"
         target_events(events.filter(F.col("actor_login").isNotNull()), targets)
         .groupBy(*REPO, "actor_login")
         .agg(F.collect_set(C.period("event_date", grain)).alias("periods"))
-        .withColumn("first", F.array_min("periods"))
     )
-    seen = per_actor.select(*REPO, "first", F.explode("periods").alias("month"))
+    return _flow(per_actor)
+
+
+def _flow(per_actor: DataFrame) -> DataFrame:
+    """Contributors per period from rows of an actor's ``periods``."""
+    seen = per_actor.withColumn("first", F.array_min("periods")).select(*REPO, "first", F.explode("periods").alias("month"))
     kind = F.when(F.col("month") == F.col("first"), "new").otherwise("returning")
     return seen.groupBy(*REPO, "month", kind.alias("contributor_type")).agg(
         F.count("*").alias("contributors")
     )
 
 
+def contributor_periods(events: DataFrame, grain: str = "month") -> DataFrame:
+    """The periods in which each actor was active in a repository: a state that batches of events merge into.
+
+    It holds all repositories, so that targets may change without old events being read again.
+    """
+    return (
+        events.filter(F.col("actor_login").isNotNull())
+        .groupBy("era", "repo_name", "actor_login")
+        .agg(F.collect_set(C.period("event_date", grain)).alias("periods"))
+    )
+
+
+def merged_periods(states: DataFrame) -> DataFrame:
+    """One row per actor of several states. Order and repeats of batches do not matter, as sets are united.
+
+    An era bounds the periods, so a row stays small.
+    """
+    return states.groupBy("era", "repo_name", "actor_login").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("periods")))).alias("periods")
+    )
+
+
+def flow_of_periods(state: DataFrame, targets: DataFrame) -> DataFrame:
+    """``contributor_flow`` from the stored state instead of events."""
+    return _flow(target_events(state, targets))
+
+
 def group_pr_merge_time(per_repo: DataFrame) -> DataFrame:
     return per_repo.groupBy("era", "is_ai").agg(
         F.count("repo_name").alias("repo_count"),

@@ -12,11 +12,11 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vitals.functions.ordering import top_k
 from vitals.operators import activity, adoption, cleaning, deepdive, eras, models, profiling, quality, rhythm
 from vitals.operators.joins import label_ai, schema_difference
-from vitals.session import shared_path
 from vitals.sources import readers, writers
 
 
@@ -50,19 +50,46 @@ def add_events_job(
     delivered in two batches is kept once and a repeated run changes nothing.
     """
     cleaned = cleaning.clean_events(readers.read_events(spark, source, fmt))
-    batch = writers.stored(cleaned, shared_path(spark, "batch"), by="event_date")
+    with writers.Scratch(spark) as scratch:
+        batch = scratch.stored(cleaned, "batch", by="event_date")
+        present = _present(spark, target)
+        if present is None:
+            writers.write_events(batch, target)
+        else:
+            days = [row.event_date for row in batch.select("event_date").distinct().collect()]
+            touched = present.filter(F.col("event_date").isin(days))
+            both = batch.unionByName(touched, allowMissingColumns=True)
+            writers.write_events(cleaning.dedupe(both, "event_id", [F.col("event_ts")]), target)
+    return spark.read.parquet(target)
+
+
+def _present(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """What a path holds, or none where there is no such path yet."""
     try:
-        present = spark.read.parquet(target)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        writers.write_events(batch, target)
-    else:
-        days = [row.event_date for row in batch.select("event_date").distinct().collect()]
-        touched = present.filter(F.col("event_date").isin(days))
-        both = batch.unionByName(touched, allowMissingColumns=True)
-        writers.write_events(cleaning.dedupe(both, "event_id", [F.col("event_ts")]), target)
-    return spark.read.parquet(target)
+        return None
+
+
+def add_contributors_job(events: DataFrame, targets: DataFrame, path: str, grain: str = "month") -> DataFrame:
+    """Contributor flow of all batches so far, reading only this batch's events.
+
+    The state at ``path`` holds each actor's active periods by era. A batch, in any order and also one seen
+    before, is merged into the eras it touches; other eras are neither read nor written.
+    """
+    spark = events.sparkSession
+    with writers.Scratch(spark) as scratch:
+        batch = scratch.stored(deepdive.contributor_periods(events, grain), "contributors")
+        present = _present(spark, path, batch.schema)
+        if present is not None:
+            touched = [row.era for row in batch.select("era").distinct().collect()]
+            same = F.col("era").isin([era for era in touched if era is not None])
+            kept = present.filter(same | F.col("era").isNull() if None in touched else same)
+            batch = deepdive.merged_periods(batch.unionByName(kept.select(batch.columns)))
+        writers.write_events(batch, path, by="era")
+    return deepdive.flow_of_periods(spark.read.schema(batch.schema).parquet(path), targets)
 
 
 def clean_models_job(
@@ -88,16 +115,18 @@ def profile_job(df: DataFrame, folder: str, kind: str) -> None:
 
     Raw archives are decoded once: the reports read a stored copy by column.
     """
-    df = writers.stored(df, shared_path(df.sparkSession, "profiled"))
-    tables = {"events": profiling.profile_events, "models": profiling.profile_models}[kind](df)
-    for name, table in tables.items():
-        writers.export_report(table, f"{folder}/{name}")
+    with writers.Scratch(df.sparkSession) as scratch:
+        df = scratch.stored(df, "profiled")
+        tables = {"events": profiling.profile_events, "models": profiling.profile_models}[kind](df)
+        for name, table in tables.items():
+            writers.export_report(table, f"{folder}/{name}")
 
 
 def models_eda_job(df: DataFrame, folder: str, as_of: date | str) -> None:
-    df = writers.stored(df, shared_path(df.sparkSession, "explored"))
-    for name, table in models.models_eda(df, as_of).items():
-        writers.export_report(table, f"{folder}/{name}")
+    with writers.Scratch(df.sparkSession) as scratch:
+        df = scratch.stored(df, "explored")
+        for name, table in models.models_eda(df, as_of).items():
+            writers.export_report(table, f"{folder}/{name}")
 
 
 def scoring_job(
@@ -178,37 +207,39 @@ def era_job(events: DataFrame, folder: str) -> dict[str, DataFrame]:
 
 
 def deepdive_job(events: DataFrame, top: DataFrame, seed: DataFrame, folder: str, k: int = 200) -> None:
-    """Target repositories in depth; the targets' events are stored once for all reports."""
+    """Target repositories in depth; the targets' events are stored once for all reports and then deleted."""
     targets = writers.stored(deepdive.target_repos(top, seed, k), f"{folder}/target_repos")
     columns = [
         "event_type", "event_ts", "event_date", "actor_login", "repo_name", "payload_action",
         "pr_number", "pr_merged", "push_distinct_size", "era",
     ]
     kept = events.select(*columns).join(targets.select("repo_name"), "repo_name", "left_semi")
-    rows = writers.stored(kept, f"{folder}/target_events", by="event_date")
-    merge_time = writers.stored(deepdive.pr_merge_time(rows, targets), f"{folder}/pr_merge_time")
-    prs = writers.stored(deepdive.daily_pr_timeseries(rows, targets), f"{folder}/daily_pr_timeseries")
-    commits = writers.stored(
-        deepdive.daily_commits_timeseries(rows, targets), f"{folder}/daily_commits_timeseries"
-    )
+    with writers.Scratch(events.sparkSession) as scratch:
+        rows = scratch.stored(kept, "target_events", by="event_date")
+        merge_time = writers.stored(deepdive.pr_merge_time(rows, targets), f"{folder}/pr_merge_time")
+        prs = writers.stored(deepdive.daily_pr_timeseries(rows, targets), f"{folder}/daily_pr_timeseries")
+        commits = writers.stored(
+            deepdive.daily_commits_timeseries(rows, targets), f"{folder}/daily_commits_timeseries"
+        )
+        flow = writers.stored(deepdive.contributor_flow(rows, targets), f"{folder}/contributor_flow")
     pr_count = deepdive.daily_pr_count(prs)
     commit_count = deepdive.daily_commits(commits)
+    # Tables with a row per repository and period grow with time and keep a file per task.
+    growing: dict[str, tuple[DataFrame, Sequence[str]]] = {
+        "daily_pr_timeseries": (prs, ["repo_name", "era", "event_date"]),
+        "daily_commits_timeseries": (commits, ["repo_name", "era", "event_date"]),
+        "contributor_flow": (flow, ["repo_name", "era", "month", "contributor_type"]),
+    }
     reports: dict[str, tuple[DataFrame, Sequence[str]]] = {
         "pr_merge_time": (merge_time, ["repo_name", "era"]),
-        "daily_pr_timeseries": (prs, ["repo_name", "era", "event_date"]),
         "daily_pr_count": (pr_count, ["repo_name", "era"]),
-        "daily_commits_timeseries": (commits, ["repo_name", "era", "event_date"]),
         "daily_commits": (commit_count, ["repo_name", "era"]),
-        "contributor_flow": (
-            deepdive.contributor_flow(rows, targets),
-            ["repo_name", "era", "month", "contributor_type"],
-        ),
         "group_pr_merge_time": (deepdive.group_pr_merge_time(merge_time), ["era", "is_ai"]),
         "group_daily_prs": (deepdive.group_daily_prs(pr_count), ["era", "is_ai"]),
         "group_daily_commits": (deepdive.group_daily_commits(commit_count), ["era", "is_ai"]),
     }
-    for name, (table, order) in reports.items():
-        writers.export_csv(table, f"{folder}/{name}_csv", order)
+    for name, (table, order) in {**growing, **reports}.items():
+        writers.export_csv(table, f"{folder}/{name}_csv", order, one_file=name not in growing)
 
 
 def compare_job(new: DataFrame, old: DataFrame, folder: str) -> None:

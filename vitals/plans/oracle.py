@@ -651,6 +651,14 @@ EXPECTED: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT *, min(event_date) OVER (PARTITION BY era, repo_name, actor_login) AS f FROM tev)
         GROUP BY 1, 2, 3, 4, 5""",
     ),
+    "contributor_flow_in_batches": (
+        ("tev",),
+        """
+        WITH firsts AS (SELECT era, repo_name, actor_login, min(event_date) AS f FROM tev GROUP BY 1, 2, 3)
+        SELECT t.era, t.repo_name, t.is_ai, strftime(t.event_date, '%Y-%m-%d') AS month,
+               if(t.event_date = f, 'new', 'returning') AS contributor_type, count(DISTINCT t.actor_login) AS contributors
+        FROM tev t JOIN firsts USING (era, repo_name, actor_login) GROUP BY 1, 2, 3, 4, 5""",
+    ),
     "contributor_flow_monthly": (
         ("tev",),
         """

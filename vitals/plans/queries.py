@@ -29,7 +29,7 @@ from vitals.operators import (
     risk,
 )
 from vitals.plans import testdata as data
-from vitals.plans.jobs import package_pivot
+from vitals.plans.jobs import add_contributors_job, package_pivot
 from vitals.schemas import CORE_EVENT_TYPES
 from vitals.session import shared_path
 from vitals.sources import readers, writers
@@ -255,6 +255,15 @@ def summary_from_sketches(i: Inputs) -> DataFrame:
     return merged.alias("a").join(exact.alias("e"), "era").select("era", "total_events", *near)
 
 
+def contributor_flow_in_batches(i: Inputs) -> DataFrame:
+    """Contributor flow from a maintained state: the later days first, then the earlier, with one day in both."""
+    path = shared_path(i.spark, "contributors")
+    later = i.ev.filter(F.col("event_date") >= F.lit("2024-01-15").cast("date"))
+    add_contributors_job(later, i.targets, path, grain="day")
+    earlier = i.ev.filter(F.col("event_date") < F.lit("2024-01-16").cast("date"))
+    return add_contributors_job(earlier, i.targets, path, grain="day")
+
+
 def streamed_days(i: Inputs) -> DataFrame:
     """Daily activity of each repository from a stream over files; an event long after the others, delivered
     later, closes all their days. Distinct actors are approximate in a stream and left out."""
@@ -422,6 +431,7 @@ PRODUCTS: dict[str, Callable[[Inputs], DataFrame]] = {
     "daily_commits_timeseries": lambda i: deepdive.daily_commits_timeseries(i.ev, i.targets),
     "daily_commits": lambda i: deepdive.daily_commits(deepdive.daily_commits_timeseries(i.ev, i.targets)),
     "contributor_flow": lambda i: deepdive.contributor_flow(i.ev, i.targets, grain="day"),
+    "contributor_flow_in_batches": contributor_flow_in_batches,
     "contributor_flow_monthly": lambda i: deepdive.contributor_flow(i.ev, i.targets),
     "group_pr_merge_time": lambda i: deepdive.group_pr_merge_time(
         deepdive.pr_merge_time(i.ev, i.targets, exact=True)

@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitals.functions.columns import in_range
+from vitals.session import shared_path
 
 
 def write_raw(df: DataFrame, path: str, files: int, mode: str = "overwrite") -> None:
@@ -86,14 +87,15 @@ def _report_ready(df: DataFrame, timestamp_format: str) -> DataFrame:
     return df.select(*columns)
 
 
-def export_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
-    """One CSV file with a header, for results of report size.
+def export_csv(df: DataFrame, path: str, order: Sequence[str] = (), one_file: bool = True) -> None:
+    """CSV with a header: one file for results of report size, with ``one_file=False`` a file for each task.
 
     ``coalesce`` comes after the aggregation's own shuffle, so only the result
-    rows pass through the single writing task.
+    rows pass through the single writing task. Several files keep the order, too: each holds one range of it.
     """
     out = df.orderBy(*order) if order else df
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    out = out.coalesce(1) if one_file else out
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def export_report(df: DataFrame, path: str, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> None:
@@ -136,3 +138,29 @@ def stored(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     else:
         write_table(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Frames stored in the shared folder for the length of a ``with`` block.
+
+    They are deleted when it ends, also by an error, so nothing lazy that reads them may leave the block.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        path = shared_path(self.spark, name)
+        self.paths.append(path)
+        return stored(df, path, by)
+
+    def __exit__(self, *error: object) -> None:
+        configuration = self.spark._jsc.hadoopConfiguration()
+        for name in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(configuration).delete(path, True)
+        self.paths.clear()
