@@ -85,3 +85,28 @@ def test_rounds_go_on_until_no_pair_is_frequent():
                 counts[pair], last[pair] = counts.get(pair, 0) + 1, i
         assert max(counts.values(), default=0) < repair.LEAST
         assert (repair.expand(rules, 50_257, symbols) == ids).all()
+
+
+def test_blocks_decode_as_ranges_do_and_no_frequent_pair_is_left():
+    rng = np.random.default_rng(9)
+    for k in range(300):
+        ids = np.tile(rng.integers(0, 1 + k % 5, rng.integers(0, 60)), 1 + k % 7).astype(np.uint32)
+        if k % 3 == 0:
+            ids = np.repeat(ids, rng.integers(1, 5, len(ids)))
+        rules, lengths, symbols = repair.compress(ids, 10, least=3)
+        assert (repair.expand_block(rules, lengths, 10, symbols) == ids).all()
+        assert (repair.expand(rules, 10, symbols) == ids).all()
+        held, last = {}, {}
+        for at, pair in enumerate(zip(symbols.tolist(), symbols[1:].tolist())):
+            if last.get(pair) != at - 1:  # occurrences that overlap count once
+                held[pair], last[pair] = held.get(pair, 0) + 1, at
+        assert max(held.values(), default=0) < 3
+
+
+def test_chunks_asked_for_together_have_the_ids_of_each():
+    mine = repair.Encoder(PATH)
+    chunks = [" a", " ", "b", " \u00a0", " x\u00a0", " <|endoftext|>", " don't", "\n", " Zq9!", " \u4e2d\u6587", " e\u0301"] * 40
+    order, sizes, ids = mine.ask_chunks(chunks)
+    assert sorted(order) == list(range(len(chunks)))
+    for i, own in zip(order, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert own.tolist() == mine.ask([chunks[i]])[0]

@@ -15,10 +15,11 @@ symbols         the compressed sequence, 32-bit
 *Compression.* Rounds replace frequent adjacent pairs by new symbols until no pair is frequent
 enough to pay for its rule. A round counts all pairs of a block, takes those above
 a limit that falls from round to round, and replaces their occurrences where they do not overlap. A pair's symbols may be symbols of
-earlier rounds, so rules nest.
+earlier rounds, so rules nest. Once the limit is the lowest, a round looks only beside the places that the one before
+replaced or could have replaced: no other pair can have become frequent.
 
 *Decoding.* Expansion lengths turn a range of ids into a range of symbols; only these are expanded,
-one level of rules at a time.
+one level of rules at a time. A whole block is decoded by expanding each rule once.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ BLOCK_IDS = 1 << 20
 LEAST = 8
 RECENT = 800_000
 PLACES = 64
+JOINED = 64
 BUCKET_BITS = 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -56,6 +58,7 @@ class Encoder:
     stop or comma between an ASCII letter and white space. Where no two white spaces meet, no word
     of the vocabulary's pattern crosses such a cut; texts in which they do meet are encoded as a whole.
     Chunks are known by a 64-bit hash: the sum of random numbers drawn for each byte at each place.
+    Unknown chunks that begin with a space are asked for in long strings, of which every token with a space opens a chunk.
     """
 
     def __init__(self, path: str):
@@ -65,6 +68,9 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        vocabulary = self.library.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
         self.random = np.random.default_rng(1).integers(0, 1 << 64, (PLACES, 256), np.uint64).ravel()
         self.forget()
 
@@ -76,6 +82,25 @@ class Encoder:
     def ask(self, asked: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(asked, add_special_tokens=False)]
 
+    def ask_chunks(self, chunks: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """An order of the chunks, their numbers of ids, and their ids, in that order."""
+        joined = [i for i, c in enumerate(chunks) if c[0] == " " and not c[-1].isspace()] if self.opens.any() else []
+        groups = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        order, sizes, found = [], [], []
+        for group, answer in zip(groups, self.ask(["".join([chunks[i] for i in g]) for g in groups])):
+            ids = np.array(answer, np.uint32)
+            first = np.flatnonzero(self.opens[ids])
+            # Anything else, such as a special token that takes the space, is asked for by itself.
+            if len(first) == len(group) and first[0] == 0:
+                order += group
+                sizes.append(np.diff(np.append(first, len(ids))))
+                found.append(ids)
+        rest = sorted(set(range(len(chunks))) - set(order))
+        answers = self.ask([chunks[i] for i in rest])
+        sizes.append(np.array([len(x) for x in answers], np.int64))
+        found.append(np.fromiter(chain.from_iterable(answers), np.uint32, int(sizes[-1].sum())))
+        return order + rest, np.concatenate(sizes), np.concatenate(found)
+
     def encode(self, rows: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text."""
         cut = [i for i, t in enumerate(rows) if t and not WHITE_SPACE_RUN.search(t)]
@@ -127,13 +152,13 @@ class Encoder:
             sample[codes] = np.arange(len(codes))
             at = sample[new]
             asked = [buffer[a:b].decode() for a, b in zip(starts[at].tolist(), (starts[at] + sizes[at]).tolist())]
-            answers = self.ask(asked)
-            n = np.array([len(x) for x in answers], np.int64)
+            order, n, ids = self.ask_chunks(asked)
+            new = new[order]
             known[new] = len(self.size) + np.arange(len(new))
             self.slot.update(zip([keys[i] for i in new.tolist()], known[new].tolist()))
             self.first = np.append(self.first, len(self.ids) + np.cumsum(n) - n)
             self.size = np.append(self.size, n)
-            self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(answers), np.uint32, int(n.sum())))
+            self.ids = np.append(self.ids, ids)
         return known
 
 
@@ -163,21 +188,26 @@ def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int =
     """
     symbols = ids.astype(np.uint32)
     rules, sizes, limit, turn = [np.empty((0, 2), np.uint32)], np.ones(0, np.int64), 0, 0
+    live = None  # where a frequent pair may begin; at first everywhere
     while len(symbols) >= 2 and (rounds is None or turn < rounds):
-        keys = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
         # In a run of one symbol every second pair counts: only these can all be replaced.
-        use = np.ones(len(keys), bool)
-        same = np.flatnonzero(keys[1:] == keys[:-1]) + 1
+        use = np.ones(len(symbols) - 1, bool) if live is None else live
+        equal = symbols[1:] == symbols[:-1]
+        same = np.flatnonzero(equal[1:] & equal[:-1]) + 1
         first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
         place = np.arange(len(same)) - np.repeat(first, np.diff(np.append(first, len(same))))
         use[same[place % 2 == 0]] = False
-        bucket = ((keys * MULTIPLIER) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
-        most = np.bincount(bucket[use], minlength=1 << BUCKET_BITS)
+        where = np.flatnonzero(use)
+        keys = symbols[where].astype(np.uint64) << np.uint64(32) | symbols[where + 1]
+        bits = BUCKET_BITS if live is None else min(BUCKET_BITS, len(where).bit_length() + 2)
+        bucket = ((keys * MULTIPLIER) >> np.uint64(64 - bits)).astype(np.int32)
+        most = np.bincount(bucket, minlength=1 << bits)
         # The limit falls by rounds from a share of the highest count to the least that pays.
         limit = max(least, int(most.max()) // 16 if turn == 0 else limit // 16)
         turn += 1
-        at = np.flatnonzero(use & (most >= limit)[bucket])
-        codes, kinds = pd.factorize(keys[at])
+        likely = (most >= limit)[bucket]
+        at = where[likely]
+        codes, kinds = pd.factorize(keys[likely])
         counts = np.bincount(codes, minlength=len(kinds))
         frequent = (counts >= limit)[codes]
         at, codes = at[frequent], codes[frequent]
@@ -194,6 +224,10 @@ def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int =
         free = np.ones(len(at), bool)
         free[1:] &= ~(beside & (prior[:-1] > prior[1:]))
         free[:-1] &= ~(beside & (prior[1:] > prior[:-1]))
+        watched = np.zeros(len(symbols), bool)
+        if limit == least:
+            for step in (-1, 0, 1):
+                watched[at[at + step >= 0] + step] = True
         taken = np.bincount(codes[free], minlength=len(kinds)) >= least
         free &= taken[codes]
         at, codes, chosen = at[free], codes[free], np.flatnonzero(taken)
@@ -201,7 +235,10 @@ def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int =
         number = np.zeros(len(kinds), np.uint32)
         number[chosen] = base + len(sizes) + np.arange(len(chosen))
         symbols[at] = number[codes]
-        symbols = np.delete(symbols, at + 1)
+        keep = np.ones(len(symbols), bool)
+        keep[at + 1] = False
+        symbols = symbols[keep]
+        live = watched[keep][:-1] if limit == least else None
         side = np.append(sizes, 1)[np.where(rule >= base, rule.astype(np.int64) - base, -1)]
         rules.append(rule)
         sizes = np.append(sizes, side.sum(1))
@@ -222,6 +259,29 @@ def expand(rules: np.ndarray, base: int, symbols: np.ndarray) -> np.ndarray:
     return symbols
 
 
+def expand_block(rules: np.ndarray, lengths: np.ndarray, base: int, symbols: np.ndarray) -> np.ndarray:
+    """All ids of a whole block: each rule is expanded once, then every symbol looks its ids up."""
+    sizes = np.concatenate([np.ones(base, np.int64), lengths.astype(np.int64)])
+    begins = np.cumsum(sizes) - sizes
+    store = np.empty(int(sizes.sum()), np.uint32)
+    store[:base] = np.arange(base)
+
+    def ids_of(some: np.ndarray) -> np.ndarray:
+        n = sizes[some]
+        ends = np.cumsum(n)
+        return store[np.repeat(begins[some] - ends + n, n) + np.arange(int(n.sum()))]
+
+    # Rules up to the first that uses one of them do not depend on each other.
+    newest, done = rules.max(1, initial=0), 0
+    while done < len(rules):
+        waits = newest[done:] >= base + done
+        stop = done + int(waits.argmax()) if waits.any() else len(rules)
+        ids = ids_of(rules[done:stop].ravel())
+        store[begins[base + done] : begins[base + done] + len(ids)] = ids
+        done = stop
+    return ids_of(symbols)
+
+
 def read_range(block: dict, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a block; only the symbols that reach into it are expanded."""
     rules, lengths, symbols, base = unpacked(block)
@@ -306,8 +366,8 @@ def read_documents(blocks: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in batch.to_pylist():
-                rules, _, symbols, base = unpacked(block)
-                data = memoryview(expand(rules, base, symbols).astype("<u4")).cast("B")
+                rules, lengths, symbols, base = unpacked(block)
+                data = memoryview(expand_block(rules, lengths, base, symbols).astype("<u4")).cast("B")
                 sizes = np.array(block["sizes"], np.int64)
                 ends = np.cumsum(sizes)
                 starts = ends - sizes
