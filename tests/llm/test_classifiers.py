@@ -52,7 +52,8 @@ def test_chunks_cover_every_byte():
     for n in (1, 5, 511, 512, 513, 1000, 5000):
         raw = bytes(i % 251 for i in range(n))
         pairs = quality.chunked(raw)
-        data = np.stack([pairs >> 8, pairs & 255], 2).reshape(len(pairs), -1)
+        assert ((pairs[:, :-1] & 255) == (pairs[:, 1:] >> 8)).all()
+        data = np.concatenate([pairs >> 8, pairs[:, -1:] & 255], 1)
         assert data.shape[1] == quality.CHUNK
         if n >= quality.CHUNK:
             starts = [*range(0, n - quality.CHUNK, quality.HOP), n - quality.CHUNK]
@@ -87,3 +88,114 @@ def test_flags_use_the_threshold_of_the_language(spark):
     df = spark.createDataFrame([(0.6, "en"), (0.6, "de"), (0.6, None), (0.8, "de")], "s double, l string")
     flags = [r[0] for r in df.select(toxicity.flagged(F.col("s"), F.col("l"), {"": 0.5, "de": 0.7})).collect()]
     assert flags == [True, False, True, True]
+
+
+def plain_quality(net, text):
+    """The score in loops over bytes."""
+    raw = text.encode()
+    if not raw:
+        return 0.0
+    if len(raw) < quality.CHUNK:
+        raw = (raw * quality.CHUNK)[: quality.CHUNK]
+    last = len(raw) - quality.CHUNK
+    chunks = [raw[s : s + quality.CHUNK] for s in [*range(0, last, quality.HOP), last]]
+    vectors, filters = net.embedding.astype(float), net.filters.astype(float)
+    pooled = []
+    for chunk in chunks:
+        best = np.full(quality.FILTERS, -np.inf)
+        for p in range(len(chunk) - quality.WIDTH + 1):
+            best = np.maximum(best, sum(vectors[chunk[p + w]] @ filters[w] for w in range(quality.WIDTH)))
+        pooled.append(np.maximum(best + net.bias, 0))
+    features = np.concatenate([np.max(pooled, 0), np.mean(pooled, 0), [1]])
+    return float(1 / (1 + np.exp(-(features @ net.weights.astype(float)))))
+
+
+def plain_toxicity(net, text):
+    """The score in loops over words."""
+    words = text.encode().split()
+    if not words:
+        return 0.0
+    side = [np.zeros(toxicity.EMBEDDED)] * (toxicity.WIDTHS[-1] - 1)
+    own = [sum((net.embedding[r].astype(float) for b in toxicity.features(w) if (r := net.row.get(b))), np.zeros(toxicity.EMBEDDED)) for w in words]
+    vectors = side + own + side
+    hidden = []
+    for width in toxicity.WIDTHS:
+        windows = [sum(vectors[p + k] @ net.filters[width][k].astype(float) for k in range(width)) for p in range(len(vectors) - width + 1)]
+        hidden += np.maximum(np.max(windows, 0) + net.bias[width], 0).tolist()
+    return float(1 / (1 + np.exp(-(np.array(hidden) @ net.weights[:-1].astype(float) + net.weights[-1]))))
+
+
+def test_scores_equal_those_of_plain_loops(tables):
+    docs, labels = tables
+    rows = docs.join(labels, "doc_id").orderBy("doc_id").limit(400).select("text", "quality", "toxic", "lang").collect()
+    texts = [r.text or "" for r in rows]
+    net = quality.train([(t, r.quality) for t, r in zip(texts, rows)], epochs=1)
+    tox = toxicity.train([(t, r.toxic, r.lang) for t, r in zip(texts, rows)], epochs=1)
+    odd = ["", "x", "\u00e9" * 700, "$" * 511 + "ab", " ".join(texts[:3])]
+    score = tox.scorer()
+    assert np.allclose(net.probabilities(odd + texts[:4]), [plain_quality(net, t) for t in odd + texts[:4]], atol=1e-4)
+    assert np.allclose([score(t) for t in odd + texts[:40]], [plain_toxicity(tox, t) for t in odd + texts[:40]], atol=1e-4)
+
+
+@pytest.mark.parametrize("offset", [0, 1])
+def test_bad_passages_tell_at_even_and_odd_bytes(offset):
+    rng = np.random.default_rng(2)
+    words = ["river", "stone", "cloud", "walks", "there", "of"]
+    good = lambda n: " ".join(rng.choice(words, n))
+    rows = [(good(60), 1) for _ in range(200)] + [(good(40) + " " + "$%$#@ " * 6 + good(20), 0) for _ in range(200)]
+    net = quality.train(rows, epochs=6)
+    for _ in range(20):
+        left = good(900)
+        left = left[: len(left) // 2 * 2 + offset]
+        clean, bad = net.probabilities([left + " " + good(30), left + " " + "$%$#@ " * 6 + good(20)])
+        assert bad < clean
+
+
+class Noted(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    "module, rows",
+    [
+        (quality, [("some good text " * 50, 1), ("$%& bad " * 90, 0), ("short", 1), ("plain words " * 70, 0)]),
+        (toxicity, [("you fool " * 3 + "x", 1, "en"), ("you are kind", 0, "en"), ("fool of a dog", 1, "en"), ("kind dog", 0, "en")] * 3),
+    ],
+)
+def test_gradients_equal_differences(monkeypatch, module, rows):
+    """The first step's gradients against the change of the loss."""
+    seen = {}
+
+    class Note:
+        def __init__(self, parameters, rate):
+            seen["parameters"] = parameters
+
+        def update(self, gradients):
+            seen["gradients"] = gradients
+            raise Noted
+
+    monkeypatch.setattr(module, "Adam", Note)
+    nets = []
+    build = module.Network
+    monkeypatch.setattr(module, "Network", lambda *a: nets.append(build(*a)) or nets[-1])
+    with pytest.raises(Noted):
+        module.train(rows, batch=len(rows))
+    net, gradients, parameters = nets[0], seen["gradients"], seen["parameters"]
+    plain = plain_quality if module is quality else plain_toxicity
+    chosen = [r[:2] for r in rows]
+
+    def loss():
+        return -np.mean([np.log(p if y else 1 - p) for p, y in ((plain(net, t), y) for t, y in chosen)])
+
+    rng = np.random.default_rng(4)
+    for name, values in parameters.items():
+        own = gradients[name].astype(float) - (1e-4 * values if module is quality and name == "weights" else 0)
+        flat = np.flatnonzero(np.abs(own.ravel()) > 1e-3)
+        for at in rng.permutation(flat)[:4]:
+            old, step = values.flat[at], 2e-3
+            values.flat[at] = old + step
+            up = loss()
+            values.flat[at] = old - step
+            down = loss()
+            values.flat[at] = old
+            assert np.isclose((up - down) / (2 * step), own.flat[at], rtol=0.1, atol=1e-3), (name, at)

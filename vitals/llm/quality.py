@@ -2,7 +2,7 @@
 
 A text's UTF-8 bytes are cut into overlapping chunks that cover all of it; the last chunk ends with
 the text, and a text shorter than a chunk is repeated to fill one. Bytes are embedded, filters of
-``WIDTH`` bytes slide over each chunk, and each filter's largest response is kept. The largest and
+``WIDTH`` bytes slide over each chunk byte by byte, and each filter's largest response is kept. The largest and
 the mean of these over the chunks are combined into one probability, so both a single bad passage
 and the share of bad passages can tell.
 
@@ -33,25 +33,33 @@ TRAIN_ROWS = 6000
 TRAIN_CHARS = 50_000
 THRESHOLD = 0.3
 
-WIDTH, STRIDE = 6, 2
+WIDTH = 6
 CHUNK, HOP = 512, 448
 FILTERS, EMBEDDED = 16, 8
-POSITIONS = (CHUNK - WIDTH) // STRIDE + 1
-PAIRS = WIDTH // 2
-AT_ONCE = 128
+POSITIONS = CHUNK - WIDTH + 1
+PAIRS = range(0, WIDTH, 2)
+AT_ONCE = 64
 
 
 def chunked(raw: bytes) -> np.ndarray:
-    """The chunks of a text as rows of byte pairs, one pair at each second byte."""
+    """The chunks of a text as rows of byte pairs, one pair at each byte but the last."""
     if len(raw) < CHUNK:
         raw = (raw * (CHUNK // len(raw) + 1))[:CHUNK] if raw else bytes(CHUNK)
     data = np.frombuffer(raw, np.uint8)
     last = len(data) - CHUNK
     starts = np.append(np.arange(0, last, HOP), last)
-    at = starts[:, None] + np.arange(0, CHUNK, 2)
+    at = starts[:, None] + np.arange(CHUNK - 1)
     return data[at].astype(np.uint16) << 8 | data[at + 1]
 
 
+def responses(tables: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
+    """Response of each filter at each byte of each chunk: (chunks, POSITIONS, FILTERS)."""
+    sums = tables[0][pairs[:, :POSITIONS]]
+    for table, k in zip(tables[1:], PAIRS[1:]):
+        sums += table[pairs[:, k : k + POSITIONS]]
+    return sums
+
+
 @dataclass
 class Network:
     embedding: np.ndarray  # (256, EMBEDDED)
@@ -64,7 +72,7 @@ class Network:
         single = np.einsum("be,wef->wbf", self.embedding, self.filters)
         return [
             (single[w][:, None] + single[w + 1][None]).reshape(1 << 16, FILTERS).astype(np.float32)
-            for w in range(0, WIDTH, 2)
+            for w in PAIRS
         ]
 
     def pooled(self, tables: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
@@ -72,9 +80,7 @@ class Network:
         out = np.empty((len(pairs), FILTERS), np.float32)
         for at in range(0, len(pairs), AT_ONCE):
             part = pairs[at : at + AT_ONCE]
-            sums = tables[0][part[:, :POSITIONS]]
-            for k in range(1, PAIRS):
-                sums += tables[k][part[:, k : k + POSITIONS]]
+            sums = responses(tables, part)
             out[at : at + AT_ONCE] = sums.max(1)
         return np.maximum(out + self.bias, 0)
 
@@ -125,9 +131,7 @@ def train(rows: Sequence[tuple[str, int]], epochs: int = 6, batch: int = 32, rat
             pooled = np.empty((len(codes), FILTERS), np.float32)
             for at in range(0, len(codes), AT_ONCE):
                 part = codes[at : at + AT_ONCE]
-                sums = tables[0][part[:, :POSITIONS]]
-                for k in range(1, PAIRS):
-                    sums += tables[k][part[:, k : k + POSITIONS]]
+                sums = responses(tables, part)
                 best[at : at + AT_ONCE] = sums.argmax(1)
                 pooled[at : at + AT_ONCE] = np.take_along_axis(sums, sums.argmax(1)[:, None], 1)[:, 0]
             active = pooled + net.bias > 0
@@ -139,15 +143,16 @@ def train(rows: Sequence[tuple[str, int]], epochs: int = 6, batch: int = 32, rat
             error = (logistic(features @ net.weights) - labels[some]) / len(some)
             # Back through the pooling to the windows that were largest.
             is_max = pooled == largest[doc]
+            is_max = is_max / np.add.reduceat(is_max.astype(np.int64), edges, axis=0)[doc]  # equal chunks share it
             down = error[doc, None] * (
                 net.weights[:FILTERS] * is_max + net.weights[FILTERS:-1] / sizes[doc, None]
             ) * active
             embedding, filters = np.zeros_like(net.embedding), np.zeros_like(net.filters)
             chunk, f = np.nonzero(down)
             g = down[chunk, f].astype(np.float32)
-            for k in range(PAIRS):
+            for k in PAIRS:
                 pair = codes[chunk, best[chunk, f] + k]
-                for w, byte in ((2 * k, pair >> 8), (2 * k + 1, pair & 255)):
+                for w, byte in ((k, pair >> 8), (k + 1, pair & 255)):
                     seen = np.zeros((256, FILTERS), np.float32)
                     np.add.at(seen, (byte, f), g)
                     filters[w] = net.embedding.T @ seen
