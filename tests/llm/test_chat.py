@@ -65,3 +65,31 @@ def test_a_conversation_of_many_turns(spark):
     rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k} <|im_end|>") for k in range(500)]
     row = chat.read_formatted(chat.format_conversations(frame(spark, rows))).first()
     assert row.n_turns == 500 and row.loss == "".join(f"turn {k} <|im_end|>" for k in range(1, 500, 2))
+
+
+@pytest.mark.parametrize(
+    "template",
+    [
+        chat.marked,
+        lambda turns: f"{len(turns) > 9} " + "".join(t for _, t in turns),
+        lambda turns: "".join(t for _, t in turns[-2:]),
+    ],
+)
+def test_blocks_of_prefixes_equal_whole_conversations(spark, template):
+    rng = random.Random(3)
+    rows = [(c, k if k % 7 else None, rng.choice(["user", "assistant", None]), rng.choice(["a <|im_end|>", "", None, f"text {k}"])) for c in (1, 2, None) for k in range(23)]
+    rows += [(4, 0, "user", "same")] * 12 + [(5, 0, "user", "x"), (6, 0, "assistant", "y"), (6, 1, "user", None)]
+    whole, cut = (
+        sorted((tuple(r) for r in chat.format_conversations(frame(spark, rows), template, block_turns=n).collect()), key=str)
+        for n in (1000, 4)
+    )
+    assert len(whole) == 6 and whole == cut
+
+
+def test_one_long_conversation_is_spread_over_tasks(spark):
+    rows = [(1, k, "user", f"t{k}") for k in range(60)] + [(2, 0, "user", "z")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    found = chat.rendered_in_blocks(df.withColumn("n", df.turn * 0 + 60).filter("conv_id = 1"), chat.marked, ("user",), 8)
+    row = found.first()
+    assert found.count() == 1 and row.formatted == chat.marked([("user", f"t{k}") for k in range(60)])
+    assert [row.formatted[s.text_start : s.text_end] for s in row.spans] == [f"t{k}" for k in range(60)]

@@ -13,7 +13,10 @@ more backslash into every ``<``, backslashes, ``|`` sequence, so ``<|`` never oc
 
 A conversation's output is one string, so a task holds one conversation at a time; turns arrive
 sorted and are read as a stream. Rendering every prefix takes time in the square of the number of
-turns of one conversation, which is inherent to a template known only by its output.
+turns of one conversation, which is inherent to a template known only by its output. So the prefixes
+of a conversation of more than ``BLOCK_TURNS`` turns are rendered in blocks, each in a task of its
+own that gets the turns up to the block's end; blocks need no result of each other, as the one before
+a prefix is rendered again where a block begins.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ from operator import itemgetter
 from os.path import commonprefix
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitals.llm.tables import slices
+from vitals.llm.tables import slices, stored
 
 Turn = tuple[str, str]
 Template = Callable[[Sequence[Turn]], str]
@@ -56,6 +59,9 @@ OUTPUT = pa.schema(
     ]
 )
 FLUSH_CHARS = 4 << 20
+BLOCK_TURNS = 512
+# Rows of ids up to which the table of long conversations is broadcast.
+BROADCAST_IDS = 100_000
 
 
 def escape(text: str) -> str:
@@ -88,10 +94,12 @@ def read_back(formatted: str) -> list[Turn]:
     return out
 
 
-def render(turns: Sequence[Turn], template: Template, loss_roles: frozenset[str]) -> tuple[str, bool, list[dict]]:
-    """The output, whether history was rewritten, and a span per turn if it was not."""
-    before, spans = template([]), []
-    for k in range(1, len(turns) + 1):
+def render(
+    turns: Sequence[Turn], template: Template, loss_roles: frozenset[str], start: int = 0
+) -> tuple[str, bool, list[dict]]:
+    """The output, whether history was rewritten, and a span for each turn from ``start`` if it was not."""
+    before, spans = template(turns[:start]), []
+    for k in range(start + 1, len(turns) + 1):
         role, _ = turns[k - 1]
         now = template(turns[:k])
         if not now.startswith(before):
@@ -116,7 +124,10 @@ def render(turns: Sequence[Turn], template: Template, loss_roles: frozenset[str]
 
 
 def format_conversations(
-    conversations: DataFrame, template: Template = marked, loss_roles: Sequence[str] = ("assistant",)
+    conversations: DataFrame,
+    template: Template = marked,
+    loss_roles: Sequence[str] = ("assistant",),
+    block_turns: int = BLOCK_TURNS,
 ) -> DataFrame:
     """One row per ``conv_id`` (null is one of them): the output, its spans in code points.
 
@@ -130,16 +141,30 @@ def format_conversations(
         F.coalesce("role", empty).alias("role"),
         F.coalesce("text", empty).alias("text"),
     )
+    long = stored(turns.groupBy("conv_id").agg(F.count("*").alias("n")).filter(F.col("n") > block_turns), "long-conversations")
+    n_long = long.count()
+    if not n_long:
+        return rendered(turns, template, loss_roles)
+    ids = long.select(F.col("conv_id").alias("_id"), "n")
+    ids = F.broadcast(ids) if n_long <= BROADCAST_IDS else ids
+    is_long = F.col("conv_id").eqNullSafe(F.col("_id"))
+    short = rendered(turns.join(ids, is_long, "left_anti"), template, loss_roles)
+    return short.unionByName(rendered_in_blocks(turns.join(ids, is_long).drop("_id"), template, loss_roles, block_turns))
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], columns: Sequence[str]) -> Iterator[tuple]:
+    for batch in slices(batches):
+        yield from zip(*(batch.column(c).to_pylist() for c in columns))
+
+
+def rendered(turns: DataFrame, template: Template, loss_roles: Sequence[str]) -> DataFrame:
+    """Each conversation in one task."""
     by_turn = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     wanted = frozenset(loss_roles)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in slices(batches):
-            yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, chars = [], 0
-        for conv_id, group in groupby(rows(batches), itemgetter(0)):
+        for conv_id, group in groupby(rows_of(batches, ("conv_id", "role", "text")), itemgetter(0)):
             own = [turn[1:] for turn in group]
             formatted, rewritten, spans = render(own, template, wanted)
             ready.append(
@@ -154,6 +179,56 @@ def format_conversations(
     return by_turn.mapInArrow(run, FORMATTED)
 
 
+def numbered(turns: DataFrame) -> DataFrame:
+    """Adds ``at``, a turn's place in its conversation. Range partitions split a long conversation;
+    only their counts are summed for the whole of it."""
+    order = ["conv_id", "turn", "role", "text"]
+    parts = stored(turns.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "turns")
+    inside = Window.partitionBy("conv_id", "part").orderBy("turn", "role", "text")
+    before = Window.partitionBy("id").orderBy("own").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy(F.col("conv_id").alias("id"), F.col("part").alias("own")).agg(F.count("*").alias("rows"))
+    ahead = counts.withColumn("ahead", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")
+    return (
+        parts.withColumn("at", F.row_number().over(inside) - 1)
+        .join(ahead, (F.col("part") == F.col("own")) & F.col("conv_id").eqNullSafe(F.col("id")))
+        .withColumn("at", F.col("at") + F.col("ahead"))
+        .select("conv_id", "n", "at", "role", "text")
+    )
+
+
+def rendered_in_blocks(turns: DataFrame, template: Template, loss_roles: Sequence[str], block_turns: int) -> DataFrame:
+    """Each block of prefixes in a task of its own; ``n`` is the number of turns of a conversation."""
+    of_turn = F.floor(F.col("at") / block_turns)
+    last = F.floor((F.col("n") - 1) / block_turns)
+    needed = numbered(turns).withColumn("block", F.explode(F.sequence(of_turn, last)))
+    by_turn = needed.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "at")
+    wanted = frozenset(loss_roles)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ("conv_id", "block", "n", "role", "text")
+        for (conv_id, block, n), group in groupby(rows_of(batches, columns), itemgetter(0, 1, 2)):
+            own = [turn[3:] for turn in group]
+            formatted, rewritten, spans = render(own, template, wanted, block * block_turns)
+            row = {"conv_id": conv_id, "n_turns": n, "rewritten": rewritten, "spans": spans, "block": block}
+            row["formatted"] = formatted if len(own) == n else None
+            yield pa.RecordBatch.from_pylist([row], OUTPUT.append(pa.field("block", pa.int64())))
+
+    blocks = by_turn.mapInArrow(run, f"{FORMATTED}, block bigint")
+    whole = blocks.groupBy("conv_id", "n_turns").agg(
+        F.max("formatted").alias("formatted"),
+        F.max("rewritten").alias("rewritten"),
+        F.array_sort(F.collect_list(F.struct("block", "spans"))).alias("blocks"),
+    )
+    spans = F.flatten(F.col("blocks.spans"))
+    return whole.select(
+        "conv_id",
+        "n_turns",
+        "formatted",
+        "rewritten",
+        F.when(F.col("rewritten"), F.slice(spans, 1, 0)).otherwise(spans).alias("spans"),
+    )
+
+
 READ = "conv_id bigint, n_turns bigint, turns string, loss string, formatted_chars bigint"
 
 
