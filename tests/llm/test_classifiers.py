@@ -199,3 +199,77 @@ def test_gradients_equal_differences(monkeypatch, module, rows):
             down = loss()
             values.flat[at] = old
             assert np.isclose((up - down) / (2 * step), own.flat[at], rtol=0.1, atol=1e-3), (name, at)
+
+
+@pytest.fixture(scope="module")
+def marked(spark):
+    """More labelled rows than the former sample held, some longer than it took; a third of the marks mislead."""
+    rng = np.random.default_rng(5)
+    plain = ["river", "stone", "cloud", "walks", "there", "of", "lantern", "meadow"]
+    rows = []
+    for i in range(7000):
+        words = rng.choice(plain, 12).tolist()
+        toxic = int(rng.random() < 0.3)
+        if toxic or rng.random() < 0.1:
+            words[rng.integers(12)] = str(rng.choice(["vile", "wretch"]))
+        # A word that only long texts hold.
+        text = " ".join(words) if i % 100 else "river " * 4000 + ("scoundrel " if toxic else "")
+        rows.append((i, text, [None, "en", "de", "xx"][i % 4] if i > 200 else "fr", toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    return df.drop("toxic"), df.select("doc_id", "toxic"), rows
+
+
+def test_every_labelled_row_is_learned_from(marked):
+    docs, labels, rows = marked
+    net = toxicity.fit(docs, labels, epochs=1, shard_rows=10_000)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    assert len(learned) > 5_000 and any(len(r[1]) > 20_000 for r in learned)
+    words, truth = [r[1].encode().split() for r in learned], np.array([r[3] for r in learned])
+    assert sorted(net.row) == sorted(toxicity.telling(words, truth))
+    assert toxicity.features(b"scoundrel")[0] in net.row
+    score = net.scorer()
+    expected = toxicity.calibrated([(score(t), y, lang) for _, t, lang, y in learned])
+    assert net.thresholds == expected and max(expected.values()) > toxicity.THRESHOLD and "en" in expected
+
+
+def test_one_shard_equals_training_in_one_process(marked):
+    docs, labels, rows = marked
+    net = toxicity.fit(docs, labels, epochs=2, shard_rows=10_000)
+    ordered = learning.labelled_rows(docs, labels, "toxic", ("lang",)).orderBy("order", "id", "label", "tie")
+    plain = toxicity.train([(r.text, r.label, r.lang) for r in ordered.collect()], epochs=2)
+    assert net.row == plain.row and net.thresholds == plain.thresholds
+    assert all((a == b).all() for a, b in zip(net.parameters().values(), plain.parameters().values()))
+
+
+def test_shards_hold_every_row_and_do_not_depend_on_partitions(spark, marked):
+    docs, labels, rows = marked
+    given = learning.labelled_rows(docs, labels, "toxic", ("lang",))
+    held = toxicity.coded(given, {b: 1 for b in toxicity.features(b"vile")}, 9).collect()
+    assert sorted(r.id for r in held) == [r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    assert {r.shard for r in held} == set(range(9))
+    runs = [
+        toxicity.fit(d, labels, epochs=2, shard_rows=700) for d in (docs.repartition(3), docs.repartition(7, "lang"))
+    ]
+    assert all((a == b).all() for a, b in zip(runs[0].parameters().values(), runs[1].parameters().values()))
+    assert runs[0].thresholds == runs[1].thresholds
+    score = runs[0].scorer()
+    out = [r for r in rows if not zlib.crc32(str(r[0]).encode()) % 5]
+    assert learning.auc(np.array([score(r[1]) for r in out]), np.array([r[3] for r in out])) > 0.9
+
+
+def test_long_shards_come_in_several_runs():
+    import pyarrow as pa
+
+    def batch(*rows):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["shard", "ids", "label"])
+
+    given = [batch((0, b"ab", 1), (0, b"c", 0), (1, b"d", 1)), batch((1, b"e", 0), (1, b"f", 1), (2, b"long" * 9, 0))]
+    found = list(toxicity.shard_runs(given, 2, 10))
+    assert found == [(0, [b"ab", b"c"], [1, 0]), (1, [b"d", b"e"], [1, 0]), (1, [b"f"], [1]), (2, [b"long" * 9], [0])]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "vile", None)], [(1, None, 1), (2, "", 0)], [(1, "x", 1)] * 3])
+def test_tables_without_much_to_learn(spark, rows):
+    df = spark.createDataFrame([(i, t, "en", y) for i, t, y in rows], "doc_id long, text string, lang string, toxic int")
+    net = toxicity.fit(df.drop("toxic"), df.select("doc_id", "toxic"))
+    assert 0 <= net.scorer()("some text") <= 1

@@ -1,4 +1,4 @@
-"""What the trained classifiers share: a bounded sample of labelled rows, and an optimizer."""
+"""What the trained classifiers share: labelled rows, all or a bounded sample, and an optimizer."""
 
 from __future__ import annotations
 
@@ -32,6 +32,19 @@ def labelled_sample(
     return [tuple(r) for r in rows.select("text", "_label", *columns).collect()]
 
 
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Every labelled row that is not held out: its id, label, text and ``columns``, and hashes of id and text
+    for an order that does not depend on where the rows are. Labels grow with the documents, so they are
+    never broadcast, and texts are not sorted for the join."""
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("label"))
+    return (
+        docs.select("doc_id", text_of().alias("text"), *columns)
+        .join(known.hint("shuffle_hash"), F.col("doc_id") == F.col("id"))
+        .select("id", "label", "text", *columns, F.xxhash64(F.lit(label), "id").alias("order"), F.xxhash64("text").alias("tie"))
+    )
+
+
 class Adam:
     def __init__(self, parameters: dict[str, np.ndarray], rate: float):
         self.parameters, self.rate, self.step = parameters, rate, 0
@@ -46,6 +59,19 @@ class Adam:
             self.square[k] += 0.001 * (g * g - self.square[k])
             self.parameters[k] -= (scale * self.mean[k] / (np.sqrt(self.square[k]) + 1e-8)).astype(np.float32)
 
+    def _arrays(self) -> list[np.ndarray]:
+        return [a for d in (self.parameters, self.mean, self.square) for a in d.values()]
+
+    def state(self) -> np.ndarray:
+        """Parameters and moments as one vector."""
+        return np.concatenate([a.ravel() for a in self._arrays()])
+
+    def restore(self, state: np.ndarray) -> None:
+        at = 0
+        for a in self._arrays():
+            a[...] = state[at : at + a.size].reshape(a.shape)
+            at += a.size
+
 
 def logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))

@@ -3,10 +3,15 @@
 A word's vector is the sum of the vectors of its features: the word and its beginnings of
 ``PREFIXES`` bytes, each hashed into one of ``BUCKETS``. Filters of several widths slide
 over the words, the largest response of each over the whole text is kept, and these are combined
-into one probability. Everything is learned together from a bounded sample of labelled rows;
+into one probability. Everything is learned together from all labelled rows that are not held out;
 only the ``KEPT`` buckets whose presence tells the label best there have a vector, so rare and
 indifferent words add nothing.
 
+Rows are coded once and dealt to shards of about ``SHARD_ROWS``. In each epoch every shard is a task's own
+gradient descent from the state (parameters and moments) that all share, and the mean of the shards' states,
+weighted by their rows, starts the next epoch; one shard is plain gradient descent. Neither texts nor codes
+reach the driver, only sums of states.
+
 Labels' languages serve only to calibrate a threshold for each, at which the share of false alarms
 among the learned rows stays below ``FALSE_ALARMS``; a language without enough rows has the common
 threshold. Scores take nothing but the text. Scoring is row by row without a shuffle; null and
@@ -15,29 +20,36 @@ empty texts have no words and score zero; repeated rows get equal scores.
 
 from __future__ import annotations
 
+import copy
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitals.functions.percentiles import percentile_table
 from vitals.llm.bpe import Recent
-from vitals.llm.learning import Adam, labelled_sample, logistic
-from vitals.llm.tables import held_out, slices, texts
-
-# Bounds of the sample that the network is fitted on.
-TRAIN_ROWS = 5_000
-TRAIN_CHARS = 20_000
+from vitals.llm.learning import Adam, labelled_rows, logistic
+from vitals.llm.tables import dropped, held_out, slices, stored, texts
+
+EPOCHS, BATCH, RATE, SEED = 6, 32, 0.02, 11
+# Rows that are learned from between two averages, about, and the most bytes of coded texts.
+SHARD_ROWS = 5_000
+SHARD_BYTES = 64 << 20
+MOST_FILES = 2_000
+SHARDS_ADDED = 64
 THRESHOLD = 0.5
 FALSE_ALARMS = 0.005
 LEAST_CALIBRATED = 50
 
 BUCKETS = 1 << 20
 PREFIXES = (4, 5, 6)
+PER_WORD = len(PREFIXES) + 1
 LEAST_TEXTS = 6
 # Buckets that have a vector.
 KEPT = 1024
@@ -57,8 +69,10 @@ def features(word: bytes) -> list[int]:
 
 def near(marks: np.ndarray, width: int) -> np.ndarray:
     """Places less than ``width`` away from a mark."""
+    if not len(marks):
+        return marks
     sums = np.convolve(marks.astype(np.int64), np.ones(2 * width - 1, np.int64))
-    return sums[width - 1 : len(sums) - width + 1] > 0 if len(marks) else marks
+    return sums[width - 1 : len(sums) - width + 1] > 0
 
 
 @dataclass
@@ -70,6 +84,10 @@ class Network:
     weights: np.ndarray  # one for each filter, and a constant
     thresholds: dict[str, float] = field(default_factory=dict)
 
+    def parameters(self) -> dict[str, np.ndarray]:
+        found = {"embedding": self.embedding, "weights": self.weights}
+        return found | {f"f{w}": self.filters[w] for w in WIDTHS} | {f"b{w}": self.bias[w] for w in WIDTHS}
+
     def vector(self, word: bytes) -> bytes:
         rows = [r for b in features(word) if (r := self.row.get(b))]
         return self.embedding[rows].sum(0, dtype=np.float32).tobytes() if rows else NOTHING
@@ -96,6 +114,10 @@ class Network:
             out.append(np.maximum(sums.max(0) + self.bias[width], 0))
         return np.concatenate(out)
 
+    def probability(self, vectors: np.ndarray) -> float:
+        logit = self.pooled(vectors).astype(np.float64) @ self.weights[:-1].astype(np.float64)
+        return float(logistic(logit + float(self.weights[-1])))
+
     def scorer(self):
         memo = Recent(self.vector, RECENT)
 
@@ -103,9 +125,7 @@ class Network:
             words = text.encode().split()
             if not words:
                 return 0.0
-            vectors = np.frombuffer(b"".join(map(memo.__getitem__, words)), np.float32).reshape(-1, EMBEDDED)
-            logit = self.pooled(vectors).astype(np.float64) @ self.weights[:-1].astype(np.float64)
-            return float(logistic(logit + float(self.weights[-1])))
+            return self.probability(np.frombuffer(b"".join(map(memo.__getitem__, words)), np.float32).reshape(-1, EMBEDDED))
 
         return score
 
@@ -129,22 +149,25 @@ def telling(words: Sequence[Sequence[bytes]], labels: np.ndarray, kept: int = KE
     return [buckets[i] for i in np.lexsort((buckets, -chi))[:kept]]
 
 
-def train(rows: Sequence[tuple], epochs: int = 6, batch: int = 32, rate: float = 0.02, seed: int = 11) -> Network:
-    """Fits the network to (text, label, language) rows and calibrates thresholds by language."""
-    rng = np.random.default_rng(seed)
-    words = [t.encode().split() for t, *_ in rows]
-    labels = np.array([y for _, y, *_ in rows], np.float64)
-    row = {b: i for i, b in enumerate(sorted(telling(words, labels)), 1)}
-    per_word = len(PREFIXES) + 1
+def coder(row: dict[int, int]) -> Callable[[Sequence[bytes]], np.ndarray]:
+    """Turns words into rows of the embedding, ``PER_WORD`` a word, rows of zero filling up. Words too far
+    from any that has a vector are left out: their windows respond with zero and need not be looked at."""
 
     def rows_of(word: bytes) -> bytes:
         found = [row[b] for b in features(word) if b in row]
-        return np.array(found + [0] * (per_word - len(found)), np.int32).tobytes()
+        return np.array(found + [0] * (PER_WORD - len(found)), np.int32).tobytes()
+
+    indexed = Recent(rows_of, RECENT)
+
+    def code(words: Sequence[bytes]) -> np.ndarray:
+        ids = np.frombuffer(b"".join(map(indexed.__getitem__, words)), np.int32).reshape(-1, PER_WORD)
+        return ids[near(ids.any(1), WIDTHS[-1])]
 
-    indexed = Recent(rows_of, 1 << 20)
-    ids = [np.frombuffer(b"".join(map(indexed.__getitem__, own)), np.int32).reshape(-1, per_word) for own in words]
-    # Windows of words without a vector respond with zero, so they need not be looked at.
-    ids = [i[near(i.any(1), WIDTHS[-1])] for i in ids]
+    return code
+
+
+def started(row: dict[int, int], share: float | None, rng: np.random.Generator) -> Network:
+    """A network before its first step; without a share of toxic texts all that it scores is one half."""
     n_filters = FILTERS * len(WIDTHS)
     net = Network(
         row,
@@ -154,43 +177,84 @@ def train(rows: Sequence[tuple], epochs: int = 6, batch: int = 32, rate: float =
         np.zeros(n_filters + 1, np.float32),
     )
     net.embedding[0] = 0
+    if share is not None:
+        share = np.clip(share, 0.01, 0.99)
+        net.weights[:-1] = rng.normal(0, 0.3, n_filters)
+        net.weights[-1] = np.log(share / (1 - share))
+    return net
+
+
+def gradients_of(net: Network, ids: Sequence[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradients of the mean loss of coded texts, all of which are laid side by side with words of zero between."""
+    pad = WIDTHS[-1] - 1
+    sizes = np.array([len(i) + 2 * pad for i in ids])
+    ends = np.cumsum(sizes)
+    edges = ends - sizes
+    own = np.zeros((ends[-1], PER_WORD), np.int32)
+    for i, at in zip(ids, edges + pad):
+        own[at : at + len(i)] = i
+    vectors = net.embedding[own].sum(1)
+    doc = np.repeat(np.arange(len(ids)), sizes)
+    best, top = {}, []
+    for w in WIDTHS:
+        sums = net.responses(vectors, w)
+        for k in range(1, w):  # windows that reach into the next text
+            sums[(ends - k)[:-1]] = -np.inf
+        largest = np.maximum.reduceat(sums, edges, axis=0)
+        at, f = np.nonzero(sums == largest[doc[: len(sums)]])
+        best[w] = np.empty(largest.shape, np.int64)
+        best[w][doc[at][::-1], f[::-1]] = at[::-1]  # the first of equal ones is written last
+        top.append(largest + net.bias[w])
+    hidden = np.concatenate(top, axis=1)
+    active = hidden > 0
+    hidden = np.where(active, hidden, 0)
+    error = (logistic(hidden @ net.weights[:-1] + net.weights[-1]) - labels) / len(ids)
+    gradients = {"weights": np.append(error @ hidden, error.sum()).astype(np.float32)}
+    down = (error[:, None] * net.weights[:-1] * active).astype(np.float32)
+    rows, parts = [], []
+    for w, g in zip(WIDTHS, np.split(down, len(WIDTHS), axis=1)):
+        gradients[f"b{w}"] = g.sum(0)
+        gradients[f"f{w}"] = np.stack([np.einsum("dfe,df->ef", vectors[best[w] + k], g) for k in range(w)])
+        for k in range(w):
+            back = g[:, :, None] * net.filters[w][k].T  # (texts, FILTERS, EMBEDDED)
+            rows.append(own[best[w] + k].reshape(-1, PER_WORD))
+            parts.append(back.reshape(-1, EMBEDDED))
+    rows, back = np.concatenate(rows), np.concatenate(parts)
+    at, slot = np.nonzero(rows)
+    cells = rows[at, slot][:, None] * EMBEDDED + np.arange(EMBEDDED)
+    seen = np.bincount(cells.ravel(), back[at].ravel(), net.embedding.size)
+    gradients["embedding"] = seen.reshape(net.embedding.shape).astype(np.float32)
+    return gradients
+
+
+def passed(net: Network, adam: Adam, ids: Sequence[np.ndarray], labels: np.ndarray, order: np.ndarray, batch: int) -> int:
+    """One pass over coded texts in an order; returns the number of steps."""
+    groups = np.array_split(order, max(1, len(order) // batch))
+    for some in groups:
+        adam.update(gradients_of(net, [ids[i] for i in some], labels[some]))
+    return len(groups)
+
+
+def annealed(rate: float, epoch: int, epochs: int) -> float:
+    return rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
+
+
+def train(rows: Sequence[tuple], epochs: int = EPOCHS, batch: int = BATCH, rate: float = RATE, seed: int = SEED) -> Network:
+    """Fits the network to the (text, label, language) rows of one process and calibrates thresholds by
+    language; ``fit`` does the same for tables."""
+    rng = np.random.default_rng(seed)
+    words = [t.encode().split() for t, *_ in rows]
+    labels = np.array([y for _, y, *_ in rows], np.float64)
+    row = {b: i for i, b in enumerate(sorted(telling(words, labels)), 1)}
+    ids = list(map(coder(row), words))
     known = [i for i in range(len(rows)) if words[i]]
+    net = started(row, labels[known].mean() if known else None, rng)
     if not known:
         return net
-    share = np.clip(labels[known].mean(), 0.01, 0.99)
-    net.weights[:-1] = rng.normal(0, 0.3, n_filters)
-    net.weights[-1] = np.log(share / (1 - share))
-    parameters = {"embedding": net.embedding, "weights": net.weights}
-    parameters |= {f"f{w}": net.filters[w] for w in WIDTHS} | {f"b{w}": net.bias[w] for w in WIDTHS}
-    adam = Adam(parameters, rate)
+    adam = Adam(net.parameters(), rate)
     for epoch in range(epochs):
-        adam.rate = rate * 0.5 * (1 + np.cos(np.pi * epoch / epochs))
-        for some in np.array_split(rng.permutation(known), max(1, len(known) // batch)):
-            gradients = {k: np.zeros_like(v) for k, v in parameters.items()}
-            for i in some:
-                pad = np.zeros((WIDTHS[-1] - 1, per_word), np.int32)
-                own = np.concatenate([pad, ids[i], pad])
-                vectors = net.embedding[own].sum(1)
-                best, top = [], []
-                for w in WIDTHS:
-                    sums = net.responses(vectors, w)
-                    best.append(sums.argmax(0))
-                    top.append(sums.max(0) + net.bias[w])
-                hidden = np.concatenate(top)
-                active = hidden > 0
-                hidden = np.where(active, hidden, 0)
-                error = (logistic(hidden @ net.weights[:-1] + net.weights[-1]) - labels[i]) / len(some)
-                gradients["weights"][:-1] += error * hidden
-                gradients["weights"][-1] += error
-                down = (error * net.weights[:-1] * active).astype(np.float32).reshape(len(WIDTHS), FILTERS)
-                for w, at, g in zip(WIDTHS, best, down):
-                    gradients[f"b{w}"] += g
-                    for k in range(w):
-                        gradients[f"f{w}"][k] += vectors[at + k].T * g
-                        back = (net.filters[w][k] * g).T  # (FILTERS, EMBEDDED)
-                        np.add.at(gradients["embedding"], own[at + k], back[:, None])
-            gradients["embedding"][0] = 0
-            adam.update(gradients)
+        adam.rate = annealed(rate, epoch, epochs)
+        passed(net, adam, ids, labels, rng.permutation(known), batch)
     score = net.scorer()
     net.thresholds = calibrated([(score(t), y, rest[0] if rest else "") for t, y, *rest in rows])
     return net
@@ -212,8 +276,162 @@ def calibrated(scores: Sequence[tuple[float, int, str]]) -> dict[str, float]:
     return {k: least(v) for k, v in by_language.items() if k == "" or len(v) >= LEAST_CALIBRATED}
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Network:
-    return train(labelled_sample(docs, labels, "toxic", rows, chars, ("lang",)))
+def bucket_counts(rows: DataFrame) -> DataFrame:
+    """For each bucket the harmless and the toxic texts in which it occurs; bucket ``BUCKETS`` is in every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_word = Recent(features, RECENT // 2)
+        counts = np.zeros((2, BUCKETS + 1), np.int64)
+        for batch in slices(batches):
+            for text, y in zip(texts(batch), batch.column("label").to_pylist()):
+                found = {b for w in set(text.encode().split()) for b in of_word[w]}
+                counts[y, np.fromiter(found, np.int64, len(found))] += 1
+                counts[y, BUCKETS] += 1
+        seen = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, *counts[:, seen])], ["bucket", "harmless", "toxic"])
+
+    own = rows.select("text", "label").mapInArrow(run, "bucket long, harmless long, toxic long")
+    return own.groupBy("bucket").agg(F.sum("harmless").alias("harmless"), F.sum("toxic").alias("toxic"))
+
+
+def telling_of(counts: DataFrame, harmless: int, toxic: int, kept: int = KEPT) -> list[int]:
+    """``telling`` from counts of all texts."""
+    total = harmless + toxic
+    share = (F.col("harmless") + F.col("toxic")) / F.lit(float(total))
+
+    def part(column: str, n: int) -> Column:
+        off = F.col(column) - share * n
+        return off * off / F.greatest(share * n * (1 - share), F.lit(1e-9))
+
+    chi = part("harmless", harmless) + part("toxic", toxic)
+    found = counts.filter((F.col("bucket") < BUCKETS) & (F.col("harmless") + F.col("toxic") >= LEAST_TEXTS))
+    return [r.bucket for r in found.select("bucket", chi.alias("chi")).orderBy(F.desc("chi"), "bucket").limit(kept).collect()]
+
+
+def coded(rows: DataFrame, row: dict[int, int], shards: int) -> DataFrame:
+    """The texts coded and dealt to shards by a hash, each shard in one order wherever its rows come from."""
+    shared = rows.sparkSession.sparkContext.broadcast(row)
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "id", "tie"), F.lit(shards)).cast("int"))
+    kept = [f for f in dealt.schema.fields if f.name != "text"]
+    schema = T.StructType([*kept, T.StructField("known", T.BooleanType()), T.StructField("ids", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = coder(shared.value)
+        for batch in slices(batches):
+            words = [t.encode().split() for t in texts(batch)]
+            made = [pa.array(map(bool, words), pa.bool_()), pa.array([code(w).tobytes() for w in words], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + made, schema.names)
+
+    found = dealt.mapInArrow(run, schema).repartition(min(shards, MOST_FILES), "shard")
+    return found.sortWithinPartitions("shard", "order", "id", "label", "tie")
+
+
+def shard_runs(batches: Iterable[pa.RecordBatch], rows: int, size: int) -> Iterator[tuple[int, list[bytes], list[int]]]:
+    """Neighbouring rows of one shard; what is far longer than a shard should be comes in several runs."""
+    shard, ids, labels, held = None, [], [], 0
+    for batch in batches:
+        for s, i, y in zip(*(batch.column(c).to_pylist() for c in ("shard", "ids", "label"))):
+            if ids and (s != shard or len(ids) >= rows or held + len(i) > size):
+                yield shard, ids, labels
+                ids, labels, held = [], [], 0
+            shard = s
+            ids.append(i)
+            labels.append(y)
+            held += len(i)
+    if ids:
+        yield shard, ids, labels
+
+
+def averaged(found: DataFrame) -> tuple[np.ndarray, float]:
+    """Mean of the shards' states, weighted by their rows, and of their steps. Blocks of shards are summed first,
+    all in order of the shards, so the result is the same wherever they ran."""
+
+    def add(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["shard", "rows", "state"])
+        state = sum(np.frombuffer(s, np.float32).astype(np.float64) * n for s, n in zip(own.state, own.rows))
+        steps = float((own.steps * own.rows).sum())
+        return pd.DataFrame({"block": [key[0]], "rows": [own.rows.sum()], "steps": [steps], "state": [state.tobytes()]})
+
+    blocks = found.withColumn("block", F.floor(F.col("shard") / SHARDS_ADDED))
+    parts = blocks.groupBy("block").applyInPandas(add, "block long, rows long, steps double, state binary").collect()
+    parts.sort(key=lambda p: p.block)
+    rows = sum(p.rows for p in parts)
+    return sum(np.frombuffer(p.state) for p in parts) / rows, sum(p.steps for p in parts) / rows
+
+
+def epoch_over(texts_of: DataFrame, net: Network, adam: Adam, rng: np.random.Generator, epoch: int, batch: int, most: int) -> None:
+    """A pass over all coded texts: each shard goes on from the same state, and their mean is the next one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, raw, labels in shard_runs(batches, most, SHARD_BYTES):
+            own, learner, random = copy.deepcopy((net, adam, rng))
+            ids = [np.frombuffer(i, np.int32).reshape(-1, PER_WORD) for i in raw]
+            for _ in range(epoch + 1):
+                order = random.permutation(list(range(len(ids))))
+            steps = passed(own, learner, ids, np.array(labels, np.float64), order, batch)
+            made = [[shard], [len(ids)], [steps], [learner.state().tobytes()]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, t) for x, t in zip(made, (pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
+                ["shard", "rows", "steps", "state"],
+            )
+
+    found = texts_of.mapInArrow(run, "shard int, rows long, steps long, state binary")
+    state, steps = averaged(found)
+    adam.restore(state)
+    adam.step += round(steps)
+
+
+def thresholds_of(rows: DataFrame, net: Network) -> dict[str, float]:
+    """``calibrated`` over coded texts of any number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            scores = [
+                net.probability(net.embedding[np.frombuffer(i, np.int32).reshape(-1, PER_WORD)].sum(1)) if known else 0.0
+                for i, known in zip(batch.column("ids").to_pylist(), batch.column("known").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(scores, pa.float64())], ["lang", "score"])
+
+    harmless = rows.filter("label = 0").select("lang", "known", "ids")
+    scores = stored(harmless.mapInArrow(run, "lang string, score double"), "toxicity-scores")
+    both = scores.select(F.explode(F.array(F.lit(""), F.nullif("lang", F.lit("")))).alias("lang"), "score").filter("lang IS NOT NULL")
+    ranked = percentile_table(both, ["lang"], [F.count("*").alias("n")], {"least": ("score", 1 - FALSE_ALARMS)})
+    least = {r.lang: r.least for r in ranked.filter((F.col("lang") == "") | (F.col("n") >= LEAST_CALIBRATED)).collect()}
+    dropped(rows.sparkSession, scores)
+    return {"": THRESHOLD} | {k: max(THRESHOLD, float(np.nextafter(v, 2))) for k, v in least.items()}
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    epochs: int = EPOCHS,
+    batch: int = BATCH,
+    rate: float = RATE,
+    seed: int = SEED,
+    shard_rows: int = SHARD_ROWS,
+) -> Network:
+    """Fits the network to every labelled row that is not held out. Buckets are chosen by counts of all these rows,
+    each of the ``epochs`` passes over all of them, and thresholds are ranks among all their scores."""
+    spark = docs.sparkSession
+    rows = stored(labelled_rows(docs, labels, "toxic", ("lang",)), "toxicity-texts")
+    counts = stored(bucket_counts(rows), "toxicity-counts")
+    total = counts.filter(F.col("bucket") == BUCKETS).first()
+    harmless, toxic = (total.harmless, total.toxic) if total else (0, 0)
+    row = {b: i for i, b in enumerate(sorted(telling_of(counts, harmless, toxic) if total else []), 1)}
+    coded_rows = stored(coded(rows, row, max(1, -(-(harmless + toxic) // shard_rows))), "toxicity-rows")
+    dropped(spark, rows, counts)
+    known = coded_rows.filter("known")
+    n, positive = known.agg(F.count("*"), F.sum("label")).first()
+    rng = np.random.default_rng(seed)
+    net = started(row, positive / n if n else None, rng)
+    if n:
+        adam = Adam(net.parameters(), rate)
+        for epoch in range(epochs):
+            adam.rate = annealed(rate, epoch, epochs)
+            epoch_over(known.select("shard", "ids", "label"), net, adam, rng, epoch, batch, 2 * shard_rows)
+        net.thresholds = thresholds_of(coded_rows, net)
+    dropped(spark, coded_rows)
+    return net
 
 
 def scored(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
