@@ -98,6 +98,28 @@ def test_copies_are_dropped_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_rows_of_one_task_are_spread_before_they_are_sorted(spark):
+    """One task holds all rows, a third of them of one key; each split is sorted on its own."""
+    i = F.col("id")
+    key = F.when(i % 3 == 0, "hot").when(i % 3000 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), (i / 4).cast("int")))
+    df = spark.range(0, 60_000, 1, 1).select(key.alias("key"), (i % 1000).alias("t"), F.sha2(i.cast("string"), 512).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        single = cleaning.dedupe(df, "key", [F.desc("t")])
+        got = {r["key"]: r["t"] for r in single.collect()}
+        plan = single._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert single.columns == df.columns
+    expected = {}
+    for r in df.collect():
+        expected[r["key"]] = max(r["t"], expected.get(r["key"], -1))
+    assert got == expected and None in got
+    spread = plan.split("== Initial Plan ==")[0].split("Partial", 1)[1]
+    assert spread.index("Sort [") < spread.index("AQEShuffleRead") < spread.index("REBALANCE_PARTITIONS_BY_COL")
+
+
 def model(id_="Org/Name", **over):
     base = {
         "modelId": id_, "author": "Org", "lastModified": "2025-03-06T13:37:44+00:00", "private": None,

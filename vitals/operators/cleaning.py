@@ -42,13 +42,16 @@ def dedupe(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """One row per key: the first by ``order``, further ties by a hash of the whole row.
 
     The survivor depends on the data alone, so a recomputed task picks the same
-    one. The rank-one filter lets Spark cut each task's rows to one per key
-    before the shuffle: a key holding a third of all copies crosses the network
-    once per task, not once per copy.
+    one. Rows are first spread by a hash of the key, where Spark splits what is larger
+    than its advisory size, so no task sorts more than that however many rows its
+    share of the input unfolds into. The rank-one filter then lets Spark cut each
+    task's rows to one per key before the shuffle by key: a key holding a third of
+    all copies reaches that key's task once per split, not once per copy.
     """
     ties = F.xxhash64(*[F.col(c) for c in df.columns])
     newest = W.partitionBy(key).orderBy(*order, ties)
-    return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
+    spread = df.withColumn("_spread", F.xxhash64(key)).hint("rebalance", "_spread").drop("_spread")
+    return spread.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
 def flatten_events(raw: DataFrame) -> DataFrame:
