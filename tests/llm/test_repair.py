@@ -110,3 +110,44 @@ def test_chunks_asked_for_together_have_the_ids_of_each():
     assert sorted(order) == list(range(len(chunks)))
     for i, own in zip(order, np.split(ids, np.cumsum(sizes)[:-1])):
         assert own.tolist() == mine.ask([chunks[i]])[0]
+
+
+def test_a_word_is_asked_for_once_whatever_marks_follow_it():
+    mine, asked = repair.Encoder(PATH), []
+    ask = mine.ask
+    mine.ask = lambda rows: asked.extend(rows) or ask(rows)
+    words = [a + b for a in ("Bra", "sélo", "umß", "ÿka") for b in ("nt", "rè", "öl", "vet", "mos")]
+    text = " ".join(w + mark for mark in ("", "###", "$$$", ";", "!", ",%%%", ".***") for w in words)
+    assert mine.encode([text, text + "."])[0].tolist() == mine.library.encode(text, add_special_tokens=False).ids
+    # Once after a space, the first also without one, and each string of marks.
+    assert sum(map(len, asked)) <= sum(len(w) + 1 for w in words) + 30
+
+
+def test_ids_around_marks_equal_the_library():
+    rng = random.Random(8)
+    letters = list("ab zéß×÷ªµÀÿĀж你́ … \n'\"#$%&()*+,-./:;<=>?@[]^_`{|}~!19") + ["'s", "'ll", "<|endoftext|>", "***"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
+    texts += [a + b for a in letters for b in letters] + [" ".join(t.split()) for t in texts]
+    mine = repair.Encoder(PATH)
+    for _ in range(2):  # the second time from memory
+        for text, ids in zip(texts, mine.encode(texts), strict=True):
+            assert ids.tolist() == mine.library.encode(text, add_special_tokens=False).ids
+
+
+def test_white_runs_are_those_of_the_pattern():
+    mine = repair.Encoder(PATH)
+    spaces = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    texts = [x for a in spaces for b in [*spaces, "x", "é"] for x in (a + b, f"y{b}{a}z", f"{a}y{b}", a)] + ["", "a ", " b"]
+    expected = [i for i, t in enumerate(texts) if repair.WHITE_SPACE_RUN.search(t)]
+    assert mine.white_runs(texts, [t.encode() for t in texts]) == expected
+    assert mine.white_runs([], []) == []
+
+
+def test_keys_depend_on_the_bytes_alone():
+    rng = np.random.default_rng(3)
+    chunks = [rng.integers(0, 3, n, np.uint8).tobytes() for n in rng.integers(1, 140, 3000)]
+    chunks += [bytes(n) for n in range(1, 140)] + [b"a" * n for n in range(1, 140)]
+    chunks += chunks[::-1]  # again at other places
+    sizes = np.array([len(c) for c in chunks])
+    keys = repair.chunk_keys(b"".join(chunks), np.cumsum(sizes) - sizes, sizes)
+    assert len(set(zip(chunks, keys.tolist()))) == len(set(chunks)) == len(set(keys.tolist()))

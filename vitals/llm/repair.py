@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import string
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -44,20 +45,25 @@ from vitals.llm.tables import slices, stored, text_of, texts
 END_ID = 2
 BLOCK_IDS = 1 << 20
 LEAST = 8
-RECENT = 800_000
+RECENT = 2_000_000
 PLACES = 64
 JOINED = 64
 BUCKET_BITS = 20
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the lowest bytes of a word
+
+# What a byte can be, as bits.
+SPACE, LINE_END, LETTER, SIGN, WHITE, WIDE = 1, 2, 4, 8, 16, 32
+LEADS = (0xC2, 0xE1, 0xE2, 0xE3)  # first bytes of all white space beyond ASCII
 
 
 class Encoder:
     """The vocabulary's own library, asked once for each recent chunk of text.
 
-    Texts are cut, as bytes and all at once in numpy, before each space, around line ends, and before a full
-    stop or comma between an ASCII letter and white space. Where no two white spaces meet, no word
-    of the vocabulary's pattern crosses such a cut; texts in which they do meet are encoded as a whole.
-    Chunks are known by a 64-bit hash: the sum of random numbers drawn for each byte at each place.
+    Texts are cut, as bytes and all at once in numpy, before each space, around line ends, and between a letter
+    (ASCII or Latin-1) and an ASCII punctuation mark other than the apostrophe and those of special tokens.
+    Where no two white spaces meet, no word of the vocabulary's pattern crosses such a cut; texts in which they do
+    meet are encoded as a whole. Chunks are known by a 64-bit hash, mixed from their size and their bytes, eight at a time.
     Unknown chunks that begin with a space are asked for in long strings, of which every token with a space opens a chunk.
     """
 
@@ -71,11 +77,12 @@ class Encoder:
         vocabulary = self.library.get_vocab()
         self.opens = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.opens[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
-        self.random = np.random.default_rng(1).integers(0, 1 << 64, (PLACES, 256), np.uint64).ravel()
+        special = "".join(token.content for token in self.library.get_added_tokens_decoder().values())
+        self.kinds = byte_kinds("".join(sorted(set(string.punctuation) - set(special) - {"'"})))
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # keys in order, and their slots
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of each slot's ids
         self.ids = np.zeros(0, np.uint32)
 
@@ -103,24 +110,34 @@ class Encoder:
 
     def encode(self, rows: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        cut = [i for i, t in enumerate(rows) if t and not WHITE_SPACE_RUN.search(t)]
+        raws = [t.encode() for t in rows]
+        whole = set(self.white_runs(rows, raws))
         out = [np.zeros(0, np.uint32)] * len(rows)
-        rest = sorted({i for i, t in enumerate(rows) if t} - set(cut))
+        rest = sorted(whole)
         for i, ids in zip(rest, self.ask([rows[i] for i in rest])):
             out[i] = np.array(ids, np.uint32)
-        for i, ids in zip(cut, self.encode_cut([rows[i].encode() for i in cut])):
+        cut = [i for i, raw in enumerate(raws) if raw and i not in whole]
+        for i, ids in zip(cut, self.encode_cut([raws[i] for i in cut])):
             out[i] = ids
         return out
 
+    def white_runs(self, rows: Sequence[str], raws: list[bytes]) -> list[int]:
+        """Numbers of the texts in which white space meets white space."""
+        kinds = np.frombuffer(b"".join(raws).translate(self.kinds), np.uint8)
+        maybe = kinds & WIDE > 0
+        maybe[1:] |= kinds[1:] & kinds[:-1] & WHITE > 0
+        ends = np.cumsum([len(raw) for raw in raws])
+        some = np.unique(np.searchsorted(ends, np.flatnonzero(maybe), "right"))
+        return [i for i in some.tolist() if WHITE_SPACE_RUN.search(rows[i])]
+
     def encode_cut(self, raws: list[bytes]) -> list[np.ndarray]:
         if not raws:
             return []
         buffer = b"".join(raws)
-        data = np.frombuffer(buffer, np.uint8)
         begins = np.cumsum([0, *map(len, raws)])
-        starts = chunk_starts(data, begins)
-        sizes = np.diff(np.append(starts, len(data)))
-        codes, kinds = pd.factorize(self.keys(data, starts, sizes))
+        starts = chunk_starts(buffer, begins, self.kinds)
+        sizes = np.diff(np.append(starts, len(buffer)))
+        codes, kinds = pd.factorize(chunk_keys(buffer, starts, sizes))
         slots = self.slots(kinds, codes, starts, sizes, buffer)[codes]
         n = self.size[slots]
         ends = np.cumsum(n)
@@ -128,58 +145,105 @@ class Encoder:
         chunk = np.searchsorted(starts, begins[1:-1])
         return np.split(ids, (ends - n)[chunk])
 
-    def keys(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
-        # Beyond the last place the numbers repeat; long chunks are told apart by their whole bytes below.
-        place %= PLACES
-        place <<= 8
-        place |= data
-        found = np.add.reduceat(self.random[place], starts)
-        for i in np.flatnonzero(sizes > PLACES):
-            digest = hashlib.blake2b(data[starts[i] : starts[i] + sizes[i]].tobytes(), digest_size=8).digest()
-            found[i] = int.from_bytes(digest, "little")
-        return found
-
     def slots(self, kinds: np.ndarray, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, buffer: bytes) -> np.ndarray:
         """Slots of the distinct chunks; unknown ones are encoded and remembered."""
-        if len(self.slot) > RECENT:
+        if len(self.known) > RECENT:
             self.forget()
-        keys = kinds.tolist()
-        known = np.array([self.slot.get(k, -1) for k in keys], np.int64)
-        new = np.flatnonzero(known < 0)
+        order = np.argsort(kinds)
+        keys = kinds[order]
+        place = np.searchsorted(self.known, keys)
+        have = np.append(self.known, np.uint64(0))[place] == keys
+        have &= place < len(self.known)
+        found = np.empty(len(keys), np.int64)
+        found[have] = self.slot[place[have]]
+        new = np.flatnonzero(~have)
         if len(new):
             sample = np.empty(len(kinds), np.int64)
             sample[codes] = np.arange(len(codes))
-            at = sample[new]
+            at = sample[order[new]]
             asked = [buffer[a:b].decode() for a, b in zip(starts[at].tolist(), (starts[at] + sizes[at]).tolist())]
-            order, n, ids = self.ask_chunks(asked)
-            new = new[order]
-            known[new] = len(self.size) + np.arange(len(new))
-            self.slot.update(zip([keys[i] for i in new.tolist()], known[new].tolist()))
+            turn, n, ids = self.ask_chunks(asked)
+            found[new[turn]] = len(self.size) + np.arange(len(new))
+            self.known = np.insert(self.known, place[new], keys[new])
+            self.slot = np.insert(self.slot, place[new], found[new])
             self.first = np.append(self.first, len(self.ids) + np.cumsum(n) - n)
             self.size = np.append(self.size, n)
             self.ids = np.append(self.ids, ids)
-        return known
+        out = np.empty(len(kinds), np.int64)
+        out[order] = found
+        return out
 
 
-def chunk_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+def byte_kinds(signs: str) -> bytes:
+    """What each of the 256 bytes can be."""
+    kinds = np.zeros(256, np.uint8)
+    kinds[[ord(" "), ord("\n")]] |= SPACE
+    kinds[ord("\n")] |= LINE_END
+    kinds[list(string.ascii_letters.encode())] |= LETTER
+    kinds[list(signs.encode())] |= SIGN
+    kinds[[i for i in range(128) if chr(i).isspace()]] |= WHITE
+    kinds[list(LEADS)] |= WIDE
+    return kinds.tobytes()
+
+
+def chunk_starts(buffer: bytes, begins: np.ndarray, kinds: bytes) -> np.ndarray:
     """Where chunks begin, in texts one after another that begin at ``begins``."""
-    white = (data == 32) | (data == 10)
-    line_end = data == 10
-    start = white.copy()
-    start[1:] |= line_end[:-1]
-    letter = ((data | 32) >= 97) & ((data | 32) <= 122)
-    sign = (data == 44) | (data == 46)
-    start[1:-1] |= sign[1:-1] & letter[:-2] & white[2:]
+    kind, data = np.frombuffer(buffer.translate(kinds), np.uint8), np.frombuffer(buffer, np.uint8)
+    start = kind & SPACE > 0
+    start[1:] |= kind[:-1] & LINE_END > 0
+    sign = np.flatnonzero(kind & SIGN)
+    sign = sign[sign >= 2]  # in the first two bytes of all, a cut would only be left out
+    before = data[sign - 1]
+    # The letters from U+00C0 to U+00FF are 0xC3 and one byte; two of these are signs of arithmetic.
+    latin = (data[sign - 2] == 0xC3) & (before != 0x97) & (before != 0xB7)
+    start[sign[(kind[sign - 1] & LETTER > 0) | latin]] = True
     start[begins[:-1]] = True
     return np.flatnonzero(start)
 
 
+def chunk_keys(buffer: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each chunk."""
+    words = np.frombuffer(buffer + bytes(16 - len(buffer) % 8), "<u8")
+
+    def word(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        i, shift = at >> 3, (at & 7).astype(np.uint64) << np.uint64(3)
+        low = words[i] >> shift
+        low |= words[i + 1] << np.uint64(1) << (np.uint64(63) - shift)
+        return low & MASKS[np.minimum(left, 8)]
+
+    def mixed(key: np.ndarray) -> np.ndarray:
+        key ^= key >> np.uint64(32)
+        key *= MULTIPLIER
+        key ^= key >> np.uint64(29)
+        key *= MULTIPLIER
+        key ^= key >> np.uint64(32)
+        return key
+
+    found = mixed(word(starts, sizes) ^ (sizes.astype(np.uint64) * MULTIPLIER))
+    some = np.flatnonzero(sizes > 8)
+    for done in range(8, PLACES, 8):
+        found[some] = mixed(found[some] ^ word(starts[some] + done, sizes[some] - done))
+        some = some[sizes[some] > done + 8]
+    for i in some:  # longer ones by a digest of all their bytes
+        digest = hashlib.blake2b(buffer[starts[i] : starts[i] + sizes[i]], digest_size=8).digest()
+        found[i] = int.from_bytes(digest, "little")
+    return found
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def skipped(symbols: np.ndarray) -> np.ndarray:
+    """Every second pair in runs of one symbol, by the places where the pairs begin."""
+    equal = symbols[1:] == symbols[:-1]
+    same = np.flatnonzero(equal[1:] & equal[:-1]) + 1
+    first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
+    place = np.arange(len(same)) - np.repeat(first, np.diff(np.append(first, len(same))))
+    return same[place % 2 == 0]
+
+
 def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules, their expansion lengths, and the remaining symbols; ``base`` exceeds every id.
 
@@ -190,23 +254,26 @@ def compress(ids: np.ndarray, base: int, rounds: int | None = None, least: int =
     rules, sizes, limit, turn = [np.empty((0, 2), np.uint32)], np.ones(0, np.int64), 0, 0
     live = None  # where a frequent pair may begin; at first everywhere
     while len(symbols) >= 2 and (rounds is None or turn < rounds):
-        # In a run of one symbol every second pair counts: only these can all be replaced.
-        use = np.ones(len(symbols) - 1, bool) if live is None else live
-        equal = symbols[1:] == symbols[:-1]
-        same = np.flatnonzero(equal[1:] & equal[:-1]) + 1
-        first = np.flatnonzero(np.diff(same, prepend=-2) != 1)
-        place = np.arange(len(same)) - np.repeat(first, np.diff(np.append(first, len(same))))
-        use[same[place % 2 == 0]] = False
-        where = np.flatnonzero(use)
-        keys = symbols[where].astype(np.uint64) << np.uint64(32) | symbols[where + 1]
-        bits = BUCKET_BITS if live is None else min(BUCKET_BITS, len(where).bit_length() + 2)
-        bucket = ((keys * MULTIPLIER) >> np.uint64(64 - bits)).astype(np.int32)
+        where = slice(None) if live is None else np.flatnonzero(live)
+        left, right = symbols[:-1][where], symbols[1:][where]
+        keys = left.astype(np.uint64)
+        keys <<= np.uint64(32)
+        keys |= right
+        bits = BUCKET_BITS if live is None else min(BUCKET_BITS, len(keys).bit_length() + 2)
+        bucket = ((keys * MULTIPLIER) >> np.uint64(64 - bits)).view(np.int64)
         most = np.bincount(bucket, minlength=1 << bits)
+        # In a run of one symbol every second pair counts: only these can all be replaced.
+        none = skipped(symbols) if (left == right).any() else np.empty(0, np.int64)
+        if live is not None:
+            none = np.flatnonzero(np.isin(where, none))
+        np.subtract.at(most, bucket[none], 1)
         # The limit falls by rounds from a share of the highest count to the least that pays.
         limit = max(least, int(most.max()) // 16 if turn == 0 else limit // 16)
         turn += 1
         likely = (most >= limit)[bucket]
-        at = where[likely]
+        likely[none] = False
+        likely = np.flatnonzero(likely)
+        at = likely if live is None else where[likely]
         codes, kinds = pd.factorize(keys[likely])
         counts = np.bincount(codes, minlength=len(kinds))
         frequent = (counts >= limit)[codes]
