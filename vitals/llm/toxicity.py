@@ -1,7 +1,7 @@
 """Toxicity score by a convolutional network over hashed word embeddings, in numpy.
 
 A word's vector is the sum of the vectors of its features: the word and its beginnings of
-``PREFIXES`` bytes, each hashed into one of ``BUCKETS``. Filters of several widths slide
+``wordhash.PREFIXES`` bytes, each hashed into one of ``BUCKETS``. Filters of several widths slide
 over the words, the largest response of each over the whole text is kept, and these are combined
 into one probability. Everything is learned together from all labelled rows that are not held out;
 only the ``KEPT`` buckets whose presence tells the label best there have a vector, so rare and
@@ -21,7 +21,6 @@ empty texts have no words and score zero; repeated rows get equal scores.
 from __future__ import annotations
 
 import copy
-import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -36,6 +35,7 @@ from vitals.functions.percentiles import percentile_table
 from vitals.llm.bpe import Recent
 from vitals.llm.learning import Adam, labelled_rows, logistic
 from vitals.llm.tables import dropped, held_out, slices, stored, texts
+from vitals.llm.wordhash import BUCKETS, PER_WORD, features, hashed
 
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.02, 11
 # Rows that are learned from between two averages, about, and the most bytes of coded texts.
@@ -47,32 +47,33 @@ THRESHOLD = 0.5
 FALSE_ALARMS = 0.005
 LEAST_CALIBRATED = 50
 
-BUCKETS = 1 << 20
-PREFIXES = (4, 5, 6)
-PER_WORD = len(PREFIXES) + 1
 LEAST_TEXTS = 6
 # Buckets that have a vector.
 KEPT = 1024
 EMBEDDED = 8
 FILTERS = 8
 WIDTHS = (1, 2, 3)
-PUNCTUATION = b".,;:!?'\"()[]{}<>#*$%&|-_/"
-RECENT = 400_000
-NOTHING = bytes(4 * EMBEDDED)
+# Bytes of text whose words are hashed together; as many as the processor's caches hold.
+TOGETHER = 1 << 20
 
 
-def features(word: bytes) -> list[int]:
-    """Buckets of a word in UTF-8: of the whole, and of its beginnings where they are shorter."""
-    letters = word.strip(PUNCTUATION).lower()
-    return [zlib.crc32(letters) % BUCKETS] + [zlib.crc32(letters[:n], n) % BUCKETS for n in PREFIXES if len(letters) > n]
+def near(marked: np.ndarray, edges: np.ndarray, width: int) -> np.ndarray:
+    """Places less than ``width`` away from a marked one of the same text."""
+    text = np.searchsorted(edges, marked, side="right") - 1
+    lowest, highest = edges[text], edges[text + 1] - 1
+    return np.unique(np.concatenate([np.clip(marked + k, lowest, highest) for k in range(1 - width, width)]))
 
 
-def near(marks: np.ndarray, width: int) -> np.ndarray:
-    """Places less than ``width`` away from a mark."""
-    if not len(marks):
-        return marks
-    sums = np.convolve(marks.astype(np.int64), np.ones(2 * width - 1, np.int64))
-    return sums[width - 1 : len(sums) - width + 1] > 0
+def rows_of(row: dict[int, int]) -> np.ndarray:
+    """The row of each bucket's vector, 0 for none; ``BUCKETS`` stands for a missing feature."""
+    found = np.zeros(BUCKETS + 1, np.int32)
+    found[np.fromiter(row.keys(), np.int64, len(row))] = np.fromiter(row.values(), np.int32, len(row))
+    return found
+
+
+def live(ids: np.ndarray) -> np.ndarray:
+    """The words with a vector."""
+    return np.flatnonzero(np.bitwise_or.reduce([ids[:, k] for k in range(PER_WORD)]))
 
 
 @dataclass
@@ -88,47 +89,63 @@ class Network:
         found = {"embedding": self.embedding, "weights": self.weights}
         return found | {f"f{w}": self.filters[w] for w in WIDTHS} | {f"b{w}": self.bias[w] for w in WIDTHS}
 
-    def vector(self, word: bytes) -> bytes:
-        rows = [r for b in features(word) if (r := self.row.get(b))]
-        return self.embedding[rows].sum(0, dtype=np.float32).tobytes() if rows else NOTHING
-
     def responses(self, vectors: np.ndarray, width: int) -> np.ndarray:
         n = len(vectors) - width + 1
         return sum(vectors[k : k + n] @ self.filters[width][k] for k in range(width))
 
-    def pooled(self, vectors: np.ndarray) -> np.ndarray:
-        """Largest response of each filter; texts are padded so that each filter fits."""
-        padded = np.zeros((len(vectors) + 2 * (WIDTHS[-1] - 1), EMBEDDED), np.float32)
-        padded[WIDTHS[-1] - 1 : len(vectors) + WIDTHS[-1] - 1] = vectors
+    def pooled(self, ids: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Largest response of each filter in each of the texts, whose coded words lie between ``edges``;
+        texts are padded so that each filter fits."""
+        pad = WIDTHS[-1] - 1
         # Most words carry nothing: only windows that touch one that does can differ from zero.
-        live = np.flatnonzero(padded.any(1))
-        out = []
-        for width in WIDTHS:
-            starts = np.unique(np.concatenate([live - k for k in range(width)])) if len(live) else live
-            starts = starts[(starts >= 0) & (starts + width <= len(padded))]
-            sums = np.zeros((1, FILTERS), np.float32)
-            if len(starts):
-                sums = np.concatenate(
-                    [sums, sum(padded[starts + k] @ self.filters[width][k] for k in range(width))]
+        marked = live(ids)
+        vectors = np.concatenate([np.zeros((1, EMBEDDED), np.float32), self.embedding[ids[marked]].sum(1)])
+        starts_of = edges[:-1] + 2 * pad * np.arange(len(edges) - 1)
+        places = marked + pad + 2 * pad * (np.searchsorted(edges, marked, side="right") - 1)
+        at = np.zeros(edges[-1] + 2 * pad * (len(edges) - 1), np.int32)
+        at[places] = np.arange(1, len(places) + 1)
+        out = np.zeros((len(edges) - 1, FILTERS * len(WIDTHS)), np.float32)
+        for i, width in enumerate(WIDTHS):
+            starts = np.unique(np.concatenate([places - k for k in range(width)]))
+            ends = np.searchsorted(starts, np.append(starts_of, len(at)))
+            some = np.flatnonzero(ends[1:] > ends[:-1])
+            largest = np.zeros((len(out), FILTERS), np.float32)
+            if len(some):
+                sums = sum(
+                    by_text(vectors[at[starts + k]], self.filters[width][k], ends[some], ends[some + 1]) for k in range(width)
                 )
-            out.append(np.maximum(sums.max(0) + self.bias[width], 0))
-        return np.concatenate(out)
+                largest[some] = np.maximum(np.maximum.reduceat(sums, ends[some], axis=0), 0)
+            out[:, i * FILTERS : (i + 1) * FILTERS] = np.maximum(largest + self.bias[width], 0)
+        return out
 
-    def probability(self, vectors: np.ndarray) -> float:
-        logit = self.pooled(vectors).astype(np.float64) @ self.weights[:-1].astype(np.float64)
-        return float(logistic(logit + float(self.weights[-1])))
+    def probabilities(self, ids: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        weights = self.weights[:-1].astype(np.float64)
+        logits = np.array([own @ weights for own in self.pooled(ids, edges).astype(np.float64)], np.float64)
+        return logistic(logits + float(self.weights[-1]))
 
-    def scorer(self):
-        memo = Recent(self.vector, RECENT)
+    def scores(self) -> Callable[[Sequence[str]], np.ndarray]:
+        """Scores texts together; those without words get zero."""
+        row = rows_of(self.row)
 
-        def score(text: str) -> float:
-            words = text.encode().split()
-            if not words:
-                return 0.0
-            return self.probability(np.frombuffer(b"".join(map(memo.__getitem__, words)), np.float32).reshape(-1, EMBEDDED))
+        def score(some: Sequence[str]) -> np.ndarray:
+            found, edges = hashed([t.encode() for t in some])
+            return np.where(edges[1:] > edges[:-1], self.probabilities(row[found], edges), 0.0)
 
         return score
 
+    def scorer(self) -> Callable[[str], float]:
+        score = self.scores()
+        return lambda text: float(score([text])[0])
+
+
+def by_text(vectors: np.ndarray, matrix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The product with a matrix, text by text: its rounding may depend on the number of rows, and a score must
+    not depend on the texts beside its own."""
+    out = np.empty((len(vectors), matrix.shape[1]), np.float32)
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        np.matmul(vectors[a:b], matrix, out=out[a:b])
+    return out
+
 
 def telling(words: Sequence[Sequence[bytes]], labels: np.ndarray, kept: int = KEPT) -> list[int]:
     """The buckets whose presence in a text tells its label best, by chi-square, of those that
@@ -149,19 +166,17 @@ def telling(words: Sequence[Sequence[bytes]], labels: np.ndarray, kept: int = KE
     return [buckets[i] for i in np.lexsort((buckets, -chi))[:kept]]
 
 
-def coder(row: dict[int, int]) -> Callable[[Sequence[bytes]], np.ndarray]:
-    """Turns words into rows of the embedding, ``PER_WORD`` a word, rows of zero filling up. Words too far
-    from any that has a vector are left out: their windows respond with zero and need not be looked at."""
+def coder(row: dict[int, int]) -> Callable[[Sequence[bytes]], tuple[list[np.ndarray], np.ndarray]]:
+    """Turns the words of texts into rows of the embedding, ``PER_WORD`` a word with 0 for features without one, and
+    tells which texts have words. Words too far from any that has a vector are left out: their windows respond with zero
+    and need not be looked at."""
+    own = rows_of(row)
 
-    def rows_of(word: bytes) -> bytes:
-        found = [row[b] for b in features(word) if b in row]
-        return np.array(found + [0] * (PER_WORD - len(found)), np.int32).tobytes()
-
-    indexed = Recent(rows_of, RECENT)
-
-    def code(words: Sequence[bytes]) -> np.ndarray:
-        ids = np.frombuffer(b"".join(map(indexed.__getitem__, words)), np.int32).reshape(-1, PER_WORD)
-        return ids[near(ids.any(1), WIDTHS[-1])]
+    def code(some: Sequence[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+        found, edges = hashed(some)
+        ids = own[found]
+        kept = near(live(ids), edges, WIDTHS[-1])
+        return np.split(ids[kept], np.searchsorted(kept, edges[1:-1])), edges[1:] > edges[:-1]
 
     return code
 
@@ -246,7 +261,8 @@ def train(rows: Sequence[tuple], epochs: int = EPOCHS, batch: int = BATCH, rate:
     words = [t.encode().split() for t, *_ in rows]
     labels = np.array([y for _, y, *_ in rows], np.float64)
     row = {b: i for i, b in enumerate(sorted(telling(words, labels)), 1)}
-    ids = list(map(coder(row), words))
+    code = coder(row)
+    ids = [code([t.encode()])[0][0] for t, *_ in rows]
     known = [i for i in range(len(rows)) if words[i]]
     net = started(row, labels[known].mean() if known else None, rng)
     if not known:
@@ -280,12 +296,16 @@ def bucket_counts(rows: DataFrame) -> DataFrame:
     """For each bucket the harmless and the toxic texts in which it occurs; bucket ``BUCKETS`` is in every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_word = Recent(features, RECENT // 2)
         counts = np.zeros((2, BUCKETS + 1), np.int64)
-        for batch in slices(batches):
-            for text, y in zip(texts(batch), batch.column("label").to_pylist()):
-                found = {b for w in set(text.encode().split()) for b in of_word[w]}
-                counts[y, np.fromiter(found, np.int64, len(found))] += 1
+        last = np.zeros(BUCKETS + 1, np.int64)
+        for batch in slices(batches, TOGETHER):
+            found, edges = hashed([t.encode() for t in texts(batch)])
+            for y, a, b in zip(batch.column("label").to_pylist(), edges, edges[1:]):
+                own = found[a:b].ravel()
+                place = np.arange(len(own))
+                last[own] = place
+                own = own[last[own] == place]  # each bucket once
+                counts[y, own[own < BUCKETS]] += 1
                 counts[y, BUCKETS] += 1
         seen = np.flatnonzero(counts.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, *counts[:, seen])], ["bucket", "harmless", "toxic"])
@@ -317,9 +337,9 @@ def coded(rows: DataFrame, row: dict[int, int], shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(shared.value)
-        for batch in slices(batches):
-            words = [t.encode().split() for t in texts(batch)]
-            made = [pa.array(map(bool, words), pa.bool_()), pa.array([code(w).tobytes() for w in words], pa.binary())]
+        for batch in slices(batches, TOGETHER):
+            ids, known = code([t.encode() for t in texts(batch)])
+            made = [pa.array(known, pa.bool_()), pa.array([i.tobytes() for i in ids], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + made, schema.names)
 
     found = dealt.mapInArrow(run, schema).repartition(min(shards, MOST_FILES), "shard")
@@ -386,10 +406,10 @@ def thresholds_of(rows: DataFrame, net: Network) -> dict[str, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            scores = [
-                net.probability(net.embedding[np.frombuffer(i, np.int32).reshape(-1, PER_WORD)].sum(1)) if known else 0.0
-                for i, known in zip(batch.column("ids").to_pylist(), batch.column("known").to_pylist())
-            ]
+            raw = batch.column("ids").to_pylist()
+            edges = np.cumsum([0, *(len(i) // (4 * PER_WORD) for i in raw)])
+            found = net.probabilities(np.frombuffer(b"".join(raw), np.int32).reshape(-1, PER_WORD), edges)
+            scores = np.where(batch.column("known").to_numpy(zero_copy_only=False), found, 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(scores, pa.float64())], ["lang", "score"])
 
     harmless = rows.filter("label = 0").select("lang", "known", "ids")
@@ -441,9 +461,9 @@ def scored(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = shared.value.scorer()
-        for batch in slices(batches):
-            found = pa.array([score(t) for t in texts(batch)], pa.float64())
+        score = shared.value.scores()
+        for batch in slices(batches, TOGETHER):
+            found = pa.array(score(texts(batch)), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
     return kept.mapInArrow(run, schema)
