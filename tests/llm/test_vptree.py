@@ -106,3 +106,63 @@ def test_an_id_of_many_vectors_takes_one_place(spark):
         assert found(out)[query] == sorted(score, key=lambda i: (-score[i], i))[:5]
     ranks = [(r.query_id, r.rank) for r in out.collect()]
     assert sorted(ranks) == [(q, k) for q in (3, 100) for k in range(1, 6)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_vectors_or_hits_are_broadcast(spark):
+    """Spark's estimates hold neither the copies of queries for all shards nor the hits, so small tables looked fit for it."""
+    df = frame(spark, clustered(300))
+    out = vptree.nearest(df, df.filter("vec_id % 50 = 0"))
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b")) >= 10 << 20
+    assert "Broadcast" not in plan_of(out)
+
+
+def test_hits_grow_with_columns_of_shards_not_with_shards(spark):
+    keyed = vptree.keyed(frame(spark, clustered(1500)))
+    index, shards = vptree.build_index(keyed, 5, shard=10)
+    queries = keyed.filter("vec_id % 50 = 0").select("key", "vector")
+    assert shards == 150
+    assert vptree.search(index, shards, queries, 5, 1.0).count() <= 6 * 30 * 4 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+@pytest.mark.parametrize("factor", [1.0, 1.5])
+def test_many_bands_and_columns_of_several_dimensions(spark, monkeypatch, kind, factor):
+    monkeypatch.setattr(vptree, "BAND", 1)
+    monkeypatch.setattr(vptree, "COLUMN", 1)
+    parts = [clustered(400, dim, dim).astype("f4" if kind == "float" else "f8") for dim in (4, 16)]
+    rows = [(1000 * n + i, [float(x) for x in v]) for n, part in enumerate(parts) for i, v in enumerate(part)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    keyed = vptree.keyed(df)
+    assert dict(keyed.dtypes)["vector"] == f"array<{kind}>"
+    index, shards = vptree.build_index(keyed, 5, shard=100)
+    asked = keyed.filter("vec_id % 10 = 0")
+    hits = vptree.search(index, shards, asked.select("key", "vector"), 5, factor, block=8)
+    best = {}
+    for r in hits.join(asked.select("key", F.col("vec_id").alias("query")), "key").collect():
+        best.setdefault(r.query, []).append((-r.score, r.vec_id))
+    truth = {1000 * n + q: [1000 * n + v for v in near] for n, part in enumerate(parts) for q, near in brute(part.astype("f8"), range(0, 400, 10), 5).items()}
+    # The nearest of all is the query itself.
+    got = {q: [v for _, v in sorted(found)[1:6]] for q, found in best.items()}
+    if factor == 1.0:
+        assert got == truth
+    else:
+        assert got.keys() == truth.keys() and np.mean([len({*got[q]} & {*truth[q]}) / 5 for q in truth]) >= 0.9
+
+
+def test_single_precision_and_carried_bounds_lose_no_neighbour():
+    """Near copies, closer than single precision can tell apart, dealt over trees that share their bounds."""
+    rng = np.random.default_rng(5)
+    vectors = np.concatenate([clustered(1200, 64), clustered(1, 64) + 1e-9 * rng.normal(size=(300, 64))])[rng.permutation(1500)]
+    queries = vectors[::7]
+    best = vptree.Best(len(queries), 6)
+    for start in range(0, 1500, 300):
+        part = vectors[start : start + 300]
+        nodes, order = vptree.build(vptree.normalized(part))
+        ids = np.arange(start, start + 300), np.arange(301)
+        vptree.Search(vptree.normalized(part), nodes, order, queries, 6, 1.0, ids, part, best)
+    score = np.stack([vptree.cosine(np.broadcast_to(q, vectors.shape), vectors) for q in queries])
+    assert best.ids.tolist() == np.lexsort((np.broadcast_to(np.arange(1500), score.shape), -score))[:, :6].tolist()

@@ -8,11 +8,15 @@ query's distance to the vantage point, nothing in a child of range ``[lo, hi]``
 distance to its ``k``-th best so far: factor one is exact, larger ones skip more.
 
 Equal vectors are indexed as one, with their ``k + 1`` smallest ids: no query can need more
-of them. Queries with equal vectors are searched once. Shards and blocks of queries have bounded
-sizes; every block meets every shard, and each pair returns its best, of which the best of all are
-merged. A block's queries go through a tree together, first each to the leaf it belongs to, for a
-first bound, then through all that the bound leaves. Distances are rounded, so all vectors that
-rounding could bring among the best are kept, however many, and ranked by their exact scores and ids.
+of them. Queries with equal vectors are searched once. Every query meets every shard: shards are dealt
+into columns and queries into bands, and each task has the trees of one column, which it
+reads one after the other, and the queries of one band. So vectors are copied once for each band and queries once for each
+column, never each query for each shard, and no join, which Spark might choose to broadcast from a wrong estimate, carries them.
+
+A block's queries go through a tree together, first those without a bound each to the leaf it belongs to,
+for a first one, then all through whatever the bound leaves. The bound is the ``k``-th best exact score of any
+tree before, if the search is exact. Products are rounded to single precision, so all vectors that rounding could
+bring among the best are scored exactly, however many, and ranked by score and id.
 """
 
 from __future__ import annotations
@@ -23,15 +27,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from vitals.llm.tables import stored
+from vitals.llm.tables import dropped, stored
 
 FACTOR = 1.0
 SHARD = 4096
 BLOCK = 1024
 LEAF = 64
 SLACK = 1e-7
+# Rows compared at once, and as long as a bound is new; the share of pairs to skip that is worth comparing in pieces.
+RUN = 2048
+FIRST = 256
+PIECES = 0.1
+# Bytes, in double precision, of the queries and of the vectors of one task; tasks for each core.
+BAND = 64 << 20
+COLUMN = 256 << 20
+TASKS = 4
 
 NODE = np.dtype(
     [("vantage", "<i4"), ("near", "<i4"), ("far", "<i4"), ("start", "<i4"), ("stop", "<i4")]
@@ -80,85 +93,147 @@ def even(vectors: np.ndarray) -> np.ndarray:
     return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1, keepdims=True))[1])
 
 
+class Best:
+    """The ``k`` best different ids of each query so far, best first; ties go to the smaller id."""
+
+    def __init__(self, queries: int, k: int):
+        self.ids = np.full((queries, k), -1)
+        self.score = np.full((queries, k), -np.inf)
+
+    def add(self, who: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        touched = np.unique(who)
+        query, place = np.nonzero(self.score[touched] > -np.inf)
+        query = touched[query]
+        who = np.concatenate([query, who])
+        ids = np.concatenate([self.ids[query, place], ids])
+        score = np.concatenate([self.score[query, place], score])
+        by = best_ids(who, ids, score, self.ids.shape[1])
+        place = np.arange(len(by)) - np.searchsorted(who[by], who[by])
+        self.ids[who[by], place], self.score[who[by], place] = ids[by], score[by]
+
+    def hits(self, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Queries as places in ``who``, ids and scores."""
+        query, place = np.nonzero(self.score[who] > -np.inf)
+        return query, self.ids[who[query], place], self.score[who[query], place]
+
+
 class Search:
-    """One block of queries in one tree."""
-
-    def __init__(self, unit: np.ndarray, nodes: np.ndarray, order: np.ndarray, queries: np.ndarray, k: int, factor: float, owner: np.ndarray | None = None):
-        # ``owner``: an id of each row. The ``k`` best rows count one for each owner.
-        self.owner = owner if owner is not None and len(np.unique(owner)) < len(owner) else None
-        self.unit, self.nodes, self.order, self.queries = unit, nodes, order, queries
-        self.k, self.factor = k, factor
-        self.found = np.full((len(queries), k), -1)
-        self.distance = np.full((len(queries), k), np.inf)
-        self.bound = np.full(len(queries), np.inf)
+    """Queries in one tree over ``unit``, the rows of ``data`` (if given) scaled to length one."""
+
+    def __init__(
+        self,
+        unit: np.ndarray,
+        nodes: np.ndarray,
+        order: np.ndarray,
+        queries: np.ndarray,
+        k: int,
+        factor: float,
+        ids: tuple[np.ndarray, np.ndarray] | None = None,
+        data: np.ndarray | None = None,
+        best: Best | None = None,
+    ):
+        # ``ids``: those of row ``i`` are ``ids[0][ids[1][i] : ids[1][i + 1]]``.
+        self.flat, self.edges = ids if ids else (np.arange(len(unit)), np.arange(len(unit) + 1))
+        self.data = unit if data is None else data
+        self.nodes, self.order, self.queries, self.factor = nodes, order, queries, factor
+        self.rows, self.vantages = unit[order].astype("f4"), unit[nodes["vantage"]]
+        self.best = best if best else Best(len(queries), k)
         self.visited = 0
-        # Squared distances of unit vectors are off by less than this.
-        self.rounding = 16 * (unit.shape[1] + 4) * np.finfo(float).eps
-        self.hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(nodes):
-            self.descend(0, np.arange(len(queries)))
-            self.distance[:] = np.inf
-            self.found[:] = -1
-            self.hits.clear()
-            self.visit(0, np.arange(len(queries)))
+        self.apart = len(np.unique(self.flat)) == len(self.flat)
+        # Squared distances of unit vectors are off by less than this, products in single precision by less than the other.
+        self.rounding = 16 * (unit.shape[1] + 4) * np.finfo("f8").eps
+        self.coarse = (unit.shape[1] + 8) * float(np.finfo("f4").eps)
+        for at in range(0, len(queries) if len(nodes) else 0, BLOCK):
+            self.block(at, min(at + BLOCK, len(queries)))
+
+    @property
+    def found(self) -> np.ndarray:
+        return self.best.ids
 
     def limit(self, who: np.ndarray) -> np.ndarray:
         """Distances up to which a vector may be among the best."""
-        return np.sqrt(self.bound[who] ** 2 + self.rounding)
-
-    def candidates(self) -> tuple[np.ndarray, np.ndarray]:
-        """Queries and rows of all pairs within the limit: the ``k`` best and what may tie with them."""
-        if not self.hits:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        who, rows, d = (np.concatenate(side) for side in zip(*self.hits))
-        near = d <= self.limit(who)
-        return who[near], rows[near]
-
-    def leaf(self, node: np.void, who: np.ndarray) -> None:
-        rows = self.order[node["start"] : node["stop"]]
-        self.visited += len(who) * len(rows)
-        d = np.concatenate([self.distance[who], distances(self.queries[who], self.unit[rows])], 1)
-        ids = np.concatenate([self.found[who], np.broadcast_to(rows, (len(who), len(rows)))], 1)
-        one_each = d if self.owner is None else self.best_of_owner(d, ids)
-        best = np.argpartition(one_each, self.k - 1, axis=1)[:, : self.k]
-        self.distance[who] = np.take_along_axis(one_each, best, 1)
-        self.found[who] = np.take_along_axis(ids, best, 1)
-        self.bound[who] = np.minimum(self.bound[who], self.distance[who].max(1))
-        query, place = np.nonzero(d[:, self.k :] <= self.limit(who)[:, None])
-        self.hits.append((who[query], rows[place], d[query, self.k + place]))
-
-    def best_of_owner(self, d: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The distances, infinite for all but the nearest row of each owner."""
-        owner = np.where(rows < 0, -1, self.owner[rows])
-        by = np.lexsort((d, owner), axis=1)
-        ordered = np.take_along_axis(owner, by, 1)
-        again = np.zeros(d.shape, bool)
-        again[:, 1:] = (ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] >= 0)
-        out = d.copy()
-        np.put_along_axis(out, by, np.where(again, np.inf, np.take_along_axis(d, by, 1)), 1)
-        return out
+        return np.sqrt(np.maximum(2 - 2 * self.best.score[who, -1], 0) + self.rounding)
+
+    def block(self, start: int, stop: int) -> None:
+        self.start, who = start, np.arange(start, stop)
+        self.run: tuple[int, int, np.ndarray] | None = None
+        asked = normalized(self.queries[start:stop].astype("f8"))
+        self.asked, self.to_vantage = asked.astype("f4"), distances(asked, self.vantages)
+        without = who[self.best.score[who, -1] == -np.inf]
+        # A fresh bound soon falls, so few rows are compared with it at once.
+        self.width = FIRST if len(without) else RUN
+        if len(without):
+            self.descend(0, without)
+        if self.skipped(who) < PIECES:
+            self.leaf(0, len(self.order), who)
+        else:
+            self.visit(0, who)
+        self.flush()
+
+    def skipped(self, who: np.ndarray) -> float:
+        """The share of pairs that the bounds skip, at most: pairs below several skipped nodes count more than once."""
+        inner = self.nodes["vantage"] >= 0
+        d, nodes, limit = self.to_vantage[:, inner], self.nodes[inner], self.limit(who)[:, None]
+        out = 0.0
+        for child in ("near", "far"):
+            least = np.maximum(nodes[f"{child}_lo"] - d, d - nodes[f"{child}_hi"])
+            below = self.nodes[nodes[child]]
+            out += ((self.factor * (least - SLACK) > limit).mean(0) * (below["stop"] - below["start"])).sum()
+        return out / len(self.order)
+
+    def leaf(self, start: int, stop: int, who: np.ndarray) -> None:
+        """Adjacent rows that the same queries visit are compared together."""
+        if self.run and self.run[1] == start and self.run[2] is who and stop - self.run[0] <= self.width:
+            self.run = self.run[0], stop, who
+            return
+        self.flush()
+        for at in range(start, stop, self.width):
+            self.flush()
+            self.run = at, min(at + self.width, stop), who
+
+    def flush(self) -> None:
+        if not self.run:
+            return
+        (start, stop, who), self.run = self.run, None
+        self.visited += len(who) * (stop - start)
+        least = (1 - self.limit(who) ** 2 / 2 - self.coarse).astype("f4")
+        near = self.asked[who - self.start] @ self.rows[start:stop].T
+        if self.width == FIRST and self.apart and stop - start > (k := self.best.ids.shape[1]):
+            # So many different ids are as near as the ``k``-th of these rows.
+            least = np.maximum(least, np.partition(near, -k, axis=1)[:, -k] - np.float32(2 * self.coarse))
+        query, place = np.divmod(np.flatnonzero(near >= least[:, None]), stop - start)
+        if not len(query):
+            return
+        query, rows, score = who[query], self.order[start + place], np.empty(len(query))
+        for at in range(0, len(query), step := max(1, (1 << 18) // self.rows.shape[1])):
+            some = slice(at, at + step)
+            score[some] = cosine(self.queries[query[some]].astype("f8"), self.data[rows[some]].astype("f8"))
+        n = np.diff(self.edges)[rows]
+        each = np.repeat(self.edges[rows] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        self.best.add(np.repeat(query, n), self.flat[each], np.repeat(score, n))
 
     def descend(self, number: int, who: np.ndarray) -> None:
         node = self.nodes[number]
         if not len(who):
             return
         if node["vantage"] < 0:
-            self.leaf(node, who)
+            self.leaf(node["start"], node["stop"], who)
+            self.flush()
             return
-        d = distances(self.queries[who], self.unit[node["vantage"]][None])[:, 0]
-        near = d <= (node["near_hi"] + node["far_lo"]) / 2
+        near = self.to_vantage[who - self.start, number] <= (node["near_hi"] + node["far_lo"]) / 2
         self.descend(node["near"], who[near])
         self.descend(node["far"], who[~near])
 
     def visit(self, number: int, who: np.ndarray) -> None:
         node = self.nodes[number]
         if node["vantage"] < 0:
-            self.leaf(node, who)
+            self.leaf(node["start"], node["stop"], who)
             return
-        d = distances(self.queries[who], self.unit[node["vantage"]][None])[:, 0]
+        d = self.to_vantage[who - self.start, number]
         for child in ("near", "far"):
             least = np.maximum(node[f"{child}_lo"] - d, d - node[f"{child}_hi"])
-            some = who[self.factor * (least - SLACK) <= self.limit(who)]
+            left = self.factor * (least - SLACK) <= self.limit(who)
+            some = who if left.all() else who[left]
             if len(some):
                 self.visit(node[child], some)
 
@@ -180,11 +255,13 @@ def usable(vector: str) -> Column:
 
 
 def keyed(vectors: DataFrame) -> DataFrame:
-    """``vec_id``, the vector in double precision, and a key that equal vectors share."""
+    """``vec_id``, the vector, in double precision unless it is given in single, and a key that equal vectors share."""
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    kind = "float" if single else "double"
     plain = vectors.filter(usable("embedding") & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         # Adding zero turns the negative zero into the positive one.
-        F.transform(F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0)).alias("vector"),
+        F.transform(F.col("embedding").cast(f"array<{kind}>"), lambda x: x + F.lit(0.0).cast(kind)).alias("vector"),
     )
     key = F.concat_ws(":", F.size("vector"), F.hex(F.xxhash64("vector")), F.hex(F.hash("vector")))
     return plain.withColumn("key", key)
@@ -195,14 +272,12 @@ INDEX = "shard int, dim int, ids array<array<bigint>>, vectors binary, nodes bin
 
 def build_index(vectors: DataFrame, k: int, shard: int = SHARD) -> tuple[DataFrame, int]:
     """A tree for each shard, and the number of shards. All usable vectors are in it."""
-    once = vectors.select("key", "vector", "vec_id").distinct()
     of_vector = W.partitionBy("key").orderBy("vec_id")
-    few = once.withColumn("_n", F.row_number().over(of_vector)).filter(F.col("_n") <= k + 1)
-    distinct = stored(
-        few.groupBy("key").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector")), "vectors"
-    )
-    shards = max(1, -(-distinct.count() // shard))
+    few = vectors.select("key", "vec_id").distinct().withColumn("_n", F.row_number().over(of_vector)).filter(F.col("_n") <= k + 1)
+    ids = stored(few.groupBy("key").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ids")
+    shards = max(1, -(-ids.count() // shard))
     number = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
+    distinct = vectors.groupBy("key").agg(F.first("vector").alias("vector")).join(ids.hint("merge"), "key")
     # A shard and dimension has about ``shard`` rows at most, as keys are spread evenly.
     grouped = distinct.groupBy(number.alias("shard"), F.size("vector").alias("dim")).agg(
         F.collect_list(F.struct("ids", "vector")).alias("rows")
@@ -213,17 +288,19 @@ def build_index(vectors: DataFrame, k: int, shard: int = SHARD) -> tuple[DataFra
             for i in range(batch.num_rows):
                 rows = batch.column("rows")[i].values
                 data = rows.field("vector").flatten().to_numpy().reshape(len(rows), -1)
-                nodes, order = build(normalized(data))
+                nodes, order = build(normalized(data.astype("f8")))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(i, 1) for c in ("shard", "dim")),
                         pa.array([rows.field("ids").to_pylist()], pa.list_(pa.list_(pa.int64()))),
-                        *(pa.array([x.tobytes()], pa.binary()) for x in (data.astype("<f8"), nodes, order)),
+                        *(pa.array([x.tobytes()], pa.binary()) for x in (data, nodes, order)),
                     ],
                     ["shard", "dim", "ids", "vectors", "nodes", "leaves"],
                 )
 
-    return stored(grouped.mapInArrow(run, INDEX), "trees"), shards
+    index = stored(grouped.mapInArrow(run, INDEX), "trees")
+    dropped(vectors.sparkSession, ids)
+    return index, shards
 
 
 HITS = "key string, vec_id bigint, score double"
@@ -240,42 +317,87 @@ def best_ids(who: np.ndarray, ids: np.ndarray, score: np.ndarray, most: int) ->
     return by[np.arange(len(by)) - edge < most]
 
 
+class Band:
+    """The queries of one task and dimension."""
+
+    def __init__(self, dim: int, most: int, factor: float):
+        self.dim, self.most, self.factor = dim, most, factor
+        self.keys: list[pa.Array] = []
+        self.vectors: list[np.ndarray] = []
+        self.best: Best | None = None
+
+    def ask(self, queries: pa.Array) -> None:
+        self.keys.append(pa.concat_arrays([queries.field("key")]))
+        self.vectors.append(queries.field("vector").flatten().to_numpy().reshape(len(queries), -1).copy())
+
+    def search(self, row: dict[str, pa.Scalar]) -> None:
+        if self.best is None:
+            if not self.vectors:
+                return
+            self.queries = np.concatenate(self.vectors)
+            self.vectors.clear()
+            self.best = Best(len(self.queries), self.most)
+        nodes, order = np.frombuffer(row["nodes"].as_py(), NODE), np.frombuffer(row["leaves"].as_py(), "<i4")
+        data = row["vectors"].as_buffer()
+        data = np.frombuffer(data, f"<f{data.size // (len(order) * self.dim)}").reshape(-1, self.dim)
+        lists = row["ids"].values
+        ids = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        # A loose search that went on from the bounds of other trees would skip more than within its own.
+        own = self.best if self.factor <= 1 else Best(len(self.queries), self.most)
+        Search(normalized(data.astype("f8")), nodes, order, self.queries, self.most, self.factor, ids, data, own)
+        if own is not self.best:
+            self.best.add(*own.hits(np.arange(len(self.queries))))
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        start = 0
+        for keys in self.keys if self.best else ():
+            query, ids, score = self.best.hits(np.arange(start, start + len(keys)))
+            start += len(keys)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(query)), pa.array(ids), pa.array(score)], ["key", "vec_id", "score"])
+
+
 def search(index: DataFrame, shards: int, queries: DataFrame, k: int, factor: float, block: int = BLOCK) -> DataFrame:
-    """The ``k`` + 1 best ids of each shard for each distinct query: ``key``, ``vec_id``, cosine."""
-    blocks = max(1, -(-queries.count() // block))
+    """The ``k`` + 1 best ids of each column of shards for each distinct query: ``key``, ``vec_id``, cosine."""
+    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(1)).alias("dim")).first()
+    blocks = max(1, -(-size.n // block))
+    in_band = max(1, BAND // (8 * size.dim * block))
+    bands = -(-blocks // in_band)
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    columns = min(shards, max(-(-TASKS * cores // bands), -(-shards // max(1, COLUMN // (8 * size.dim * SHARD)))))
     number = F.pmod(F.hash("key"), F.lit(blocks))
-    grouped = queries.groupBy(number.alias("block"), F.size("vector").alias("dim")).agg(
-        F.collect_list(F.struct("key", "vector")).alias("queries")
+    asked = (
+        queries.groupBy(number.alias("block"), F.size("vector").alias("dim"))
+        .agg(F.collect_list(F.struct("key", "vector")).alias("queries"))
+        .withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+        .withColumn("cell", F.floor(F.col("block") / in_band).cast("int") * columns + F.col("column"))
+        .select("cell", "dim", "queries")
+    )
+    trees = index.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))).select(
+        (F.col("band") * columns + F.pmod("shard", F.lit(columns))).alias("cell"), "dim", "ids", "vectors", "nodes", "leaves"
+    )
+    # Nulls first: a cell's queries come before its trees.
+    cells = (
+        asked.unionByName(trees, allowMissingColumns=True)
+        .repartitionById(bands * columns, "cell")
+        .sortWithinPartitions("cell", "dim", F.col("vectors").isNotNull())
     )
-    every = grouped.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = every.join(index, ["shard", "dim"]).select("dim", "queries", "ids", "vectors", "nodes", "leaves")
     most = k + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, band = None, Band(0, most, factor)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i] for c in batch.schema.names}
-                data = np.frombuffer(row["vectors"].as_py(), "<f8").reshape(-1, row["dim"].as_py())
-                nodes, order = np.frombuffer(row["nodes"].as_py(), NODE), np.frombuffer(row["leaves"].as_py(), "<i4")
-                asked = row["queries"].values
-                original = asked.field("vector").flatten().to_numpy().reshape(len(asked), -1)
-                unit = normalized(data)
-                least = row["ids"].values
-                flat, edges = least.flatten().to_numpy(), least.offsets.to_numpy() - least.offsets[0].as_py()
-                own = Search(unit, nodes, order, normalized(original), min(most, len(unit)), factor, flat[edges[:-1]])
-                who, found = own.candidates()
-                score = np.empty(len(who))
-                for at in range(0, len(who), step := max(1, (1 << 22) // data.shape[1])):
-                    score[at : at + step] = cosine(original[who[at : at + step]], data[found[at : at + step]])
-                n = np.diff(edges)[found]
-                at = np.repeat(edges[found] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                who, ids, score = np.repeat(who, n), flat[at], np.repeat(score, n)
-                by = best_ids(who, ids, score, most)
-                yield pa.RecordBatch.from_arrays(
-                    [asked.field("key").take(pa.array(who[by])), pa.array(ids[by]), pa.array(score[by])], ["key", "vec_id", "score"]
-                )
+                if at != (at := (row["cell"].as_py(), row["dim"].as_py())):
+                    yield from band.found()
+                    band = Band(at[1], most, factor)
+                if row["vectors"].is_valid:
+                    band.search(row)
+                else:
+                    band.ask(row["queries"].values)
+        yield from band.found()
 
-    return pairs.mapInArrow(run, HITS)
+    return cells.mapInArrow(run, HITS)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float = FACTOR) -> DataFrame:
@@ -299,9 +421,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, factor: float =
         .agg(F.collect_list(F.struct("vec_id", "score")).alias("hits"))
     )
     asked = rows.select(F.col("vec_id").alias("query_id"), "key").distinct()
-    # A query of several vectors has one score for each id, the best.
+    # A query of several vectors has one score for each id, the best. How many hits there are is not in Spark's estimates.
     pairs = (
-        asked.join(merged, "key")
+        asked.join(merged.hint("merge"), "key")
         .select("query_id", F.inline("hits"))
         .filter("vec_id <> query_id")
         .groupBy("query_id", "vec_id")
